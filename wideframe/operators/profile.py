@@ -19,6 +19,13 @@ def col_(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def round_binary(c: Column, scale: int) -> Column:
+    """Round the binary value half away from zero (``round(x·10^s)/10^s``);
+    ``round(x, s)`` rounds the shortest decimal string instead."""
+    f = float(10 ** scale)
+    return F.round(c * f) / f
+
+
 def to_long(one_row: DataFrame, rows: list[dict]) -> DataFrame:
     """Turn a one-row aggregate into a long table.
 
@@ -41,7 +48,7 @@ def missing_profile(df: DataFrame, cols=None, only_missing: bool = True) -> Data
     aggs += [F.count_if(col_(c).isNull()).alias(f"__m{i}") for i, c in enumerate(cols)]
     one = df.agg(*aggs)
     rows = [{"Coluna": F.lit(c), "Missing": F.col(f"__m{i}"),
-             "Percentual": F.round(F.col(f"__m{i}") * 100.0 / F.col("__n"), 2)}
+             "Percentual": round_binary(F.col(f"__m{i}") * 100.0 / F.col("__n"), 2)}
             for i, c in enumerate(cols)]
     out = to_long(one, rows)
     if only_missing:

@@ -38,8 +38,11 @@ def coerce_families(df: DataFrame, targets=FAM.TARGET_COLUMNS) -> DataFrame:
     return C.coerce_columns(df, list(dict.fromkeys(dc + cols)), decimal_comma_cols=dc)
 
 
-def guard_ranges(df: DataFrame, targets=FAM.TARGET_COLUMNS, exclude=()) -> DataFrame:
-    """L5 on numeric non-target columns."""
+ID_COLUMNS = ("player_id", FAM.ID_COLUMN)
+
+
+def guard_ranges(df: DataFrame, targets=FAM.TARGET_COLUMNS, exclude=ID_COLUMNS) -> DataFrame:
+    """L5 on numeric non-target, non-id columns."""
     cols = [c for c in FAM.numeric_columns(df, exclude=tuple(targets) + tuple(exclude))]
     return C.apply_to(df, cols, C.range_guard)
 
@@ -67,14 +70,25 @@ def skip_rates(df: DataFrame, mode: str = "reference") -> DataFrame:
         total = len(p) + len(t)
         out["taxa_pulos_geral"] = ((ones(p) + ones(t)) / F.lit(total)) if total else F.lit(0.0)
         return df.withColumns({k: v.cast("double") for k, v in out.items()})
+    return df.crossJoin(F.broadcast(skip_rate_summary(df)))
+
+
+def _ones(cols):
+    return sum((F.coalesce(col_(c) == -1, F.lit(False))).cast("int") for c in cols) if cols else F.lit(0)
+
+
+def skip_rate_summary(df: DataFrame) -> DataFrame:
+    """A5 reference mode as a one-row frame (one global aggregate)."""
+    p = FAM.family(df.columns, "P")
+    t = FAM.family(df.columns, "T")
+    ones = _ones
     one = df.agg(F.sum(ones(p)).alias("__sp"), F.sum(ones(t)).alias("__st"))
     total = len(p) + len(t)
-    rates = one.select(
+    return one.select(
         (F.coalesce(F.col("__sp"), F.lit(0)) / F.lit(len(p))).cast("double").alias("taxa_pulos_P") if p else F.lit(0.0).alias("taxa_pulos_P"),
         (F.coalesce(F.col("__st"), F.lit(0)) / F.lit(len(t))).cast("double").alias("taxa_pulos_T") if t else F.lit(0.0).alias("taxa_pulos_T"),
         ((F.coalesce(F.col("__sp"), F.lit(0)) + F.coalesce(F.col("__st"), F.lit(0))) / F.lit(total)).cast("double").alias("taxa_pulos_geral")
         if total else F.lit(0.0).alias("taxa_pulos_geral"))
-    return df.crossJoin(F.broadcast(rates))
 
 
 def clean_for_training(df: DataFrame, targets=FAM.TARGET_COLUMNS, range_guard: bool = True,
