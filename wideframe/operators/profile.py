@@ -98,16 +98,34 @@ def variance_table(df: DataFrame, cols, fill_zero: bool = True, threshold: float
     return out
 
 
+def feature_long(df: DataFrame, features, keep: dict | None = None) -> DataFrame:
+    """(keep…, feature, x): one row per (input row, feature).
+
+    Used for per-feature statistics that need several aggregate buffers each
+    (correlations): grouping the long frame by ``feature`` keeps the generated
+    code the same size whatever the number of features, and the explode is
+    pipelined into the map-side partial aggregation (only one partial row per
+    feature and task crosses the shuffle).
+    """
+    keep = keep or {}
+    structs = [F.struct(F.lit(f).alias("feature"), col_(f).cast("double").alias("x")) for f in features]
+    return (df.select(*[c.alias(n) for n, c in keep.items()], F.explode(F.array(*structs)).alias("__s"))
+            .select(*keep.keys(), "__s.feature", "__s.x"))
+
+
+def _target_cols(targets) -> dict:
+    return {f"__y{j}": col_(t).cast("double") for j, t in enumerate(targets)}
+
+
 def corr_with_targets(df: DataFrame, features, targets) -> DataFrame:
-    """A10: long table (feature, target, corr, abs_corr) from one wide pass."""
+    """A10: long table (feature, target, corr, abs_corr), one grouped pass."""
     features, targets = list(features), list(targets)
-    aggs, rows = [], []
-    for j, t in enumerate(targets):
-        for i, f in enumerate(features):
-            name = f"__c{i}_{j}"
-            aggs.append(guarded_corr(col_(f).cast("double"), col_(t).cast("double")).alias(name))
-            rows.append({"feature": F.lit(f), "target": F.lit(t), "corr": F.col(name)})
-    out = to_long(df.agg(*aggs), rows)
+    lng = feature_long(df, features, _target_cols(targets))
+    agg = lng.groupBy("feature").agg(*[guarded_corr(F.col("x"), F.col(f"__y{j}")).alias(f"__c{j}")
+                                       for j in range(len(targets))])
+    parts = F.array(*[F.struct(F.lit(t).alias("target"), F.col(f"__c{j}").alias("corr"))
+                      for j, t in enumerate(targets)])
+    out = agg.select("feature", F.inline(parts))
     return out.withColumn("abs_corr", F.abs("corr"))
 
 
@@ -115,22 +133,12 @@ def corr_report(df: DataFrame, features, targets, threshold: float = 0.20) -> Da
     """One row per feature with |corr| per target, their mean
     (NULL if any is NULL), and whether the mean passes ``threshold``."""
     features, targets = list(features), list(targets)
-    aggs = []
-    for j, t in enumerate(targets):
-        for i, f in enumerate(features):
-            aggs.append(F.abs(guarded_corr(col_(f).cast("double"), col_(t).cast("double"))).alias(f"__c{i}_{j}"))
-    one = df.agg(*aggs)
-    rows = []
-    for i, f in enumerate(features):
-        r = {"Feature": F.lit(f)}
-        for j, t in enumerate(targets):
-            r[f"Corr_{t}"] = F.col(f"__c{i}_{j}")
-        rows.append(r)
-    out = to_long(one, rows)
+    lng = feature_long(df, features, _target_cols(targets))
+    out = lng.groupBy(F.col("feature").alias("Feature")).agg(
+        *[F.abs(guarded_corr(F.col("x"), F.col(f"__y{j}"))).alias(f"Corr_{t}") for j, t in enumerate(targets)])
     mean = sum(F.col(f"Corr_{t}") for t in targets) / len(targets)
     out = out.withColumn("Corr_Media", mean)
-    out = out.withColumn("Mantida", F.coalesce(F.col("Corr_Media") > threshold, F.lit(False)))
-    return out
+    return out.withColumn("Mantida", F.coalesce(F.col("Corr_Media") > threshold, F.lit(False)))
 
 
 def corr_matrix(df: DataFrame, cols) -> DataFrame:

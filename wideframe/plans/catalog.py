@@ -319,7 +319,8 @@ def q_guarded(spark, sf_dir):
 @register("features_target1", "E1 E4 E5 E6 R1 R2 R3 R4 R5 R8 A6")
 def q_features_t1(spark, sf_dir):
     df = engineered(spark, sf_dir)
-    new = [c for c in df.columns if c not in player_table(spark, sf_dir).columns]
+    base = set(player_table(spark, sf_dir).columns)
+    new = [c for c in df.columns if c not in base]
     return round6(df.select(ID_COL, *new))
 
 
