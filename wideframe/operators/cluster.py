@@ -53,7 +53,7 @@ def fit_pca(df: DataFrame, cols, k: int = 2):
     its largest-magnitude loading is positive."""
     va = VectorAssembler(inputCols=list(cols), outputCol="__features", handleInvalid="keep")
     model = PCA(k=k, inputCol="__features", outputCol="__pca").fit(va.transform(df))
-    pc = model.pc.toArray()  # (n_features, k)
+    pc = np.array(model.pc.toArray(), copy=True)  # (n_features, k)
     for j in range(pc.shape[1]):
         if pc[np.argmax(np.abs(pc[:, j])), j] < 0:
             pc[:, j] = -pc[:, j]
