@@ -42,21 +42,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
     On a cluster ``spark.checkpoint.dir`` must point to shared storage and is
-    only read here. A private folder is created only for a local master (tests),
-    where no setting exists.
+    only read here. A private folder is created only for a local master
+    (tests), where no setting exists.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    path = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if path:
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(path)
         return path
-    master = spark.sparkContext.master
-    if not master.startswith("local"):
+    if not sc.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir is not set; it must name a shared folder")
     path = tempfile.mkdtemp(prefix="wideframe-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
-    return path
+    sc.setCheckpointDir(path)
+    return sc.getCheckpointDir() or path
 
 
 def cut_lineage(df):
