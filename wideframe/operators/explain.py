@@ -77,11 +77,10 @@ def trees_from_model(model, spark) -> list[Tree]:
     model.write().overwrite().save(path)
     data = spark.read.parquet(f"{path}/data")
     if "treeID" in data.columns:
-        if hasattr(model, "treeWeights"):
-            weights = list(model.treeWeights)
-        else:
-            k = model.getNumTrees
-            weights = [1.0 / k] * k
+        from pyspark.ml.regression import RandomForestRegressionModel
+        weights = list(model.treeWeights)
+        if isinstance(model, RandomForestRegressionModel):   # a forest averages its trees
+            weights = [w / len(weights) for w in weights]
         by_tree: dict[int, list] = {}
         for r in data.select("treeID", "nodeData.*").collect():
             by_tree.setdefault(r["treeID"], []).append(r)
