@@ -38,25 +38,37 @@ class OneHotModel:
 
 
 class OneHotEncoder:
-    """Levels are found with one distinct-aggregation per column and guarded:
-    more than ``max_levels`` levels raises instead of building a huge plan."""
+    """Levels of all columns are found together and guarded: more than
+    ``max_levels`` levels raises instead of building a huge plan."""
 
     def __init__(self, cols, max_levels: int = MAX_LEVELS, as_int: bool = True):
         self.cols, self.max_levels, self.as_int = list(cols), max_levels, as_int
 
     def fit(self, df: DataFrame) -> OneHotModel:
-        levels = {}
+        """Two passes for all columns together: an ``approx_count_distinct``
+        guard (one row), then the distinct (column, level) pairs, whose number
+        the guard has bounded."""
         types = {f.name: f.dataType for f in df.schema.fields}
+        guard = df.agg(*[F.approx_count_distinct(col_(c)).alias(f"__d{i}") for i, c in enumerate(self.cols)]).first()
+        for i, c in enumerate(self.cols):
+            if guard[f"__d{i}"] > self.max_levels * 1.1:
+                raise ValueError(f"{c}: more than {self.max_levels} levels")
+        levels = {c: [] for c in self.cols}
+        for kind in ("num", "str"):
+            cols = [c for c in self.cols if isinstance(types[c], NumericType) == (kind == "num")]
+            if not cols:
+                continue
+            vt = types[cols[0]] if kind == "num" and len({types[c] for c in cols}) == 1 else \
+                ("double" if kind == "num" else "string")
+            structs = [F.struct(F.lit(c).alias("c"), col_(c).cast(vt).alias("v")) for c in cols]
+            pairs = (df.select(F.explode(F.array(*structs)).alias("s")).select("s.*")
+                     .filter(F.col("v").isNotNull()).distinct().collect())
+            for r in pairs:
+                levels[r["c"]].append(r["v"])
         for c in self.cols:
-            rows = (df.select(col_(c).alias("v")).filter(F.col("v").isNotNull()).distinct()
-                    .limit(self.max_levels + 1).collect())
-            if len(rows) > self.max_levels:
+            if len(levels[c]) > self.max_levels:
                 raise ValueError(f"{c}: more than {self.max_levels} levels")
-            vals = sorted(r["v"] for r in rows)
-            if isinstance(types[c], NumericType) and vals and all(float(v).is_integer() for v in vals) \
-                    and types[c].typeName() in ("double", "float"):
-                vals = [float(v) for v in vals]
-            levels[c] = vals
+            levels[c] = sorted(levels[c])
         return OneHotModel(levels, self.as_int)
 
 

@@ -156,3 +156,34 @@ def q_stream(spark, sf_dir):
     q = start_scoring_stream(spark, f"{inbox}/*", hist, ckpt, plan, schema, "Código de Acesso", user_id=1)
     run_until_done(q)
     return spark.read.parquet(hist)
+
+
+@register("export_outputs", "S4 S8 S7 A14 A12")
+def q_export(spark, sf_dir):
+    """Multi-output export (clean table, scaled table, target summary,
+    correlation report) to the shared folder, plus the fitted imputation values
+    as a parameter table; returns what was written (name, rows) read back."""
+    from ..operators import profile as PR
+    from ..operators.impute import MedianImputer
+    from ..sources.sinks import export_tables
+    from .catalog import clean_player, nulled_player
+    from ..functions import families as FAM
+
+    eng = engineered(spark, sf_dir)
+    feats = ["P_mean", "T_mean", "F_mean_geral", "sono_total"]
+    scaled = StandardScaler(feats).fit(eng).transform(eng.select(ID_COL, *feats, *TARGETS))
+    tables = {"clean": clean_player(spark, sf_dir), "scaled": scaled,
+              "target_summary": PR.describe(eng, list(TARGETS)),
+              "correlations": PR.corr_report(eng, feats, list(TARGETS))}
+    base = scratch_path(spark, f"export-{uuid.uuid4().hex}")
+    paths = export_tables(tables, base)
+    nulled = nulled_player(spark, sf_dir)
+    MedianImputer(FAM.all_family_columns(nulled.columns)).fit(nulled).save(spark, f"{base}/imputer")
+    parts = [spark.read.parquet(p).agg(F.count(F.lit(1)).alias("rows")).withColumn("name", F.lit(n))
+             for n, p in zip(tables, paths)]
+    parts.append(spark.read.parquet(f"{base}/imputer").agg(F.count(F.lit(1)).alias("rows"))
+                 .withColumn("name", F.lit("imputer_params")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.select("name", "rows")
