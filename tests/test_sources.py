@@ -70,3 +70,11 @@ def test_export_tables(spark, tmpdir_path):
     df = spark.range(3)
     paths = SK.export_tables({"clean": df, "scaled": df}, f"{tmpdir_path}/out", fmt="csv")
     assert spark.read.option("header", True).csv(paths[0]).count() == 3
+
+
+def test_row_id_fallback(spark):
+    with_id = spark.createDataFrame([(7, 1.0)], "`Código de Acesso` int, x double")
+    assert SC.row_id(with_id).first()["__row_id"] == "7"
+    no_id = spark.range(5).withColumnRenamed("id", "x")
+    ids = [r["__row_id"] for r in SC.row_id(no_id).collect()]
+    assert len(set(ids)) == 5

@@ -316,7 +316,7 @@ def q_guarded(spark, sf_dir):
     return round6(df.select(ID_COL, *[v.alias(k) for k, v in exprs.items()]))
 
 
-@register("features_target1", "E1 E4 E5 E6 R1 R2 R3 R4 R5 R8 A6")
+@register("features_target1", "E1 E4 E5 E6 L8 R1 R2 R3 R4 R5 R8 A6")
 def q_features_t1(spark, sf_dir):
     df = engineered(spark, sf_dir)
     base = set(player_table(spark, sf_dir).columns)
