@@ -90,10 +90,11 @@ def clean_player(spark, sf_dir) -> DataFrame:
 
 
 def engineered(spark, sf_dir) -> DataFrame:
-    """Clean + the full target-1 feature set (E1, E4, E5, E6), persisted."""
-    df = clean_player(spark, sf_dir)
-    med = medians(df, ["QtdHorasDormi"])["QtdHorasDormi"]
-    return materialize(FE.target1_features(df, med))
+    """Clean + the full target-1 feature set (E1, E4, E5, E6), persisted.
+    The sleep median comes from the same pass as the family medians (the
+    sleep column is not imputed, so it is the same number)."""
+    df, fill = clean_for_training(player_table(spark, sf_dir), extra_medians=("QtdHorasDormi",))
+    return materialize(FE.target1_features(df, fill.extra["QtdHorasDormi"]))
 
 
 def linear_pred(coefs: dict, intercept: float):

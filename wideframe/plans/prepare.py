@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import clean as C
 from ..functions import families as FAM
 from ..functions.rowstats import with_row_stats
-from ..operators.impute import MedianImputer
+from ..operators.impute import FillModel, MedianImputer
 from ..operators.profile import col_
 
 DECIMAL_COMMA_COLUMNS = ("F0103",)
@@ -93,10 +93,12 @@ def skip_rate_summary(df: DataFrame) -> DataFrame:
 
 def clean_for_training(df: DataFrame, targets=FAM.TARGET_COLUMNS, range_guard: bool = True,
                        with_skip_rates: bool = False, impute: bool = True,
-                       method: str = "auto"):
+                       method: str = "auto", extra_medians=()):
     """Coerce → range guard → (skip rates) → −1 to NULL → median fill of P/T/F.
 
     Returns ``(df, fill_model)``; targets are excluded from every step (Q2).
+    ``extra_medians`` (e.g. the sleep column) are computed in the same pass and
+    returned in ``fill_model.extra`` without being used for filling.
     """
     df = coerce_families(df, targets)
     if range_guard:
@@ -108,7 +110,10 @@ def clean_for_training(df: DataFrame, targets=FAM.TARGET_COLUMNS, range_guard: b
     model = None
     if impute:
         df = materialize(df)
-        model = MedianImputer(fam, method=method).fit(df)
+        extra = [c for c in extra_medians if c in df.columns and c not in fam]
+        values = MedianImputer(fam + extra, method=method).fit(df).values
+        model = FillModel({c: values[c] for c in fam})
+        model.extra = {c: values[c] for c in extra}
         df = model.transform(df)
     return df, model
 
