@@ -209,3 +209,14 @@ def test_linear_contributions_add_up(spark):
     base = b0 + 2.0 * 3.0 - 1.0 * 2.0
     for r in df.collect():
         assert math.isclose(sums[r["id"]] + base, b0 + 2.0 * r["a"] - r["b"])
+
+
+def test_tree_top_k_in_task_matches_window(spark, tree_data):
+    feats = ["a", "b", "c"]
+    model = M.fit_pipeline(tree_data, feats, "y", "gbt", 42, maxIter=5, maxDepth=3)
+    trees = EX.trees_from_model(model.stages[-1], spark)
+    full = EX.tree_contributions(tree_data, trees, feats, "id", "y")
+    via_window = {tuple(r) for r in SEL.top_contributions(full, 2, "id").select("id", "feature", "rank").collect()}
+    in_task = {tuple(r) for r in EX.tree_contributions(tree_data, trees, feats, "id", "y", top_k=2)
+               .select("id", "feature", "rank").collect()}
+    assert in_task == via_window

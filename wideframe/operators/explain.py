@@ -164,15 +164,25 @@ def tree_shap(X: np.ndarray, trees: list[Tree]) -> np.ndarray:
     return phi
 
 
-def tree_contributions(df: DataFrame, trees: list[Tree], features, id_col: str, target: str) -> DataFrame:
-    """Long (id, target, feature, value) for a tree model via ``mapInPandas``.
+def tree_contributions(df: DataFrame, trees: list[Tree], features, id_col: str, target: str,
+                       top_k: int | None = None) -> DataFrame:
+    """Long (id, target, feature, value[, rank]) for a tree model via ``mapInPandas``.
 
     The tree arrays travel with the function closure (model-sized); rows are
-    processed one Arrow batch at a time.
+    processed one Arrow batch at a time. With ``top_k`` the K8 report (largest
+    |contribution| per player, ties by feature name) is taken inside the task:
+    all of a player's contributions are produced together, so no window and
+    no shuffle are needed.
     """
     features = list(features)
-    schema = StructType([StructField(id_col, df.schema[id_col].dataType), StructField("target", StringType()),
-                         StructField("feature", StringType()), StructField("value", DoubleType())])
+    fields = [StructField(id_col, df.schema[id_col].dataType), StructField("target", StringType()),
+              StructField("feature", StringType()), StructField("value", DoubleType())]
+    if top_k is not None:
+        from pyspark.sql.types import LongType
+        fields.append(StructField("rank", LongType()))
+    schema = StructType(fields)
+    names = np.array(features, dtype=object)
+    name_order = np.argsort(np.argsort(names))          # rank of each feature name
 
     def run(batches):
         for pdf in batches:
@@ -181,8 +191,17 @@ def tree_contributions(df: DataFrame, trees: list[Tree], features, id_col: str,
             X = pdf[features].to_numpy(dtype=float, na_value=np.nan)
             phi = tree_shap(X, trees)
             n, m = phi.shape
-            yield pd.DataFrame({id_col: np.repeat(pdf[id_col].to_numpy(), m), "target": target,
-                                "feature": np.tile(np.array(features, dtype=object), n),
-                                "value": phi.reshape(-1)})
+            ids = pdf[id_col].to_numpy()
+            if top_k is None:
+                yield pd.DataFrame({id_col: np.repeat(ids, m), "target": target,
+                                    "feature": np.tile(names, n), "value": phi.reshape(-1)})
+                continue
+            k = min(top_k, m)
+            # order each row by (-|value|, feature name)
+            order = np.lexsort((np.broadcast_to(name_order, phi.shape), -np.abs(phi)), axis=1)[:, :k]
+            rows = np.repeat(np.arange(n), k)
+            cols = order.reshape(-1)
+            yield pd.DataFrame({id_col: ids[rows], "target": target, "feature": names[cols],
+                                "value": phi[rows, cols], "rank": np.tile(np.arange(1, k + 1), n)})
 
     return df.select(id_col, *[col_(c).cast("double").alias(c) for c in features]).mapInPandas(run, schema)

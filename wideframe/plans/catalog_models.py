@@ -94,8 +94,7 @@ def q_tree_contrib(spark, sf_dir):
     df = engineered(spark, sf_dir)
     model = M.fit_pipeline(df, MODEL_FEATURES, "Target1", "gbt", 42, maxIter=20, maxDepth=4)
     trees = EX.trees_from_model(model.stages[-1], spark)
-    contrib = EX.tree_contributions(df, trees, MODEL_FEATURES, ID_COL, "T1")
-    return round6(SEL.top_contributions(contrib, 15))
+    return round6(EX.tree_contributions(df, trees, MODEL_FEATURES, ID_COL, "T1", top_k=15))
 
 
 def _cluster_frame(spark, sf_dir):
