@@ -472,3 +472,7 @@ ORACLE["cluster_report"] = with_player(C1, C2, NULLED, MED, CLEAN, CL, CLS, CLZ,
 ORACLE["history_by_upload"] = (
     "SELECT strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') AS timestamp, count(event_id) AS num_jogadores "
     "FROM events WHERE user_id = 8 GROUP BY date_trunc('day', ts)")
+
+ORACLE["stream_scoring"] = eng_prefix(SCORED) + (
+    "SELECT CAST(1 AS INTEGER) AS user_id, CAST(player_id AS VARCHAR) AS jogador_id, " + ", ".join(
+        f"round_even({p}, 2) AS {p}" for p in PREDS) + " FROM sc")
