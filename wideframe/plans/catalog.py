@@ -11,7 +11,6 @@ can check them; fit-type operators live in ``catalog_models``.
 
 from __future__ import annotations
 
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +24,6 @@ from ..operators import select as SEL
 from ..operators.encode import OneHotEncoder
 from ..operators.impute import IQROutlierClipper, MedianImputer, ModeImputer
 from ..operators.metrics import linear_loo, overfitting_pct, regression_metrics
-from ..operators.quantile import medians
 from ..operators.scale import RobustScaler, StandardScaler
 from ..operators.split import kfold, split_flag
 from ..sources.schema import align_to, dedupe_columns

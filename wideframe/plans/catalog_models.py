@@ -6,7 +6,6 @@ against NumPy in ``tests/``.
 
 from __future__ import annotations
 
-import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession

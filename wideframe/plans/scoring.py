@@ -76,7 +76,6 @@ def score(df: DataFrame, plan: ScoringPlan, id_col: str) -> DataFrame:
     out = feats.withColumns(exprs) if exprs else feats
     for j, (t, m) in enumerate(plan.pipelines.items()):
         from ..operators.models import SeedEnsemble
-        from ..sources.schema import align_to
         name = f"__pm{j}"
         if isinstance(m, SeedEnsemble):
             out = m.transform(out, name)
