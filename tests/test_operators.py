@@ -220,3 +220,10 @@ def test_tree_top_k_in_task_matches_window(spark, tree_data):
     in_task = {tuple(r) for r in EX.tree_contributions(tree_data, trees, feats, "id", "y", top_k=2)
                .select("id", "feature", "rank").collect()}
     assert in_task == via_window
+
+
+def test_kfold_metrics_pool_out_of_fold(spark, tree_data):
+    r = M.kfold_metrics(tree_data, ["a", "b", "c"], "y", "id", "linear", k=4)
+    assert r["n"] == 300 and r["k"] == 4
+    # a linear fit explains most of this target; out-of-fold R² is below 1 and well above 0
+    assert 0.5 < r["r2_kfold"] < 1.0

@@ -69,6 +69,19 @@ def q_seed_ensemble(spark, sf_dir):
     return round6(out)
 
 
+@register("kfold_tree_metrics", "M12 X2 M9")
+def q_kfold_metrics(spark, sf_dir):
+    """Out-of-fold R²/MAE/RMSE (k = 3, hash folds) of a forest per target — the
+    tree counterpart of the closed-form linear LOO."""
+    df = engineered(spark, sf_dir)
+    rows = []
+    for t in TARGETS:
+        r = M.kfold_metrics(df, MODEL_FEATURES, t, ID_COL, "random_forest", k=3, numTrees=20, maxDepth=6)
+        rows.append((t, r["r2_kfold"], r["mae_kfold"], r["rmse_kfold"], r["n"], r["k"]))
+    return round6(spark.createDataFrame(rows, "target string, r2_kfold double, mae_kfold double, "
+                                              "rmse_kfold double, n long, k int"))
+
+
 @register("tree_importances", "M14 K7 U2")
 def q_importances(spark, sf_dir):
     """Importances per target: one forest for Target1, mean over a seed
