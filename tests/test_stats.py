@@ -126,3 +126,12 @@ def test_linear_loo_matches_refits(spark, alpha):
     errs = np.array(errs)
     assert math.isclose(got["mae_loo"], np.abs(errs).mean(), rel_tol=1e-8)
     assert math.isclose(got["r2_loo"], 1 - (errs ** 2).sum() / ((y - y.mean()) ** 2).sum(), rel_tol=1e-8)
+
+
+def test_auto_budget_sends_wide_columns_to_distributed(spark):
+    df = spark.range(3000).select((F.col("id") % 3).cast("double").alias("low"),
+                                  (F.col("id") * 1.0).alias("high"))
+    small = Q._small_cardinality(df, ["low", "high"], limit=100)
+    assert small == {"low"}
+    got = Q.quantile_values(df, ["low", "high"], [0.5], method="auto", limit=100)
+    assert got == {"low": [1.0], "high": [1499.5]}

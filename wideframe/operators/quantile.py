@@ -4,8 +4,10 @@ Three strategies, chosen per column by ``method="auto"``:
 
 * ``exact``  – Spark's ``percentile``: partial value→count maps merged in the
   final aggregation task. Memory is bounded by the number of *distinct*
-  values of the column, so ``auto`` only uses it below ``EXACT_DISTINCT_LIMIT``
-  (checked with ``approx_count_distinct`` in one cheap pass).
+  values, and the final task holds the maps of all exact columns at once, so
+  ``auto`` admits columns (lowest cardinality first) only while their summed
+  distinct count stays within ``EXACT_DISTINCT_LIMIT`` (estimated with
+  ``approx_count_distinct`` in one cheap pass).
 * ``distributed`` – exact rank selection that never gathers a column in one
   task: values are pre-aggregated to distinct ``(column, value, weight)``
   (map-side combine, so a value holding a third of all rows is one row),
@@ -26,7 +28,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType, IntegerType
 
-EXACT_DISTINCT_LIMIT = 200_000
+# The exact aggregate's final task holds a value→count map for every exact
+# column at once, so the guard is a total budget of distinct values.
+EXACT_DISTINCT_LIMIT = 2_000_000
 APPROX_ACCURACY = 100_000
 
 
@@ -136,8 +140,18 @@ def _distributed_values(df: DataFrame, cols, probs, partitions: int | None = Non
 
 
 def _small_cardinality(df: DataFrame, cols, limit: int) -> set:
+    """Columns admitted to the exact aggregate: by ascending approximate
+    distinct count while the running total stays within ``limit`` (with a
+    margin for the estimate's error)."""
     row = df.agg(*[F.approx_count_distinct(_c(c)).alias(f"__d{i}") for i, c in enumerate(cols)]).first()
-    return {c for i, c in enumerate(cols) if row[f"__d{i}"] <= limit}
+    est = sorted((row[f"__d{i}"] * 1.1, c) for i, c in enumerate(cols))
+    out, total = set(), 0.0
+    for d, c in est:
+        if total + d > limit:
+            break
+        out.add(c)
+        total += d
+    return out
 
 
 def quantile_values(df: DataFrame, cols, probs, method: str = "auto",
