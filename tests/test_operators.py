@@ -227,3 +227,30 @@ def test_kfold_metrics_pool_out_of_fold(spark, tree_data):
     assert r["n"] == 300 and r["k"] == 4
     # a linear fit explains most of this target; out-of-fold R² is below 1 and well above 0
     assert 0.5 < r["r2_kfold"] < 1.0
+
+
+def test_seed_ensemble_mean_between_members(spark, tree_data):
+    feats = ["a", "b", "c"]
+    ens, unseen = M.fit_seed_ensemble(tree_data, feats, "y", "id", kind="gbt", maxIter=5, maxDepth=2)
+    parts = []
+    for i, m in enumerate(ens.members):
+        parts.append(m.transform(tree_data).select("id", F.col("prediction").alias(f"p{i}")))
+    joined = parts[0].join(parts[1], "id").join(parts[2], "id").join(
+        ens.transform(tree_data).select("id", "prediction"), "id")
+    for r in joined.collect():
+        ps = [r["p0"], r["p1"], r["p2"]]
+        assert min(ps) - 1e-9 <= r["prediction"] <= max(ps) + 1e-9
+        assert math.isclose(r["prediction"], sum(ps) / 3, rel_tol=1e-12)
+    # rows unseen by every member: disjoint from each member's training side
+    ids = {x[0] for x in unseen.select("id").collect()}
+    for s in M.ENSEMBLE_SEEDS:
+        tr, _ = train_test_split(tree_data, "id", s, 25)
+        assert not ids & {x[0] for x in tr.select("id").collect()}
+
+
+def test_robust_scaled_median_is_zero(spark):
+    rng = np.random.default_rng(9)
+    vals = rng.lognormal(size=201)
+    df = spark.createDataFrame([(float(v),) for v in vals], "x double")
+    out = RobustScaler(["x"]).fit(df).transform(df)
+    assert abs(np.median([r[0] for r in out.collect()])) < 1e-12
