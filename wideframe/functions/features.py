@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from . import families as FAM
 from .rowstats import with_row_stats
+from .sqltext import q
 
 
 def _c(name) -> Column:
@@ -90,7 +91,7 @@ def target1_features(df: DataFrame, sleep_median: float | None, match: str = "ex
     out = with_row_stats(df, spec)
     if "P_max" in out.columns:
         late = [c for c in out.columns if c not in ("P_late", "P_early")]
-        out = out.withColumn("P_range", _c("P_max") - _c("P_min"))
+        out = out.withColumn("P_range", F.expr("P_max - P_min"))
         # keep the documented column order: range follows max
         order = []
         for c in late:
@@ -98,7 +99,8 @@ def target1_features(df: DataFrame, sleep_median: float | None, match: str = "ex
             if c == "P_max":
                 order.append("P_range")
         order += [c for c in ("P_late", "P_early") if c in out.columns]
-        out = out.select(*[_c(c) for c in order if c in out.columns])
+        have = set(out.columns)
+        out = out.select(*[q(c) for c in order if c in have])
     return out
 
 

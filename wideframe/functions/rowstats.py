@@ -3,64 +3,92 @@
 Semantics follow pandas ``axis=1`` reductions: NULLs are skipped, the mean
 divides by the non-null count, the standard deviation uses ddof=1 and is NULL
 below two values, and an empty column list gives the constant 0.
+
+Expressions are generated as SQL text (one parse per output column instead of
+a JVM call per operand, see ``sqltext``); the ``*_sql`` builders return the
+text so that callers can compose it.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+
+from .sqltext import expr, plus, q
+
+ZERO = "0D"
+
+
+def row_count_sql(cols) -> str:
+    return plus([f"CAST({q(c)} IS NOT NULL AS INT)" for c in cols])
+
+
+def row_sum_sql(cols) -> str:
+    if not cols:
+        return ZERO
+    return plus([f"coalesce(CAST({q(c)} AS DOUBLE), 0D)" for c in cols])
+
+
+def row_mean_sql(cols, min_columns: int = 1) -> str:
+    if not cols or len(cols) < min_columns:
+        return ZERO
+    return f"({row_sum_sql(cols)} / nullif({row_count_sql(cols)}, 0))"
+
+
+def row_min_sql(cols) -> str:
+    if not cols:
+        return ZERO
+    if len(cols) == 1:
+        return f"CAST({q(cols[0])} AS DOUBLE)"
+    return f"CAST(least({', '.join(q(c) for c in cols)}) AS DOUBLE)"
+
+
+def row_max_sql(cols) -> str:
+    if not cols:
+        return ZERO
+    if len(cols) == 1:
+        return f"CAST({q(cols[0])} AS DOUBLE)"
+    return f"CAST(greatest({', '.join(q(c) for c in cols)}) AS DOUBLE)"
 
 
-def _sum(cols) -> Column:
-    return reduce(lambda a, b: a + b, cols)
+def row_var_from_mean_sql(cols, mean_col: str) -> str:
+    if not cols:
+        return ZERO
+    m = q(mean_col)
+    sq = plus([f"coalesce(({q(c)} - {m}) * ({q(c)} - {m}), 0D)" for c in cols])
+    n = row_count_sql(cols)
+    return f"CASE WHEN {n} >= 2 THEN {sq} / ({n} - 1) END"
 
 
 def row_count(cols) -> Column:
-    return _sum([F.col(c).isNotNull().cast("int") for c in cols])
+    return expr(row_count_sql(cols))
 
 
 def row_sum(cols) -> Column:
     """Nulls count as 0."""
-    if not cols:
-        return F.lit(0.0)
-    return _sum([F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in cols])
+    return expr(row_sum_sql(cols))
 
 
 def row_mean(cols, min_columns: int = 1) -> Column:
     """R1 (R7 with ``min_columns``): mean of non-null cells; 0 if no column."""
-    if not cols or len(cols) < min_columns:
-        return F.lit(0.0)
-    return row_sum(cols) / F.nullif(row_count(cols), F.lit(0))
+    return expr(row_mean_sql(cols, min_columns))
 
 
 def row_min(cols) -> Column:
     """``least`` skips NULLs like pandas."""
-    if not cols:
-        return F.lit(0.0)
-    if len(cols) == 1:
-        return F.col(cols[0]).cast("double")
-    return F.least(*[F.col(c) for c in cols]).cast("double")
+    return expr(row_min_sql(cols))
 
 
 def row_max(cols) -> Column:
     """R4."""
-    if not cols:
-        return F.lit(0.0)
-    if len(cols) == 1:
-        return F.col(cols[0]).cast("double")
-    return F.greatest(*[F.col(c) for c in cols]).cast("double")
+    return expr(row_max_sql(cols))
 
 
 def row_std_from_mean(cols, mean_col: str) -> Column:
-    """R2 given an already projected row mean column (keeps the tree O(k))."""
-    if not cols:
-        return F.lit(0.0)
-    m = F.col(mean_col)
-    sq = _sum([F.coalesce((F.col(c) - m) * (F.col(c) - m), F.lit(0.0)) for c in cols])
-    n = row_count(cols)
-    return F.when(n >= 2, sq / (n - 1))
+    """R2 (variance) given an already projected row mean column (keeps the tree O(k))."""
+    return expr(row_var_from_mean_sql(cols, mean_col))
+
+
+_FIRST = {"mean": row_mean_sql, "sum": row_sum_sql, "min": row_min_sql, "max": row_max_sql}
 
 
 def with_row_stats(df: DataFrame, spec: dict) -> DataFrame:
@@ -73,25 +101,19 @@ def with_row_stats(df: DataFrame, spec: dict) -> DataFrame:
     first, helpers, second = {}, {}, {}
     for name, (kind, cols) in spec.items():
         cols = list(cols)
-        if kind == "mean":
-            first[name] = row_mean(cols)
-        elif kind == "sum":
-            first[name] = row_sum(cols)
-        elif kind == "min":
-            first[name] = row_min(cols)
-        elif kind == "max":
-            first[name] = row_max(cols)
+        if kind in _FIRST:
+            first[name] = expr(_FIRST[kind](cols))
         elif kind == "std":
             if not cols:
-                first[name] = F.lit(0.0)
+                first[name] = expr(ZERO)
                 continue
             h = f"__mean_{name}"
-            helpers[h] = row_mean(cols)
-            second[name] = F.sqrt(row_std_from_mean(cols, h))
+            helpers[h] = expr(row_mean_sql(cols))
+            second[name] = expr(f"sqrt({row_var_from_mean_sql(cols, h)})")
         else:
             raise ValueError(kind)
     out = df.withColumns({**first, **helpers}) if (first or helpers) else df
     if second:
         out = out.withColumns(second)
     keep = [c for c in df.columns if c not in spec] + list(spec)
-    return out.select(*[F.col(c) for c in keep])
+    return out.select(*[q(c) for c in keep])

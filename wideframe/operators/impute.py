@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType, StructField, StructType
 
+from ..functions.sqltext import lit, q
 from . import quantile as Q
 from .profile import col_
 
@@ -24,8 +25,9 @@ class FillModel:
     values: dict = field(default_factory=dict)
 
     def transform(self, df: DataFrame) -> DataFrame:
-        exprs = {c: F.coalesce(col_(c), F.lit(v)) for c, v in self.values.items()
-                 if c in df.columns and v is not None}
+        have = set(df.columns)
+        exprs = {c: F.expr(f"coalesce({q(c)}, {lit(v)})") for c, v in self.values.items()
+                 if c in have and v is not None}
         return df.withColumns(exprs) if exprs else df
 
     def to_df(self, spark: SparkSession) -> DataFrame:

@@ -26,6 +26,7 @@ import math
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from ..functions.sqltext import lit as sql_lit, q
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType, IntegerType
 
 # The exact aggregate's final task holds a value→count map for every exact
@@ -43,10 +44,11 @@ def _c(name):
 
 
 def _exact_row(df: DataFrame, cols, probs) -> DataFrame:
-    aggs = [F.percentile(_c(c).cast("double"), list(probs)).alias(f"__p{i}") for i, c in enumerate(cols)]
+    arr = "array(" + ", ".join(sql_lit(float(p)) for p in probs) + ")"
+    aggs = [F.expr(f"percentile(CAST({q(c)} AS DOUBLE), {arr})").alias(f"__p{i}") for i, c in enumerate(cols)]
     one = df.agg(*aggs) if aggs else df.sparkSession.range(1).select()
-    return one.select(*[F.col(f"__p{i}")[j].alias(qname(i, j))
-                        for i in range(len(cols)) for j in range(len(probs))])
+    return one.selectExpr(*[f"__p{i}[{j}] AS {qname(i, j)}"
+                            for i in range(len(cols)) for j in range(len(probs))])
 
 
 def _approx_row(df: DataFrame, cols, probs, accuracy=APPROX_ACCURACY) -> DataFrame:
@@ -143,7 +145,7 @@ def _small_cardinality(df: DataFrame, cols, limit: int) -> set:
     """Columns admitted to the exact aggregate: by ascending approximate
     distinct count while the running total stays within ``limit`` (with a
     margin for the estimate's error)."""
-    row = df.agg(*[F.approx_count_distinct(_c(c)).alias(f"__d{i}") for i, c in enumerate(cols)]).first()
+    row = df.agg(*[F.expr(f"approx_count_distinct({q(c)})").alias(f"__d{i}") for i, c in enumerate(cols)]).first()
     est = sorted((row[f"__d{i}"] * 1.1, c) for i, c in enumerate(cols))
     out, total = set(), 0.0
     for d, c in est:

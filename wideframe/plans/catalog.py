@@ -19,6 +19,7 @@ from ..functions import clean as C
 from ..functions import families as FAM
 from ..functions import features as FE
 from ..functions.rowstats import row_mean, with_row_stats
+from ..functions.sqltext import lit as sql_lit, plus, q
 from ..operators import profile as PR
 from ..operators import select as SEL
 from ..operators.encode import OneHotEncoder
@@ -27,7 +28,7 @@ from ..operators.metrics import linear_loo, overfitting_pct, regression_metrics
 from ..operators.scale import RobustScaler, StandardScaler
 from ..operators.split import kfold, split_flag
 from ..sources.schema import align_to, dedupe_columns
-from .player import ID_COL, TARGETS, player_table
+from .player import ID_COL, PLAYER_COLUMNS, TARGETS, player_table
 from .prepare import (ID_COLUMNS, clean_for_training, coerce_families, guard_ranges,
                       materialize, null_skips, skip_rates)
 
@@ -51,9 +52,11 @@ def round6(df: DataFrame) -> DataFrame:
     DuckDB does; ``round(x, 6)`` would round the shortest decimal string
     instead (64.3442025 stored as 64.34420249999… → .203 vs .202).
     """
-    exprs = {f.name: F.round(F.col(f"`{f.name}`") * 1e6) / 1e6
-             for f in df.schema.fields if f.dataType.typeName() in ("double", "float")}
-    return df.withColumns(exprs) if exprs else df
+    fields = df.schema.fields
+    if not any(f.dataType.typeName() in ("double", "float") for f in fields):
+        return df
+    return df.selectExpr(*[f"round({q(f.name)} * 1000000D) / 1000000D AS {q(f.name)}"
+                           if f.dataType.typeName() in ("double", "float") else q(f.name) for f in fields])
 
 
 # Fixed parameters of the apply-type checks (a linear scorer per target over
@@ -95,12 +98,13 @@ def engineered(spark, sf_dir) -> DataFrame:
     return materialize(FE.target1_features(df, fill.extra["QtdHorasDormi"]))
 
 
-def linear_pred(coefs: dict, intercept: float):
+def linear_pred_sql(coefs: dict, intercept: float) -> str:
     """b + w1·x1 + w2·x2 … evaluated left to right."""
-    out = F.lit(intercept)
-    for c, w in coefs.items():
-        out = out + F.lit(w) * F.col(c)
-    return out
+    return plus([sql_lit(float(intercept))] + [f"{sql_lit(float(w))} * {q(c)}" for c, w in coefs.items()])
+
+
+def linear_pred(coefs: dict, intercept: float):
+    return F.expr(linear_pred_sql(coefs, intercept))
 
 
 def fixed_predictions(df: DataFrame) -> DataFrame:
@@ -108,8 +112,8 @@ def fixed_predictions(df: DataFrame) -> DataFrame:
     members (scaled copies of the scorer) computed in one projection."""
     exprs = {}
     for t, (b, coefs) in FIXED_LINEAR.items():
-        members = [linear_pred({c: w * s for c, w in coefs.items()}, b * s) for s in FIXED_ENSEMBLE_SCALE]
-        exprs[PRED_NAMES[t]] = sum(members) / len(members)
+        members = [linear_pred_sql({c: w * s for c, w in coefs.items()}, b * s) for s in FIXED_ENSEMBLE_SCALE]
+        exprs[PRED_NAMES[t]] = F.expr(f"{plus(members)} / {len(members)}")
     return df.withColumns(exprs)
 
 
@@ -123,7 +127,7 @@ def perf_by_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
     row mean → mean per category."""
     df = player_table(spark, sf_dir)
     p = FAM.family(df.columns, "P")
-    df = C.apply_to(df, p, lambda c: C.null_sentinel(C.to_number(c, df.schema[c].dataType)))
+    df = C.apply_to(df, p, lambda c: C.null_sentinel(C.to_number(c, df.schema[c].dataType, as_sql=True)))
     df = materialize(df)
     df = MedianImputer(p).fit(df).transform(df)
     out = (df.withColumn("P_mean", row_mean(p))
@@ -318,7 +322,7 @@ def q_guarded(spark, sf_dir):
 @register("features_target1", "E1 E4 E5 E6 L8 R1 R2 R3 R4 R5 R8 A6")
 def q_features_t1(spark, sf_dir):
     df = engineered(spark, sf_dir)
-    base = set(player_table(spark, sf_dir).columns)
+    base = set(PLAYER_COLUMNS)
     new = [c for c in df.columns if c not in base]
     return round6(df.select(ID_COL, *new))
 
@@ -471,7 +475,7 @@ def q_ensemble(spark, sf_dir):
 def q_prediction_output(spark, sf_dir):
     df = scored(spark, sf_dir)
     return df.select(C.id_string(ID_COL).alias("Código de Acesso"),
-                     *[C.round_half_even(F.col(p), 2).alias(f"Previsão T{i + 1}")
+                     *[C.round_half_even(p, 2).alias(f"Previsão T{i + 1}")
                        for i, p in enumerate(PRED_NAMES.values())])
 
 

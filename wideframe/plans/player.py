@@ -38,28 +38,29 @@ PIVOT_LAYOUT = [
 ]
 
 
-def _measure(kind: str):
-    q, p = F.col("l_quantity"), F.col("l_extendedprice")
-    if kind == "q":
-        return F.when(q <= 5, F.lit(-1.0)).otherwise(q)
-    if kind == "d":
-        return F.col("l_discount") * 100
-    if kind == "x":
-        return F.col("l_tax") * 100
-    if kind == "p":
-        return p / 1000
-    raise ValueError(kind)
+# SQL text of each measure (one parse per aggregate instead of a JVM call per
+# operand; see functions/sqltext.py)
+_MEASURE = {
+    "q": "CASE WHEN l_quantity <= 5 THEN -1D ELSE l_quantity END",
+    "d": "l_discount * 100",
+    "x": "l_tax * 100",
+    "p": "l_extendedprice / 1000",
+}
 
 
 def lineitem_wide(lineitem: DataFrame) -> DataFrame:
-    n = F.col("l_linenumber")
-    aggs = [F.max(F.when(n == line, _measure(kind))).alias(name)
+    aggs = [F.expr(f"max(CASE WHEN l_linenumber = {line} THEN {_MEASURE[kind]} END)").alias(name)
             for name, line, kind in PIVOT_LAYOUT]
-    aggs += [F.sum("l_quantity").alias("Target1"),
-             (F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))) / 1000).alias("Target3")]
+    aggs += [F.expr("sum(l_quantity)").alias("Target1"),
+             F.expr("sum(l_extendedprice * (1 - l_discount)) / 1000").alias("Target3")]
     return lineitem.groupBy(F.col("l_orderkey").alias("k")).agg(*aggs)
 
 
+# column names of the player table, known without building its plan
+PLAYER_COLUMNS = ([ID_COL, "Cor0202", "Cor0204", "F0103", "QtdHorasDormi", "Acordar"]
+                  + [name for name, _, _ in PIVOT_LAYOUT] + list(TARGETS))
+
+
 def player_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus", "o_totalprice")
@@ -68,16 +69,15 @@ def player_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     oc = orders.join(customer, orders.o_custkey == customer.c_custkey, "left")
     joined = oc.join(wide, oc.o_orderkey == wide.k, "left")
-    acct = F.col("c_acctbal").cast("decimal(12,2)").cast("string")
-    return joined.select(
-        F.col("o_orderkey").alias(ID_COL),
-        F.col("o_orderpriority").alias("Cor0202"),
-        F.col("o_orderstatus").alias("Cor0204"),
-        F.regexp_replace(acct, r"\.", ",").alias("F0103"),
-        (F.lit(4) + F.col("o_custkey") % 6).cast("double").alias("QtdHorasDormi"),
-        (F.col("o_orderkey") % 5).cast("double").alias("Acordar"),
-        *[F.col(name) for name, _, _ in PIVOT_LAYOUT],
-        F.col("Target1"),
-        (F.col("o_totalprice") / 1000).alias("Target2"),
-        F.col("Target3"),
+    return joined.selectExpr(
+        f"o_orderkey AS {ID_COL}",
+        "o_orderpriority AS Cor0202",
+        "o_orderstatus AS Cor0204",
+        "regexp_replace(CAST(CAST(c_acctbal AS DECIMAL(12,2)) AS STRING), '\\\\.', ',') AS F0103",
+        "CAST(4 + o_custkey % 6 AS DOUBLE) AS QtdHorasDormi",
+        "CAST(o_orderkey % 5 AS DOUBLE) AS Acordar",
+        *[name for name, _, _ in PIVOT_LAYOUT],
+        "Target1",
+        "o_totalprice / 1000 AS Target2",
+        "Target3",
     )

@@ -84,5 +84,5 @@ def score(df: DataFrame, plan: ScoringPlan, id_col: str) -> DataFrame:
         names[t] = name
     cols = [C.id_string(id_col).alias("Código de Acesso")]
     for i, t in enumerate(names):
-        cols.append(C.round_half_even(F.col(names[t]), 2).alias(f"Previsão T{i + 1}"))
+        cols.append(C.round_half_even(names[t], 2).alias(f"Previsão T{i + 1}"))
     return out.select(*cols)
