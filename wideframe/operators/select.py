@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .profile import corr_with_targets, variance_table
+from .profile import col_, corr_with_targets, feature_long, guarded_corr, variance_table
 
 
 def variance_filter(df: DataFrame, cols, threshold: float = 0.01, fill_zero: bool = True) -> list[str]:
@@ -30,6 +30,26 @@ def corr_ranking(df: DataFrame, features, target: str) -> DataFrame:
     return c.select("feature", "abs_corr", F.row_number().over(w).cast("long").alias("rank"))
 
 
+def variance_corr_ranking(df: DataFrame, features, target: str, threshold: float = 0.01,
+                          fill_zero: bool = True) -> DataFrame:
+    """K1 then A10 + K2 in one grouped pass: per feature the population variance
+    (after zero fill, as ``variance_filter``) and the guarded correlation with
+    ``target`` (on unfilled values, Q20) come from the same long-frame
+    aggregation; features at or below ``threshold`` are dropped and the rest
+    ranked as ``corr_ranking`` does. One job instead of two; the driver sees
+    nothing until the caller collects the (one row per feature) result."""
+    lng = feature_long(df, features, {"__y": col_(target).cast("double")})
+    x = F.col("x")
+    v = F.coalesce(x, F.lit(0.0)) if fill_zero else x
+    agg = lng.groupBy("feature").agg(F.var_pop(v).alias("variance"),
+                                     guarded_corr(x, F.col("__y")).alias("corr"))
+    kept = agg.filter((F.col("variance") > F.lit(threshold)) & F.col("corr").isNotNull())
+    key = F.round(F.abs("corr") * 1e12) / 1e12
+    w = Window.orderBy(key.desc(), F.asc("feature"))  # one row per feature
+    return kept.select("feature", F.abs("corr").alias("abs_corr"),
+                       F.row_number().over(w).cast("long").alias("rank"))
+
+
 def top_k_by_corr(df: DataFrame, features, target: str, k: int, min_abs: float | None = None) -> list[str]:
     """K2/K3: best ``k`` features by |corr| (optionally above ``min_abs``)."""
     r = corr_ranking(df, features, target)

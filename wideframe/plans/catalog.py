@@ -361,8 +361,8 @@ def q_variance(spark, sf_dir):
 @register("corr_rank_target1", "A10 K2 N3 N4")
 def q_corr_rank(spark, sf_dir):
     df = engineered(spark, sf_dir)
-    pool = SEL.variance_filter(df, _feature_pool(df), 0.01)
-    return round6(SEL.corr_ranking(df, pool, "Target1").filter(F.col("rank") <= 30))
+    ranked = SEL.variance_corr_ranking(df, _feature_pool(df), "Target1", 0.01)
+    return round6(ranked.filter(F.col("rank") <= 30))
 
 
 @register("corr_select_target3", "K3")
@@ -400,8 +400,8 @@ def q_describe(spark, sf_dir):
 @register("interactions_target1", "E8 E9 K6")
 def q_interactions(spark, sf_dir):
     df = engineered(spark, sf_dir)
-    pool = SEL.variance_filter(df, _feature_pool(df), 0.01)
-    ranked = SEL.top_k_by_corr(df, pool, "Target1", 30)
+    top = SEL.variance_corr_ranking(df, _feature_pool(df), "Target1", 0.01).filter(F.col("rank") <= 30)
+    ranked = [r["feature"] for r in top.orderBy("rank").collect()]
     names = FE.interaction_names(ranked, 3)
     names2 = FE.interaction_names(ranked, 2)
     feats = FAM.ordered_unique(ranked + names + names2)
