@@ -91,3 +91,25 @@ def test_empty_column_list_gives_zero(spark):
     df = spark.createDataFrame([(1.0,)], "a double")
     r = with_row_stats(df, {"m": ("mean", []), "s": ("std", [])}).first()
     assert r["m"] == 0.0 and r["s"] == 0.0
+
+
+def test_sql_literals_keep_python_types(spark):
+    import datetime
+    from decimal import Decimal
+
+    from wideframe.functions.sqltext import lit, q
+    vals = [1.5, -2.25, 1e-05, 1e16, -3, 0, 3_000_000_000, "it's", "a\\b", Decimal("1.20"),
+            datetime.date(2024, 1, 2), True, None, np.float64(0.1), np.int64(7)]
+    row = spark.sql("SELECT " + ", ".join(f"{lit(v)} AS {q(f'c{i}')}" for i, v in enumerate(vals))).first()
+    want = [v.item() if isinstance(v, np.generic) else v for v in vals]
+    assert list(row) == want
+    assert math.isnan(spark.sql(f"SELECT {lit(float('nan'))}").first()[0])
+    # quoted names with odd characters resolve
+    df = spark.createDataFrame([(1.0,)], "`a-b c` double")
+    assert df.selectExpr(f"{q('a-b c')} * 2 AS x").first()["x"] == 2.0
+
+
+def test_rules_compose_as_sql(spark):
+    df = spark.createDataFrame([("-1",), ("2,5",), ("nan",), ("x",)], "s string")
+    out = df.select(C.null_sentinel(C.decimal_comma("s", as_sql=True)).alias("v")).collect()
+    assert [r["v"] for r in out] == [None, 2.5, None, None]

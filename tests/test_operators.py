@@ -254,3 +254,23 @@ def test_robust_scaled_median_is_zero(spark):
     df = spark.createDataFrame([(float(v),) for v in vals], "x double")
     out = RobustScaler(["x"]).fit(df).transform(df)
     assert abs(np.median([r[0] for r in out.collect()])) < 1e-12
+
+
+def test_variance_corr_ranking_equals_two_steps(spark):
+    from wideframe.operators import select as SEL
+    rng = np.random.default_rng(7)
+    n = 400
+    y = rng.normal(size=n)
+    rows = []
+    for i in range(n):
+        rows.append((float(y[i]), float(y[i] * 2 + rng.normal()), 1.0,            # strong, constant
+                     None if i % 5 == 0 else float(-y[i] + rng.normal()),          # nulls (pairwise)
+                     float(rng.normal() * 0.01),                                    # variance < 0.01
+                     float(rng.normal())))
+    df = spark.createDataFrame(rows, "y double, a double, c double, b double, tiny double, noise double")
+    feats = ["a", "c", "b", "tiny", "noise"]
+    pool = SEL.variance_filter(df, feats, 0.01)
+    two = [(r["feature"], r["rank"]) for r in SEL.corr_ranking(df, pool, "y").orderBy("rank").collect()]
+    one = [(r["feature"], r["rank"]) for r in SEL.variance_corr_ranking(df, feats, "y", 0.01).orderBy("rank").collect()]
+    assert one == two
+    assert [f for f, _ in one] == ["a", "b", "noise"]   # constant and low-variance columns dropped

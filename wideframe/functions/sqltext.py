@@ -32,12 +32,13 @@ def lit(v) -> str:
     if isinstance(v, bool):
         return "true" if v else "false"
     if isinstance(v, int):
-        return str(v)
+        return str(int(v))
     if isinstance(v, float):
         if math.isnan(v):
             return "CAST('NaN' AS DOUBLE)"
         if math.isinf(v):
             return "CAST('Infinity' AS DOUBLE)" if v > 0 else "CAST('-Infinity' AS DOUBLE)"
+        v = float(v)  # repr of a NumPy float is not a number literal
         return f"{v!r}D" if v >= 0 else f"({v!r}D)"
     if isinstance(v, Decimal):
         return f"{v}BD" if v >= 0 else f"({v}BD)"
