@@ -274,3 +274,16 @@ def test_variance_corr_ranking_equals_two_steps(spark):
     one = [(r["feature"], r["rank"]) for r in SEL.variance_corr_ranking(df, feats, "y", 0.01).orderBy("rank").collect()]
     assert one == two
     assert [f for f, _ in one] == ["a", "b", "noise"]   # constant and low-variance columns dropped
+
+
+def test_skip_rates_reference_scalar_on_every_row(spark):
+    from wideframe.plans.prepare import skip_rate_summary, skip_rates
+    rows = [(1, -1.0, 2.0, -1.0), (2, -1.0, -1.0, 3.0), (3, 4.0, None, 5.0)]
+    df = spark.createDataFrame(rows, "id long, P01 double, P02 double, T01 double")
+    out = skip_rates(df).orderBy("id").collect()
+    # P: three −1 cells / 2 columns; T: one / 1 column; all: four / 3 columns
+    assert {(r["taxa_pulos_P"], r["taxa_pulos_T"], r["taxa_pulos_geral"]) for r in out} == {(1.5, 1.0, 4 / 3)}
+    assert [r["id"] for r in out] == [1, 2, 3]
+    assert tuple(skip_rate_summary(df).first()) == (1.5, 1.0, 4 / 3)
+    row = skip_rates(df, mode="row").orderBy("id").first()
+    assert (row["taxa_pulos_P"], row["taxa_pulos_T"]) == (0.5, 1.0)

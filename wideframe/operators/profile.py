@@ -170,13 +170,16 @@ def describe(df: DataFrame, cols, method: str = "auto") -> DataFrame:
         F.count(col_(c)).alias(f"__n{i}"), F.avg(col_(c)).alias(f"__a{i}"),
         F.stddev_samp(col_(c)).alias(f"__s{i}"), F.min(col_(c)).cast("double").alias(f"__lo{i}"),
         F.max(col_(c)).cast("double").alias(f"__hi{i}"))])
-    qs = Q.quantile_row(df, cols, [0.25, 0.5, 0.75], method=method)
-    one = base.crossJoin(qs)
+    # quartiles are a few numbers per column: they join the one-row aggregate
+    # as literals (no join)
+    qs = Q.quantile_values(df, cols, [0.25, 0.5, 0.75], method=method)
+    def ql(c, j):
+        return F.lit(qs[c][j]).cast("double")
     rows = [{"column": F.lit(c), "count": F.col(f"__n{i}"), "mean": F.col(f"__a{i}"),
              "std": F.col(f"__s{i}"), "min": F.col(f"__lo{i}"),
-             "q25": F.col(Q.qname(i, 0)), "q50": F.col(Q.qname(i, 1)), "q75": F.col(Q.qname(i, 2)),
+             "q25": ql(c, 0), "q50": ql(c, 1), "q75": ql(c, 2),
              "max": F.col(f"__hi{i}")} for i, c in enumerate(cols)]
-    return to_long(one, rows)
+    return to_long(base, rows)
 
 
 def five_numbers(df: DataFrame, cols, method: str = "auto") -> DataFrame:

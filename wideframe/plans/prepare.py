@@ -56,8 +56,8 @@ def skip_rates(df: DataFrame, mode: str = "reference") -> DataFrame:
     """A5: share of skip answers (-1) in the P and T families, before nulling.
 
     ``reference``: (−1 cells in the whole table) / (number of columns) — the
-    same scalar on every row (Q1). Computed as one global aggregate that is
-    joined back as a one-row broadcast (its size is one row by construction).
+    same scalar on every row (Q1). Computed as one global aggregate read back
+    as a scalar subquery (one struct, so the aggregate runs once; no join).
     ``row``: per-row share of −1 among the row's family columns.
     """
     p = FAM.family(df.columns, "P")
@@ -70,7 +70,9 @@ def skip_rates(df: DataFrame, mode: str = "reference") -> DataFrame:
         total = len(p) + len(t)
         out["taxa_pulos_geral"] = ((ones(p) + ones(t)) / F.lit(total)) if total else F.lit(0.0)
         return df.withColumns({k: v.cast("double") for k, v in out.items()})
-    return df.crossJoin(F.broadcast(skip_rate_summary(df)))
+    summary = skip_rate_summary(df)
+    rates = summary.select(F.struct(*summary.columns).alias("s")).scalar()
+    return df.withColumns({c: rates.getField(c) for c in summary.columns})
 
 
 def _ones(cols):
