@@ -98,8 +98,8 @@ class OutlierModel:
         for c, (lo, hi, med) in self.bounds.items():
             if lo is None:
                 continue
-            x = col_(c)
-            exprs[c] = F.when((x < F.lit(lo)) | (x > F.lit(hi)), F.lit(med)).otherwise(x)
+            x = q(c)
+            exprs[c] = F.expr(f"CASE WHEN ({x} < {lit(lo)}) OR ({x} > {lit(hi)}) THEN {lit(med)} ELSE {x} END")
         return df.withColumns(exprs) if exprs else df
 
     def count_outliers(self, df: DataFrame) -> DataFrame:

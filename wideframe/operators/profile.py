@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.sqltext import lit, q
 from . import quantile as Q
 
 
@@ -19,10 +20,13 @@ def col_(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def round_binary(c: Column, scale: int) -> Column:
+def round_binary(c, scale: int):
     """Round the binary value half away from zero (``round(x·10^s)/10^s``);
-    ``round(x, s)`` rounds the shortest decimal string instead."""
+    ``round(x, s)`` rounds the shortest decimal string instead. ``c`` is a
+    Column, or SQL text (then SQL text is returned)."""
     f = float(10 ** scale)
+    if isinstance(c, str):
+        return f"(round(({c}) * {lit(f)}) / {lit(f)})"
     return F.round(c * f) / f
 
 
@@ -30,9 +34,15 @@ def to_long(one_row: DataFrame, rows: list[dict]) -> DataFrame:
     """Turn a one-row aggregate into a long table.
 
     ``rows``: one dict per output row, mapping output field → Column over the
-    one-row frame. All dicts must have the same keys and compatible types.
+    one-row frame, or → SQL text (then the whole report is one ``selectExpr``,
+    parsed once, instead of a JVM call per field). All dicts must have the same
+    keys and compatible types.
     """
-    structs = [F.struct(*[v.alias(k) for k, v in r.items()]) for r in rows]
+    if all(isinstance(v, str) for r in rows for v in r.values()):
+        structs = ["named_struct(" + ", ".join(f"{lit(k)}, {v}" for k, v in r.items()) + ")" for r in rows]
+        return one_row.selectExpr(f"inline(array({', '.join(structs)}))")
+    structs = [F.struct(*[(F.expr(v) if isinstance(v, str) else v).alias(k) for k, v in r.items()])
+               for r in rows]
     return one_row.select(F.inline(F.array(*structs)))
 
 
@@ -44,11 +54,11 @@ def missing_profile(df: DataFrame, cols=None, only_missing: bool = True) -> Data
     """A2: (Coluna, Missing, Percentual) — percent rounded to 2 decimals,
     only columns with missing values, sorted by percent descending."""
     cols = list(cols or df.columns)
-    aggs = [F.count(F.lit(1)).alias("__n")]
-    aggs += [F.count_if(col_(c).isNull()).alias(f"__m{i}") for i, c in enumerate(cols)]
+    aggs = [F.expr("count(1)").alias("__n")]
+    aggs += [F.expr(f"count_if({q(c)} IS NULL)").alias(f"__m{i}") for i, c in enumerate(cols)]
     one = df.agg(*aggs)
-    rows = [{"Coluna": F.lit(c), "Missing": F.col(f"__m{i}"),
-             "Percentual": round_binary(F.col(f"__m{i}") * 100.0 / F.col("__n"), 2)}
+    rows = [{"Coluna": lit(c), "Missing": f"__m{i}",
+             "Percentual": round_binary(f"__m{i} * 100D / __n", 2)}
             for i, c in enumerate(cols)]
     out = to_long(one, rows)
     if only_missing:
@@ -166,19 +176,19 @@ def corr_matrix(df: DataFrame, cols) -> DataFrame:
 def describe(df: DataFrame, cols, method: str = "auto") -> DataFrame:
     """Count, mean, std (ddof 1), min, 25/50/75 % (exact, interpolated), max."""
     cols = list(cols)
-    base = df.agg(*[e for i, c in enumerate(cols) for e in (
-        F.count(col_(c)).alias(f"__n{i}"), F.avg(col_(c)).alias(f"__a{i}"),
-        F.stddev_samp(col_(c)).alias(f"__s{i}"), F.min(col_(c)).cast("double").alias(f"__lo{i}"),
-        F.max(col_(c)).cast("double").alias(f"__hi{i}"))])
+    base = df.agg(*[F.expr(e).alias(f"__{k}{i}") for i, c in enumerate(cols) for k, e in (
+        ("n", f"count({q(c)})"), ("a", f"avg({q(c)})"), ("s", f"stddev_samp({q(c)})"),
+        ("lo", f"CAST(min({q(c)}) AS DOUBLE)"), ("hi", f"CAST(max({q(c)}) AS DOUBLE)"))])
     # quartiles are a few numbers per column: they join the one-row aggregate
     # as literals (no join)
     qs = Q.quantile_values(df, cols, [0.25, 0.5, 0.75], method=method)
     def ql(c, j):
-        return F.lit(qs[c][j]).cast("double")
-    rows = [{"column": F.lit(c), "count": F.col(f"__n{i}"), "mean": F.col(f"__a{i}"),
-             "std": F.col(f"__s{i}"), "min": F.col(f"__lo{i}"),
+        v = qs[c][j]
+        return f"CAST({lit(None if v is None else float(v))} AS DOUBLE)"
+    rows = [{"column": lit(c), "count": f"__n{i}", "mean": f"__a{i}",
+             "std": f"__s{i}", "min": f"__lo{i}",
              "q25": ql(c, 0), "q50": ql(c, 1), "q75": ql(c, 2),
-             "max": F.col(f"__hi{i}")} for i, c in enumerate(cols)]
+             "max": f"__hi{i}"} for i, c in enumerate(cols)]
     return to_long(base, rows)
 
 

@@ -514,13 +514,13 @@ def contributions(df: DataFrame) -> DataFrame:
     ensemble of scaled members the mean contribution is the scale mean × it."""
     s = sum(FIXED_ENSEMBLE_SCALE) / len(FIXED_ENSEMBLE_SCALE)
     feats = sorted({c for _, coefs in FIXED_LINEAR.values() for c in coefs})
-    means = df.agg(*[F.avg(c).alias(c) for c in feats]).first()
+    means = df.agg(*[F.expr(f"avg({q(c)})").alias(c) for c in feats]).first()
     structs = []
     for t, (_, coefs) in FIXED_LINEAR.items():
         for c, w in coefs.items():
-            structs.append(F.struct(F.lit(t).alias("target"), F.lit(c).alias("feature"),
-                                    (F.lit(w * s) * (F.col(c) - F.lit(means[c]))).alias("value")))
-    return df.select(ID_COL, F.explode(F.array(*structs)).alias("s")).select(ID_COL, "s.*")
+            structs.append(f"named_struct('target', {sql_lit(t)}, 'feature', {sql_lit(c)}, "
+                           f"'value', {sql_lit(float(w * s))} * ({q(c)} - {sql_lit(means[c])}))")
+    return df.selectExpr(q(ID_COL), f"inline(array({', '.join(structs)}))")
 
 
 @register("linear_contributions", "M15")
