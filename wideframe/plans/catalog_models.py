@@ -143,6 +143,16 @@ def q_quantile_normal(spark, sf_dir):
     return round6(model.transform(df.select(ID_COL, *cols)))
 
 
+@register("quantile_uniform", "Z3")
+def q_quantile_uniform(spark, sf_dir):
+    """Z3, uniform stage (oracle-checked): 11 exact quantiles per column, then
+    the model's two-direction interpolation (ties map to the middle)."""
+    df = engineered(spark, sf_dir)
+    cols = ["P_mean", "T_mean", "F_mean_geral"]
+    model = QuantileNormalizer(cols, n_quantiles=11, output="uniform").fit(df)
+    return round6(model.transform(df.select(ID_COL, *cols)))
+
+
 @register("stream_scoring", "W1 S1 S3 S5 M13 L7")
 def q_stream(spark, sf_dir):
     """Upload files derived from the player table arrive in a folder; a

@@ -476,3 +476,39 @@ ORACLE["history_by_upload"] = (
 ORACLE["stream_scoring"] = eng_prefix(SCORED) + (
     "SELECT CAST(1 AS INTEGER) AS user_id, CAST(player_id AS VARCHAR) AS jogador_id, " + ", ".join(
         f"round_even({p}, 2) AS {p}" for p in PREDS) + " FROM sc")
+
+
+# Z3 uniform stage: quantiles on an 11-point grid, then NumPy-style interp in
+# both directions — j = last index with q ≤ x, k = first index with q ≥ x
+# (1-based lists), u = ½(up + down), clipped to 0/1 at the ends.
+_QU = ["P_mean", "T_mean", "F_mean_geral"]
+_QN = 11
+_QGRID = "[" + ", ".join(repr(i / (_QN - 1)) for i in range(_QN)) + "]"
+
+
+def _fp(i):
+    return f"(CAST(({i}) - 1 AS DOUBLE) / {_QN - 1})"
+
+
+def _uniform_sql(c):
+    x, L = f"CAST({qi(c)} AS DOUBLE)", qi("q_" + c)
+    j, k = qi("j_" + c), qi("k_" + c)
+    up = (f"CASE WHEN {x} = {L}[{j}] THEN {_fp(j)} ELSE "
+          f"({_fp(f'{j} + 1')} - {_fp(j)}) / ({L}[{j} + 1] - {L}[{j}]) * ({x} - {L}[{j}]) + {_fp(j)} END")
+    down = (f"CASE WHEN {x} = {L}[{k}] THEN {_fp(k)} ELSE "
+            f"{_fp(k)} - ({_fp(k)} - {_fp(f'{k} - 1')}) / ({L}[{k}] - {L}[{k} - 1]) * ({L}[{k}] - {x}) END")
+    return (f"CASE WHEN {x} IS NULL THEN NULL WHEN {x} <= {L}[1] THEN 0.0 WHEN {x} >= {L}[{_QN}] THEN 1.0 "
+            f"ELSE 0.5 * (({up}) + ({down})) END")
+
+
+ORACLE["quantile_uniform"] = eng_prefix(
+    "qz AS (SELECT " + ", ".join(f"quantile_cont(CAST({qi(c)} AS DOUBLE), {_QGRID}) AS {qi('q_' + c)}" for c in _QU)
+    + " FROM eng)",
+    "jk AS (SELECT player_id, " + ", ".join(qi(c) for c in _QU) + ", " + ", ".join(qi("q_" + c) for c in _QU) + ", "
+    + ", ".join(
+        "(" + " + ".join(f"CASE WHEN {qi('q_' + c)}[{i}] <= CAST({qi(c)} AS DOUBLE) THEN 1 ELSE 0 END"
+                         for i in range(1, _QN + 1)) + f") AS {qi('j_' + c)}, "
+        + f"{_QN + 1} - (" + " + ".join(f"CASE WHEN {qi('q_' + c)}[{i}] >= CAST({qi(c)} AS DOUBLE) THEN 1 ELSE 0 END"
+                                         for i in range(1, _QN + 1)) + f") AS {qi('k_' + c)}"
+        for c in _QU) + " FROM eng, qz)") + (
+    "SELECT player_id, " + ", ".join(f"round({_uniform_sql(c)}, 6) AS {qi(c)}" for c in _QU) + " FROM jk")
