@@ -180,6 +180,22 @@ def q_stream(spark, sf_dir):
     return spark.read.parquet(hist).select("user_id", "jogador_id", "pred_t1", "pred_t2", "pred_t3")
 
 
+@register("export_readback", "S4 S8 Z1")
+def q_export_readback(spark, sf_dir):
+    """S4/S8 round trip (oracle-checked): the scaled table and the correlation
+    report are written by the export sink to the shared folder; the scaled
+    table is read back from parquet and returned."""
+    from ..operators import profile as PR
+    from ..sources.sinks import export_tables
+
+    eng = engineered(spark, sf_dir)
+    feats = ["P_mean", "T_mean", "F_mean_geral", "sono_total"]
+    scaled = StandardScaler(feats).fit(eng).transform(eng.select(ID_COL, *feats, *TARGETS))
+    tables = {"scaled": scaled, "correlations": PR.corr_report(eng, feats, list(TARGETS))}
+    paths = export_tables(tables, scratch_path(spark, f"export-{uuid.uuid4().hex}"))
+    return round6(spark.read.parquet(paths[0]))
+
+
 @register("export_outputs", "S4 S8 S7 A14 A12")
 def q_export(spark, sf_dir):
     """Multi-output export (clean table, scaled table, target summary,

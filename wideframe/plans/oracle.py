@@ -512,3 +512,13 @@ ORACLE["quantile_uniform"] = eng_prefix(
                                          for i in range(1, _QN + 1)) + f") AS {qi('k_' + c)}"
         for c in _QU) + " FROM eng, qz)") + (
     "SELECT player_id, " + ", ".join(f"round({_uniform_sql(c)}, 6) AS {qi(c)}" for c in _QU) + " FROM jk")
+
+
+# S4/S8 read-back of the exported scaled table (Z1 on four features, targets kept)
+_XC = ["P_mean", "T_mean", "F_mean_geral", "sono_total"]
+ORACLE["export_readback"] = eng_prefix(
+    "xs AS (SELECT " + ", ".join(
+        f"avg({qi(c)}) AS {qi('a_' + c)}, coalesce(nullif(stddev_pop({qi(c)}), 0), 1.0) AS {qi('s_' + c)}" for c in _XC)
+    + " FROM eng)") + (
+    "SELECT player_id, " + ", ".join(f"round(({qi(c)} - {qi('a_' + c)}) / {qi('s_' + c)}, 6) AS {qi(c)}" for c in _XC)
+    + ", " + ", ".join(f"round({t}, 6) AS {t}" for t in ("Target1", "Target2", "Target3")) + " FROM eng, xs")
