@@ -78,13 +78,25 @@ def name_clusters(df: DataFrame, cluster_col: str, score_col: str) -> DataFrame:
                             .otherwise(F.lit(NAME_MODERATE)))
 
 
-def cluster_report(df: DataFrame, cluster_col: str, score_col: str, pred_cols, names: DataFrame) -> DataFrame:
-    """Count, percentage, share, mean score and prediction means per
-    cluster. The total comes from a window over the k-row aggregate."""
+def cluster_report(df: DataFrame, cluster_col: str, score_col: str, pred_cols,
+                   names: DataFrame | None = None) -> DataFrame:
+    """A17/A18/L9 (+C5): count, percentage, share, mean score and prediction
+    means per cluster. The total comes from a window over the k-row aggregate.
+
+    Without ``names`` the profile names are derived from the same aggregate
+    (the mean score is already there, so C5 needs no second grouping of the
+    rows and no join); given names (e.g. frozen at training) are joined to the
+    k-row result."""
     agg = df.groupBy(cluster_col).agg(F.count(F.lit(1)).alias("count"),
                                       F.avg(score_col).alias("P_mean"),
                                       *[F.avg(p).alias(f"mean_{p}") for p in pred_cols])
     total = F.sum("count").over(Window.partitionBy())
     out = agg.withColumn("percentage", F.col("count") * 100.0 / total).withColumn("share", F.col("count") / total)
+    if names is None:
+        w = Window.orderBy(F.desc("P_mean"), F.desc(cluster_col))  # k rows only, as name_clusters
+        out = out.withColumn("name", F.when(F.row_number().over(w) == 1, F.lit(NAME_HIGH))
+                             .otherwise(F.lit(NAME_MODERATE)))
     out = out.withColumns({c: F.coalesce(F.col(c), F.lit(0.0)) for c in ["P_mean"] + [f"mean_{p}" for p in pred_cols]})
+    if names is None:
+        return out.select(cluster_col, *[c for c in out.columns if c != cluster_col])
     return out.join(F.broadcast(names), cluster_col, "left")

@@ -649,11 +649,11 @@ def q_cluster_names(spark, sf_dir):
 
 @register("cluster_report", "A17 A18 C6 L9")
 def q_cluster_report(spark, sf_dir):
-    from ..operators.cluster import cluster_report, name_clusters
+    from ..operators.cluster import cluster_report
     df, cols = standardized_cluster(spark, sf_dir)
-    out = materialize(assign_fixed(df, cols))
-    names = name_clusters(out, "cluster", "raw_p_mean").select("cluster", "name")
-    return round6(cluster_report(out, "cluster", "raw_p_mean", list(PRED_NAMES.values()), names))
+    out = assign_fixed(df, cols)
+    # names come from the report's own per-cluster aggregate (one grouping)
+    return round6(cluster_report(out, "cluster", "raw_p_mean", list(PRED_NAMES.values())))
 
 
 # --------------------------------------------------------------------------
