@@ -176,20 +176,22 @@ def corr_matrix(df: DataFrame, cols) -> DataFrame:
 def describe(df: DataFrame, cols, method: str = "auto") -> DataFrame:
     """Count, mean, std (ddof 1), min, 25/50/75 % (exact, interpolated), max."""
     cols = list(cols)
+    # one pass: the moments and the quantile guard's distinct estimates; then
+    # the exact quantiles; the report is built from these few numbers per column
     base = df.agg(*[F.expr(e).alias(f"__{k}{i}") for i, c in enumerate(cols) for k, e in (
         ("n", f"count({q(c)})"), ("a", f"avg({q(c)})"), ("s", f"stddev_samp({q(c)})"),
-        ("lo", f"CAST(min({q(c)}) AS DOUBLE)"), ("hi", f"CAST(max({q(c)}) AS DOUBLE)"))])
-    # quartiles are a few numbers per column: they join the one-row aggregate
-    # as literals (no join)
-    qs = Q.quantile_values(df, cols, [0.25, 0.5, 0.75], method=method)
-    def ql(c, j):
-        v = qs[c][j]
-        return f"CAST({lit(None if v is None else float(v))} AS DOUBLE)"
-    rows = [{"column": lit(c), "count": f"__n{i}", "mean": f"__a{i}",
-             "std": f"__s{i}", "min": f"__lo{i}",
-             "q25": ql(c, 0), "q50": ql(c, 1), "q75": ql(c, 2),
-             "max": f"__hi{i}"} for i, c in enumerate(cols)]
-    return to_long(base, rows)
+        ("lo", f"CAST(min({q(c)}) AS DOUBLE)"), ("hi", f"CAST(max({q(c)}) AS DOUBLE)"))],
+        *Q.distinct_estimate_aggs(cols)).first()
+    est = {c: base[f"__d{i}"] for i, c in enumerate(cols)}
+    qs = Q.quantile_values(df, cols, [0.25, 0.5, 0.75], method=method, estimates=est)
+
+    def num(v, cast="DOUBLE"):
+        return f"CAST({lit(None if v is None else (int(v) if cast == 'BIGINT' else float(v)))} AS {cast})"
+    rows = [{"column": lit(c), "count": num(base[f"__n{i}"], "BIGINT"), "mean": num(base[f"__a{i}"]),
+             "std": num(base[f"__s{i}"]), "min": num(base[f"__lo{i}"]),
+             "q25": num(qs[c][0]), "q50": num(qs[c][1]), "q75": num(qs[c][2]),
+             "max": num(base[f"__hi{i}"])} for i, c in enumerate(cols)]
+    return to_long(df.sparkSession.range(1), rows)
 
 
 def five_numbers(df: DataFrame, cols, method: str = "auto") -> DataFrame:

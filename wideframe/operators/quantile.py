@@ -141,12 +141,20 @@ def _distributed_values(df: DataFrame, cols, probs, partitions: int | None = Non
     return result
 
 
-def _small_cardinality(df: DataFrame, cols, limit: int) -> set:
+def distinct_estimate_aggs(cols, prefix: str = "__d") -> list:
+    """``approx_count_distinct`` per column, to run in a pass the caller makes
+    anyway; pass the numbers back as ``quantile_values(estimates=…)``."""
+    return [F.expr(f"approx_count_distinct({q(c)})").alias(f"{prefix}{i}") for i, c in enumerate(cols)]
+
+
+def _small_cardinality(df: DataFrame, cols, limit: int, estimates: dict | None = None) -> set:
     """Columns admitted to the exact aggregate: by ascending approximate
     distinct count while the running total stays within ``limit`` (with a
     margin for the estimate's error)."""
-    row = df.agg(*[F.expr(f"approx_count_distinct({q(c)})").alias(f"__d{i}") for i, c in enumerate(cols)]).first()
-    est = sorted((row[f"__d{i}"] * 1.1, c) for i, c in enumerate(cols))
+    if estimates is None:
+        row = df.agg(*distinct_estimate_aggs(cols)).first()
+        estimates = {c: row[f"__d{i}"] for i, c in enumerate(cols)}
+    est = sorted((estimates[c] * 1.1, c) for c in cols)
     out, total = set(), 0.0
     for d, c in est:
         if total + d > limit:
@@ -157,13 +165,16 @@ def _small_cardinality(df: DataFrame, cols, limit: int) -> set:
 
 
 def quantile_values(df: DataFrame, cols, probs, method: str = "auto",
-                    limit: int = EXACT_DISTINCT_LIMIT) -> dict:
-    """Quantiles as ``{column: [value per prob]}`` (None for an empty column)."""
+                    limit: int = EXACT_DISTINCT_LIMIT, estimates: dict | None = None) -> dict:
+    """Quantiles as ``{column: [value per prob]}`` (None for an empty column).
+
+    ``estimates`` (``{column: approx distinct}``) skips the guard pass when the
+    caller already computed them in one of its own passes."""
     cols, probs = list(cols), list(probs)
     if not cols:
         return {}
     if method == "auto":
-        small = _small_cardinality(df, cols, limit)
+        small = _small_cardinality(df, cols, limit, estimates)
         exact_cols = [c for c in cols if c in small]
         big_cols = [c for c in cols if c not in small]
     elif method == "exact":
