@@ -287,3 +287,17 @@ def test_skip_rates_reference_scalar_on_every_row(spark):
     assert tuple(skip_rate_summary(df).first()) == (1.5, 1.0, 4 / 3)
     row = skip_rates(df, mode="row").orderBy("id").first()
     assert (row["taxa_pulos_P"], row["taxa_pulos_T"]) == (0.5, 1.0)
+
+
+def test_fill_estimates_skip_guard_same_bounds(spark):
+    rows = [(float(i % 37), None if i % 9 == 0 else float((i * 7) % 101)) for i in range(500)]
+    df = spark.createDataFrame(rows, "a double, b double")
+    fill = MedianImputer(["a", "b"]).fit(df)
+    assert set(fill.estimates) == {"a", "b"} and fill.estimates["a"] >= 30
+    filled = fill.transform(df)
+    est = fill.filled_estimates(["a", "b"])
+    assert est == {c: fill.estimates[c] + 1 for c in ("a", "b")}
+    assert fill.filled_estimates(["a", "zzz"]) is None
+    with_est = IQROutlierClipper(["a", "b"]).fit(filled, estimates=est).bounds
+    without = IQROutlierClipper(["a", "b"]).fit(filled).bounds
+    assert with_est == without

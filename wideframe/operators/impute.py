@@ -21,8 +21,18 @@ from .profile import col_
 
 @dataclass
 class FillModel:
-    """Replace NULL with a per-column value (``coalesce``)."""
+    """Replace NULL with a per-column value (``coalesce``).
+
+    ``estimates`` (approximate distinct counts seen at fit time, if any) let a
+    later quantile fit on the filled columns skip its guard pass: a fill adds
+    at most one value per column (``filled_estimates``)."""
     values: dict = field(default_factory=dict)
+    estimates: dict = field(default_factory=dict)
+
+    def filled_estimates(self, cols) -> dict | None:
+        if not all(c in self.estimates for c in cols):
+            return None
+        return {c: self.estimates[c] + 1 for c in cols}
 
     def transform(self, df: DataFrame) -> DataFrame:
         have = set(df.columns)
@@ -52,7 +62,12 @@ class MedianImputer:
         self.method = method
 
     def fit(self, df: DataFrame) -> FillModel:
-        return FillModel(Q.medians(df, self.cols, method=self.method))
+        est = None
+        if self.method == "auto" and self.cols:
+            row = df.agg(*Q.distinct_estimate_aggs(self.cols)).first()
+            est = {c: row[f"__d{i}"] for i, c in enumerate(self.cols)}
+        values = Q.quantile_values(df, self.cols, [0.5], method=self.method, estimates=est)
+        return FillModel({c: v[0] for c, v in values.items()}, est or {})
 
 
 class ModeImputer:
@@ -118,8 +133,10 @@ class IQROutlierClipper:
     def __init__(self, cols, k: float = 1.5, method: str = "auto"):
         self.cols, self.k, self.method = list(cols), k, method
 
-    def fit(self, df: DataFrame) -> OutlierModel:
-        qs = Q.quantile_values(df, self.cols, [0.25, 0.5, 0.75], method=self.method)
+    def fit(self, df: DataFrame, estimates: dict | None = None) -> OutlierModel:
+        """``estimates``: distinct counts known from an earlier pass (e.g.
+        ``FillModel.filled_estimates``), which skips the quantile guard pass."""
+        qs = Q.quantile_values(df, self.cols, [0.25, 0.5, 0.75], method=self.method, estimates=estimates)
         bounds = {}
         for c in self.cols:
             q1, med, q3 = qs[c]

@@ -258,19 +258,23 @@ def q_mode_impute(spark, sf_dir):
 
 @register("iqr_outliers", "I4 A8 F3")
 def q_iqr_outliers(spark, sf_dir):
-    df = materialize(clean_player(spark, sf_dir))
+    df, fill = clean_for_training(player_table(spark, sf_dir))
+    df = materialize(df)
     cols = [c for c in FAM.numeric_columns(df, exclude=FAM.TARGET_COLUMNS + ID_COLUMNS)
             if c not in FAM.SLEEP_COLUMNS and c not in FAM.CATEGORICAL_COLUMNS]
-    model = IQROutlierClipper(cols).fit(df)
+    # the fill's distinct estimates bound these columns too (guard pass skipped)
+    model = IQROutlierClipper(cols).fit(df, estimates=fill.filled_estimates(cols))
     return round6(model.transform(df).select(ID_COL, *cols))
 
 
 @register("outlier_counts", "I4 A4 A8")
 def q_outlier_counts(spark, sf_dir):
-    df = materialize(clean_player(spark, sf_dir))
+    df, fill = clean_for_training(player_table(spark, sf_dir))
+    df = materialize(df)
     cols = [c for c in FAM.numeric_columns(df, exclude=FAM.TARGET_COLUMNS + ID_COLUMNS)
             if c not in FAM.SLEEP_COLUMNS and c not in FAM.CATEGORICAL_COLUMNS]
-    model = IQROutlierClipper(cols).fit(df)
+    # the fill's distinct estimates bound these columns too (guard pass skipped)
+    model = IQROutlierClipper(cols).fit(df, estimates=fill.filled_estimates(cols))
     counts = model.count_outliers(df)
     rows = [{"column": F.lit(c), "lower": F.lit(model.bounds[c][0]).cast("double"),
              "upper": F.lit(model.bounds[c][1]).cast("double"), "outliers": F.col(f"`{c}`")} for c in cols]

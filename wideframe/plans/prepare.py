@@ -113,8 +113,9 @@ def clean_for_training(df: DataFrame, targets=FAM.TARGET_COLUMNS, range_guard: b
     if impute:
         df = materialize(df)
         extra = [c for c in extra_medians if c in df.columns and c not in fam]
-        values = MedianImputer(fam + extra, method=method).fit(df).values
-        model = FillModel({c: values[c] for c in fam})
+        fitted = MedianImputer(fam + extra, method=method).fit(df)
+        values = fitted.values
+        model = FillModel({c: values[c] for c in fam}, fitted.estimates)
         model.extra = {c: values[c] for c in extra}
         df = model.transform(df)
     return df, model
