@@ -24,7 +24,7 @@ from ..operators import profile as PR
 from ..operators import select as SEL
 from ..operators.encode import OneHotEncoder
 from ..operators.impute import IQROutlierClipper, MedianImputer, ModeImputer
-from ..operators.metrics import linear_loo, overfitting_pct, regression_metrics
+from ..operators.metrics import linear_loo, metric_aggs, overfitting_pct
 from ..operators.scale import RobustScaler, StandardScaler
 from ..operators.split import kfold, split_flag
 from ..sources.schema import align_to, dedupe_columns
@@ -485,19 +485,19 @@ def q_prediction_output(spark, sf_dir):
 
 @register("metrics_by_split", "M9 M10 M11 X1")
 def q_metrics(spark, sf_dir):
+    """Every (target, split) metric in one global aggregate (one scan, one
+    partial row per task), reshaped to one row per target."""
     df = scored(spark, sf_dir).withColumn("split", split_flag(ID_COL, 42, 25))
-    parts = []
-    for t, p in PRED_NAMES.items():
-        m = regression_metrics(df, t, p, ["split"]).withColumn("target", F.lit(t))
-        parts.append(m)
-    allm = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    tr = allm.filter(F.col("split") == "train").select("target", F.col("r2").alias("r2_train"))
-    te = allm.filter(F.col("split") == "test").select("target", F.col("r2").alias("r2_test"),
-                                                       F.col("mae").alias("mae_test"),
-                                                       F.col("rmse").alias("rmse_test"),
-                                                       F.col("mape").alias("mape_test"), F.col("n").alias("n_test"))
-    out = tr.join(te, "target").withColumn("overfitting_pct", overfitting_pct(F.col("r2_train"), F.col("r2_test")))
-    return round6(out)
+    aggs = []
+    for i, (t, p) in enumerate(PRED_NAMES.items()):
+        for sp in ("train", "test"):
+            aggs += metric_aggs(t, p, prefix=f"__{sp}{i}_", where=F.col("split") == sp)
+    one = df.agg(*aggs)
+    rows = [{"target": sql_lit(t), "r2_train": f"__train{i}_r2", "r2_test": f"__test{i}_r2",
+             "mae_test": f"__test{i}_mae", "rmse_test": f"__test{i}_rmse", "mape_test": f"__test{i}_mape",
+             "n_test": f"__test{i}_n"} for i, t in enumerate(PRED_NAMES)]
+    out = PR.to_long(one, rows)
+    return round6(out.withColumn("overfitting_pct", overfitting_pct(F.col("r2_train"), F.col("r2_test"))))
 
 
 @register("metrics_report", "M16 S6 L9")
@@ -505,9 +505,10 @@ def q_metrics_report(spark, sf_dir):
     """Metrics table keyed by target, joined to friendly names; a target without
     metrics yields a NULL row (the 'missing file tolerated' case)."""
     df = scored(spark, sf_dir)
-    rows = [regression_metrics(df, t, p).withColumn("target", F.lit(t))
-            for t, p in list(PRED_NAMES.items())[:2]]
-    metrics = rows[0].unionByName(rows[1])
+    have = list(PRED_NAMES.items())[:2]
+    one = df.agg(*[a for i, (t, p) in enumerate(have) for a in metric_aggs(t, p, prefix=f"__m{i}_")])
+    metrics = PR.to_long(one, [{"target": sql_lit(t), "n": f"__m{i}_n", "r2": f"__m{i}_r2",
+                                "mae": f"__m{i}_mae", "rmse": f"__m{i}_rmse"} for i, (t, _) in enumerate(have)])
     names = spark.createDataFrame([("Target1", "R1 (Performance)"), ("Target2", "R2 (Variável)"),
                                    ("Target3", "R3 (Formulários)")], "target string, name string")
     return round6(names.join(F.broadcast(metrics), "target", "left").select("name", "target", "r2", "mae", "rmse", "n"))
