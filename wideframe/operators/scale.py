@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from . import quantile as Q
+from ..functions.sqltext import lit, q
 from .profile import col_
 
 
@@ -27,8 +28,9 @@ class AffineModel:
     scale: dict
 
     def transform(self, df: DataFrame) -> DataFrame:
-        exprs = {c: (col_(c).cast("double") - F.lit(self.center[c])) / F.lit(self.scale[c])
-                 for c in self.center if c in df.columns}
+        have = set(df.columns)
+        exprs = {c: F.expr(f"(CAST({q(c)} AS DOUBLE) - {lit(self.center[c])}) / {lit(self.scale[c])}")
+                 for c in self.center if c in have}
         return df.withColumns(exprs) if exprs else df
 
 
