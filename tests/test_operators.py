@@ -301,3 +301,10 @@ def test_fill_estimates_skip_guard_same_bounds(spark):
     with_est = IQROutlierClipper(["a", "b"]).fit(filled, estimates=est).bounds
     without = IQROutlierClipper(["a", "b"]).fit(filled).bounds
     assert with_est == without
+
+
+def test_affine_apply_odd_names_and_int_params(spark):
+    from wideframe.operators.scale import AffineModel
+    df = spark.createDataFrame([(1, 3.0), (2, None)], "`a-b c` int, x double")
+    out = AffineModel({"a-b c": 1, "x": 1.5}, {"a-b c": 2, "x": 0.5}).transform(df).collect()
+    assert [tuple(r) for r in out] == [(0.0, 3.0), (0.5, None)]
