@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import math
+import pathlib
+import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -42,6 +45,21 @@ def uniform_sql(seed: int, key: str) -> str:
     return f"(CAST(conv(substr(md5(concat('{int(seed)}:', {key})), 1, 13), 16, 10) AS BIGINT) + 0.5D) / 4503599627370496D"
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the tasks this package, once per Spark context (the usual zip of
+    ``--py-files``, for sessions that were started without one)."""
+    sc = spark.sparkContext
+    if getattr(sc, "_wideframe_shipped", False):
+        return
+    package = pathlib.Path(__file__).resolve().parent.parent
+    archive = pathlib.Path(tempfile.mkdtemp(prefix="wideframe-code-")) / "wideframe-package.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    sc.addPyFile(str(archive))
+    sc._wideframe_shipped = True
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder under the shared checkpoint folder of the session."""
     return scratch_path(spark, f"{name}-{uuid.uuid4().hex}")

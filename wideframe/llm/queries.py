@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from ..sources.tables import read_table
 from .common import n_words_sql
 from .mix import pareto_mix
+from .order import materialise
+from .pack import pack
 from .quality import judge
 from .shard import interleave_shards
 
@@ -41,3 +43,14 @@ def op9_interleave_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = interleave_shards(docs, 8, ("doc_id", "text_crc32", "size"))
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
                          F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query
+def op8_deficit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = pack(read_table(spark, sf_dir, "documents"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query
+def op10_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return materialise(read_table(spark, sf_dir, "documents")).drop("path")
