@@ -76,4 +76,14 @@ SELECT doc_id, size, source_size, target, (copies * size)::BIGINT AS taken, copi
 """
 
 
-ORACLES: dict = {"op1_pareto_mix": _mix(), "op7_quality_rules": _quality()}
+_TOP_K = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding))
+SELECT q.vec_id AS query_id,
+       (row_number() OVER (PARTITION BY q.vec_id ORDER BY list_dot_product(q.v, c.v) DESC, c.vec_id))::INT AS rank,
+       c.vec_id AS vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+WHERE q.vec_id % 100 = 0 QUALIFY rank <= 10
+"""
+
+ORACLES: dict = {"op1_pareto_mix": _mix(), "op3_ball_tree_top_k": _TOP_K, "op7_quality_rules": _quality()}

@@ -12,6 +12,7 @@ from .order import materialise
 from .pack import pack
 from .quality import judge
 from .shard import interleave_shards
+from .topk import top_k
 
 QUERIES: dict = {}
 
@@ -54,3 +55,8 @@ def op8_deficit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialise(read_table(spark, sf_dir, "documents")).drop("path")
+
+
+@query
+def op3_ball_tree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(read_table(spark, sf_dir, "embeddings"))
