@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
 from .common import n_words_sql
+from .forest import near_duplicates
 from .mix import pareto_mix
 from .order import materialise
 from .pack import pack
 from .quality import judge
 from .shard import interleave_shards
 from .topk import top_k
+from .urls import filter_urls
 
 QUERIES: dict = {}
 
@@ -60,3 +62,15 @@ def op10_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_ball_tree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(read_table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op6_path_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
+    return filter_urls(pages).select("page_id", "host", "path", "rule", "verdict", "template", "purity")
+
+
+@query
+def op4_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(read_table(spark, sf_dir, "documents"), k=4)
+    return found.withColumnRenamed("id", "doc_id")
