@@ -86,4 +86,23 @@ FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
 WHERE q.vec_id % 100 = 0 QUALIFY rank <= 10
 """
 
-ORACLES: dict = {"op1_pareto_mix": _mix(), "op3_ball_tree_top_k": _TOP_K, "op7_quality_rules": _quality()}
+_LINES = r"""
+WITH l AS (SELECT doc_id, i - 1 AS line_no, list_sort(list_distinct(regexp_extract_all(lower(l), '[^\x20\x09-\x0D]+'))) AS ws
+           FROM (SELECT doc_id, unnest(ls) AS l, generate_subscripts(ls, 1) AS i
+                 FROM (SELECT DISTINCT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL AND doc_id IS NOT NULL))),
+c AS (SELECT row_number() OVER (ORDER BY min((doc_id, line_no))) AS ord, min((doc_id, line_no)) AS first, ws, len(ws) AS n
+      FROM l WHERE len(ws) >= 5 GROUP BY ws),
+t AS (SELECT ord, n, unnest(ws) AS w FROM c),
+f AS (SELECT w, count(*) AS k FROM t GROUP BY w),
+e AS (SELECT ord, n, w FROM t JOIN f USING (w)
+      QUALIFY row_number() OVER (PARTITION BY ord ORDER BY k, w) <= n - (80 * n + 99) // 100 + 1),
+p AS (SELECT DISTINCT x.ord AS a, y.ord AS b FROM e x JOIN e y ON x.w = y.w AND x.ord > y.ord
+      AND 100 * x.n >= 80 * y.n AND 100 * y.n >= 80 * x.n),
+h AS (SELECT DISTINCT a FROM p JOIN c x ON x.ord = a JOIN c y ON y.ord = b
+      WHERE 100 * len(list_intersect(x.ws, y.ws)) >= 80 * (x.n + y.n - len(list_intersect(x.ws, y.ws))))
+SELECT DISTINCT l.doc_id, l.line_no::INT AS line_no, c.n::INT AS n_tokens
+FROM l JOIN c ON l.ws = c.ws LEFT JOIN h ON h.a = c.ord
+WHERE h.a IS NOT NULL OR (l.doc_id, l.line_no) <> c.first
+"""
+
+ORACLES: dict = {"op5_line_dedup": _LINES, "op1_pareto_mix": _mix(), "op3_ball_tree_top_k": _TOP_K, "op7_quality_rules": _quality()}

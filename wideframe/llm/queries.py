@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..sources.tables import read_table
 from .common import n_words_sql
 from .forest import near_duplicates
+from .linedup import similar_lines
 from .mix import pareto_mix
 from .order import materialise
 from .pack import pack
@@ -74,3 +75,8 @@ def op6_path_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(read_table(spark, sf_dir, "documents"), k=4)
     return found.withColumnRenamed("id", "doc_id")
+
+
+@query
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_lines(read_table(spark, sf_dir, "documents"))
