@@ -9,6 +9,7 @@ from ..sources.tables import read_table
 from .common import n_words_sql
 from .forest import near_duplicates
 from .linedup import similar_lines
+from .lm import score_documents
 from .mix import pareto_mix
 from .order import materialise
 from .pack import pack
@@ -80,3 +81,9 @@ def op4_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_lines(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_log_bilinear_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(read_table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
