@@ -123,6 +123,7 @@ class LogBilinear:
         self.q = rng.normal(0, 0.1, (o, dim)).astype(np.float32)
         self.c = np.stack([np.ones(dim), np.full(dim, 0.5)]).astype(np.float32)
         self.b = np.log(self.noise).astype(np.float32)
+        self.square = [np.full_like(p, 1e-3) for p in self.params()]  # AdaGrad
 
     def params(self) -> list[np.ndarray]:
         return [self.r, self.q, self.c, self.b]
@@ -136,11 +137,10 @@ class LogBilinear:
             p[...] = flat[at:at + p.size].reshape(p.shape)
             at += p.size
 
-    def train(self, target, w1, w2, noise: int = 32, batch: int = 4096, rate: float = 0.1, seed: int = 9) -> None:
+    def train(self, target, w1, w2, noise: int = 64, batch: int = 4096, rate: float = 0.05, seed: int = 9) -> None:
         rng = np.random.default_rng(seed)
         log_kp = np.log(noise * self.noise).astype(np.float32)
         cumulative = np.cumsum(self.noise)
-        square = [np.full_like(p, 1e-3) for p in self.params()]
         for s in range(0, len(target), batch):
             t, a, b = target[s:s + batch], w1[s:s + batch], w2[s:s + batch]
             m = len(t)
@@ -157,7 +157,7 @@ class LogBilinear:
             grad_b = (np.bincount(t, weights=gt, minlength=len(self.b))
                       + np.bincount(z, weights=gz.sum(axis=0), minlength=len(self.b)))
             grad_c = np.stack([(gh * ra).sum(axis=0), (gh * rb).sum(axis=0)])
-            for p, g, sq in zip(self.params(), (grad_r, grad_q, grad_c, grad_b), square):
+            for p, g, sq in zip(self.params(), (grad_r, grad_q, grad_c, grad_b), self.square):
                 g = g / np.float32(m ** 0.5)
                 sq += g * g
                 p -= rate * g / np.sqrt(sq)
