@@ -23,10 +23,8 @@ BROADCAST_ROWS = 200_000
 
 
 def words_sql(text: str) -> str:
-    """SQL for the array of words of ``text`` (null text: empty array). The
-    five other separators become spaces first, so the split needs no regex."""
-    return (f"array_remove(split(translate(coalesce({text}, ''), "
-            r"'\t\n\u000B\f\r', '     '), ' '), '')").replace(r"\f", r"\u000C")
+    """SQL for the array of words of ``text`` (null text: empty array)."""
+    return rf"array_remove(split(coalesce({text}, ''), '[\\x20\\x09-\\x0D]+'), '')"
 
 
 def n_words_sql(text: str) -> str:

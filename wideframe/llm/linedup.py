@@ -6,11 +6,13 @@ id, then line number) has a Jaccard similarity of ``threshold`` percent or
 more. Earlier lines count whether or not they are removed themselves, so the
 result does not depend on the order of work.
 
-Method: words are ordered by rarity (a count over all lines, kept as one byte
-for each of ``2**bits`` hash buckets, so the table has a fixed size; any total
-order gives right results, a good one gives few candidates). Lines with equal
-sets are one class with one first place. The rarest words of a class (prefix
-filter) are joined by word under the length and the positional filter. A class
+Method: words are ordered by rarity (a count over all lines, kept as a small
+number for each of ``2**bits`` hash buckets, so the table has a fixed size; any
+total order gives right results, a good one gives few candidates). Lines with
+equal sets are one class with one first place. The rarest words of a class
+(prefix filter) are joined by word under the length, the positional and the
+bitmap filter (sets whose 64-bit maps differ in more places than the sets may
+differ in words cannot match). A class
 only needs one earlier witness: classes without any possible partner are
 dropped by a semi join, the others are compared with the 8 earliest members of
 each of their word groups, those without a witness with the next 64, then 512
@@ -33,7 +35,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import let, small_join, stored, words_sql
+from .common import small_join, stored, words_sql
 
 BITS = 18
 
@@ -49,50 +51,50 @@ def exploded(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             .select(F.col(id_col).alias("doc_id"), F.posexplode(F.split(F.col(text_col), "\n")).alias("line_no", "line")))
 
 
-def rarity_bytes(lines: DataFrame, bits: int = BITS) -> bytes:
-    """One byte per hash bucket: three times the binary logarithm of the
-    number of words in it. ``2**bits`` rows at most reach the driver."""
+def rarity_list(lines: DataFrame, bits: int = BITS) -> str:
+    """One number per hash bucket, joined by commas: three times the binary
+    logarithm of the number of words in it. ``2**bits`` rows at most reach the
+    driver."""
     import numpy as np
 
     words = lines.select(F.explode(F.expr(words_sql("lower(line)"))).alias("w"))
     counts = words.groupBy(F.expr(f"CAST(xxhash64(w) & {2 ** bits - 1} AS INT)").alias("b")).count().toPandas()
     table = np.zeros(2 ** bits)
     table[counts["b"].to_numpy(dtype=int)] = counts["count"].to_numpy(dtype=float)
-    return np.minimum(127, np.rint(3 * np.log2(table + 1))).astype(np.uint8).tobytes()
+    return ",".join(map(str, np.minimum(127, np.rint(3 * np.log2(table + 1))).astype(int).tolist()))
 
 
-def ordered_keys(line: str, bits: int = BITS) -> str:
-    """SQL for the sorted keys of a line's words: 7 bits of rarity, then 56
-    bits of hash. ``__rarity`` is the byte table."""
-    key = let("h", "xxhash64(w)",
-              f"shiftleft(CAST(ascii(CAST(substring(__rarity, CAST(h & {2 ** bits - 1} AS INT) + 1, 1) AS STRING)) AS BIGINT), 56)"
-              f" | (h & {2 ** 56 - 1}L)")
-    return f"sort_array(transform({line_words(line)}, w -> {key}))"
+def ordered_keys(line: str, rarity: str, bits: int = BITS) -> str:
+    """SQL for the sorted keys of a line's distinct words: 7 bits of rarity,
+    then 56 bits of hash. The rarity table folds into one array literal."""
+    hashes = f"array_distinct(transform({words_sql(f'lower({line})')}, w -> xxhash64(w)))"
+    table = f"CAST(split('{rarity}', ',') AS ARRAY<BIGINT>)"
+    return (f"sort_array(transform({hashes}, h -> shiftleft({table}[CAST(h & {2 ** bits - 1} AS INT)], 56)"
+            f" | (h & {2 ** 56 - 1}L)))")
 
 
 def similar_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = 80,
                   min_tokens: int = 5, first_block: int = 8) -> DataFrame:
     """(doc_id, line_no, n_tokens) of the lines to remove."""
     lines = exploded(docs, id_col, text_col)
-    rarity = rarity_bytes(lines)
-    keyed = lines.select("doc_id", "line_no", F.expr(ordered_keys("line").replace("__rarity", f"X'{rarity.hex()}'")).alias("k"))
+    keyed = lines.select("doc_id", "line_no", F.expr(ordered_keys("line", rarity_list(lines))).alias("k"))
     prefix = f"size(k) - ({threshold} * size(k) + 99) DIV 100 + 1"
     placed = keyed.filter(f"size(k) >= {min_tokens}").select(
         "doc_id", "line_no", F.expr("xxhash64(k)").alias("cls"), F.size("k").alias("n"),
+        F.expr("aggregate(k, 0L, (a, x) -> a | shiftleft(1L, CAST(x & 63 AS INT)))").alias("bits"),
         F.expr(f"slice(k, 1, CAST({prefix} AS INT))").alias("prefix"))
     placed = stored(placed, "lines")
-    classes = placed.groupBy("cls").agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.first("n").alias("n"),
-                                        F.first("prefix").alias("prefix"))
-    classes = stored(classes, "classes")
-    firsts = classes.select("cls", "first", "n")
+    firsts = stored(placed.groupBy("cls").agg(F.min(F.struct("doc_id", "line_no")).alias("first")), "firsts")
 
-    # one exchange by word serves both sides of the semi join
-    entries = classes.select("cls", "n", F.posexplode("prefix").alias("pos", "tok")).repartition("tok")
+    # one row per class and rare word; one exchange by word serves both sides of the semi join
+    classes = placed.groupBy("cls").agg(*(F.first(c).alias(c) for c in ("n", "bits", "prefix")))
+    entries = classes.select("cls", "n", "bits", F.posexplode("prefix").alias("pos", "tok")).repartition("tok")
     x, y = entries.alias("x"), entries.alias("y")
     meet = (f"100 * x.n >= {threshold} * y.n AND 100 * y.n >= {threshold} * x.n AND "
-            f"least(x.n - x.pos, y.n - y.pos) >= ({threshold} * (x.n + y.n) + {99 + threshold}) DIV {100 + threshold}")
+            f"least(x.n - x.pos, y.n - y.pos) >= ({threshold} * (x.n + y.n) + {99 + threshold}) DIV {100 + threshold} AND "
+            f"bit_count(x.bits ^ y.bits) <= ({100 - threshold} * (x.n + y.n)) DIV {100 + threshold}")
     able = x.join(y, F.expr(f"x.tok = y.tok AND x.cls <> y.cls AND {meet}"), "left_semi")
-    able = able.join(firsts.select("cls", "first"), "cls")
+    able = able.join(firsts, "cls")
     turn = Window.partitionBy("tok").orderBy("first", "cls")
     able = stored(able.withColumn("rn", F.row_number().over(turn)), "entries")
 
@@ -122,7 +124,7 @@ def similar_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             asking = stored(asking.filter(f"rn > {low}").join(hit, "cls", "left_anti"), "asking")
     if matched is None:
         matched = able.select("cls").limit(0)
-    state = firsts.select("cls", "first").join(matched.withColumn("hit", F.lit(True)), "cls", "left")
+    state = firsts.join(matched.withColumn("hit", F.lit(True)), "cls", "left")
     # every later place of a class goes, and its first one if there is a witness
     out = placed.select("doc_id", "line_no", "n", "cls").join(state, "cls").filter(
         "hit OR doc_id <> first.doc_id OR line_no <> first.line_no")
