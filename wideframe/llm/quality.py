@@ -101,12 +101,16 @@ def judge(docs: DataFrame, text_col: str = "text", rules=RULES, base=BASE) -> Da
     """``docs`` with the metric columns, ``base_failed``, ``kept`` and
     ``failed_rules`` (names joined by commas, empty when kept)."""
     named = metrics(f"`{text_col}`", "__words")
-    measured = docs.withColumn("__words", F.expr(words_sql(f"`{text_col}`")))
-    measured = measured.withColumns({k: F.expr(v) for k, v in named.items()})
+    keep = [c for c in docs.columns if c not in {*named, "base_failed", "kept", "failed_rules"}]
+    # explode(array(x)) yields one row and keeps later filters above it, so
+    # words and metrics are computed once
+    measured = docs.withColumn("__words", F.explode(F.array(F.expr(words_sql(f"`{text_col}`")))))
+    measured = measured.select(*keep, F.explode(F.array(F.struct(*(F.expr(v).alias(k) for k, v in named.items())))).alias("__m"))
+    measured = measured.select(*keep, "__m.*")
     failed = {r.name: rule_sql(r) for r in rules}
     base_sql = " OR ".join(failed[b] for b in base if b in failed) or "false"
     return measured.withColumns({
         "base_failed": F.expr(base_sql),
         "kept": F.expr("NOT (" + (" OR ".join(failed.values()) or "false") + ")"),
         "failed_rules": F.expr("concat_ws(',', " + (", ".join(f"IF({s}, '{n}', NULL)" for n, s in failed.items()) or "''") + ")"),
-    }).drop("__words")
+    })
