@@ -104,3 +104,18 @@ def bins_for(rows: int) -> int:
     """Slices for ``running_total``: about the square root of the rows, so both
     the slices of a group and the rows of a slice stay small at any size."""
     return max(16, 4 * math.isqrt(rows))
+
+
+def slices(batch, column: int, chars: int = 2_000_000):
+    """The record batch in pieces of about ``chars`` characters of a text
+    column (at least one row each), so that Python objects stay few."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < batch.num_rows:
+        end = int(np.searchsorted(size, (size[at - 1] if at else 0) + chars, side="right"))
+        end = max(end, at + 1)
+        yield batch.slice(at, end - at)
+        at = end

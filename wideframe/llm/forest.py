@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship, small_join, stored
+from .common import ship, slices, small_join, stored
 from .components import components
 
 SKETCH_LIMIT = 34
@@ -130,7 +130,7 @@ def sign(docs: DataFrame, id_col: str, text_col: str, k: int, trees: int, depth:
     def run(batches):
         import xxhash
 
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 1)):
             sets = shingle_sets(batch.column(1).to_pylist(), k)
             full = [s for s in sets if len(s)]
             sigs = iter(signatures(full, functions)) if full else iter(())
@@ -355,7 +355,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def _sets(docs: DataFrame, k: int) -> DataFrame:
     def run(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 1)):
             sets = shingle_sets(batch.column(1).to_pylist(), k)
             full = pa.array([len(s) > 0 for s in sets], pa.bool_())
             yield pa.RecordBatch.from_arrays(

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ship, stored
+from .common import ship, slices, stored
 
 CHUNK_BYTES = 4 << 20
 FAN = 32
@@ -68,7 +68,7 @@ def coded_chunks(docs: DataFrame) -> DataFrame:
                 [pa.array([chunk] * m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.bool_()), pa.nulls(m, pa.binary()),
                  pa.array(np.arange(m, dtype=np.int32)), pa.array(list(words), pa.binary()), pa.array(count.astype(np.int64))], names=names)
 
-        for batch in batches:
+        for batch in (piece for whole in batches for piece in slices(whole, 2)):
             for i, h, text in zip(*(batch.column(c).to_pylist() for c in range(3))):
                 ws = (text or "").encode().lower().split()
                 coded.append((i, h, np.fromiter(map(words.__getitem__, ws), dtype=np.int64, count=len(ws))))

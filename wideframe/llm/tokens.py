@@ -101,7 +101,7 @@ def tokenised(docs: DataFrame, id_col: str, text_col: str, group_col: str | None
     the result once and let every later pass read it."""
     from pyspark.sql import functions as F
 
-    from .common import group_key, ship
+    from .common import group_key, ship, slices
 
     ship(docs.sparkSession)
     end = np.array([eos], dtype="<u2").tobytes()
@@ -110,7 +110,7 @@ def tokenised(docs: DataFrame, id_col: str, text_col: str, group_col: str | None
         from pyspark import TaskContext
 
         table, part, before = word_ids(vocabulary), TaskContext.get().partitionId(), {}
-        for batch in batches:
+        for batch in (piece for whole in batches for piece in slices(whole, 2)):
             ids, starts = [], []
             groups = batch.column(1).to_pylist()
             for g, text in zip(groups, batch.column(2).to_pylist()):
