@@ -67,10 +67,9 @@ def rarity_list(lines: DataFrame, bits: int = BITS) -> str:
 def ordered_keys(line: str, rarity: str, bits: int = BITS) -> str:
     """SQL for the sorted keys of a line's distinct words: 7 bits of rarity,
     then 56 bits of hash. The rarity table folds into one array literal."""
-    hashes = f"array_distinct(transform({words_sql(f'lower({line})')}, w -> xxhash64(w)))"
     table = f"CAST(split('{rarity}', ',') AS ARRAY<BIGINT>)"
-    return (f"sort_array(transform({hashes}, h -> shiftleft({table}[CAST(h & {2 ** bits - 1} AS INT)], 56)"
-            f" | (h & {2 ** 56 - 1}L)))")
+    return (f"sort_array(array_distinct(transform({words_sql(f'lower({line})')}, w -> "
+            f"shiftleft({table}[CAST(xxhash64(w) & {2 ** bits - 1} AS INT)], 56) | (xxhash64(w) & {2 ** 56 - 1}L))))")
 
 
 def similar_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = 80,
@@ -86,9 +85,9 @@ def similar_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     placed = stored(placed, "lines")
     firsts = stored(placed.groupBy("cls").agg(F.min(F.struct("doc_id", "line_no")).alias("first")), "firsts")
 
-    # one row per class and rare word; one exchange by word serves both sides of the semi join
+    # one row per class and rare word; both sides of the semi join read the same exchange
     classes = placed.groupBy("cls").agg(*(F.first(c).alias(c) for c in ("n", "bits", "prefix")))
-    entries = classes.select("cls", "n", "bits", F.posexplode("prefix").alias("pos", "tok")).repartition("tok")
+    entries = classes.select("cls", "n", "bits", F.posexplode("prefix").alias("pos", "tok"))
     x, y = entries.alias("x"), entries.alias("y")
     meet = (f"100 * x.n >= {threshold} * y.n AND 100 * y.n >= {threshold} * x.n AND "
             f"least(x.n - x.pos, y.n - y.pos) >= ({threshold} * (x.n + y.n) + {99 + threshold}) DIV {100 + threshold} AND "
