@@ -2,13 +2,14 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from wideframe.operators import cluster as CL
 from wideframe.operators import explain as EX
 from wideframe.operators import models as M
 from wideframe.operators import select as SEL
-from wideframe.operators.encode import OneHotEncoder, bool_to_int
+from wideframe.operators.encode import OneHotEncoder, bool_to_int, indicators
 from wideframe.operators.impute import FillModel, IQROutlierClipper, MedianImputer, ModeImputer
 from wideframe.operators.scale import QuantileNormalizer, RobustScaler, StandardScaler, norm_ppf
 from wideframe.operators.split import kfold, split_flag, train_test_split
@@ -56,8 +57,9 @@ def test_one_hot_names_and_nulls(spark):
     rows = model.transform(df).orderBy("id").collect()
     assert rows[0].asDict() == {"id": 1, "c_a": 0, "c_b": 1, "p_1.0": 0, "p_2.0": 1}
     assert rows[2]["c_a"] == 0 and rows[2]["c_b"] == 0
-    with pytest.raises(ValueError):
-        OneHotEncoder(["id"], max_levels=2).fit(df)
+    assert OneHotEncoder(["c"], levels={"c": ["b", "z"]}).fit(df).output_columns() == ["c_b", "c_z"]
+    long = sorted(map(tuple, indicators(df, "id", ["c", "p"]).collect()))
+    assert long == [(1, "c_b"), (1, "p_2.0"), (2, "c_a"), (3, "p_1.0")]
     b = bool_to_int(spark.createDataFrame([(True,), (False,)], "f boolean")).collect()
     assert [r[0] for r in b] == [1, 0]
 
@@ -190,10 +192,10 @@ def test_kmeans_pca_silhouette(spark):
 
 
 def test_top_contributions_and_importances(spark):
-    rows = [(1, "T1", f"f{i}", float(v)) for i, v in enumerate([0.1, -3.0, 2.0, 0.5])]
-    df = spark.createDataFrame(rows, "player_id int, target string, feature string, value double")
-    top = SEL.top_contributions(df, 2).orderBy("rank").collect()
-    assert [r["feature"] for r in top] == ["f1", "f2"]
+    df = spark.createDataFrame([(1, 0.1, -3.0, 2.0, 0.5, None)], "player_id int, f0 double, f1 double, f2 double, f3 double, f4 double")
+    values = {"T1": {f"f{i}": f"f{i}" for i in range(5)}, "T2": {"f0": "f0 * 2", "f4": "f4"}}
+    top = SEL.top_contributions(df, values, 2).orderBy("target", "rank").collect()
+    assert [(r["target"], r["feature"], r["rank"]) for r in top] == [("T1", "f1", 1), ("T1", "f2", 2), ("T2", "f0", 1)]
     imp = spark.createDataFrame([("T", "a", 1.0), ("T", "a", 3.0), ("T", "b", 2.5)], "target string, feature string, importance double")
     got = SEL.top_importances(imp, 1).collect()
     assert got[0]["feature"] == "b" and got[0]["importance"] == 2.5
@@ -216,7 +218,8 @@ def test_tree_top_k_in_task_matches_window(spark, tree_data):
     model = M.fit_pipeline(tree_data, feats, "y", "gbt", 42, maxIter=5, maxDepth=3)
     trees = EX.trees_from_model(model.stages[-1], spark)
     full = EX.tree_contributions(tree_data, trees, feats, "id", "y")
-    via_window = {tuple(r) for r in SEL.top_contributions(full, 2, "id").select("id", "feature", "rank").collect()}
+    via_window = {tuple(r) for r in full.withColumn("rank", F.row_number().over(
+        Window.partitionBy("id").orderBy(F.desc(F.abs("value")), "feature"))).filter("rank <= 2").select("id", "feature", "rank").collect()}
     in_task = {tuple(r) for r in EX.tree_contributions(tree_data, trees, feats, "id", "y", top_k=2)
                .select("id", "feature", "rank").collect()}
     assert in_task == via_window
@@ -231,7 +234,7 @@ def test_kfold_metrics_pool_out_of_fold(spark, tree_data):
 
 def test_seed_ensemble_mean_between_members(spark, tree_data):
     feats = ["a", "b", "c"]
-    ens, unseen = M.fit_seed_ensemble(tree_data, feats, "y", "id", kind="gbt", maxIter=5, maxDepth=2)
+    ens, seen, unseen = M.fit_seed_ensemble(tree_data, feats, "y", "id", kind="gbt", maxIter=5, maxDepth=2)
     parts = []
     for i, m in enumerate(ens.members):
         parts.append(m.transform(tree_data).select("id", F.col("prediction").alias(f"p{i}")))
@@ -243,9 +246,12 @@ def test_seed_ensemble_mean_between_members(spark, tree_data):
         assert math.isclose(r["prediction"], sum(ps) / 3, rel_tol=1e-12)
     # rows unseen by every member: disjoint from each member's training side
     ids = {x[0] for x in unseen.select("id").collect()}
+    common = {x[0] for x in seen.select("id").collect()}
+    assert ids and common
     for s in M.ENSEMBLE_SEEDS:
         tr, _ = train_test_split(tree_data, "id", s, 25)
-        assert not ids & {x[0] for x in tr.select("id").collect()}
+        train = {x[0] for x in tr.select("id").collect()}
+        assert not ids & train and common <= train
 
 
 def test_robust_scaled_median_is_zero(spark):
@@ -289,22 +295,57 @@ def test_skip_rates_reference_scalar_on_every_row(spark):
     assert (row["taxa_pulos_P"], row["taxa_pulos_T"]) == (0.5, 1.0)
 
 
-def test_fill_estimates_skip_guard_same_bounds(spark):
-    rows = [(float(i % 37), None if i % 9 == 0 else float((i * 7) % 101)) for i in range(500)]
-    df = spark.createDataFrame(rows, "a double, b double")
-    fill = MedianImputer(["a", "b"]).fit(df)
-    assert set(fill.estimates) == {"a", "b"} and fill.estimates["a"] >= 30
-    filled = fill.transform(df)
-    est = fill.filled_estimates(["a", "b"])
-    assert est == {c: fill.estimates[c] + 1 for c in ("a", "b")}
-    assert fill.filled_estimates(["a", "zzz"]) is None
-    with_est = IQROutlierClipper(["a", "b"]).fit(filled, estimates=est).bounds
-    without = IQROutlierClipper(["a", "b"]).fit(filled).bounds
-    assert with_est == without
-
-
 def test_affine_apply_odd_names_and_int_params(spark):
     from wideframe.operators.scale import AffineModel
     df = spark.createDataFrame([(1, 3.0), (2, None)], "`a-b c` int, x double")
     out = AffineModel({"a-b c": 1, "x": 1.5}, {"a-b c": 2, "x": 0.5}).transform(df).collect()
     assert [tuple(r) for r in out] == [(0.0, 3.0), (0.5, None)]
+
+
+def test_silhouette_refuses_null_features(spark):
+    df = spark.createDataFrame([(0, 1.0), (0, None), (1, 5.0)], "cluster int, x double")
+    with pytest.raises(Exception):
+        CL.silhouette(df, ["x"])
+
+
+def test_saved_state_round_trip(spark, tmpdir_path):
+    from wideframe.operators.cluster import ClusterModel
+    from wideframe.operators.encode import OneHotModel
+    from wideframe.operators.impute import FillModel, OutlierModel
+    from wideframe.operators.scale import AffineModel, QuantileNormalModel
+    from wideframe.plans.state import load_state, save_state
+    affine = AffineModel({"x": 0.1}, {"x": 1 / 3})
+    for i, obj in enumerate((FillModel({"a": 0.1, "b": None, "c": "z"}), affine, OutlierModel({"x": (0.1, 2.0, 1.0), "y": (None, None, None)}),
+                             OneHotModel({"c": ["a", "b"], "n": [1, 2]}), QuantileNormalModel({"x": [0.0, 1 / 7]}, [0.0, 1.0], "uniform"),
+                             ClusterModel(["x"], affine, {0: (0.5,), 1: (-0.5,)}, ((1.0,),), {0: "A"}))):
+        save_state(spark, obj, f"{tmpdir_path}/{i}")
+        assert load_state(spark, f"{tmpdir_path}/{i}") == obj
+
+
+def test_saved_ensemble_scores_alike(spark, tree_data, tmpdir_path):
+    from wideframe.plans.state import load_state, save_state
+    ens, _, _ = M.fit_seed_ensemble(tree_data, ["a", "b", "c"], "y", "id", kind="gbt", maxIter=2, maxDepth=2)
+    save_state(spark, ens, tmpdir_path + "/ens")
+    again = load_state(spark, tmpdir_path + "/ens")
+    pick = lambda e: sorted(map(tuple, e.transform(tree_data).select("id", "prediction").collect()))
+    assert pick(ens) == pick(again)
+
+
+def test_predictions_are_named_after_their_target(spark, tmpdir_path):
+    from wideframe.plans.player import player_table
+    from wideframe.plans.scoring import TargetModel, fit_scoring_plan, score
+    from wideframe.plans.state import load_state, save_state
+    raw = player_table(spark, "/root/testdata/sf0.001")
+    plan = fit_scoring_plan(raw, linear={"Target3": (3.0, {})}, targets=(
+        TargetModel("Target2", 2, ["P_mean", "sono_total_X_P_mean", "absent"], ["sono_total_X_P_mean"]),
+        TargetModel("Target1", 1, ["P_mean", "T_mean"])))
+    rows = score(raw, plan, "player_id").collect()
+    save_state(spark, plan, tmpdir_path + "/plan")
+    assert score(raw, load_state(spark, tmpdir_path + "/plan"), "player_id").collect() == rows
+    assert {r["Previsão T3"] for r in rows} == {3.0}
+    t1 = np.array([r["Previsão T1"] for r in rows])
+    truth = np.array([r["Target1"] if r["Target1"] is not None else np.nan for r in raw.select("Target1").collect()])
+    assert abs(t1.mean() - np.nanmean(truth)) < 0.5 * np.nanstd(truth)
+    assert len({r["Previsão T2"] for r in rows}) > 10
+    none = score(raw, fit_scoring_plan(raw), "player_id").first()
+    assert (none["Previsão T1"], none["Previsão T2"], none["Previsão T3"]) == (None, None, None)

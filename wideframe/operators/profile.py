@@ -76,6 +76,12 @@ def sparse_columns(df: DataFrame, cols=None, threshold: float = 70.0, protect=()
     return [r["Coluna"] for r in prof.filter(F.col("Percentual") > threshold).collect()]
 
 
+def drop_sparse(df: DataFrame, threshold: float = 70.0, protect=()) -> DataFrame:
+    """``df`` without the columns whose missing percent exceeds
+    ``threshold``; protected columns (targets, ids) stay."""
+    return df.drop(*sparse_columns(df, threshold=threshold, protect=protect))
+
+
 def count_where(df: DataFrame, conds: dict) -> DataFrame:
     """A4: one row of ``count_if`` results, one column per named condition."""
     return df.agg(*[F.count_if(c).alias(name) for name, c in conds.items()])
@@ -173,17 +179,15 @@ def corr_matrix(df: DataFrame, cols) -> DataFrame:
 # describe, five-number summary
 # --------------------------------------------------------------------------
 
-def describe(df: DataFrame, cols, method: str = "auto") -> DataFrame:
+def describe(df: DataFrame, cols, method: str = "exact") -> DataFrame:
     """Count, mean, std (ddof 1), min, 25/50/75 % (exact, interpolated), max."""
     cols = list(cols)
-    # one pass: the moments and the quantile guard's distinct estimates; then
-    # the exact quantiles; the report is built from these few numbers per column
+    # one pass for the moments, then the exact quantiles; the report is built
+    # from these few numbers per column
     base = df.agg(*[F.expr(e).alias(f"__{k}{i}") for i, c in enumerate(cols) for k, e in (
         ("n", f"count({q(c)})"), ("a", f"avg({q(c)})"), ("s", f"stddev_samp({q(c)})"),
-        ("lo", f"CAST(min({q(c)}) AS DOUBLE)"), ("hi", f"CAST(max({q(c)}) AS DOUBLE)"))],
-        *Q.distinct_estimate_aggs(cols)).first()
-    est = {c: base[f"__d{i}"] for i, c in enumerate(cols)}
-    qs = Q.quantile_values(df, cols, [0.25, 0.5, 0.75], method=method, estimates=est)
+        ("lo", f"CAST(min({q(c)}) AS DOUBLE)"), ("hi", f"CAST(max({q(c)}) AS DOUBLE)"))]).first()
+    qs = Q.quantile_values(df, cols, [0.25, 0.5, 0.75], method=method)
 
     def num(v, cast="DOUBLE"):
         return f"CAST({lit(None if v is None else (int(v) if cast == 'BIGINT' else float(v)))} AS {cast})"
@@ -194,7 +198,7 @@ def describe(df: DataFrame, cols, method: str = "auto") -> DataFrame:
     return to_long(df.sparkSession.range(1), rows)
 
 
-def five_numbers(df: DataFrame, cols, method: str = "auto") -> DataFrame:
+def five_numbers(df: DataFrame, cols, method: str = "exact") -> DataFrame:
     """Box-plot data — quartiles, 1.5·IQR fences, whiskers (most extreme
     points inside the fences) and the count of points outside."""
     cols = list(cols)

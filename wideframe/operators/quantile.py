@@ -1,22 +1,14 @@
 """Exact, linearly interpolated quantiles (pandas ``quantile`` semantics, N6).
 
-Three strategies, chosen per column by ``method="auto"``:
-
-* ``exact``  – Spark's ``percentile``: partial value→count maps merged in the
-  final aggregation task. Memory is bounded by the number of *distinct*
-  values, and the final task holds the maps of all exact columns at once, so
-  ``auto`` admits columns (lowest cardinality first) only while their summed
-  distinct count stays within ``EXACT_DISTINCT_LIMIT`` (estimated with
-  ``approx_count_distinct`` in one cheap pass).
-* ``distributed`` – exact rank selection that never gathers a column in one
-  task: values are pre-aggregated to distinct ``(column, value, weight)``
-  (map-side combine, so a value holding a third of all rows is one row),
-  range-partitioned (sampled bounds → bounded partitions) and checkpointed to
-  the shared checkpoint folder; per-(partition, column) totals (a small
-  table) give rank offsets; one ``mapInPandas`` scan then emits only the rows
-  at the wanted ranks. The driver sees partitions × columns totals and
-  columns × probabilities values.
-* ``approx`` – ``percentile_approx`` with an accuracy knob (not exact).
+One plan for every size: values are pre-aggregated to distinct ``(column,
+value, weight)`` (map-side combine, so a value holding a third of all rows is
+one row), range-partitioned (sampled bounds → bounded partitions) and
+checkpointed to the shared checkpoint folder; per-(partition, column) totals (a
+small table) give rank offsets; one ``mapInPandas`` scan then emits only the
+rows at the wanted ranks. No task holds a column; the driver sees partitions ×
+columns totals and columns × probabilities values.
+
+``method="approx"`` is ``percentile_approx`` with an accuracy knob (not exact).
 """
 
 from __future__ import annotations
@@ -26,39 +18,15 @@ import math
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from ..functions.sqltext import lit as sql_lit, q
-from pyspark.sql.types import DoubleType, LongType, StructField, StructType, IntegerType
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StructField, StructType
 
-# The exact aggregate's final task holds a value→count map for every exact
-# column at once, so the guard is a total budget of distinct values.
-EXACT_DISTINCT_LIMIT = 2_000_000
 APPROX_ACCURACY = 100_000
 
 
-def qname(i: int, j: int) -> str:
-    return f"__q{i}_{j}"
-
-
 def _c(name):
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def _exact_row(df: DataFrame, cols, probs) -> DataFrame:
-    arr = "array(" + ", ".join(sql_lit(float(p)) for p in probs) + ")"
-    aggs = [F.expr(f"percentile(CAST({q(c)} AS DOUBLE), {arr})").alias(f"__p{i}") for i, c in enumerate(cols)]
-    one = df.agg(*aggs) if aggs else df.sparkSession.range(1).select()
-    return one.selectExpr(*[f"__p{i}[{j}] AS {qname(i, j)}"
-                            for i in range(len(cols)) for j in range(len(probs))])
-
-
-def _approx_row(df: DataFrame, cols, probs, accuracy=APPROX_ACCURACY) -> DataFrame:
-    aggs = [F.percentile_approx(_c(c).cast("double"), list(probs), accuracy).alias(f"__p{i}")
-            for i, c in enumerate(cols)]
-    one = df.agg(*aggs)
-    return one.select(*[F.col(f"__p{i}")[j].alias(qname(i, j))
-                        for i in range(len(cols)) for j in range(len(probs))])
-
-
 _RANK_SCHEMA = StructType([StructField("c", IntegerType()), StructField("rank", LongType()),
                            StructField("v", DoubleType())])
 
@@ -141,75 +109,19 @@ def _distributed_values(df: DataFrame, cols, probs, partitions: int | None = Non
     return result
 
 
-def distinct_estimate_aggs(cols, prefix: str = "__d") -> list:
-    """``approx_count_distinct`` per column, to run in a pass the caller makes
-    anyway; pass the numbers back as ``quantile_values(estimates=…)``."""
-    return [F.expr(f"approx_count_distinct({q(c)})").alias(f"{prefix}{i}") for i, c in enumerate(cols)]
-
-
-def _small_cardinality(df: DataFrame, cols, limit: int, estimates: dict | None = None) -> set:
-    """Columns admitted to the exact aggregate: by ascending approximate
-    distinct count while the running total stays within ``limit`` (with a
-    margin for the estimate's error)."""
-    if estimates is None:
-        row = df.agg(*distinct_estimate_aggs(cols)).first()
-        estimates = {c: row[f"__d{i}"] for i, c in enumerate(cols)}
-    est = sorted((estimates[c] * 1.1, c) for c in cols)
-    out, total = set(), 0.0
-    for d, c in est:
-        if total + d > limit:
-            break
-        out.add(c)
-        total += d
-    return out
-
-
-def quantile_values(df: DataFrame, cols, probs, method: str = "auto",
-                    limit: int = EXACT_DISTINCT_LIMIT, estimates: dict | None = None) -> dict:
-    """Quantiles as ``{column: [value per prob]}`` (None for an empty column).
-
-    ``estimates`` (``{column: approx distinct}``) skips the guard pass when the
-    caller already computed them in one of its own passes."""
+def quantile_values(df: DataFrame, cols, probs, method: str = "exact") -> dict:
+    """Quantiles as ``{column: [value per prob]}`` (None for an empty column)."""
     cols, probs = list(cols), list(probs)
     if not cols:
         return {}
-    if method == "auto":
-        small = _small_cardinality(df, cols, limit, estimates)
-        exact_cols = [c for c in cols if c in small]
-        big_cols = [c for c in cols if c not in small]
-    elif method == "exact":
-        exact_cols, big_cols = cols, []
-    elif method == "distributed":
-        exact_cols, big_cols = [], cols
-    elif method == "approx":
-        row = _approx_row(df, cols, probs).first()
-        return {c: [row[qname(i, j)] for j in range(len(probs))] for i, c in enumerate(cols)}
-    else:
-        raise ValueError(method)
-    out = {}
-    if exact_cols:
-        row = _exact_row(df, exact_cols, probs).first()
-        for i, c in enumerate(exact_cols):
-            out[c] = [row[qname(i, j)] for j in range(len(probs))]
-    if big_cols:
-        out.update(_distributed_values(df, big_cols, probs))
-    return out
-
-
-def quantile_row(df: DataFrame, cols, probs, method: str = "auto") -> DataFrame:
-    """One-row frame with columns ``__q{i}_{j}``.
-
-    ``exact`` stays a lazy aggregate; the other methods compute the values and
-    return them as literals (they are a few numbers per column).
-    """
-    cols, probs = list(cols), list(probs)
     if method == "exact":
-        return _exact_row(df, cols, probs)
-    vals = quantile_values(df, cols, probs, method=method)
-    spark = df.sparkSession
-    return spark.range(1).select(*[F.lit(vals[c][j]).cast("double").alias(qname(i, j))
-                                   for i, c in enumerate(cols) for j in range(len(probs))])
+        return _distributed_values(df, cols, probs)
+    if method == "approx":
+        row = df.agg(*[F.percentile_approx(_c(c).cast("double"), probs, APPROX_ACCURACY).alias(f"__p{i}")
+                       for i, c in enumerate(cols)]).first()
+        return {c: [None] * len(probs) if row[f"__p{i}"] is None else list(row[f"__p{i}"]) for i, c in enumerate(cols)}
+    raise ValueError(method)
 
 
-def medians(df: DataFrame, cols, method: str = "auto") -> dict:
+def medians(df: DataFrame, cols, method: str = "exact") -> dict:
     return {c: v[0] for c, v in quantile_values(df, cols, [0.5], method=method).items()}

@@ -54,7 +54,7 @@ class StandardScaler:
 class RobustScaler:
     """(x − median) / (Q3 − Q1), exact interpolated quartiles; IQR 0 → 1."""
 
-    def __init__(self, cols, method: str = "auto"):
+    def __init__(self, cols, method: str = "exact"):
         self.cols, self.method = list(cols), method
 
     def fit(self, df: DataFrame) -> AffineModel:
@@ -154,7 +154,7 @@ class QuantileNormalModel:
 class QuantileNormalizer:
     """Z3 fit: ``n_quantiles`` exact quantiles per column (capped by row count)."""
 
-    def __init__(self, cols, n_quantiles: int = 1000, output: str = "normal", method: str = "auto"):
+    def __init__(self, cols, n_quantiles: int = 1000, output: str = "normal", method: str = "exact"):
         self.cols, self.n, self.output, self.method = list(cols), n_quantiles, output, method
 
     def fit(self, df: DataFrame) -> QuantileNormalModel:

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.sqltext import lit, q
 from .profile import col_, corr_with_targets, feature_long, guarded_corr, variance_table
 
 
@@ -73,11 +74,18 @@ def top_importances(imp: DataFrame, k: int = 20, group_cols=("target",)) -> Data
     return mean.withColumn("rank", F.row_number().over(w).cast("long")).filter(F.col("rank") <= k)
 
 
-def top_contributions(contrib: DataFrame, k: int = 15, id_col: str = "player_id") -> DataFrame:
-    """K8: per (player, target) the ``k`` largest |contribution|; each window
-    partition holds one player's features only (bounded by the feature list)."""
-    w = Window.partitionBy(id_col, "target").orderBy(F.desc(F.abs("value")), F.asc("feature"))
-    return contrib.withColumn("rank", F.row_number().over(w).cast("long")).filter(F.col("rank") <= k)
+def top_contributions(df: DataFrame, values: dict, k: int = 15, id_col: str = "player_id") -> DataFrame:
+    """K8: the ``k`` largest |contribution| per player and target. ``values``
+    is target → {feature: SQL of the contribution}. All of a player's values
+    lie in one row, so an array is sorted in the row and its head inlined: no
+    shuffle, no long table of every contribution."""
+    parts = []
+    for target, exprs in values.items():
+        items = ", ".join(f"named_struct('o', -abs({v}), 'feature', {lit(f)}, 'value', {v})" for f, v in exprs.items())
+        head = f"slice(array_sort(filter(array({items}), x -> x.value IS NOT NULL)), 1, {int(k)})"
+        parts.append(f"transform({head}, (x, i) -> named_struct('target', {lit(target)}, 'feature', x.feature, "
+                     "'value', x.value, 'rank', CAST(i + 1 AS BIGINT)))")
+    return df.selectExpr(q(id_col), f"inline(flatten(array({', '.join(parts)})))")
 
 
 def page(df: DataFrame, order_by, where=None, limit: int = 20, offset: int = 0) -> DataFrame:

@@ -11,6 +11,7 @@ can check them; fit-type operators live in ``catalog_models``.
 
 from __future__ import annotations
 
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -216,6 +217,13 @@ def q_drop_sparse(spark, sf_dir):
     return prof.withColumn("removed", F.col("Percentual") > 70.0)
 
 
+@register("sparse_columns_dropped", "A3 P8")
+def q_sparse_dropped(spark, sf_dir):
+    """The reduced table itself; targets and the id are protected."""
+    df = _with_sparse(_negatives_nulled(spark, sf_dir))
+    return round6(PR.drop_sparse(df, protect=TARGETS + (ID_COL,)))
+
+
 @register("filter_targets", "F1 F2 F3")
 def q_filter_targets(spark, sf_dir):
     df = player_table(spark, sf_dir)
@@ -258,23 +266,21 @@ def q_mode_impute(spark, sf_dir):
 
 @register("iqr_outliers", "I4 A8 F3")
 def q_iqr_outliers(spark, sf_dir):
-    df, fill = clean_for_training(player_table(spark, sf_dir))
+    df, _ = clean_for_training(player_table(spark, sf_dir))
     df = materialize(df)
     cols = [c for c in FAM.numeric_columns(df, exclude=FAM.TARGET_COLUMNS + ID_COLUMNS)
             if c not in FAM.SLEEP_COLUMNS and c not in FAM.CATEGORICAL_COLUMNS]
-    # the fill's distinct estimates bound these columns too (guard pass skipped)
-    model = IQROutlierClipper(cols).fit(df, estimates=fill.filled_estimates(cols))
+    model = IQROutlierClipper(cols).fit(df)
     return round6(model.transform(df).select(ID_COL, *cols))
 
 
 @register("outlier_counts", "I4 A4 A8")
 def q_outlier_counts(spark, sf_dir):
-    df, fill = clean_for_training(player_table(spark, sf_dir))
+    df, _ = clean_for_training(player_table(spark, sf_dir))
     df = materialize(df)
     cols = [c for c in FAM.numeric_columns(df, exclude=FAM.TARGET_COLUMNS + ID_COLUMNS)
             if c not in FAM.SLEEP_COLUMNS and c not in FAM.CATEGORICAL_COLUMNS]
-    # the fill's distinct estimates bound these columns too (guard pass skipped)
-    model = IQROutlierClipper(cols).fit(df, estimates=fill.filled_estimates(cols))
+    model = IQROutlierClipper(cols).fit(df)
     counts = model.count_outliers(df)
     rows = [{"column": F.lit(c), "lower": F.lit(model.bounds[c][0]).cast("double"),
              "upper": F.lit(model.bounds[c][1]).cast("double"), "outliers": F.col(f"`{c}`")} for c in cols]
@@ -290,6 +296,27 @@ def q_one_hot(spark, sf_dir):
     return SEL.melt(enc, [ID_COL], model.output_columns(), "dummy", "flag")
 
 
+@register("one_hot_sparse", "I5")
+def q_one_hot_sparse(spark, sf_dir):
+    """Every categorical column present, in the long form without a level list."""
+    from ..operators.encode import indicators
+    df = player_table(spark, sf_dir)
+    return indicators(df, ID_COL, [c for c in FAM.CATEGORICAL_COLUMNS if c in df.columns])
+
+
+@register("row_id", "P13")
+def q_row_id(spark, sf_dir):
+    """Id column if present (as text); else a running number, unique per row."""
+    from ..sources.schema import row_id
+    df = player_table(spark, sf_dir).select(F.col(ID_COL).alias(FAM.ID_COLUMN))
+    named = row_id(df).select("__row_id")
+    made = row_id(df.select(F.lit(1).alias("x"))).select("__row_id")
+    return (named.agg(F.count("*").alias("rows"), F.countDistinct("__row_id").alias("ids"), F.min("__row_id").alias("least"))
+            .withColumn("kind", F.lit("given"))
+            .unionByName(made.agg(F.count("*").alias("rows"), F.countDistinct("__row_id").alias("ids"), F.min("__row_id").alias("least"))
+                         .withColumn("kind", F.lit("running"))))
+
+
 # --------------------------------------------------------------------------
 # row statistics and engineered features
 # --------------------------------------------------------------------------
@@ -369,6 +396,12 @@ def q_corr_rank(spark, sf_dir):
     return round6(ranked.filter(F.col("rank") <= 30))
 
 
+@register("corr_rank_target2", "A10 K2")
+def q_corr_rank2(spark, sf_dir):
+    df = engineered(spark, sf_dir)
+    return round6(SEL.corr_ranking(df, _feature_pool(df), "Target2").filter(F.col("rank") <= 12))
+
+
 @register("corr_select_target3", "K3")
 def q_corr_select_t3(spark, sf_dir):
     df = engineered(spark, sf_dir)
@@ -502,24 +535,29 @@ def q_metrics(spark, sf_dir):
 
 @register("metrics_report", "M16 S6 L9")
 def q_metrics_report(spark, sf_dir):
-    """Metrics table keyed by target, joined to friendly names; a target without
-    metrics yields a NULL row (the 'missing file tolerated' case)."""
+    """The metrics of all three targets go through the metrics store; the
+    report joins them to friendly names, and a target without a record gives a
+    NULL row (the 'missing file tolerated' case)."""
+    from ..session import scratch_path
+    from ..sources.sinks import load_metrics, save_metrics
     df = scored(spark, sf_dir)
-    have = list(PRED_NAMES.items())[:2]
-    one = df.agg(*[a for i, (t, p) in enumerate(have) for a in metric_aggs(t, p, prefix=f"__m{i}_")])
-    metrics = PR.to_long(one, [{"target": sql_lit(t), "n": f"__m{i}_n", "r2": f"__m{i}_r2",
-                                "mae": f"__m{i}_mae", "rmse": f"__m{i}_rmse"} for i, (t, _) in enumerate(have)])
+    row = df.agg(*[a for i, (t, p) in enumerate(PRED_NAMES.items()) for a in metric_aggs(t, p, prefix=f"__m{i}_")]).first()
+    records = {t: {"r2_test": row[f"__m{i}_r2"], "mae_test": row[f"__m{i}_mae"], "rmse_test": row[f"__m{i}_rmse"],
+                   "n_features": len(FIXED_LINEAR[t][1])} for i, t in enumerate(PRED_NAMES)}
+    path = scratch_path(spark, f"metrics-{uuid.uuid4().hex}")
+    save_metrics(spark, records, path)
     names = spark.createDataFrame([("Target1", "R1 (Performance)"), ("Target2", "R2 (Variável)"),
-                                   ("Target3", "R3 (Formulários)")], "target string, name string")
-    return round6(names.join(F.broadcast(metrics), "target", "left").select("name", "target", "r2", "mae", "rmse", "n"))
+                                   ("Target3", "R3 (Formulários)"), ("Target4", "não encontrado")], "target string, name string")
+    stored = load_metrics(spark, path, targets=("Target1", "Target2", "Target3", "Target4"))
+    return round6(names.join(stored, "target").select("name", "target", "r2_test", "mae_test", "rmse_test", "n_features"))
 
 
-def contributions(df: DataFrame) -> DataFrame:
+def contributions(df: DataFrame, means=None) -> DataFrame:
     """M15 (linear): coef·(x − mean(x)) per feature, long form; with the
     ensemble of scaled members the mean contribution is the scale mean × it."""
     s = sum(FIXED_ENSEMBLE_SCALE) / len(FIXED_ENSEMBLE_SCALE)
     feats = sorted({c for _, coefs in FIXED_LINEAR.values() for c in coefs})
-    means = df.agg(*[F.expr(f"avg({q(c)})").alias(c) for c in feats]).first()
+    means = means or df.agg(*[F.expr(f"avg({q(c)})").alias(c) for c in feats]).first()
     structs = []
     for t, (_, coefs) in FIXED_LINEAR.items():
         for c, w in coefs.items():
@@ -533,9 +571,20 @@ def q_contrib(spark, sf_dir):
     return round6(contributions(engineered(spark, sf_dir)))
 
 
+def wide_scorer(columns) -> dict:
+    """A fixed linear scorer over a whole feature list: the weight of the
+    feature at place i in name order is (i mod 7 + 1) / 7, with alternating sign."""
+    return {c: (i % 7 + 1) / 7 * (-1) ** i for i, c in enumerate(sorted(columns))}
+
+
 @register("top_contributions", "K8")
 def q_top_contrib(spark, sf_dir):
-    return round6(SEL.top_contributions(contributions(engineered(spark, sf_dir)), k=3))
+    """The 15 largest of all features' contributions per player."""
+    df = engineered(spark, sf_dir)
+    weights = wide_scorer(_feature_pool(df))
+    means = df.agg(*[F.expr(f"avg({q(c)})").alias(c) for c in weights]).first()
+    values = {c: f"{sql_lit(float(w))} * ({q(c)} - {sql_lit(means[c])})" for c, w in weights.items() if means[c] is not None}
+    return round6(SEL.top_contributions(df, {"Target1": values}, k=15))
 
 
 @register("lookup_player", "F5 F4")
@@ -545,6 +594,41 @@ def q_lookup(spark, sf_dir):
     return round6(df.filter(F.col(ID_COL) == first_id).select(ID_COL, *PRED_NAMES.values()))
 
 
+@register("history_replay", "S5")
+def q_history_replay(spark, sf_dir):
+    """Two batches of one run, one of them written twice, and a batch of
+    another run with the same number: the history keeps each batch once."""
+    from ..session import scratch_path
+    from ..sources.sinks import append_history, read_history
+    preds = materialize(scored(spark, sf_dir).select(
+        F.col(ID_COL).alias("Código de Acesso"), *[C.round_half_even(p, 2).alias(f"Previsão T{i + 1}") for i, p in enumerate(PRED_NAMES.values())]))
+    path, even = scratch_path(spark, f"history-{uuid.uuid4().hex}"), F.col("`Código de Acesso`") % 2 == 0
+    for run, batch, rows in (("a", 0, preds.filter(even)), ("a", 1, preds.filter(~even)), ("a", 1, preds.filter(~even)), ("b", 0, preds.filter(~even))):
+        append_history(rows, path, user_id=1, run_id=run, batch_id=batch)
+    preds.unpersist()
+    hist = read_history(spark, path)
+    return round6(hist.groupBy("run_id", "batch_id").agg(F.count("*").alias("rows"), F.countDistinct("id").alias("ids"),
+                                                         F.avg("pred_t2").alias("avg_t2")))
+
+
+@register("lookup_history", "F5 F4 S5")
+def q_lookup_history(spark, sf_dir):
+    """One player from the stored history (the filter reaches the scan), with
+    the contributions behind each prediction."""
+    from ..session import scratch_path
+    from ..sources.sinks import append_history, read_history
+    df = materialize(scored(spark, sf_dir))
+    path = scratch_path(spark, f"history-{uuid.uuid4().hex}")
+    append_history(df.select(F.col(ID_COL).alias("Código de Acesso"), *[
+        F.col(p).alias(f"Previsão T{i + 1}") for i, p in enumerate(PRED_NAMES.values())]), path, user_id=1, run_id="a")
+    found = read_history(spark, path).filter("user_id = 1 AND jogador_id = '7'")
+    long = found.select("jogador_id", F.expr("inline(array(" + ", ".join(
+        f"named_struct('target', '{t}', 'prediction', {p})" for t, p in PRED_NAMES.items()) + "))"))
+    means = df.agg(*[F.avg(c).alias(c) for c in {c for _, w in FIXED_LINEAR.values() for c in w}]).first()
+    mine = contributions(df.filter(F.col(ID_COL) == 7), means).select("target", "feature", "value")
+    return round6(long.join(mine, "target"))
+
+
 @register("kpis", "A19")
 def q_kpis(spark, sf_dir):
     df = scored(spark, sf_dir)
@@ -605,13 +689,33 @@ def q_ols(spark, sf_dir):
 
 @register("loo_linear", "M12 M9")
 def q_loo(spark, sf_dir):
-    """Exact leave-one-out of the 1-feature OLS via the hat diagonal."""
+    """Exact leave-one-out of the 1-feature OLS via the hat diagonal, on all
+    rows and with the feature missing in a fifth of them."""
     df = engineered(spark, sf_dir)
     rows = []
-    for t in TARGETS:
-        r = linear_loo(df.filter(F.col(t).isNotNull()), ["P_mean"], t)
-        rows.append((t, r["r2_loo"], r["mae_loo"], r["rmse_loo"], r["n"]))
-    return round6(spark.createDataFrame(rows, "target string, r2_loo double, mae_loo double, rmse_loo double, n long"))
+    for case, x in (("all", "P_mean"), ("missing", "__part")):
+        data = df.withColumn("__part", F.when(F.col("Acordar") != 0, F.col("P_mean")))
+        for t in TARGETS:
+            r = linear_loo(data, [x], t)
+            rows.append((case, t, r["r2_loo"], r["mae_loo"], r["rmse_loo"], r["n"]))
+    return round6(spark.createDataFrame(rows, "case string, target string, r2_loo double, mae_loo double, rmse_loo double, n long"))
+
+
+@register("saved_plan_scoring", "S7 M13 M1 P9 E8 E10 Z2")
+def q_saved_plan(spark, sf_dir):
+    """Two targets with their own preparation (features, product, alignment,
+    robust scaler) and least squares, saved, loaded into a fresh plan and
+    applied; the third target has no model and stays NULL."""
+    from ..session import scratch_path
+    from .scoring import TargetModel, fit_scoring_plan, score
+    from .state import load_state, save_state
+    raw = player_table(spark, sf_dir)
+    plan = fit_scoring_plan(raw, targets=(
+        TargetModel("Target1", 1, ["P_mean", "P_mean_X_T_mean"], ["P_mean_X_T_mean"]),
+        TargetModel("Target3", 3, ["T_mean", "F1103_X_P_mean"], ["F1103_X_P_mean"])))
+    path = scratch_path(spark, f"plan-{uuid.uuid4().hex}")
+    save_state(spark, plan, path)
+    return score(raw, load_state(spark, path), ID_COL)
 
 
 # --------------------------------------------------------------------------
@@ -619,44 +723,48 @@ def q_loo(spark, sf_dir):
 # --------------------------------------------------------------------------
 
 def standardized_cluster(spark, sf_dir):
-    """Scored frame + cluster features standardized in place (Z1). The E7
-    features already exist on the engineered frame, so predictions, raw score
-    and cluster inputs stay on one frame — no join back."""
+    """Scored frame and the cluster model on it: standardized features (Z1),
+    fixed centroids and loadings, saved and loaded like any fitted state. The
+    E7 features already exist on the engineered frame, so predictions, raw
+    score and cluster inputs stay on one frame — no join back."""
+    from ..operators.cluster import ClusterModel
+    from ..session import scratch_path
+    from .state import load_state, save_state
     df = scored(spark, sf_dir).withColumn("raw_p_mean", F.col("P_mean"))
     cols = list(FE.CLUSTER_FEATURES)
-    return StandardScaler(cols).fit(df).transform(df), cols
+    path = scratch_path(spark, f"cluster-{uuid.uuid4().hex}")
+    save_state(spark, ClusterModel(cols, StandardScaler(cols).fit(df), FIXED_CENTROIDS, FIXED_LOADINGS), path)
+    return df, load_state(spark, path)
 
 
-def assign_fixed(df, cols):
-    from ..operators.cluster import assign_nearest, project
-    out = assign_nearest(df, cols, FIXED_CENTROIDS, "cluster")
-    return project(out, cols, FIXED_LOADINGS, "pc")
+def assign_fixed(df, model):
+    return model.transform(df)
 
 
 @register("cluster_assign", "C2 Z1 E7")
 def q_cluster_assign(spark, sf_dir):
-    df, cols = standardized_cluster(spark, sf_dir)
-    return assign_fixed(df, cols).select(ID_COL, "cluster")
+    df, model = standardized_cluster(spark, sf_dir)
+    return assign_fixed(df, model).select(ID_COL, "cluster")
 
 
 @register("pca_project", "C3 Z1")
 def q_pca(spark, sf_dir):
-    df, cols = standardized_cluster(spark, sf_dir)
-    return round6(assign_fixed(df, cols).select(ID_COL, "pc1", "pc2"))
+    df, model = standardized_cluster(spark, sf_dir)
+    return round6(assign_fixed(df, model).select(ID_COL, "pc1", "pc2"))
 
 
 @register("cluster_names", "C5 A16")
 def q_cluster_names(spark, sf_dir):
     from ..operators.cluster import name_clusters
-    df, cols = standardized_cluster(spark, sf_dir)
-    return round6(name_clusters(assign_fixed(df, cols), "cluster", "raw_p_mean"))
+    df, model = standardized_cluster(spark, sf_dir)
+    return round6(name_clusters(assign_fixed(df, model), "cluster", "raw_p_mean"))
 
 
 @register("cluster_report", "A17 A18 C6 L9")
 def q_cluster_report(spark, sf_dir):
     from ..operators.cluster import cluster_report
-    df, cols = standardized_cluster(spark, sf_dir)
-    out = assign_fixed(df, cols)
+    df, model = standardized_cluster(spark, sf_dir)
+    out = assign_fixed(df, model)
     # names come from the report's own per-cluster aggregate (one grouping)
     return round6(cluster_report(out, "cluster", "raw_p_mean", list(PRED_NAMES.values())))
 

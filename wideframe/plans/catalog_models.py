@@ -57,9 +57,8 @@ def q_seed_ensemble(spark, sf_dir):
     df = engineered(spark, sf_dir)
     rows = []
     for t in ("Target2", "Target3"):
-        ens, unseen = M.fit_seed_ensemble(df, MODEL_FEATURES, t, ID_COL, kind="gbt", maxIter=30, maxDepth=4)
-        train = df.filter(F.col(t).isNotNull())
-        tr = M.evaluate_any(ens, train, t)
+        ens, seen, unseen = M.fit_seed_ensemble(df, MODEL_FEATURES, t, ID_COL, kind="gbt", maxIter=30, maxDepth=4)
+        tr = M.evaluate_any(ens, seen, t)
         te = M.evaluate_any(ens, unseen, t)
         rows.append((t, tr["r2"], te["r2"], te["mae"], te["rmse"], overfitting_value(tr["r2"], te["r2"]),
                      len(MODEL_FEATURES), len(ens.members), te["n"]))
@@ -90,7 +89,7 @@ def q_importances(spark, sf_dir):
     rows = []
     rf = M.fit_pipeline(df, MODEL_FEATURES, "Target1", "random_forest", 42, numTrees=30, maxDepth=6)
     rows += [("Target1", f, v) for f, v in M.importances(rf, MODEL_FEATURES)]
-    ens, _ = M.fit_seed_ensemble(df, MODEL_FEATURES, "Target2", ID_COL, kind="gbt", maxIter=20, maxDepth=3)
+    ens, _, _ = M.fit_seed_ensemble(df, MODEL_FEATURES, "Target2", ID_COL, kind="gbt", maxIter=20, maxDepth=3)
     for m in ens.members:
         rows += [("Target2", f, v) for f, v in M.importances(m, MODEL_FEATURES)]
     lin = M.fit_pipeline(df, MODEL_FEATURES, "Target3", "linear")
@@ -158,26 +157,50 @@ def q_stream(spark, sf_dir):
     """Upload files derived from the player table arrive in a folder; a
     ``readStream`` scores each with frozen training statistics and appends to
     the history, which is read back."""
-    from ..sources.schema import read_csv, require_columns
-    from ..streaming.score_stream import run_until_done, start_scoring_stream, upload_schema
+    from ..sources.sinks import read_history
+    from ..streaming.score_stream import run_until_done, start_scoring_stream
     from .scoring import fit_scoring_plan
 
     raw = player_table(spark, sf_dir).withColumnRenamed(ID_COL, "Código de Acesso")
     plan = fit_scoring_plan(raw, linear=FIXED_LINEAR, ensemble_scale=FIXED_ENSEMBLE_SCALE)
     base = scratch_path(spark, f"stream-{uuid.uuid4().hex}")
     inbox, hist, ckpt = f"{base}/inbox", f"{base}/history", f"{base}/checkpoint"
-    # two uploads, split by a hash of the id (whole table, no rows dropped)
+    # three uploads, split by a hash of the id (whole table, no rows dropped):
+    # comma and UTF-8; semicolon and decimal comma; latin-1, columns in reverse order
     as_text = raw.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in raw.columns])
-    part = F.abs(F.xxhash64(F.col("`Código de Acesso`"))) % 2
-    for k in (0, 1):
-        as_text.filter(part == k).write.option("header", True).mode("overwrite").csv(f"{inbox}/upload_{k}")
-    first, _ = read_csv(spark, f"{inbox}/upload_0")
-    require_columns(first)
-    schema = upload_schema(first.columns)
-    q = start_scoring_stream(spark, f"{inbox}/*", hist, ckpt, plan, schema, "Código de Acesso", user_id=1)
-    run_until_done(q)
+    part = F.abs(F.xxhash64(F.col("`Código de Acesso`"))) % 3
+    as_text.filter(part == 0).write.option("header", True).csv(f"{inbox}/upload_0")
+    comma = [F.regexp_replace(F.col(f"`{c}`"), r"^(-?[0-9]+)\.([0-9]+)$", "$1,$2").alias(c) for c in raw.columns]
+    as_text.filter(part == 1).select(*comma).write.option("header", True).option("sep", ";").csv(f"{inbox}/upload_1")
+    as_text.filter(part == 2).select(*reversed(raw.columns)).withColumn("Observação", F.lit("manhã")).write.option(
+        "header", True).option("encoding", "ISO-8859-1").csv(f"{inbox}/upload_2")
+    run_until_done(start_scoring_stream(spark, f"{inbox}/*", hist, ckpt, plan, "Código de Acesso", user_id=1))
     # the upload timestamp and batch id depend on arrival; the scored records do not
-    return spark.read.parquet(hist).select("user_id", "jogador_id", "pred_t1", "pred_t2", "pred_t3")
+    return read_history(spark, hist).select("user_id", "jogador_id", "pred_t1", "pred_t2", "pred_t3")
+
+
+@register("uploads_readback", "S1 P1 P13")
+def q_uploads(spark, sf_dir):
+    """The player table written as three uploads in the three dialects and read
+    back: equal to the player table."""
+    from ..functions.families import numeric_columns
+    from ..sources.schema import read_csv
+    raw = player_table(spark, sf_dir)
+    base = scratch_path(spark, f"uploads-{uuid.uuid4().hex}")
+    text = raw.select(*[F.col(c).cast("string").alias(c) for c in raw.columns])
+    part = F.abs(F.xxhash64(F.col(ID_COL))) % 3
+    text.filter(part == 0).write.option("header", True).csv(f"{base}/a")
+    comma = [F.regexp_replace(c, r"^(-?[0-9]+)\.([0-9]+)$", "$1,$2").alias(c) for c in raw.columns]
+    text.filter(part == 1).select(*comma).write.option("header", True).option("sep", ";").csv(f"{base}/b")
+    text.filter(part == 2).select(*reversed(raw.columns)).withColumn("Nota", F.lit("vermelhão")).write.option(
+        "header", True).option("encoding", "ISO-8859-1").csv(f"{base}/c")
+    back, _ = read_csv(spark, [f"{base}/a", f"{base}/b", f"{base}/c"])
+    number = set(numeric_columns(raw, exclude=(ID_COL,)))
+    cols = [F.col(c).cast("double").alias(c) if c in number else F.regexp_replace(c, r"\.", ",").alias(c) if c == "F0103"
+            else F.col(c).cast(raw.schema[c].dataType).alias(c) for c in raw.columns]
+    if back.filter("Nota IS NOT NULL AND Nota <> 'vermelhão'").limit(1).count():
+        raise ValueError("latin-1 text was not decoded")
+    return round6(back.select(*cols))
 
 
 @register("export_readback", "S4 S8 Z1")
@@ -202,21 +225,19 @@ def q_export(spark, sf_dir):
     correlation report) to the shared folder, plus the fitted imputation values
     as a parameter table; returns what was written (name, rows) read back."""
     from ..operators import profile as PR
-    from ..operators.impute import MedianImputer
     from ..sources.sinks import export_tables
-    from .catalog import clean_player, nulled_player
-    from ..functions import families as FAM
+    from .prepare import clean_for_training
 
     eng = engineered(spark, sf_dir)
     feats = ["P_mean", "T_mean", "F_mean_geral", "sono_total"]
     scaled = StandardScaler(feats).fit(eng).transform(eng.select(ID_COL, *feats, *TARGETS))
-    tables = {"clean": clean_player(spark, sf_dir), "scaled": scaled,
+    clean, fill = clean_for_training(player_table(spark, sf_dir))
+    tables = {"clean": clean, "scaled": scaled,
               "target_summary": PR.describe(eng, list(TARGETS)),
               "correlations": PR.corr_report(eng, feats, list(TARGETS))}
     base = scratch_path(spark, f"export-{uuid.uuid4().hex}")
     paths = export_tables(tables, base)
-    nulled = nulled_player(spark, sf_dir)
-    MedianImputer(FAM.all_family_columns(nulled.columns)).fit(nulled).save(spark, f"{base}/imputer")
+    fill.save(spark, f"{base}/imputer")
     parts = [spark.read.parquet(p).agg(F.count(F.lit(1)).alias("rows")).withColumn("name", F.lit(n))
              for n, p in zip(tables, paths)]
     parts.append(spark.read.parquet(f"{base}/imputer").agg(F.count(F.lit(1)).alias("rows"))

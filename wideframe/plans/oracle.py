@@ -126,6 +126,10 @@ ORACLE["drop_sparse_columns"] = with_player(
     C1, NEG, "sp AS (SELECT neg.*, CASE WHEN Acordar = 0 THEN P01 END AS P16 FROM neg)") + (
     f"SELECT *, Percentual > 70.0 AS removed FROM ({_missing_sql('sp', ALLCOLS + ['P16'])})")
 
+# sparse in this layout: only the derived P16
+ORACLE["sparse_columns_dropped"] = with_player(C1, NEG) + (
+    f"SELECT player_id, Cor0202, Cor0204, {rounded(NUM + TGT)} FROM neg")
+
 ORACLE["filter_targets"] = with_player() + (
     "SELECT player_id, Target1 IS NOT NULL AS has_target1, "
     "CASE WHEN Target2 > 100 THEN 'high' ELSE 'normal' END AS t2_band FROM player "
@@ -183,6 +187,14 @@ ORACLE["one_hot"] = with_player() + "\nUNION ALL\n".join(
     f"SELECT player_id, '{c}_' || v AS dummy, CAST(coalesce({c} = v, false) AS INTEGER) AS flag "
     f"FROM player, (SELECT DISTINCT {c} AS v FROM player WHERE {c} IS NOT NULL) lv" for c in ("Cor0202", "Cor0204"))
 
+ORACLE["one_hot_sparse"] = with_player() + "\nUNION ALL\n".join(
+    f"SELECT player_id, '{c}_' || CAST({c} AS VARCHAR) AS dummy FROM player WHERE {c} IS NOT NULL"
+    for c in ["Cor0202", "Cor0204"] + P)
+
+ORACLE["row_id"] = with_player() + (
+    "SELECT count(*) AS rows, count(DISTINCT player_id) AS ids, min(CAST(player_id AS VARCHAR)) AS least, 'given' AS kind "
+    "FROM player UNION ALL SELECT count(*), count(*), '0', 'running' FROM player")
+
 ORACLE["row_stats"] = with_player(C1, C2, NULLED) + (
     f"SELECT player_id, {r6(S.row_mean(P))} AS P_mean, {r6(S.row_std(P))} AS P_std, {r6(S.row_min(P))} AS P_min, "
     f"{r6(S.row_max(P))} AS P_max, {r6(S.row_max(P) + ' - ' + S.row_min(P))} AS P_range, "
@@ -229,6 +241,11 @@ ORACLE["variance_filter"] = eng_prefix(VAR) + (
 ORACLE["corr_rank_target1"] = eng_prefix(VAR, RANK1) + (
     "SELECT feature, round(abs_corr, 6) AS abs_corr, \"rank\" FROM rk WHERE \"rank\" <= 30")
 
+ORACLE["corr_rank_target2"] = eng_prefix("v2 AS (" + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS feature, abs({S.guarded_corr(qi(c), 'Target2')}) AS abs_corr FROM eng" for c in POOL) + ")") + (
+    "SELECT feature, round(abs_corr, 6) AS abs_corr, \"rank\" FROM (SELECT *, row_number() OVER "
+    "(ORDER BY round(abs_corr * 1e12) / 1e12 DESC, feature ASC) AS \"rank\" FROM v2 WHERE abs_corr IS NOT NULL) WHERE \"rank\" <= 12")
+
 ORACLE["corr_select_target3"] = eng_prefix(VAR) + (
     "SELECT feature, round(abs_corr3, 6) AS abs_corr, \"rank\" FROM (SELECT feature, abs_corr3, "
     "row_number() OVER (ORDER BY round(abs_corr3 * 1e12) / 1e12 DESC, feature ASC) AS \"rank\" FROM var WHERE abs_corr3 IS NOT NULL) "
@@ -351,11 +368,11 @@ ORACLE["metrics_by_split"] = eng_prefix(
 
 ORACLE["metrics_report"] = eng_prefix(
     SCORED, "sp AS (SELECT * FROM sc)",
-    "m AS (" + " UNION ALL ".join(_metrics(t, p, "true") for t, p in list(PRED_NAMES.items())[:2]) + ")",
-    "names AS (SELECT * FROM (VALUES ('Target1', 'R1 (Performance)'), ('Target2', 'R2 (Variável)'), "
-    "('Target3', 'R3 (Formulários)')) v(target, name))") + (
-    "SELECT name, names.target, round(r2, 6) AS r2, round(mae, 6) AS mae, round(rmse, 6) AS rmse, n "
-    "FROM names LEFT JOIN m ON names.target = m.target")
+    "m AS (" + " UNION ALL ".join(_metrics(t, p, "true") for t, p in PRED_NAMES.items()) + ")",
+    "names AS (SELECT * FROM (VALUES ('Target1', 'R1 (Performance)', 4.0), ('Target2', 'R2 (Variável)', 4.0), "
+    "('Target3', 'R3 (Formulários)', 4.0), ('Target4', 'não encontrado', NULL)) v(target, name, k))") + (
+    "SELECT name, names.target, round(r2, 6) AS r2_test, round(mae, 6) AS mae_test, round(rmse, 6) AS rmse_test, "
+    "CAST(k AS DOUBLE) AS n_features FROM names LEFT JOIN m ON names.target = m.target")
 
 _SBAR = sum(FIXED_ENSEMBLE_SCALE) / len(FIXED_ENSEMBLE_SCALE)
 _CF = sorted({c for _, coefs in FIXED_LINEAR.values() for c in coefs})
@@ -367,9 +384,25 @@ MU = "mu AS (SELECT " + ", ".join(f"avg({qi(c)}) AS {qi('mu_' + c)}" for c in _C
 ORACLE["linear_contributions"] = eng_prefix(MU, CONTRIB) + (
     "SELECT player_id, target, feature, round(value, 6) AS value FROM ct")
 
-ORACLE["top_contributions"] = eng_prefix(MU, CONTRIB) + (
+WIDE = {c: (i % 7 + 1) / 7 * (-1) ** i for i, c in enumerate(sorted(POOL))}
+ORACLE["top_contributions"] = eng_prefix(
+    "wm AS (SELECT " + ", ".join(f"avg({qi(c)}) AS {qi('mu_' + c)}" for c in WIDE) + " FROM eng)",
+    "wc AS (" + "\nUNION ALL\n".join(
+        f"SELECT player_id, 'Target1' AS target, '{c}' AS feature, {w!r} * ({qi(c)} - {qi('mu_' + c)}) AS value FROM eng, wm"
+        for c, w in WIDE.items()) + ")") + (
     "SELECT player_id, target, feature, round(value, 6) AS value, \"rank\" FROM (SELECT *, row_number() OVER "
-    "(PARTITION BY player_id, target ORDER BY abs(value) DESC, feature ASC) AS \"rank\" FROM ct) WHERE \"rank\" <= 3")
+    "(PARTITION BY player_id, target ORDER BY abs(value) DESC, feature ASC) AS \"rank\" FROM wc WHERE value IS NOT NULL) "
+    "WHERE \"rank\" <= 15")
+
+ORACLE["lookup_history"] = eng_prefix(SCORED, MU, CONTRIB) + (
+    "SELECT CAST(sc.player_id AS VARCHAR) AS jogador_id, t.target, round(CASE t.target "
+    + " ".join(f"WHEN '{t}' THEN {p}" for t, p in PRED_NAMES.items()) + " END, 6) AS prediction, feature, "
+    "round(value, 6) AS value FROM sc JOIN ct t ON t.player_id = sc.player_id WHERE sc.player_id = 7")
+
+ORACLE["history_replay"] = eng_prefix(SCORED) + "\nUNION ALL\n".join(
+    f"SELECT '{run}' AS run_id, {batch}::INT AS batch_id, count(*) AS rows, count(*) AS ids, "
+    f"round(avg(round_even(pred_t2, 2)), 6) AS avg_t2 FROM sc WHERE player_id % 2 {op} 0"
+    for run, batch, op in (("a", 0, "="), ("a", 1, "<>"), ("b", 0, "<>")))
 
 ORACLE["lookup_player"] = eng_prefix(SCORED) + (
     f"SELECT player_id, {rounded(PREDS)} FROM sc WHERE player_id = (SELECT min(player_id) FROM sc)")
@@ -418,16 +451,35 @@ ORACLE["ols_one_feature"] = eng_prefix(SCORED, SPLIT) + " UNION ALL ".join(
     f"AS intercept FROM sp WHERE split = 'train' AND {t} IS NOT NULL" for t in TGT)
 
 
-def _loo(t):
-    return (f"SELECT '{t}' AS target, round(1 - sum(e * e) / (var_pop(y) * count(*)), 6) AS r2_loo, "
+def _loo(t, case, where):
+    return (f"SELECT '{case}' AS \"case\", '{t}' AS target, round(1 - sum(e * e) / (var_pop(y) * count(*)), 6) AS r2_loo, "
             f"round(avg(abs(e)), 6) AS mae_loo, round(sqrt(avg(e * e)), 6) AS rmse_loo, count(*) AS n FROM ("
             f"SELECT y, (y - (a + b * x)) / (1 - (1.0 / n + (x - xbar) * (x - xbar) / sxx)) AS e FROM "
-            f"(SELECT {t} AS y, P_mean AS x FROM eng WHERE {t} IS NOT NULL) d, "
+            f"(SELECT {t} AS y, P_mean AS x FROM eng WHERE {t} IS NOT NULL AND {where}) d, "
             f"(SELECT count(*) AS n, avg(P_mean) AS xbar, var_pop(P_mean) * count(*) AS sxx, "
-            f"regr_intercept({t}, P_mean) AS a, regr_slope({t}, P_mean) AS b FROM eng WHERE {t} IS NOT NULL) s)")
+            f"regr_intercept({t}, P_mean) AS a, regr_slope({t}, P_mean) AS b FROM eng WHERE {t} IS NOT NULL AND {where}) s)")
 
 
-ORACLE["loo_linear"] = eng_prefix() + " UNION ALL ".join(_loo(t) for t in TGT)
+ORACLE["loo_linear"] = eng_prefix() + " UNION ALL ".join(
+    _loo(t, case, where) for case, where in (("all", "true"), ("missing", "Acordar <> 0")) for t in TGT)
+
+
+def _ols2(t, x1, x2, name):
+    """Least squares on two features by the normal equations (the scaling of
+    the features does not change the predictions)."""
+    m = (f"SELECT avg(x1) AS m1, avg(x2) AS m2, avg(y) AS my, var_pop(x1) AS s11, var_pop(x2) AS s22, covar_pop(x1, x2) AS s12, "
+         f"covar_pop(x1, y) AS s1y, covar_pop(x2, y) AS s2y FROM (SELECT {x1} AS x1, {x2} AS x2, {t} AS y FROM eng WHERE {t} IS NOT NULL)")
+    return (f"{name} AS (SELECT player_id, my + (s22 * s1y - s12 * s2y) / (s11 * s22 - s12 * s12) * ({x1} - m1) "
+            f"+ (s11 * s2y - s12 * s1y) / (s11 * s22 - s12 * s12) * ({x2} - m2) AS pred FROM eng, ({m}) m)")
+
+
+ORACLE["saved_plan_scoring"] = eng_prefix(
+    _ols2("Target1", "P_mean", "P_mean * T_mean", "o1"), _ols2("Target3", "T_mean", "F1103 * P_mean", "o3")) + (
+    "SELECT CAST(o1.player_id AS VARCHAR) AS \"Código de Acesso\", round_even(o1.pred, 2) AS \"Previsão T1\", "
+    "CAST(NULL AS DOUBLE) AS \"Previsão T2\", round_even(o3.pred, 2) AS \"Previsão T3\" FROM o1 JOIN o3 ON o1.player_id = o3.player_id")
+
+ORACLE["uploads_readback"] = with_player() + (
+    f"SELECT player_id, Cor0202, Cor0204, F0103, {rounded(['QtdHorasDormi', 'Acordar'] + PIV + TGT)} FROM player")
 
 _CLF = ["P_mean", "P_std", "T_mean", "F_sono_mean", "F_final_mean"]
 _CLUSTER_RAW = {"P_mean": S.row_mean(P), "P_std": S.row_std(P), "T_mean": S.row_mean(T),

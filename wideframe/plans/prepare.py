@@ -95,7 +95,7 @@ def skip_rate_summary(df: DataFrame) -> DataFrame:
 
 def clean_for_training(df: DataFrame, targets=FAM.TARGET_COLUMNS, range_guard: bool = True,
                        with_skip_rates: bool = False, impute: bool = True,
-                       method: str = "auto", extra_medians=()):
+                       method: str = "exact", extra_medians=()):
     """Coerce → range guard → (skip rates) → −1 to NULL → median fill of P/T/F.
 
     Returns ``(df, fill_model)``; targets are excluded from every step (Q2).
@@ -115,7 +115,7 @@ def clean_for_training(df: DataFrame, targets=FAM.TARGET_COLUMNS, range_guard: b
         extra = [c for c in extra_medians if c in df.columns and c not in fam]
         fitted = MedianImputer(fam + extra, method=method).fit(df)
         values = fitted.values
-        model = FillModel({c: values[c] for c in fam}, fitted.estimates)
+        model = FillModel({c: values[c] for c in fam})
         model.extra = {c: values[c] for c in extra}
         df = model.transform(df)
     return df, model

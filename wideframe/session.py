@@ -51,7 +51,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(path)
         return path
-    if not sc.master.startswith("local"):
+    if sc.master != "local" and not sc.master.startswith("local["):
         raise RuntimeError("spark.checkpoint.dir is not set; it must name a shared folder")
     path = tempfile.mkdtemp(prefix="wideframe-ckpt-")
     sc.setCheckpointDir(path)

@@ -43,53 +43,68 @@ def dedupe_columns(df: DataFrame, rule: str = "serving") -> DataFrame:
     return df.toDF(*dedupe_names(df.columns, rule))
 
 
-@dataclass
+@dataclass(frozen=True)
 class Dialect:
     sep: str = ","
     decimal: str = "."
     encoding: str = "UTF-8"
 
 
-def sniff_dialect(header: str, raw: bytes | None = None) -> Dialect:
+def sniff_dialect(header: str, valid_utf8: bool = True) -> Dialect:
     """Default comma CSV; a header split by ';' means the ``sep=';'``,
-    decimal-comma dialect; undecodable bytes mean latin-1."""
-    enc = "UTF-8"
-    if raw is not None:
-        try:
-            raw.decode("utf-8")
-        except UnicodeDecodeError:
-            enc = "ISO-8859-1"
+    decimal-comma dialect; a body that is not UTF-8 means latin-1."""
+    enc = "UTF-8" if valid_utf8 else "ISO-8859-1"
     if header.count(";") > header.count(","):
         return Dialect(";", ",", enc)
     return Dialect(",", ".", enc)
 
 
-def _header_bytes(spark: SparkSession, path: str) -> bytes:
-    """First line of the first file, read as binary (one small record)."""
-    row = (spark.read.format("binaryFile").load(path).select("content").limit(1).first())
-    data = bytes(row["content"]) if row else b""
-    return data.split(b"\n", 1)[0].rstrip(b"\r")
+def _files(spark: SparkSession, paths: list[str]) -> list[dict]:
+    """Per file of an upload: its header line and whether every line decodes as
+    UTF-8. The check is one scan on the executors; of a file's content only the
+    first line reaches the driver."""
+    lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("file"))
+    # the text source keeps a line's bytes as they are
+    checked = lines.groupBy("file").agg(F.expr("bool_and(is_valid_utf8(value))").alias("utf8")).collect()
+    out = []
+    for r in sorted(checked, key=lambda r: r["file"]):
+        raw = bytes(spark.read.text(r["file"]).select(F.col("value").cast("binary").alias("v")).first()["v"]).rstrip(b"\r")
+        out.append({"file": r["file"], "utf8": r["utf8"],
+                    "header": raw.decode("utf-8" if r["utf8"] else "latin-1").lstrip("\ufeff")})
+    return out
 
 
-def read_csv(spark: SparkSession, path: str, dialect: Dialect | None = None,
+def read_csv(spark: SparkSession, path, dialect: Dialect | None = None,
              dedupe_rule: str = "serving") -> tuple[DataFrame, Dialect]:
-    """S1 + P1: read an uploaded CSV as all-string columns.
-
-    Spark's reader would rename repeated headers by appending their index
-    (``F0103`` → ``F01031``), corrupting family names, so the header is parsed
-    here, de-duplicated, and passed as a positional schema.
+    """S1 + P1: read uploaded CSV files (a path or a list of paths) as
+    all-string columns.
+
+    Every file is read with its own header and dialect and files are united by
+    column name, so uploads may order their columns differently. Spark's reader
+    would rename repeated headers by appending their index (``F0103`` →
+    ``F01031``), corrupting family names, so headers are parsed here,
+    de-duplicated, and passed as a positional schema. In the decimal-comma
+    dialect a comma between digits of a number becomes a point, in every
+    column. The returned dialect is the first file's.
     """
-    raw = _header_bytes(spark, path)
-    if dialect is None:
-        dialect = sniff_dialect(raw.decode("utf-8", errors="replace"), raw)
-    text = raw.decode("latin-1" if dialect.encoding != "UTF-8" else "utf-8", errors="replace")
-    header = next(csv.reader(io.StringIO(text), delimiter=dialect.sep))
-    names = dedupe_names([h.strip() for h in header], dedupe_rule)
-    schema = StructType([StructField(n, StringType()) for n in names])
-    df = (spark.read.option("header", True).option("enforceSchema", True)
-          .option("sep", dialect.sep).option("encoding", dialect.encoding)
-          .schema(schema).csv(path))
-    return df, dialect
+    paths = [path] if isinstance(path, str) else list(path)
+    groups: dict = {}
+    for f in _files(spark, paths):
+        d = dialect or sniff_dialect(f["header"], f["utf8"])
+        groups.setdefault((f["header"], d), []).append(f["file"])
+    if not groups or not all(h.strip() for h, _ in groups):
+        empty = [f for (h, _), fs in groups.items() if not h.strip() for f in fs]
+        raise ValueError(f"no header line in {', '.join(empty) or ', '.join(paths)}")
+    out = None
+    for (header, d), files in groups.items():
+        names = dedupe_names([h.strip() for h in next(csv.reader(io.StringIO(header), delimiter=d.sep))], dedupe_rule)
+        part = (spark.read.option("header", True).option("enforceSchema", True)
+                .option("sep", d.sep).option("encoding", d.encoding)
+                .schema(StructType([StructField(n, StringType()) for n in names])).csv(files))
+        if d.decimal == ",":
+            part = part.select(*[F.regexp_replace(F.col(f"`{n}`"), r"^(\s*[-+]?[0-9]*),([0-9]+\s*)$", "$1.$2").alias(n) for n in names])
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return out, next(iter(groups))[1]
 
 
 def require_columns(df: DataFrame, required=(ID_COLUMN,)) -> DataFrame:

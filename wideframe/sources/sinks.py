@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,21 +35,27 @@ def history_counts(hist: DataFrame, user_id: int) -> DataFrame:
             .select(format_ts("upload_timestamp").alias("timestamp"), "num_jogadores"))
 
 
-def append_history(preds: DataFrame, path: str, user_id: int, batch_ts: dt.datetime | None = None,
-                   id_col: str = "Código de Acesso") -> DataFrame:
-    """Append one batch with a single upload timestamp. The write of a
-    batch is one job: it commits whole or not at all."""
+def append_history(preds: DataFrame, path: str, user_id: int, run_id: str, batch_id: int = 0,
+                   batch_ts: dt.datetime | None = None, id_col: str = "Código de Acesso") -> None:
+    """Append one batch of predictions with a single upload timestamp, from
+    batch jobs and streams alike. A batch lives in its own (run, batch) folder
+    and is written with overwrite, so writing it again after a failure changes
+    nothing; another run never touches it."""
     batch_ts = batch_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
-    out = preds.select(
-        F.xxhash64(F.col(f"`{id_col}`").cast("string"), F.lit(str(batch_ts))).alias("id"),
+    preds.select(
+        F.xxhash64(F.col(f"`{id_col}`").cast("string"), F.lit(run_id), F.lit(batch_id)).alias("id"),
         F.lit(user_id).cast("int").alias("user_id"),
         F.lit(batch_ts).cast("timestamp").alias("upload_timestamp"),
         F.col(f"`{id_col}`").cast("string").alias("jogador_id"),
         F.col("`Previsão T1`").cast("double").alias("pred_t1"),
         F.col("`Previsão T2`").cast("double").alias("pred_t2"),
-        F.col("`Previsão T3`").cast("double").alias("pred_t3"))
-    out.write.mode("append").parquet(path)
-    return out
+        F.col("`Previsão T3`").cast("double").alias("pred_t3"),
+    ).write.mode("overwrite").parquet(f"{path.rstrip('/')}/run_id={run_id}/batch_id={int(batch_id)}")
+
+
+def read_history(spark: SparkSession, path: str) -> DataFrame:
+    """the stored history; filters on user or player reach the scan."""
+    return spark.read.parquet(path).select(*HISTORY_COLUMNS, "run_id", "batch_id")
 
 
 def export_tables(tables: dict, base: str, fmt: str = "parquet") -> list[str]:
@@ -78,10 +85,13 @@ def save_metrics(spark: SparkSession, records: dict, path: str) -> None:
 
 
 def load_metrics(spark: SparkSession, path: str, targets=("target1", "target2", "target3")) -> DataFrame:
-    """Metrics per requested target; a target without a row gives NULLs."""
+    """Metrics per requested target; a target without a row, or a table
+    that does not exist yet, gives NULLs. Any other read error is raised."""
     keys = spark.createDataFrame([(t,) for t in targets], "target string")
     try:
-        m = spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 — a missing table is tolerated like a missing file
-        return keys
-    return keys.join(m, "target", "left")
+        stored = spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return keys.withColumns({f: F.lit(None).cast("double") for f in METRIC_FIELDS})
+    return keys.join(stored, "target", "left")
