@@ -118,12 +118,13 @@ def _weights(p: int) -> np.ndarray:
     return np.array([math.factorial(k) * math.factorial(p - k - 1) / math.factorial(p) for k in range(p)])
 
 
-def tree_shap(X: np.ndarray, trees: list[Tree]) -> np.ndarray:
-    """Path-dependent SHAP values, shape (rows, features)."""
+def tree_shap(X: np.ndarray, trees: list[Tree], paths: list | None = None) -> np.ndarray:
+    """Path-dependent SHAP values, shape (rows, features). ``paths`` are the
+    trees' leaf paths, for callers that score many batches."""
     n, m = X.shape
     phi = np.zeros((n, m))
-    for t in trees:
-        for v, path in _leaf_paths(t):
+    for t, leaves in zip(trees, paths or map(_leaf_paths, trees)):
+        for v, path in leaves:
             if not path:
                 continue
             feats: dict[int, list] = {}
@@ -168,8 +169,8 @@ def tree_contributions(df: DataFrame, trees: list[Tree], features, id_col: str,
                        top_k: int | None = None) -> DataFrame:
     """Long (id, target, feature, value[, rank]) for a tree model via ``mapInPandas``.
 
-    The tree arrays travel with the function closure (model-sized); rows are
-    processed one Arrow batch at a time. With ``top_k`` the K8 report (largest
+    The tree arrays are broadcast once (model-sized) and their leaf paths are
+    listed once per task; rows are processed one Arrow batch at a time. With ``top_k`` the K8 report (largest
     |contribution| per player, ties by feature name) is taken inside the task:
     all of a player's contributions are produced together, so no window and
     no shuffle are needed.
@@ -184,12 +185,15 @@ def tree_contributions(df: DataFrame, trees: list[Tree], features, id_col: str,
     names = np.array(features, dtype=object)
     name_order = np.argsort(np.argsort(names))          # rank of each feature name
 
+    sent = df.sparkSession.sparkContext.broadcast(trees)
+
     def run(batches):
+        paths = [_leaf_paths(t) for t in sent.value]
         for pdf in batches:
             if pdf.empty:
                 continue
             X = pdf[features].to_numpy(dtype=float, na_value=np.nan)
-            phi = tree_shap(X, trees)
+            phi = tree_shap(X, sent.value, paths)
             n, m = phi.shape
             ids = pdf[id_col].to_numpy()
             if top_k is None:

@@ -46,6 +46,26 @@ def to_long(one_row: DataFrame, rows: list[dict]) -> DataFrame:
     return one_row.select(F.inline(F.array(*structs)))
 
 
+#: Most aggregate expressions in one pass: beyond it the generated code of a
+#: very wide table would not compile.
+PASS_EXPRESSIONS = 200
+
+
+def wide_agg(df: DataFrame, aggs: list[Column], chunk: int = PASS_EXPRESSIONS) -> DataFrame:
+    """One row of many global aggregates. Up to ``chunk`` of them are one lazy
+    aggregate; a wider list runs in passes whose few numbers come back as
+    literals (one number per expression reaches the driver)."""
+    if len(aggs) <= chunk:
+        return df.agg(*aggs)
+    values = {}
+    fields = []
+    for i in range(0, len(aggs), chunk):
+        part = df.agg(*aggs[i:i + chunk])
+        values.update(part.first().asDict())
+        fields += part.schema.fields
+    return df.sparkSession.createDataFrame([tuple(values[f.name] for f in fields)], StructType(fields))
+
+
 # --------------------------------------------------------------------------
 # counts, missing, conditional counts
 # --------------------------------------------------------------------------
@@ -56,7 +76,7 @@ def missing_profile(df: DataFrame, cols=None, only_missing: bool = True) -> Data
     cols = list(cols or df.columns)
     aggs = [F.expr("count(1)").alias("__n")]
     aggs += [F.expr(f"count_if({q(c)} IS NULL)").alias(f"__m{i}") for i, c in enumerate(cols)]
-    one = df.agg(*aggs)
+    one = wide_agg(df, aggs)
     rows = [{"Coluna": lit(c), "Missing": f"__m{i}",
              "Percentual": round_binary(f"__m{i} * 100D / __n", 2)}
             for i, c in enumerate(cols)]
@@ -84,7 +104,7 @@ def drop_sparse(df: DataFrame, threshold: float = 70.0, protect=()) -> DataFrame
 
 def count_where(df: DataFrame, conds: dict) -> DataFrame:
     """A4: one row of ``count_if`` results, one column per named condition."""
-    return df.agg(*[F.count_if(c).alias(name) for name, c in conds.items()])
+    return wide_agg(df, [F.count_if(c).alias(name) for name, c in conds.items()])
 
 
 # --------------------------------------------------------------------------
@@ -106,7 +126,7 @@ def variance_table(df: DataFrame, cols, fill_zero: bool = True, threshold: float
     def v(c):
         x = F.coalesce(col_(c).cast("double"), F.lit(0.0)) if fill_zero else col_(c).cast("double")
         return F.var_pop(x)
-    one = df.agg(*[v(c).alias(f"__v{i}") for i, c in enumerate(cols)])
+    one = wide_agg(df, [v(c).alias(f"__v{i}") for i, c in enumerate(cols)])
     rows = [{"feature": F.lit(c), "variance": F.col(f"__v{i}")} for i, c in enumerate(cols)]
     out = to_long(one, rows)
     if threshold is not None:
@@ -167,7 +187,7 @@ def corr_matrix(df: DataFrame, cols) -> DataFrame:
                 continue
             name = f"__r{i}_{j}"
             aggs.append(guarded_corr(col_(a).cast("double"), col_(b).cast("double")).alias(name))
-    one = df.agg(*aggs)
+    one = wide_agg(df, aggs)
     for i, a in enumerate(cols):
         for j, b in enumerate(cols):
             name = f"__r{min(i, j)}_{max(i, j)}"
@@ -184,7 +204,7 @@ def describe(df: DataFrame, cols, method: str = "exact") -> DataFrame:
     cols = list(cols)
     # one pass for the moments, then the exact quantiles; the report is built
     # from these few numbers per column
-    base = df.agg(*[F.expr(e).alias(f"__{k}{i}") for i, c in enumerate(cols) for k, e in (
+    base = wide_agg(df, [F.expr(e).alias(f"__{k}{i}") for i, c in enumerate(cols) for k, e in (
         ("n", f"count({q(c)})"), ("a", f"avg({q(c)})"), ("s", f"stddev_samp({q(c)})"),
         ("lo", f"CAST(min({q(c)}) AS DOUBLE)"), ("hi", f"CAST(max({q(c)}) AS DOUBLE)"))]).first()
     qs = Q.quantile_values(df, cols, [0.25, 0.5, 0.75], method=method)
@@ -218,7 +238,7 @@ def five_numbers(df: DataFrame, cols, method: str = "exact") -> DataFrame:
                      "q3": F.lit(q3).cast("double"), "lower_fence": F.lit(lo).cast("double"),
                      "upper_fence": F.lit(hi).cast("double"), "whisker_low": F.col(f"__wl{i}"),
                      "whisker_high": F.col(f"__wh{i}"), "n_outliers": F.col(f"__o{i}")})
-    return to_long(df.agg(*aggs), rows)
+    return to_long(wide_agg(df, aggs), rows)
 
 
 def histogram(df: DataFrame, cols, bins: int = 20) -> DataFrame:

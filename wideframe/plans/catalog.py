@@ -91,12 +91,14 @@ def clean_player(spark, sf_dir) -> DataFrame:
     return df
 
 
-def engineered(spark, sf_dir) -> DataFrame:
-    """Clean + the full target-1 feature set (E1, E4, E5, E6), persisted.
-    The sleep median comes from the same pass as the family medians (the
+def engineered(spark, sf_dir, keep: bool = True) -> DataFrame:
+    """Clean + the full target-1 feature set (E1, E4, E5, E6). Persisted unless
+    the caller reads it only once (``keep=False``): the nulled table that the
+    medians were taken from is kept already. The sleep median comes from the same pass as the family medians (the
     sleep column is not imputed, so it is the same number)."""
     df, fill = clean_for_training(player_table(spark, sf_dir), extra_medians=("QtdHorasDormi",))
-    return materialize(FE.target1_features(df, fill.extra["QtdHorasDormi"]))
+    out = FE.target1_features(df, fill.extra["QtdHorasDormi"])
+    return materialize(out) if keep else out
 
 
 def linear_pred_sql(coefs: dict, intercept: float) -> str:
@@ -352,7 +354,7 @@ def q_guarded(spark, sf_dir):
 
 @register("features_target1", "E1 E4 E5 E6 L8 R1 R2 R3 R4 R5 R8 A6")
 def q_features_t1(spark, sf_dir):
-    df = engineered(spark, sf_dir)
+    df = engineered(spark, sf_dir, keep=False)
     base = set(PLAYER_COLUMNS)
     new = [c for c in df.columns if c not in base]
     return round6(df.select(ID_COL, *new))
@@ -488,7 +490,7 @@ def q_kfold(spark, sf_dir):
 
 @register("align_features", "P9 P10 P12")
 def q_align(spark, sf_dir):
-    df = engineered(spark, sf_dir)
+    df = engineered(spark, sf_dir, keep=False)
     trained = ["T_mean", "P_mean", "not_in_upload", "sono_x_acordar", "P_mean_X_T_mean"]
     df = FE.add_interactions(df, ["P_mean_X_T_mean"])
     return round6(align_to(df, trained, keep=[ID_COL]))
@@ -498,19 +500,19 @@ def q_align(spark, sf_dir):
 # scoring, metrics, explanation (fixed linear scorers)
 # --------------------------------------------------------------------------
 
-def scored(spark, sf_dir) -> DataFrame:
-    return fixed_predictions(engineered(spark, sf_dir))
+def scored(spark, sf_dir, keep: bool = True) -> DataFrame:
+    return fixed_predictions(engineered(spark, sf_dir, keep))
 
 
 @register("ensemble_predictions", "M8 M13")
 def q_ensemble(spark, sf_dir):
-    df = scored(spark, sf_dir)
+    df = scored(spark, sf_dir, keep=False)
     return round6(df.select(ID_COL, *PRED_NAMES.values()))
 
 
 @register("prediction_output", "M13 L7 L11 P12 S8")
 def q_prediction_output(spark, sf_dir):
-    df = scored(spark, sf_dir)
+    df = scored(spark, sf_dir, keep=False)
     return df.select(C.id_string(ID_COL).alias("Código de Acesso"),
                      *[C.round_half_even(p, 2).alias(f"Previsão T{i + 1}")
                        for i, p in enumerate(PRED_NAMES.values())])
@@ -520,7 +522,7 @@ def q_prediction_output(spark, sf_dir):
 def q_metrics(spark, sf_dir):
     """Every (target, split) metric in one global aggregate (one scan, one
     partial row per task), reshaped to one row per target."""
-    df = scored(spark, sf_dir).withColumn("split", split_flag(ID_COL, 42, 25))
+    df = scored(spark, sf_dir, keep=False).withColumn("split", split_flag(ID_COL, 42, 25))
     aggs = []
     for i, (t, p) in enumerate(PRED_NAMES.items()):
         for sp in ("train", "test"):
@@ -600,7 +602,7 @@ def q_history_replay(spark, sf_dir):
     another run with the same number: the history keeps each batch once."""
     from ..session import scratch_path
     from ..sources.sinks import append_history, read_history
-    preds = materialize(scored(spark, sf_dir).select(
+    preds = materialize(scored(spark, sf_dir, keep=False).select(
         F.col(ID_COL).alias("Código de Acesso"), *[C.round_half_even(p, 2).alias(f"Previsão T{i + 1}") for i, p in enumerate(PRED_NAMES.values())]))
     path, even = scratch_path(spark, f"history-{uuid.uuid4().hex}"), F.col("`Código de Acesso`") % 2 == 0
     for run, batch, rows in (("a", 0, preds.filter(even)), ("a", 1, preds.filter(~even)), ("a", 1, preds.filter(~even)), ("b", 0, preds.filter(~even))):
@@ -631,7 +633,7 @@ def q_lookup_history(spark, sf_dir):
 
 @register("kpis", "A19")
 def q_kpis(spark, sf_dir):
-    df = scored(spark, sf_dir)
+    df = scored(spark, sf_dir, keep=False)
     return round6(df.agg(F.count(F.lit(1)).alias("players"),
                          *[F.avg(p).alias(f"avg_{p}") for p in PRED_NAMES.values()]))
 
@@ -658,13 +660,13 @@ def q_minmax(spark, sf_dir):
 
 @register("melt_predictions", "U1")
 def q_melt(spark, sf_dir):
-    df = scored(spark, sf_dir).select(ID_COL, *PRED_NAMES.values())
+    df = scored(spark, sf_dir, keep=False).select(ID_COL, *PRED_NAMES.values())
     return round6(SEL.melt(df, [ID_COL], list(PRED_NAMES.values()), "target", "prediction"))
 
 
 @register("page_predictions", "K9")
 def q_page(spark, sf_dir):
-    df = scored(spark, sf_dir).select(ID_COL, *PRED_NAMES.values())
+    df = scored(spark, sf_dir, keep=False).select(ID_COL, *PRED_NAMES.values())
     return round6(SEL.page(df, [F.desc("pred_t1"), F.asc(ID_COL)], where=F.col("pred_t2") > 100,
                            limit=25, offset=10))
 

@@ -27,17 +27,31 @@ MODEL_FEATURES = ["P_mean", "P_std", "T_mean", "T_std", "F_mean_geral", "F_final
                   "sono_total", "Acordar", "F0103"]
 
 
+#: Sizes of the registered leaderboard: the zoo's forest (100 trees, depth 10)
+#: and a tenth of its boosting rounds, so that the check stays affordable;
+#: ``models.leaderboard`` without sizes runs the zoo's 100.
+LEADERBOARD_SIZES = {"numTrees": 100, "maxDepth": 10, "maxIter": 10, "boosterIter": 10}
+
+
 @register("model_leaderboard", "M1 M2 M3 M4 M5 M6 M9 X1")
 def q_leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every model on every target (80/20 hash split), R²/RMSE/MAE on the
     test side, with the best model per target flagged."""
     df = engineered(spark, sf_dir)
+    sizes = {k: v for k, v in LEADERBOARD_SIZES.items() if k != "maxDepth"}
     board = M.leaderboard(df, MODEL_FEATURES, list(TARGETS), ID_COL,
-                          kinds=("linear", "ridge", "random_forest", "gbt"), test_pct=20,
-                          numTrees=50, maxIter=30)
+                          kinds=("linear", "ridge", "random_forest", "gbt", "booster"), test_pct=20, **sizes)
     best = M.best_models(board)
     out = board.join(F.broadcast(best), "target").withColumn("is_best", F.col("model") == F.col("best_model"))
-    return round6(out.drop("best_model", "best_r2"))
+    return round6(out.drop("best_model", "best_r2").withColumn("sizes", F.lit(str(sorted(LEADERBOARD_SIZES.items())))))
+
+
+@register("linear_leaderboard", "M1 M2 M6 M9 X1 Z1")
+def q_linear_leaderboard(spark, sf_dir):
+    """The closed-form part of the zoo on two features, which SQL can repeat."""
+    df = engineered(spark, sf_dir)
+    board = M.leaderboard(df, ["P_mean", "T_mean"], list(TARGETS), ID_COL, kinds=("linear", "ridge"), test_pct=20)
+    return round6(board)
 
 
 @register("gbt_random_search", "M7 X2")
@@ -126,6 +140,58 @@ def q_kmeans(spark, sf_dir):
     return round6(agg.join(F.broadcast(names), "cluster").withColumn("silhouette", F.lit(float(sil))))
 
 
+@register("kmeans_check", "C1 C2")
+def q_kmeans_check(spark, sf_dir):
+    """What a fitted k-means must satisfy, over the whole table: rows whose
+    cluster is not the nearest centre, and the largest distance between a
+    centre and the mean of its rows relative to the spread (Lloyd's fixed point)."""
+    z, cols = _cluster_frame(spark, sf_dir)
+    va, model = CL.fit_kmeans(z, cols, k=2, seed=42)
+    centres = {i: tuple(float(x) for x in c) for i, c in enumerate(model.clusterCenters())}
+    both = CL.assign_nearest(CL.kmeans_assign(z, va, model), cols, centres, "nearest")
+    one = both.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("cluster") != F.col("nearest")).alias("misplaced"),
+                   *[F.avg(F.when(F.col("cluster") == k, F.col(c))).alias(f"m{k}_{j}") for k in centres for j, c in enumerate(cols)])
+    off = F.greatest(*[F.abs(F.col(f"m{k}_{j}") - F.lit(centres[k][j])) for k in centres for j in range(len(cols))])
+    return one.select("rows", "misplaced", (off < 0.05).alias("centres_are_means"))
+
+
+@register("pca_check", "C3")
+def q_pca_check(spark, sf_dir):
+    """Two fitted components recomputed over the table: unit length, right
+    angle, uncorrelated coordinates, explained share = variance share."""
+    z, cols = _cluster_frame(spark, sf_dir)
+    loadings, explained = CL.fit_pca(z, cols, k=2)
+    p = CL.project(z.select(*cols), cols, loadings, "pc")
+    total = " + ".join(f"var_samp({c})" for c in cols)
+    one = p.agg(F.expr(f"var_samp(pc1) / ({total})").alias("s1"), F.expr(f"var_samp(pc2) / ({total})").alias("s2"),
+                F.expr("covar_samp(pc1, pc2)").alias("cov")).first()
+    dot = lambda a, b: sum(x * y for x, y in zip(a, b))
+    row = (dot(loadings[0], loadings[0]), dot(loadings[1], loadings[1]), abs(dot(*loadings)), abs(one["cov"]),
+           abs(one["s1"] - explained[0]), abs(one["s2"] - explained[1]))
+    return round6(spark.createDataFrame([row], "length1 double, length2 double, angle double, covariance double, gap1 double, gap2 double"))
+
+
+@register("tree_contributions_check", "M15")
+def q_tree_contrib_check(spark, sf_dir):
+    """Local accuracy for every player: base + sum of contributions = prediction."""
+    df = engineered(spark, sf_dir)
+    model = M.fit_pipeline(df, MODEL_FEATURES, "Target1", "gbt", 42, maxIter=5, maxDepth=3)
+    trees = EX.trees_from_model(model.stages[-1], spark)
+    base = EX.expected_value(trees)
+    sums = EX.tree_contributions(df, trees, MODEL_FEATURES, ID_COL, "T1").groupBy(ID_COL).agg(F.sum("value").alias("s"))
+    pred = model.transform(df).select(ID_COL, "prediction")
+    return round6(pred.join(sums, ID_COL).agg(F.count(F.lit(1)).alias("players"), F.max(
+        F.round(F.abs(F.col("prediction") - F.col("s") - F.lit(base)), 6)).alias("largest_gap")))
+
+
+@register("quantile_normal_small", "Z3")
+def q_quantile_normal_small(spark, sf_dir):
+    """Z3 with both stages on 11 quantiles, which SQL can repeat."""
+    df = engineered(spark, sf_dir)
+    cols = ["P_mean", "T_mean", "F_mean_geral"]
+    return round6(QuantileNormalizer(cols, n_quantiles=11).fit(df).transform(df.select(ID_COL, *cols)))
+
+
 @register("pca_fit", "C3")
 def q_pca_fit(spark, sf_dir):
     z, cols = _cluster_frame(spark, sf_dir)

@@ -566,6 +566,47 @@ ORACLE["quantile_uniform"] = eng_prefix(
     "SELECT player_id, " + ", ".join(f"round({_uniform_sql(c)}, 6) AS {qi(c)}" for c in _QU) + " FROM jk")
 
 
+def _ppf(u):
+    """Inverse normal CDF, rational approximation in three pieces."""
+    from ..operators.scale import _A, _B, _BOUNDS, _C, _D, _P_LOW
+    poly = lambda cs, x: "(" * (len(cs) - 1) + f"({cs[0]!r})" + "".join(f" * {x} + ({c!r}))" for c in cs[1:])
+    v = f"greatest({_BOUNDS!r}, least({1 - _BOUNDS!r}, {u}))"
+    tail = lambda p: f"({poly(_C, f'sqrt(-2 * ln({p}))')} / {poly(_D + (1.0,), f'sqrt(-2 * ln({p}))')})"
+    r = f"(({v} - 0.5) * ({v} - 0.5))"
+    return (f"CASE WHEN {v} < {_P_LOW!r} THEN {tail(v)} WHEN {v} > {1 - _P_LOW!r} THEN -{tail(f'(1 - {v})')} "
+            f"ELSE {poly(_A, r)} * ({v} - 0.5) / {poly(_B + (1.0,), r)} END")
+
+
+ORACLE["quantile_normal_small"] = ORACLE["quantile_uniform"].rpartition("SELECT player_id, ")[0] + (
+    "SELECT player_id, " + ", ".join(f"round({_ppf(qi(c))}, 6) AS {qi(c)}" for c in _QU)
+    + " FROM (SELECT player_id, " + ", ".join(f"{_uniform_sql(c)} AS {qi(c)}" for c in _QU) + " FROM jk)")
+
+ORACLE["export_outputs"] = with_player() + " UNION ALL ".join(
+    f"SELECT '{n}' AS name, {k} AS rows FROM player" for n, k in (("clean", "count(*)"), ("scaled", "count(*)"))) + (
+    f" UNION ALL SELECT * FROM (VALUES ('target_summary', 3), ('correlations', 4), ('imputer_params', {len(FAMC)})) v(name, rows)")
+
+ORACLE["kmeans_check"] = with_player() + "SELECT count(*) AS rows, 0 AS misplaced, true AS centres_are_means FROM player"
+ORACLE["pca_check"] = "SELECT 1.0 AS length1, 1.0 AS length2, 0.0 AS angle, 0.0 AS covariance, 0.0 AS gap1, 0.0 AS gap2"
+ORACLE["tree_contributions_check"] = with_player() + "SELECT count(*) AS players, 0.0 AS largest_gap FROM player"
+
+
+def _linear_board(t, model, alpha):
+    """Ridge (alpha on standardized slopes; 0 is least squares) on two features."""
+    z = lambda c: f"(({c} - (SELECT avg({c}) FROM eng)) / (SELECT stddev_pop({c}) FROM eng))"
+    return (f"SELECT '{t}' AS target, '{model}' AS model, round(1 - sum(e * e) / (var_pop(y) * count(*)), 6) AS r2, "
+            f"round(sqrt(avg(e * e)), 6) AS rmse, round(avg(abs(e)), 6) AS mae, count(*) AS n FROM ("
+            f"SELECT y, y - (my + w1 * (x1 - m1) + w2 * (x2 - m2)) AS e FROM "
+            f"(SELECT {z('P_mean')} AS x1, {z('T_mean')} AS x2, {t} AS y FROM eng WHERE {t} IS NOT NULL AND {split_sql('player_id', 42, 20)} = 'test') d, "
+            f"(SELECT m1, m2, my, ((s22 + {alpha}) * s1y - s12 * s2y) / ((s11 + {alpha}) * (s22 + {alpha}) - s12 * s12) AS w1, "
+            f"((s11 + {alpha}) * s2y - s12 * s1y) / ((s11 + {alpha}) * (s22 + {alpha}) - s12 * s12) AS w2 FROM "
+            f"(SELECT avg(x1) AS m1, avg(x2) AS m2, avg(y) AS my, var_pop(x1) * count(*) AS s11, var_pop(x2) * count(*) AS s22, "
+            f"covar_pop(x1, x2) * count(*) AS s12, covar_pop(x1, y) * count(*) AS s1y, covar_pop(x2, y) * count(*) AS s2y FROM "
+            f"(SELECT {z('P_mean')} AS x1, {z('T_mean')} AS x2, {t} AS y FROM eng WHERE {t} IS NOT NULL AND {split_sql('player_id', 42, 20)} = 'train'))))")
+
+
+ORACLE["linear_leaderboard"] = eng_prefix() + " UNION ALL ".join(
+    _linear_board(t, m, a) for t in TGT for m, a in (("linear", 0), ("ridge", 1)))
+
 # S4/S8 read-back of the exported scaled table (Z1 on four features, targets kept)
 _XC = ["P_mean", "T_mean", "F_mean_geral", "sono_total"]
 ORACLE["export_readback"] = eng_prefix(

@@ -57,45 +57,30 @@ def with_player(*ctes: str) -> str:
     return "WITH " + ",\n".join(parts) + "\n"
 
 
-def row_count(cols) -> str:
-    return "(" + " + ".join(f"CAST({qi(c)} IS NOT NULL AS INTEGER)" for c in cols) + ")"
+def _list(cols) -> str:
+    """The row's values as a list; DuckDB's list aggregates skip NULLs, so the
+    row statistics here share no formula with the library's expressions."""
+    return "[" + ", ".join(f"CAST({qi(c)} AS DOUBLE)" for c in cols) + "]"
 
 
 def row_sum(cols) -> str:
-    if not cols:
-        return "0.0"
-    return "(" + " + ".join(f"coalesce(CAST({qi(c)} AS DOUBLE), 0.0)" for c in cols) + ")"
+    return f"coalesce(list_sum({_list(cols)}), 0.0)" if cols else "0.0"
 
 
 def row_mean(cols, min_columns: int = 1) -> str:
-    if not cols or len(cols) < min_columns:
-        return "0.0"
-    return f"({row_sum(cols)} / nullif({row_count(cols)}, 0))"
+    return f"list_avg({_list(cols)})" if cols and len(cols) >= min_columns else "0.0"
 
 
 def row_std(cols) -> str:
-    if not cols:
-        return "0.0"
-    m = row_mean(cols)
-    sq = " + ".join(f"coalesce(({qi(c)} - {m}) * ({qi(c)} - {m}), 0.0)" for c in cols)
-    n = row_count(cols)
-    return f"(CASE WHEN {n} >= 2 THEN sqrt(({sq}) / ({n} - 1)) END)"
+    return f"list_stddev_samp({_list(cols)})" if cols else "0.0"
 
 
 def row_min(cols) -> str:
-    if not cols:
-        return "0.0"
-    if len(cols) == 1:
-        return f"CAST({qi(cols[0])} AS DOUBLE)"
-    return "CAST(least(" + ", ".join(qi(c) for c in cols) + ") AS DOUBLE)"
+    return f"list_min({_list(cols)})" if cols else "0.0"
 
 
 def row_max(cols) -> str:
-    if not cols:
-        return "0.0"
-    if len(cols) == 1:
-        return f"CAST({qi(cols[0])} AS DOUBLE)"
-    return "CAST(greatest(" + ", ".join(qi(c) for c in cols) + ") AS DOUBLE)"
+    return f"list_max({_list(cols)})" if cols else "0.0"
 
 
 def guarded_corr(x: str, y: str) -> str:
