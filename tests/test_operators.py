@@ -349,3 +349,20 @@ def test_predictions_are_named_after_their_target(spark, tmpdir_path):
     assert len({r["Previsão T2"] for r in rows}) > 10
     none = score(raw, fit_scoring_plan(raw), "player_id").first()
     assert (none["Previsão T1"], none["Previsão T2"], none["Previsão T3"]) == (None, None, None)
+
+
+def test_search_draws_stay_in_their_space():
+    for target, space in M.SEARCH_SPACES.items():
+        drawn = M.draw_settings(space, 50, seed=1)
+        assert drawn == M.draw_settings(space, 50, seed=1) and len(drawn) == 50
+        for d in drawn:
+            assert space["rate"][0] <= d["stepSize"] <= space["rate"][1] and space["depth"][0] <= d["maxDepth"] <= space["depth"][1]
+            assert space["rounds"][0] <= d["maxIter"] <= space["rounds"][1] and space["bins"][0] <= d["maxBins"] <= space["bins"][1]
+
+
+def test_wide_tables_are_profiled_in_passes(spark):
+    from wideframe.operators import profile as PR
+    n = 1000
+    df = spark.range(4).select("id", *[F.when(F.col("id") > i % 4, F.lit(float(i))).alias(f"c{i}") for i in range(n)])
+    got = {r["Coluna"]: r["Missing"] for r in PR.missing_profile(df, [f"c{i}" for i in range(n)]).collect()}
+    assert got == {f"c{i}": i % 4 + 1 for i in range(n)}
