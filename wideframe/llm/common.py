@@ -63,11 +63,15 @@ def scratch(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, rows: int | None = None, per_task: int = 50_000) -> DataFrame:
     """Write to the shared folder and read back: later passes start from the
-    table (column pruning, no recomputation after a lost executor)."""
+    table (column pruning, no recomputation after a lost executor). With the
+    known number of ``rows`` (a bound will do) the last stage and the table
+    get as many parts as ``per_task`` rows need, instead of one for every
+    shuffle partition."""
     path = scratch(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
+    out = df if rows is None else df.coalesce(max(1, -(-rows // per_task)))
+    out.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

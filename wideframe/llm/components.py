@@ -8,14 +8,15 @@ from pyspark.sql import functions as F
 from .common import stored
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, rows: int | None = None) -> DataFrame:
     """(node, component) of every node of ``edges`` (a, b): the smallest node
     that can be reached. Every round takes the smallest label of the
     neighbours and then the label of that label, so labels travel in doubling
     steps; a round starts from a stored table. Minima are combined before the
-    shuffle; nothing is gathered per node."""
-    both = stored(edges.select("a", "b").union(edges.select("b", "a")).toDF("node", "other").distinct(), "edges")
-    label = stored(both.groupBy("node").agg(F.least(F.min("other"), F.min("node")).alias("component")), "labels")
+    shuffle; nothing is gathered per node. ``rows`` bounds the links."""
+    n = rows if rows is not None else edges.count()
+    both = stored(edges.select("a", "b").union(edges.select("b", "a")).toDF("node", "other").distinct(), "edges", 2 * n)
+    label = stored(both.groupBy("node").agg(F.least(F.min("other"), F.min("node")).alias("component")), "labels", 2 * n)
     while True:
         near = (both.join(label.select(F.col("node").alias("other"), F.col("component").alias("c")), "other")
                 .groupBy("node").agg(F.min("c").alias("c")))
@@ -24,7 +25,7 @@ def components(edges: DataFrame) -> DataFrame:
         # nodes that others point to pass their own label on
         jump = (down.join(label.select(F.col("node").alias("low"), F.col("component").alias("next")), "low", "left")
                 .select("node", "old", F.least("low", F.coalesce("next", "low")).alias("component")))
-        jump = stored(jump, "labels")
+        jump = stored(jump, "labels", 2 * n)
         if not jump.filter("component < old").limit(1).count():
             return jump.select("node", "component")
         label = jump.select("node", "component")

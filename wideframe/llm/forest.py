@@ -14,8 +14,8 @@ union). Confirmation goes by rounds: each class is compared with its most
 promising partner in another component, components are joined, and after a few
 rounds every remaining pair between different components is compared. A pair
 inside a component is not needed. Regions that stayed large are then finished
-exactly: every member outside the region's largest component is compared with
-every member of another component (length and sketch filters apply).
+exactly: every member outside the largest component is compared, on the full
+sets and block by block, with every member of another component.
 
 With 32 trees a pair of similarity 0.8 that meets at depth 4 is missed with
 probability (1 - 0.8**4)**32 = 5e-8, in the most crowded regions (depth 8)
@@ -220,7 +220,7 @@ def region_pairs(levels: np.ndarray, ids, n, s0, s1, region: int, window: int, t
     return low, high, bits, rows, mark.view(np.int64)
 
 
-CANDIDATES = "a long, b long, bits int, region long, n long, s0 long, s1 long"
+CANDIDATES = "a long, b long, bits int, region long"
 
 
 def candidates(sorted_rows: DataFrame, region: int, window: int, threshold: int, hold: int = 500_000) -> DataFrame:
@@ -237,10 +237,8 @@ def candidates(sorted_rows: DataFrame, region: int, window: int, threshold: int,
             none_p, none_r = [None] * len(a), [None] * len(rows)
             return pa.RecordBatch.from_arrays(
                 [pa.array(np.r_[a, ids[rows]]), pa.array(b.tolist() + none_r, pa.int64()),
-                 pa.array(bits.tolist() + none_r, pa.int32()), pa.array(none_p + mark.tolist(), pa.int64()),
-                 pa.array(none_p + n[rows].tolist(), pa.int64()), pa.array(none_p + s0[rows].tolist(), pa.int64()),
-                 pa.array(none_p + s1[rows].tolist(), pa.int64())],
-                names=["a", "b", "bits", "region", "n", "s0", "s1"])
+                 pa.array(bits.tolist() + none_r, pa.int32()), pa.array(none_p + mark.tolist(), pa.int64())],
+                names=["a", "b", "bits", "region"])
 
         for batch in batches:
             if not batch.num_rows:
@@ -302,7 +300,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, threshold: int = 80,
                     trees: int = 32, depth: int = 4, extra: int = 4, region: int = 64, window: int = 8,
-                    rounds: int = 3) -> DataFrame:
+                    rounds: int = 2, block: int = 1024) -> DataFrame:
     """(id, n_shingles, component_id, kept), one row per row of ``docs``."""
     spark = docs.sparkSession
     signed = stored(sign(docs, id_col, text_col, k, trees, depth), "signed")
@@ -312,7 +310,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = orders(classes, trees, depth, extra).repartition("key").sortWithinPartitions("key", "path", "id")
     found = stored(candidates(rows, region, window, threshold), "candidates")
     pairs = stored(found.filter("b IS NOT NULL AND a < b").groupBy("a", "b").agg(F.min("bits").alias("bits")), "pairs")
-    members = found.filter("b IS NULL").select(F.col("a").alias("id"), "region", "n", "s0", "s1")
+    n_pairs = pairs.count()
+    members = found.filter("b IS NULL").select(F.col("a").alias("id"), "region")
 
     # ids that repeat hold several sets: classes, not ids, are compared
     needed = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).union(members.select("id")).distinct()
@@ -330,14 +329,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             now = (both.groupBy("x").agg(F.min(F.struct("bits", "a", "b")).alias("p")).select("p.a", "p.b").distinct())
         else:
             now = open_.select("a", "b")
-        now = stored(now, "now")
+        now = stored(now, "now", n_pairs)
         links, label = _join_links(links, confirmed(now, sets, threshold))
-        open_ = stored(_between(open_.join(now, ["a", "b"], "left_anti"), label), "open")
+        open_ = stored(_between(open_.join(now, ["a", "b"], "left_anti"), label), "open", n_pairs)
 
     if members.limit(1).count():
-        rest = stored(_large_regions(members, label, threshold).join(pairs.select("a", "b"), ["a", "b"], "left_anti"), "rest")
-        if rest.limit(1).count():
-            links, label = _join_links(links, confirmed(rest, sets, threshold))
+        links, label = _join_links(links, _large_regions(members, label, sets, threshold, block))
 
     heads = classes.select("set_key", F.col("id").alias("head"))
     out = signed.select("id", "n", "set_key").join(heads, "set_key", "left")
@@ -366,8 +363,11 @@ def _sets(docs: DataFrame, k: int) -> DataFrame:
 
 def _join_links(links, more: DataFrame):
     """All links so far with the new ones, and the components they make."""
-    links = stored(more.select("a", "b") if links is None else links.union(more.select("a", "b")), "links")
-    return links, components(links)
+    more = stored(more.select("a", "b"), "links")
+    links = more if links is None else links.union(more)
+    n = links.count()
+    links = stored(links, "links", n)
+    return links, components(links, n)
 
 
 def _between(pairs: DataFrame, label: DataFrame) -> DataFrame:
@@ -378,15 +378,55 @@ def _between(pairs: DataFrame, label: DataFrame) -> DataFrame:
             .filter("coalesce(ca, a) <> coalesce(cb, b)").drop("ca", "cb"))
 
 
-def _large_regions(members: DataFrame, label: DataFrame, threshold: int) -> DataFrame:
-    """Pairs (a < b) of a large region's members in different components, at
-    least one of them outside the region's largest component."""
-    named = members.join(label.withColumnRenamed("node", "id"), "id", "left").withColumn("c", F.coalesce("component", "id"))
-    sizes = named.groupBy("region", "c").agg(F.count("*").alias("m"))
-    largest = sizes.groupBy("region").agg(F.max(F.struct("m", "c")).alias("t")).select("region", F.col("t.c").alias("top"))
-    named = stored(named.join(largest, "region").select("region", "id", "n", "s0", "s1", "c", "top"), "regions")
-    x, y = named.filter("c <> top").alias("x"), named.alias("y")
-    meet = F.expr("x.region = y.region AND x.c <> y.c AND (y.c = y.top OR x.id < y.id)"
-                  f" AND 100 * least(x.n, y.n) >= {threshold} * greatest(x.n, y.n)"
-                  f" AND bit_count(x.s0 ^ y.s0) + bit_count(x.s1 ^ y.s1) <= {SKETCH_LIMIT}")
-    return x.join(y, meet).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
+def _large_regions(members: DataFrame, label: DataFrame, sets: DataFrame, threshold: int, block: int) -> DataFrame:
+    """Links of the regions that stayed large: every member outside the largest
+    component of its cluster (regions that share members) against every member
+    of another component. Both sides are cut into blocks of about ``block``
+    sets; a task holds one block of each and returns links only."""
+    n = members.count()
+    members = stored(members.distinct(), "members", n)
+    hub = members.groupBy("region").agg(F.min("id").alias("a"))
+    cluster = components(members.join(hub, "region").select("a", F.col("id").alias("b")).distinct(), n)
+    named = cluster.select(F.col("node").alias("id"), F.col("component").alias("cluster"))
+    named = named.join(label.withColumnRenamed("node", "id"), "id", "left").withColumn("c", F.coalesce("component", "id"))
+    sizes = named.groupBy("cluster", "c").agg(F.count("*").alias("m"))
+    largest = sizes.groupBy("cluster").agg(F.max(F.struct("m", "c")).alias("t"), F.sum("m").alias("all"))
+    largest = largest.select("cluster", F.col("t.c").alias("top"), F.expr(f"CAST(ceil(all / {block}) AS INT)").alias("right"),
+                             F.expr(f"CAST(ceil((all - t.m) / {block}) AS INT)").alias("left"))
+    named = stored(named.join(largest, "cluster").filter("left > 0").join(sets, "id")
+                   .select("cluster", "id", "c", "top", "left", "right", "set"), "clusters", n, 5_000)
+    mine = named.filter("c <> top").select(
+        "cluster", F.expr("CAST(pmod(xxhash64(id, 1), left) AS INT)").alias("i"),
+        F.explode(F.expr("sequence(0, right - 1)")).alias("j"), "id", "c", "set")
+    other = named.select("cluster", F.explode(F.expr("sequence(0, left - 1)")).alias("i"),
+                         F.expr("CAST(pmod(xxhash64(id, 2), right) AS INT)").alias("j"), "id", "c", "set")
+
+    def compare(x, y):
+        return block_links(x, y, threshold)
+
+    keys = ["cluster", "i", "j"]
+    return mine.groupBy(*keys).cogroup(other.groupBy(*keys)).applyInPandas(compare, "a long, b long").distinct()
+
+
+def block_links(x, y, threshold: int):
+    """Links between two blocks of full sets (pandas frames id, c, set) of
+    different components."""
+    import pandas as pd
+
+    right = [np.frombuffer(s, np.uint64) for s in y["set"]]
+    size = np.array([len(s) for s in right], dtype=np.int64)
+    if not len(x) or not len(right):
+        return pd.DataFrame({"a": pd.Series(dtype="int64"), "b": pd.Series(dtype="int64")})
+    values, owner = np.concatenate(right), np.repeat(np.arange(len(right)), size)
+    order = np.argsort(values, kind="stable")
+    values, owner = values[order], owner[order]
+    ids, comps, found = y["id"].to_numpy(), y["c"].to_numpy(), []
+    for i, c, s in zip(x["id"], x["c"], x["set"]):
+        s = np.frombuffer(s, np.uint64)
+        low, high = np.searchsorted(values, s, "left"), np.searchsorted(values, s, "right")
+        count = high - low
+        at = np.repeat(low, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        both = np.bincount(owner[at], minlength=len(right))
+        ok = (100 * both >= threshold * (len(s) + size - both)) & (comps != c)
+        found += [(min(i, d), max(i, d)) for d in ids[ok].tolist()]
+    return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
