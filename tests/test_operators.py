@@ -201,18 +201,6 @@ def test_top_contributions_and_importances(spark):
     assert got[0]["feature"] == "b" and got[0]["importance"] == 2.5
 
 
-def test_linear_contributions_add_up(spark):
-    from wideframe.operators.explain import linear_contributions
-    df = spark.createDataFrame([(1, 1.0, 4.0), (2, 3.0, 0.0), (3, 5.0, 2.0)], "id int, a double, b double")
-    coefs, b0 = {"a": 2.0, "b": -1.0}, 0.5
-    means = {"a": 3.0, "b": 2.0}
-    c = linear_contributions(df, coefs, means, "id", "T1")
-    sums = {r["id"]: r["s"] for r in c.groupBy("id").agg(F.sum("value").alias("s")).collect()}
-    base = b0 + 2.0 * 3.0 - 1.0 * 2.0
-    for r in df.collect():
-        assert math.isclose(sums[r["id"]] + base, b0 + 2.0 * r["a"] - r["b"])
-
-
 def test_tree_top_k_in_task_matches_window(spark, tree_data):
     feats = ["a", "b", "c"]
     model = M.fit_pipeline(tree_data, feats, "y", "gbt", 42, maxIter=5, maxDepth=3)

@@ -29,14 +29,6 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 from .profile import col_
 
 
-def linear_contributions(df: DataFrame, coefs: dict, means: dict, id_col: str, target: str) -> DataFrame:
-    """Long (id, target, feature, value) for a linear model."""
-    structs = [F.struct(F.lit(target).alias("target"), F.lit(c).alias("feature"),
-                        (F.lit(float(w)) * (col_(c) - F.lit(float(means[c])))).alias("value"))
-               for c, w in coefs.items()]
-    return df.select(col_(id_col).alias(id_col), F.explode(F.array(*structs)).alias("s")).select(id_col, "s.*")
-
-
 @dataclass
 class Tree:
     left: np.ndarray

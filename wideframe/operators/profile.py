@@ -266,8 +266,3 @@ def histogram(df: DataFrame, cols, bins: int = 20) -> DataFrame:
                                            F.first("__lo").alias("__lo"), F.first("__w").alias("__w"))
     return out.select("column", "bin", (F.col("__lo") + F.col("bin") * F.col("__w")).alias("bin_lo"),
                       (F.col("__lo") + (F.col("bin") + 1) * F.col("__w")).alias("bin_hi"), "count")
-
-
-def group_means(df: DataFrame, key: str, cols) -> DataFrame:
-    """Mean per group (hash aggregate with partial aggregation)."""
-    return df.groupBy(key).agg(*[F.avg(col_(c)).alias(c) for c in cols])

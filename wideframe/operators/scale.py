@@ -11,10 +11,8 @@ import math
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
 
 from . import quantile as Q
 from ..functions.sqltext import lit, q
@@ -119,6 +117,18 @@ def uniform_from_quantiles(x: np.ndarray, quantiles: np.ndarray, refs: np.ndarra
     return u
 
 
+def _poly(coefs, x: str) -> str:
+    return "(" * (len(coefs) - 1) + f"({coefs[0]!r}D)" + "".join(f" * {x} + ({c!r}D))" for c in coefs[1:])
+
+
+def ppf_sql(u: str) -> str:
+    """SQL of ``norm_ppf`` for a column ``u`` strictly between 0 and 1."""
+    tail = lambda p: f"({_poly(_C, f'sqrt(-2D * ln({p}))')} / {_poly(_D + (1.0,), f'sqrt(-2D * ln({p}))')})"
+    r = f"(({u} - 0.5D) * ({u} - 0.5D))"
+    return (f"CASE WHEN {u} < {_P_LOW!r}D THEN {tail(u)} WHEN {u} > {1 - _P_LOW!r}D THEN -{tail(f'(1D - {u})')} "
+            f"ELSE {_poly(_A, r)} * ({u} - 0.5D) / {_poly(_B + (1.0,), r)} END")
+
+
 @dataclass
 class QuantileNormalModel:
     quantiles: dict  # column -> list of n_quantiles values
@@ -126,40 +136,45 @@ class QuantileNormalModel:
     output: str = "normal"
 
     def transform(self, df: DataFrame) -> DataFrame:
-        """Arrow-batched pandas UDF (np.interp has no Spark built-in); the
-        quantile arrays are a bounded n_quantiles floats per column."""
-        refs = np.asarray(self.refs)
-        exprs = {}
-        for c, qs in self.quantiles.items():
-            if c not in df.columns or qs is None or qs[0] is None:
-                continue
-            qa = np.asarray(qs, dtype=float)
-            normal = self.output == "normal"
-
-            def make(qa=qa, normal=normal):
-                @pandas_udf("double")
-                def f(s: pd.Series) -> pd.Series:
-                    x = s.to_numpy(dtype=float, na_value=np.nan)
-                    u = uniform_from_quantiles(x, qa, refs)
-                    if normal:
-                        u = norm_ppf(np.clip(u, _BOUNDS, 1 - _BOUNDS))
-                    out = pd.Series(u)
-                    out[np.isnan(x)] = np.nan
-                    return out
-                return f
-            exprs[c] = F.nanvl(make()(col_(c).cast("double")), F.lit(None).cast("double"))
-        return df.withColumns(exprs) if exprs else df
+        """Built-in functions only: the sorted quantiles are an array literal,
+        a value's neighbours are counted in it, and both interpolation
+        directions are averaged (repeated quantiles map to their middle)."""
+        n = len(self.refs)
+        cols = {c: [float(v) for v in qs] for c, qs in self.quantiles.items()
+                if c in df.columns and qs is not None and qs[0] is not None}
+        if not cols:
+            return df
+        out = df
+        for i, (c, qs) in enumerate(cols.items()):
+            table = "CAST(split('" + ",".join(map(repr, qs)) + "', ',') AS ARRAY<DOUBLE>)"
+            step = repr(1 / (n - 1)) + "D"
+            # j: last quantile at or below x, k: first at or above (0-based)
+            j = f"aggregate({table}, 0, (a, v) -> a + IF(v <= x, 1, 0)) - 1"
+            k = f"aggregate({table}, 0, (a, v) -> a + IF(v < x, 1, 0))"
+            body = (f"CASE WHEN x IS NULL OR isnan(x) THEN NULL WHEN x <= {qs[0]!r}D THEN 0D WHEN x >= {qs[-1]!r}D THEN 1D ELSE "
+                    f"transform(array(named_struct('j', {j}, 'k', {k})), p -> 0.5D * ("
+                    f"p.j * {step} + IF({table}[p.j] = x, 0D, {step} * (x - {table}[p.j]) / ({table}[p.j + 1] - {table}[p.j])) + "
+                    f"p.k * {step} - IF({table}[p.k] = x, 0D, {step} * ({table}[p.k] - x) / ({table}[p.k] - {table}[p.k - 1]))))[0] END")
+            uniform = f"transform(array(CAST({q(c)} AS DOUBLE)), x -> {body})[0]"
+            if self.output == "normal":
+                clipped = f"greatest({_BOUNDS!r}D, least({1 - _BOUNDS!r}D, u))"
+                uniform = (f"transform(array({uniform}), w -> IF(w IS NULL, NULL, "
+                           f"transform(array({clipped.replace('u)', 'w)')}), u -> {ppf_sql('u')})[0]))[0]")
+            out = out.withColumn(c, F.expr(uniform))
+        return out
 
 
 class QuantileNormalizer:
-    """Z3 fit: ``n_quantiles`` exact quantiles per column (capped by row count)."""
+    """Z3 fit: ``n_quantiles`` exact quantiles per column. More quantiles than
+    values carry no information, so the number is at most the largest count of
+    non-null values of a column (the usual rule of this transform)."""
 
     def __init__(self, cols, n_quantiles: int = 1000, output: str = "normal", method: str = "exact"):
         self.cols, self.n, self.output, self.method = list(cols), n_quantiles, output, method
 
     def fit(self, df: DataFrame) -> QuantileNormalModel:
-        rows = df.count()
-        n = max(2, min(self.n, rows))
+        counts = df.agg(*[F.count(col_(c)).alias(f"n{i}") for i, c in enumerate(self.cols)]).first()
+        n = max(2, min(self.n, max(counts)))
         refs = [i / (n - 1) for i in range(n)]
         qs = Q.quantile_values(df, self.cols, refs, method=self.method)
         return QuantileNormalModel({c: qs[c] for c in self.cols}, refs, self.output)

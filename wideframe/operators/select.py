@@ -51,14 +51,6 @@ def variance_corr_ranking(df: DataFrame, features, target: str, threshold: float
                        F.row_number().over(w).cast("long").alias("rank"))
 
 
-def top_k_by_corr(df: DataFrame, features, target: str, k: int, min_abs: float | None = None) -> list[str]:
-    """K2/K3: best ``k`` features by |corr| (optionally above ``min_abs``)."""
-    r = corr_ranking(df, features, target)
-    if min_abs is not None:
-        r = r.filter(F.col("abs_corr") > min_abs)
-    return [x["feature"] for x in r.orderBy("rank").limit(k).collect()]
-
-
 def top_report(report: DataFrame, score_col: str, k: int = 10, name_col: str = "Feature") -> DataFrame:
     """K5: top-k of a small report table with a 1-based rank."""
     key = F.round(F.col(score_col) * 1e12) / 1e12

@@ -23,7 +23,7 @@ from ..functions.rowstats import row_mean, with_row_stats
 from ..functions.sqltext import lit as sql_lit, plus, q
 from ..operators import profile as PR
 from ..operators import select as SEL
-from ..operators.encode import OneHotEncoder
+from ..operators.encode import OneHotEncoder, bool_to_int
 from ..operators.impute import IQROutlierClipper, MedianImputer, ModeImputer
 from ..operators.metrics import linear_loo, metric_aggs, overfitting_pct
 from ..operators.scale import RobustScaler, StandardScaler
@@ -458,7 +458,8 @@ SCALE_COLS = ["P_mean", "T_mean", "F_mean_geral", "sono_total", "F0103", "Cor020
 
 @register("standard_scaled", "Z1 Z4")
 def q_standard(spark, sf_dir):
-    df = engineered(spark, sf_dir).withColumn("Cor0202_1-URGENT", (F.col("Cor0202") == "1-URGENT").cast("int"))
+    df = engineered(spark, sf_dir).withColumn("Cor0202_1-URGENT", F.col("Cor0202") == "1-URGENT")
+    df = bool_to_int(df)
     onehot = FAM.one_hot_columns(SCALE_COLS, rule="prefix")
     num = [c for c in SCALE_COLS if c not in onehot]
     out = StandardScaler(num).fit(df).transform(df)
@@ -775,7 +776,7 @@ def q_cluster_report(spark, sf_dir):
 # history (prediction fact table, from the events table)
 # --------------------------------------------------------------------------
 
-@register("history_by_upload", "A15 L10 F4 S5")
+@register("history_by_upload", "A15 L10 F4")
 def q_history(spark, sf_dir):
     from ..sources.sinks import history_from_events, history_counts
     hist = history_from_events(spark, sf_dir)

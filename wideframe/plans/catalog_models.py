@@ -70,7 +70,7 @@ def q_search(spark, sf_dir, trials: int = 2, rounds_scale: float = 0.01):
                                               "folds int, trials int, rounds_scale double"))
 
 
-@register("seed_ensemble_metrics", "M8 M9 M10 S6")
+@register("seed_ensemble_metrics", "M8 M9 M10")
 def q_seed_ensemble(spark, sf_dir):
     """Three boosted-tree members on seeds 42/123/456, mean prediction, metrics
     on the rows no member trained on, and the overfitting ratio."""

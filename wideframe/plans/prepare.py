@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from ..functions import clean as C
 from ..functions import families as FAM
-from ..functions.rowstats import with_row_stats
 from ..operators.impute import FillModel, MedianImputer
 from ..operators.profile import col_
 
@@ -119,16 +118,3 @@ def clean_for_training(df: DataFrame, targets=FAM.TARGET_COLUMNS, range_guard: b
         model.extra = {c: values[c] for c in extra}
         df = model.transform(df)
     return df, model
-
-
-def family_features(df: DataFrame, which=("P", "T", "F")) -> DataFrame:
-    """Row statistics per family (E4/E5/E6 core)."""
-    spec = {}
-    fam = FAM.families(df.columns)
-    if "P" in which and fam["P"]:
-        spec.update({"P_mean": ("mean", fam["P"]), "P_std": ("std", fam["P"]),
-                     "P_min": ("min", fam["P"]), "P_max": ("max", fam["P"])})
-    if "T" in which and fam["T"]:
-        spec.update({"T_mean": ("mean", fam["T"]), "T_std": ("std", fam["T"]),
-                     "T_min": ("min", fam["T"]), "T_max": ("max", fam["T"])})
-    return with_row_stats(df, spec)

@@ -18,10 +18,3 @@ def table_path(sf_dir: str, name: str) -> str:
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Lazy parquet scan; Catalyst prunes columns and pushes filters into it."""
     return spark.read.parquet(table_path(sf_dir, name))
-
-
-def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
-    for name in names:
-        path = table_path(sf_dir, name)
-        if os.path.exists(path):
-            read_table(spark, sf_dir, name).createOrReplaceTempView(name)
