@@ -67,7 +67,7 @@ class WordHash(dict):
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
-        if len(self) >= 400_000:
+        if len(self) >= 200_000:
             self.clear()
         h = xxhash.xxh64_intdigest(word)
         if len(word) <= 64:
@@ -130,7 +130,7 @@ def sign(docs: DataFrame, id_col: str, text_col: str, k: int, trees: int, depth:
     def run(batches):
         import xxhash
 
-        for batch in (part for whole in batches for part in slices(whole, 1)):
+        for batch in (part for whole in batches for part in slices(whole, 1, 1_000_000)):
             sets = shingle_sets(batch.column(1).to_pylist(), k)
             full = [s for s in sets if len(s)]
             sigs = iter(signatures(full, functions)) if full else iter(())
@@ -139,6 +139,7 @@ def sign(docs: DataFrame, id_col: str, text_col: str, k: int, trees: int, depth:
                  pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
                  pa.array([next(sigs).tobytes() if len(s) else None for s in sets], pa.binary())],
                 names=["id", "n", "set_key", "sig"])
+        _WORDS.clear()  # the worker goes on to other stages
 
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(
         run, "id long, n long, set_key binary, sig binary")
@@ -234,11 +235,11 @@ def candidates(sorted_rows: DataFrame, region: int, window: int, threshold: int,
             if len(ids) < 2:
                 return None
             a, b, bits, rows, mark = region_pairs(t[0][:upto], ids, n, s0, s1, region, window, threshold)
-            none_p, none_r = [None] * len(a), [None] * len(rows)
+            pairs, big = len(a), len(rows)
             return pa.RecordBatch.from_arrays(
-                [pa.array(np.r_[a, ids[rows]]), pa.array(b.tolist() + none_r, pa.int64()),
-                 pa.array(bits.tolist() + none_r, pa.int32()), pa.array(none_p + mark.tolist(), pa.int64())],
-                names=["a", "b", "bits", "region"])
+                [pa.array(np.r_[a, ids[rows]]), pa.concat_arrays([pa.array(b), pa.nulls(big, pa.int64())]),
+                 pa.concat_arrays([pa.array(bits.astype(np.int32)), pa.nulls(big, pa.int32())]),
+                 pa.concat_arrays([pa.nulls(pairs, pa.int64()), pa.array(mark)])], names=["a", "b", "bits", "region"])
 
         for batch in batches:
             if not batch.num_rows:
@@ -352,11 +353,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def _sets(docs: DataFrame, k: int) -> DataFrame:
     def run(batches):
-        for batch in (part for whole in batches for part in slices(whole, 1)):
+        for batch in (part for whole in batches for part in slices(whole, 1, 1_000_000)):
             sets = shingle_sets(batch.column(1).to_pylist(), k)
             full = pa.array([len(s) > 0 for s in sets], pa.bool_())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).filter(full), pa.array([s.tobytes() for s in sets if len(s)], pa.binary())], names=["id", "set"])
+        _WORDS.clear()
 
     return docs.mapInArrow(run, "id long, set binary")
 
