@@ -22,6 +22,10 @@ WORD = r"[^\x20\x09-\x0D]+"
 BROADCAST_ROWS = 200_000
 
 
+#: Rows of a batch that goes to a Python worker.
+TEXT_BATCH = 2000
+
+
 def words_sql(text: str) -> str:
     """SQL for the array of words of ``text`` (null text: empty array)."""
     return rf"array_remove(split(coalesce({text}, ''), '[\\x20\\x09-\\x0D]+'), '')"
@@ -45,7 +49,10 @@ def uniform_sql(seed: int, key: str) -> str:
 
 def ship(spark: SparkSession) -> None:
     """Give the tasks this package, once per Spark context (the usual zip of
-    ``--py-files``, for sessions that were started without one)."""
+    ``--py-files``, for sessions that were started without one). Batches to
+    Python are kept small: a row can be a long text."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > TEXT_BATCH:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXT_BATCH))
     sc = spark.sparkContext
     if getattr(sc, "_wideframe_shipped", False):
         return

@@ -67,7 +67,7 @@ class WordHash(dict):
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
-        if len(self) >= 200_000:
+        if len(self) >= 100_000:
             self.clear()
         h = xxhash.xxh64_intdigest(word)
         if len(word) <= 64:
