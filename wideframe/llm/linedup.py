@@ -11,18 +11,18 @@ number for each of ``2**bits`` hash buckets, so the table has a fixed size; any
 total order gives right results, a good one gives few candidates). Lines with
 equal sets are one class with one first place. The rarest words of a class
 (prefix filter) are joined by word under the length, the positional and the
-bitmap filter (sets whose 64-bit maps differ in more places than the sets may
-differ in words cannot match). A class
+bitmap filter (sets whose maps of 64 or 128 places differ in more places than
+the sets may differ in words cannot match). A class
 only needs one earlier witness: classes without any possible partner are
 dropped by a semi join, the others are compared with the 8 earliest members of
 each of their word groups, those without a witness with the next 64, then 512
 and so on, until every member has been compared or has a witness. A group of
 thousands of near copies therefore costs a few comparisons per line instead of
 all pairs, and no pair that could matter is skipped. Candidates are confirmed
-on the full word sets.
+on the full sets of 64-bit word hashes.
 
 DataFrame functions only. Scale: three scans of the texts; shuffles carry
-hashes; word strings are read again only for lines with candidates.
+hashes; full sets are built only for lines with candidates.
 
 Defined cases: null text has no lines; shorter lines and lines of documents
 with a null id stay as they are; rows that repeat an id are one document (all
@@ -39,6 +39,9 @@ from .common import small_join, stored, words_sql
 
 BITS = 18
 
+#: Lines of more words get a bitmap of 128 places instead of 64.
+LONG = 48
+
 
 def line_words(line: str) -> str:
     """SQL for the distinct lower-cased words of a line."""
@@ -80,18 +83,22 @@ def similar_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     prefix = f"size(k) - ({threshold} * size(k) + 99) DIV 100 + 1"
     placed = keyed.filter(f"size(k) >= {min_tokens}").select(
         "doc_id", "line_no", F.expr("xxhash64(k)").alias("cls"), F.size("k").alias("n"),
-        F.expr("aggregate(k, 0L, (a, x) -> a | shiftleft(1L, CAST(x & 63 AS INT)))").alias("bits"),
+        # a word has one place of 64, in long lines of 128 (``more`` holds the second half)
+        F.expr(f"aggregate(k, 0L, (a, x) -> a | IF(size(k) > {LONG} AND x & 64 <> 0, 0L, shiftleft(1L, CAST(x & 63 AS INT))))").alias("bits"),
+        F.expr(f"IF(size(k) > {LONG}, aggregate(k, 0L, (a, x) -> a | IF(x & 64 <> 0, shiftleft(1L, CAST(x & 63 AS INT)), 0L)), 0L)").alias("more"),
         F.expr(f"slice(k, 1, CAST({prefix} AS INT))").alias("prefix"))
     placed = stored(placed, "lines")
     firsts = stored(placed.groupBy("cls").agg(F.min(F.struct("doc_id", "line_no")).alias("first")), "firsts")
 
     # one row per class and rare word; both sides of the semi join read the same exchange
-    classes = placed.groupBy("cls").agg(*(F.first(c).alias(c) for c in ("n", "bits", "prefix")))
-    entries = classes.select("cls", "n", "bits", F.posexplode("prefix").alias("pos", "tok"))
+    classes = placed.groupBy("cls").agg(*(F.first(c).alias(c) for c in ("n", "bits", "more", "prefix")))
+    entries = classes.select("cls", "n", "bits", "more", F.posexplode("prefix").alias("pos", "tok"))
     x, y = entries.alias("x"), entries.alias("y")
+    differ = f"({100 - threshold} * (x.n + y.n)) DIV {100 + threshold}"
     meet = (f"100 * x.n >= {threshold} * y.n AND 100 * y.n >= {threshold} * x.n AND "
             f"least(x.n - x.pos, y.n - y.pos) >= ({threshold} * (x.n + y.n) + {99 + threshold}) DIV {100 + threshold} AND "
-            f"bit_count(x.bits ^ y.bits) <= ({100 - threshold} * (x.n + y.n)) DIV {100 + threshold}")
+            f"IF((x.n > {LONG}) = (y.n > {LONG}), bit_count(x.bits ^ y.bits) + bit_count(x.more ^ y.more), "
+            f"bit_count((x.bits | x.more) ^ (y.bits | y.more))) <= {differ}")
     able = x.join(y, F.expr(f"x.tok = y.tok AND x.cls <> y.cls AND {meet}"), "left_semi")
     able = able.join(firsts, "cls")
     turn = Window.partitionBy("tok").orderBy("first", "cls")
@@ -103,7 +110,7 @@ def similar_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     again = small_join(docs.select(F.col(id_col).alias("doc_id"), F.split(F.col(text_col), "\n").alias("ls")), wanted, "doc_id",
                        limit=2_000_000)
     words = (again.select(F.inline(F.expr("transform(want, w -> named_struct('cls', w.cls, 'line', ls[w.line_no]))")))
-             .select("cls", F.expr(line_words("line")).alias("ws")).dropDuplicates(["cls"]))
+             .select("cls", F.expr(f"transform({line_words('line')}, w -> xxhash64(w))").alias("ws")).dropDuplicates(["cls"]))
     words = stored(words, "words")
 
     last = able.agg(F.max("rn")).first()[0] or 0
