@@ -1,5 +1,4 @@
-"""DuckDB SQL for the queries that SQL can express. DuckDB has no CRC-32, so
-the sharding oracle leaves that one out (see tests/llm for it)."""
+"""DuckDB SQL for the queries that SQL can express."""
 
 from __future__ import annotations
 
@@ -105,4 +104,37 @@ FROM l JOIN c ON l.ws = c.ws LEFT JOIN h ON h.a = c.ord
 WHERE h.a IS NOT NULL OR (l.doc_id, l.line_no) <> c.first
 """
 
-ORACLES: dict = {"op5_line_dedup": _LINES, "op1_pareto_mix": _mix(), "op3_ball_tree_top_k": _TOP_K, "op7_quality_rules": _quality()}
+_NEAR = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT rid, doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' '))) END AS sh FROM d),
+x AS (SELECT rid, doc_id, len(sh) AS n, unnest(sh) AS h FROM s),
+p AS (SELECT a.rid AS r, b.rid AS q, any_value(a.doc_id) AS a, any_value(b.doc_id) AS b, count(*) AS common,
+        any_value(a.n) AS na, any_value(b.n) AS nb FROM x a JOIN x b ON a.h = b.h AND a.rid <> b.rid GROUP BY a.rid, b.rid),
+e AS (SELECT DISTINCT a, b FROM p WHERE 100 * common >= 80 * (na + nb - common)),
+reach AS (SELECT doc_id AS id, doc_id AS m FROM s UNION SELECT e.b, reach.m FROM reach JOIN e ON e.a = reach.id),
+c AS (SELECT id, min(m) AS component_id FROM reach GROUP BY id)
+SELECT doc_id, len(sh)::BIGINT AS n_shingles, CASE WHEN len(sh) = 0 THEN doc_id ELSE component_id END AS component_id,
+       len(sh) = 0 OR doc_id = component_id AS kept FROM s JOIN c ON c.id = s.doc_id
+""".replace("WITH d AS", "WITH RECURSIVE d AS", 1)
+
+# CRC-32 byte by byte: the table by its rule, then one fold over the bytes
+_SHARDS = rf"""
+WITH k AS (SELECT list(v ORDER BY i) AS t FROM (SELECT i, list_reduce(range(8), lambda a, b:
+        CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, i) AS v FROM range(256) r(i))),
+d AS (SELECT doc_id, source, coalesce(text, '') AS x, hex(encode(coalesce(text, ''))) AS hx FROM documents),
+f AS (SELECT doc_id, source, octet_length(encode(x)) + 1 AS size, xor(list_reduce(list_transform(range(octet_length(encode(x))),
+        lambda j: ('0x' || substr(hx, 2 * j + 1, 2))::BIGINT), lambda a, b: xor(a >> 8, k.t[(xor(a, b) & 255) + 1]), 4294967295::BIGINT),
+        4294967295) AS crc FROM d, k),
+u AS (SELECT *, concat_ws('|', doc_id, crc, size) AS key, coalesce('v' || source, 'n') AS g FROM f),
+r AS (SELECT *, {_U.format("'11:' || key")} AS u FROM u),
+q AS (SELECT *, (row_number() OVER (PARTITION BY g ORDER BY u, key) - 1 + 0.5::DOUBLE) / count(*) OVER (PARTITION BY g) AS f,
+        row_number() OVER (PARTITION BY g ORDER BY u, key) AS rk FROM r),
+p AS (SELECT *, row_number() OVER (ORDER BY f, g, rk) - 1 AS pos, count(*) OVER () AS n FROM q),
+z AS (SELECT *, pos * 8 // n AS sh FROM p)
+SELECT doc_id, size::BIGINT AS size, crc::BIGINT AS text_crc32, 'rows' AS law, sh::INT AS shard,
+       (pos - (sh * n + 7) // 8)::BIGINT AS slot, NULL::INT AS grown_shard FROM z
+"""
+
+ORACLES: dict = {"op4_lsh_forest": _NEAR, "op9_interleave_shards": _SHARDS, "op5_line_dedup": _LINES, "op1_pareto_mix": _mix(), "op3_ball_tree_top_k": _TOP_K, "op7_quality_rules": _quality()}
