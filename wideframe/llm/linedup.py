@@ -108,7 +108,7 @@ def similar_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         F.col("first.doc_id").alias("doc_id"), F.col("first.line_no").alias("line_no"), "cls"), "involved")
     wanted = involved.groupBy("doc_id").agg(F.collect_list(F.struct("line_no", "cls")).alias("want"))
     again = small_join(docs.select(F.col(id_col).alias("doc_id"), F.split(F.col(text_col), "\n").alias("ls")), wanted, "doc_id",
-                       limit=2_000_000)
+                       limit=500_000)
     words = (again.select(F.inline(F.expr("transform(want, w -> named_struct('cls', w.cls, 'line', ls[w.line_no]))")))
              .select("cls", F.expr(f"transform({line_words('line')}, w -> xxhash64(w))").alias("ws")).dropDuplicates(["cls"]))
     words = stored(words, "words")
