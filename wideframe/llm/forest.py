@@ -300,7 +300,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, threshold: int = 80,
-                    trees: int = 32, depth: int = 4, extra: int = 4, region: int = 64, window: int = 8,
+                    trees: int = 32, depth: int = 4, extra: int = 4, region: int = 24, window: int = 4,
                     rounds: int = 2, block: int = 1024) -> DataFrame:
     """(id, n_shingles, component_id, kept), one row per row of ``docs``."""
     spark = docs.sparkSession
@@ -332,7 +332,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             now = open_.select("a", "b")
         now = stored(now, "now", n_pairs)
         links, label = _join_links(links, confirmed(now, sets, threshold))
-        open_ = stored(_between(open_.join(now, ["a", "b"], "left_anti"), label), "open", n_pairs)
+        if step < rounds:
+            open_ = stored(_between(open_.join(now, ["a", "b"], "left_anti"), label), "open", n_pairs)
 
     if members.limit(1).count():
         links, label = _join_links(links, _large_regions(members, label, sets, threshold, block))
