@@ -1,6 +1,7 @@
 """Top-k, near-dedup, line dedup, url filter, language model and pipeline
 against brute force, on odd rows and on crowded groups."""
 
+import inspect
 import math
 import random
 import zlib
@@ -122,6 +123,33 @@ def test_streamed_regions_lose_no_pair():
     assert len(set(mark.tolist())) == 2
 
 
+def test_crowds_of_64_are_compared_pair_by_pair_by_default():
+    # 40 classes share the first values only: one region, every pair a candidate
+    options = inspect.signature(forest.near_duplicates).parameters
+    region, window = options["region"].default, options["window"].default
+    levels = np.column_stack([np.ones(40, np.int64), np.arange(40)])
+    ids, n, z = np.arange(40), np.full(40, 10), np.zeros(40, dtype=np.int64)
+    low, high, _, rows, _ = forest.region_pairs(levels, ids, n, z, z, region, window, 80)
+    assert len(set(zip(low.tolist(), high.tolist()))) == 40 * 39 // 2 and not len(rows)
+    # one partner a row in the first rounds, none inside a component
+    low, high, _, _, _ = forest.region_pairs(levels, ids, n, z, z, region, window, 80, best=True)
+    assert len(low) == 40 and set(low.tolist()) | set(high.tolist()) == set(range(40))
+    low, high, _, _, _ = forest.region_pairs(levels, ids, n, z, z, region, window, 80, component=ids // 39 * 39)
+    assert set(zip(low.tolist(), high.tolist())) == {(i, 39) for i in range(39)}
+
+
+def test_deeper_levels_have_their_own_hash_values(few):
+    # new first values of tree 1 change its key and no path of tree 0
+    one = np.arange(16, dtype=np.uint32)
+    two = one.copy()
+    two[4:8] += 100
+    df = few.createDataFrame([(1, 9, one.tobytes(), 1), (2, 9, two.tobytes(), 2)], "id long, n long, sig binary, component long")
+    got = [sorted((bytes(r.path), r.key) for r in forest.orders(df, 2, 4, 4).filter(f"id = {i}").collect()) for i in (1, 2)]
+    assert [p for p, _ in got[0]] == [p for p, _ in got[1]] and len({k for g in got for _, k in g}) == 3
+    signed = forest.sign(few.createDataFrame([(1, "a b c d e f")], "doc_id long, text string"), "doc_id", "text", 4, 2, 4, 4)
+    assert len(signed.first().sig) == 4 * 2 * (4 + 4)
+
+
 def test_components_of_a_long_chain(few):
     edges = [(i, i + 1) for i in range(60)] + [(100, 101), (101, 101)]
     got = dict(map(tuple, components(few.createDataFrame(edges, "a long, b long")).collect()))

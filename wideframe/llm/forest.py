@@ -10,16 +10,19 @@ candidates; in a region that stays large at full depth a class is paired with
 its ``window`` neighbours of longest common prefix.
 
 Candidates are confirmed on the full sets (100 * intersection >= threshold *
-union). Confirmation goes by rounds: each class is compared with its most
-promising partner in another component, components are joined, and after a few
-rounds every remaining pair between different components is compared. A pair
-inside a component is not needed. Regions that stayed large are then finished
+union). Confirmation goes by rounds: the forest is read, each class is compared
+with its most promising partner in another component, components are joined;
+after a few rounds the forest is read once more for every pair between
+different components. A pair inside a component is not needed, so pairs of a
+crowd of near copies are never listed; a class without a partner in another
+component leaves the later rounds. Regions that stayed large are then finished
 exactly: every member outside the largest component is compared, on the full
 sets and block by block, with every member of another component.
 
-With 32 trees a pair of similarity 0.8 that meets at depth 4 is missed with
-probability (1 - 0.8**4)**32 = 5e-8, in the most crowded regions (depth 8)
-with 0.3 percent per link, and then only if no other link joins the two.
+All values of all trees come from hash functions of their own. With 32 trees a
+pair of similarity 0.8 that meets at depth 4 is missed with probability
+(1 - 0.8**4)**32 = 5e-8, in the most crowded regions (depth 8) with 0.3 percent
+per link, and then only if no other link joins the two.
 The sketch filter (128 one-bit values, at most 34 different) loses a pair of
 similarity 0.8 with probability below 1e-7.
 
@@ -122,10 +125,11 @@ def signatures(sets: list[np.ndarray], functions: np.ndarray) -> np.ndarray:
     return (out >> _U(32)).astype(np.uint32)
 
 
-def sign(docs: DataFrame, id_col: str, text_col: str, k: int, trees: int, depth: int) -> DataFrame:
-    """(id, n, set_key, sig) of every row."""
+def sign(docs: DataFrame, id_col: str, text_col: str, k: int, trees: int, depth: int, extra: int) -> DataFrame:
+    """(id, n, set_key, sig) of every row; sig holds the first ``depth`` values
+    of all trees, then their ``extra`` ones."""
     ship(docs.sparkSession)
-    functions = _odd(trees * depth, 40)
+    functions = _odd(trees * (depth + extra), 40)
 
     def run(batches):
         import xxhash
@@ -146,8 +150,9 @@ def sign(docs: DataFrame, id_col: str, text_col: str, k: int, trees: int, depth:
 
 
 def orders(classes: DataFrame, trees: int, depth: int, extra: int) -> DataFrame:
-    """One row per class and tree: key (the first values), path (the next
-    ``extra`` ones, big-endian), id, n and the sketch (s0, s1)."""
+    """One row per class (id, n, sig, component) and tree: key (the first
+    values), path (the ``extra`` ones, big-endian), id, n, the sketch (s0, s1)
+    and the component."""
     salt = _odd(trees, 60)
 
     def run(batches):
@@ -164,14 +169,15 @@ def orders(classes: DataFrame, trees: int, depth: int, extra: int) -> DataFrame:
                 key = np.full(m, salt[t], dtype=np.uint64)
                 for j in range(depth):
                     key = mix64(key * _U(0x9E3779B97F4A7C15) + sig[:, t * depth + j])
-                cols = [(t * depth + depth + j) % sig.shape[1] for j in range(extra)]
-                path = np.ascontiguousarray(sig[:, cols].astype(">u4"))
+                at = trees * depth + t * extra
+                path = np.ascontiguousarray(sig[:, at:at + extra].astype(">u4"))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(key.view(np.int64)), pa.array([r.tobytes() for r in path], pa.binary()),
-                     batch.column(0), batch.column(1), pa.array(s[:, 0].copy()), pa.array(s[:, 1].copy())],
-                    names=["key", "path", "id", "n", "s0", "s1"])
+                     batch.column(0), batch.column(1), pa.array(s[:, 0].copy()), pa.array(s[:, 1].copy()), batch.column(3)],
+                    names=["key", "path", "id", "n", "s0", "s1", "component"])
 
-    return classes.select("id", "n", "sig").mapInArrow(run, "key long, path binary, id long, n long, s0 long, s1 long")
+    return classes.select("id", "n", "sig", "component").mapInArrow(
+        run, "key long, path binary, id long, n long, s0 long, s1 long, component long")
 
 
 def alike(a, b, n, s0, s1, threshold: int) -> tuple[np.ndarray, np.ndarray]:
@@ -181,11 +187,14 @@ def alike(a, b, n, s0, s1, threshold: int) -> tuple[np.ndarray, np.ndarray]:
     return (100 * low >= threshold * high) & (bits <= SKETCH_LIMIT), bits
 
 
-def region_pairs(levels: np.ndarray, ids, n, s0, s1, region: int, window: int, threshold: int):
-    """Candidates of sorted rows. ``levels`` holds, per row, the values of the
-    key and of each further level. Returns (a, b, bits) by id and, for rows of
-    regions that stay large, (row, region hash)."""
+def region_pairs(levels: np.ndarray, ids, n, s0, s1, region: int, window: int, threshold: int,
+                 component=None, best: bool = False):
+    """Candidates of sorted rows, of different components only. ``levels``
+    holds, per row, the values of the key and of each further level. Returns
+    (a, b, bits) by id (``best``: for each row the partner of fewest bits
+    only) and, for rows of regions that stay large, (row, region hash)."""
     m = len(ids)
+    component = ids if component is None else component
     new = np.zeros(m, dtype=bool)
     new[0] = True
     group = np.full(m, -1, dtype=np.int64)
@@ -201,15 +210,25 @@ def region_pairs(levels: np.ndarray, ids, n, s0, s1, region: int, window: int, t
     length = np.bincount(group, minlength=m)[group]
     reach = np.where(big, np.minimum(window, length), length)
     found, at = [], np.arange(m)
+    fewest, partner = np.full(m, 129, dtype=np.int32), np.full(m, -1, dtype=np.int64)
     for d in range(1, max(region, window + 1)):
         at = at[(reach[at] > d) | (big[at] & (reach[at] >= d))]
         at = at[at + d < m]
         if not len(at):
             break
         i = at[group[at] == group[at + d]]
-        i = i[big[i] == big[i + d]]
+        i = i[(big[i] == big[i + d]) & (component[i] != component[i + d])]
         ok, bits = alike(i, i + d, n, s0, s1, threshold)
-        found.append((i[ok], i[ok] + d, bits[ok]))
+        i, bits = i[ok], bits[ok]
+        if not best:
+            found.append((i, i + d, bits))
+            continue
+        for x, y in ((i, i + d), (i + d, i)):  # no row is twice in x
+            less = bits < fewest[x]
+            fewest[x[less]], partner[x[less]] = bits[less], y[less]
+    if best:
+        x = np.flatnonzero(partner >= 0)
+        found.append((x, partner[x], fewest[x]))
     a = np.concatenate([x[0] for x in found] or [np.empty(0, np.int64)])
     b = np.concatenate([x[1] for x in found] or [np.empty(0, np.int64)])
     bits = np.concatenate([x[2] for x in found] or [np.empty(0, np.int32)])
@@ -224,17 +243,18 @@ def region_pairs(levels: np.ndarray, ids, n, s0, s1, region: int, window: int, t
 CANDIDATES = "a long, b long, bits int, region long"
 
 
-def candidates(sorted_rows: DataFrame, region: int, window: int, threshold: int, hold: int = 500_000) -> DataFrame:
+def candidates(sorted_rows: DataFrame, region: int, window: int, threshold: int, best: bool = False,
+               hold: int = 500_000) -> DataFrame:
     """Pairs (a < b, bits) and, with ``b`` null, members of large regions."""
 
     def run(batches):
         held: list = []
 
         def emit(t, upto):
-            ids, n, s0, s1 = (t[i][:upto] for i in (1, 2, 3, 4))
+            ids, n, s0, s1, component = (t[i][:upto] for i in (1, 2, 3, 4, 5))
             if len(ids) < 2:
                 return None
-            a, b, bits, rows, mark = region_pairs(t[0][:upto], ids, n, s0, s1, region, window, threshold)
+            a, b, bits, rows, mark = region_pairs(t[0][:upto], ids, n, s0, s1, region, window, threshold, component, best)
             pairs, big = len(a), len(rows)
             return pa.RecordBatch.from_arrays(
                 [pa.array(np.r_[a, ids[rows]]), pa.concat_arrays([pa.array(b), pa.nulls(big, pa.int64())]),
@@ -246,7 +266,7 @@ def candidates(sorted_rows: DataFrame, region: int, window: int, threshold: int,
                 continue
             key = batch.column(0).to_numpy()
             path = np.frombuffer(b"".join(batch.column(1).to_pylist()), dtype=">u4").reshape(batch.num_rows, -1)
-            t = [np.column_stack([key, path.astype(np.int64)])] + [batch.column(i).to_numpy() for i in (2, 3, 4, 5)]
+            t = [np.column_stack([key, path.astype(np.int64)])] + [batch.column(i).to_numpy() for i in (2, 3, 4, 5, 6)]
             held = [np.concatenate(x) for x in zip(held, t)] if held else t
             levels = held[0]
             # everything before the last key is complete; a very long run is
@@ -300,40 +320,43 @@ def confirmed(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, threshold: int = 80,
-                    trees: int = 32, depth: int = 4, extra: int = 4, region: int = 24, window: int = 4,
+                    trees: int = 32, depth: int = 4, extra: int = 4, region: int = 64, window: int = 8,
                     rounds: int = 2, block: int = 1024) -> DataFrame:
     """(id, n_shingles, component_id, kept), one row per row of ``docs``."""
     spark = docs.sparkSession
-    signed = stored(sign(docs, id_col, text_col, k, trees, depth), "signed")
+    signed = stored(sign(docs, id_col, text_col, k, trees, depth, extra), "signed")
     classes = (signed.filter("n > 0 AND id IS NOT NULL").groupBy("set_key")
                .agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("sig").alias("sig")))
     classes = stored(classes, "classes")
-    rows = orders(classes, trees, depth, extra).repartition("key").sortWithinPartitions("key", "path", "id")
-    found = stored(candidates(rows, region, window, threshold), "candidates")
-    pairs = stored(found.filter("b IS NOT NULL AND a < b").groupBy("a", "b").agg(F.min("bits").alias("bits")), "pairs")
-    n_pairs = pairs.count()
-    members = found.filter("b IS NULL").select(F.col("a").alias("id"), "region")
-
-    # ids that repeat hold several sets: classes, not ids, are compared
-    needed = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).union(members.select("id")).distinct()
-    needed = stored(needed, "needed")
-    sets = stored(small_join(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")),
-                             needed, "id", limit=2_000_000).transform(lambda d: _sets(d, k)), "sets")
-
-    links, open_ = None, pairs
+
+    links, live, sets, members = None, classes, None, None
     label = spark.createDataFrame([], "node long, component long")
     for step in range(rounds + 1):
-        if not open_.limit(1).count():
+        last = step == rounds
+        # ids that repeat hold several sets: classes, not ids, are compared
+        named = live.join(label.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+        rows = orders(named, trees, depth, extra).repartition("key").sortWithinPartitions("key", "path", "id")
+        found = stored(candidates(rows, region, window, threshold, best=not last), "candidates")
+        pairs = stored(found.filter("b IS NOT NULL AND a < b").groupBy("a", "b").agg(F.min("bits").alias("bits")), "pairs")
+        n_pairs = pairs.count()
+        needed = pairs.select(F.col("a").alias("id")).union(pairs.select("b"))
+        if step == 0:
+            members = found.filter("b IS NULL").select(F.col("a").alias("id"), "region")
+            needed = stored(needed.union(members.select("id")).distinct(), "needed")
+            sets = stored(small_join(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")),
+                                     needed, "id", limit=2_000_000).transform(lambda d: _sets(d, k)), "sets")
+        if not n_pairs:
             break
-        if step < rounds:
-            both = open_.select(F.col("a").alias("x"), "a", "b", "bits").union(open_.select("b", "a", "b", "bits"))
-            now = (both.groupBy("x").agg(F.min(F.struct("bits", "a", "b")).alias("p")).select("p.a", "p.b").distinct())
-        else:
-            now = open_.select("a", "b")
+        now = pairs.select("a", "b")
+        if not last:
+            both = pairs.select(F.col("a").alias("x"), "a", "b", "bits").union(pairs.select("b", "a", "b", "bits"))
+            now = both.groupBy("x").agg(F.min(F.struct("bits", "a", "b")).alias("p")).select("p.a", "p.b").distinct()
         now = stored(now, "now", n_pairs)
         links, label = _join_links(links, confirmed(now, sets, threshold))
-        if step < rounds:
-            open_ = stored(_between(open_.join(now, ["a", "b"], "left_anti"), label), "open", n_pairs)
+        if not last:
+            # a class without a partner in another component has none later
+            needed = needed.union(members.select("id")).distinct()
+            live = stored(classes.join(needed, "id", "left_semi"), "live")
 
     if members.limit(1).count():
         links, label = _join_links(links, _large_regions(members, label, sets, threshold, block))
@@ -373,14 +396,6 @@ def _join_links(links, more: DataFrame):
     return links, components(links, n)
 
 
-def _between(pairs: DataFrame, label: DataFrame) -> DataFrame:
-    """The pairs between different components."""
-    ca = label.select(F.col("node").alias("a"), F.col("component").alias("ca"))
-    cb = label.select(F.col("node").alias("b"), F.col("component").alias("cb"))
-    return (pairs.join(ca, "a", "left").join(cb, "b", "left")
-            .filter("coalesce(ca, a) <> coalesce(cb, b)").drop("ca", "cb"))
-
-
 def _large_regions(members: DataFrame, label: DataFrame, sets: DataFrame, threshold: int, block: int) -> DataFrame:
     """Links of the regions that stayed large: every member outside the largest
     component of its cluster (regions that share members) against every member
