@@ -38,12 +38,19 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the smallest id, of each group of near copies (five-word
-    shingles, similarity 0.8). Rows that repeat an id stay one row."""
+    shingles, similarity 0.8). Rows with a null id stay; of rows that share an
+    id and the text the one with the smallest other columns stays, rows that
+    share an id only all stay."""
     found = near_duplicates(docs)
     gone = found.filter("NOT kept").select(F.col("id").alias("doc_id")).distinct()
     left = small_join(docs, gone, "doc_id", "left_anti")
-    repeated = left.groupBy("doc_id").count().filter("doc_id IS NOT NULL AND count > 1").limit(1).count()
-    return left.dropDuplicates(["doc_id"]) if repeated else left
+    named = left.filter("doc_id IS NOT NULL")
+    if not named.groupBy("doc_id").count().filter("count > 1").limit(1).count():
+        return left
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    one = named.groupBy("doc_id", "text").agg(F.min(F.struct(*rest, F.lit(0).alias("__0"))).alias("__rest"))
+    one = one.select("doc_id", "text", "__rest.*").select(*docs.columns)
+    return one.union(left.filter("doc_id IS NULL").select(*docs.columns))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -284,6 +284,16 @@ def test_pipeline_stages_against_brute_force(few, tmpdir_path):
     assert sum(p.length for p in pieces) == sum(n * tokens[i] for i, n in copies.items())
 
 
+def test_pipeline_keeps_null_ids_and_texts_of_a_repeated_id(few):
+    import corpus_pipeline as cp
+
+    rows = [(None, text(70, 60), "en", "a", 1), (None, text(71, 60), "en", "b", 1), (None, text(71, 60), "en", "b", 1),
+            (5, text(72, 60), "en", "b", 1), (5, text(73, 60), "en", "a", 1), (5, text(72, 60), "en", "a", 1), (6, text(74, 60), None, None, None)]
+    got = cp.near_dedup(few, few.createDataFrame(rows, DOCS), "")
+    assert got.columns == DOCS.names
+    assert Counter(map(tuple, got.collect())) == Counter(r for i, r in enumerate(rows) if i != 3)
+
+
 def test_pipeline_on_an_empty_table(few, none, tmpdir_path):
     import corpus_pipeline as cp
 
