@@ -28,9 +28,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that an earlier line matches; ``n_chars``,
-    where the documents have it, follows the text."""
-    out = dedup_lines(docs)
+    """Documents without the lines, short ones too, that an earlier line
+    matches; ``n_chars``, where the documents have it, follows the text."""
+    out = dedup_lines(docs, min_tokens=1)
     if "n_chars" in out.columns:
         out = out.withColumn("n_chars", F.expr("CAST(char_length(text) AS BIGINT)"))
     return out.select(*docs.columns)

@@ -187,6 +187,21 @@ def test_line_dedup_matches_brute_force(few, odd):
     assert Counter((x.doc_id, x.text) for x in clean.collect()) == expect
 
 
+def test_short_lines_are_deduplicated(few):
+    import corpus_pipeline as cp
+
+    r = random.Random(4)
+    rows = [(i, "\n".join(" ".join(f"w{r.randrange(5)}" for _ in range(r.randrange(7))) for _ in range(6))) for i in range(40)]
+    rows += [(90, "And ornd.\n\none two three four"), (91, "and ornd.\n\none two three four five\n" + "la " * 50), (92, "la")]
+    df = few.createDataFrame(rows, "doc_id long, text string")
+    want = brute_lines(rows, least=1)
+    got = similar_lines(df, min_tokens=1, first_block=2)
+    assert Counter((x.doc_id, x.line_no) for x in got.collect()) == Counter(want)
+    assert {(91, 0), (91, 2), (92, 0)} <= want and (91, 1) not in want
+    clean = {x.doc_id: x.text for x in cp.lines(few, df, "").collect()}
+    assert clean == {i: "\n".join(x for n, x in enumerate(t.split("\n")) if (i, n) not in want) for i, t in rows}
+
+
 def test_line_dedup_of_nothing(none):
     assert similar_lines(none).count() == 0 and dedup_lines(none).count() == 0
 

@@ -4,7 +4,8 @@ A line is the set of its lower-cased words. Lines of at least ``min_tokens``
 distinct words take part; a line is removed when an earlier line (by document
 id, then line number) has a Jaccard similarity of ``threshold`` percent or
 more. Earlier lines count whether or not they are removed themselves, so the
-result does not depend on the order of work.
+result does not depend on the order of work. With ``min_tokens=1`` every line
+with words takes part (below four words a match at 80 percent is an equal set).
 
 Method: words are ordered by rarity (a count over all lines, kept as a small
 number for each of ``2**bits`` hash buckets, so the table has a fixed size; any
@@ -91,7 +92,9 @@ def similar_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     firsts = stored(placed.groupBy("cls").agg(F.min(F.struct("doc_id", "line_no")).alias("first")), "firsts")
 
     # one row per class and rare word; both sides of the semi join read the same exchange
-    classes = placed.groupBy("cls").agg(*(F.first(c).alias(c) for c in ("n", "bits", "more", "prefix")))
+    # (lines of fewer words than this match equal sets only)
+    classes = (placed.filter(f"{100 - threshold} * n >= {threshold}").groupBy("cls")
+               .agg(*(F.first(c).alias(c) for c in ("n", "bits", "more", "prefix"))))
     entries = classes.select("cls", "n", "bits", "more", F.posexplode("prefix").alias("pos", "tok"))
     x, y = entries.alias("x"), entries.alias("y")
     differ = f"({100 - threshold} * (x.n + y.n)) DIV {100 + threshold}"
