@@ -354,3 +354,33 @@ def test_wide_tables_are_profiled_in_passes(spark):
     df = spark.range(4).select("id", *[F.when(F.col("id") > i % 4, F.lit(float(i))).alias(f"c{i}") for i in range(n)])
     got = {r["Coluna"]: r["Missing"] for r in PR.missing_profile(df, [f"c{i}" for i in range(n)]).collect()}
     assert got == {f"c{i}": i % 4 + 1 for i in range(n)}
+
+
+def test_registered_fits_run_the_default_sizes(monkeypatch):
+    from wideframe.plans import catalog_models as CM
+
+    class Seen(Exception):
+        pass
+
+    def see(*args, **params):
+        raise Seen(params)
+
+    sizes = {"numTrees", "maxDepth", "maxIter"}
+    monkeypatch.setattr(CM, "engineered", lambda spark, sf_dir: None)
+    for name in ("leaderboard", "random_search", "fit_seed_ensemble", "kfold_metrics", "fit_pipeline"):
+        monkeypatch.setattr(CM.M, name, see)
+    for fit in (CM.q_seed_ensemble, CM.q_kfold_metrics, CM.q_importances, CM.q_tree_contrib):
+        with pytest.raises(Seen) as e:
+            fit(None, "")
+        assert not sizes & set(e.value.args[0])
+    monkeypatch.setattr(CM.M, "fit_pipeline", lambda *a, **p: None)
+    monkeypatch.setattr(CM.M, "importances", lambda *a, **p: [])
+    with pytest.raises(Seen) as e:
+        CM.q_importances(None, "")  # its ensemble
+    assert not sizes & set(e.value.args[0])
+    with pytest.raises(Seen) as e:
+        CM.q_search(None, "")
+    assert e.value.args[0] == {"trials": None, "rounds_scale": 1.0}
+    with pytest.raises(Seen) as e:
+        CM.q_leaderboard(None, "")
+    assert (e.value.args[0]["maxIter"], e.value.args[0]["boosterIter"], e.value.args[0]["numTrees"]) == (100, 100, 100)

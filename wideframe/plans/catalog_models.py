@@ -27,10 +27,9 @@ MODEL_FEATURES = ["P_mean", "P_std", "T_mean", "T_std", "F_mean_geral", "F_final
                   "sono_total", "Acordar", "F0103"]
 
 
-#: Sizes of the registered leaderboard: the zoo's forest (100 trees, depth 10)
-#: and a tenth of its boosting rounds, so that the check stays affordable;
-#: ``models.leaderboard`` without sizes runs the zoo's 100.
-LEADERBOARD_SIZES = {"numTrees": 100, "maxDepth": 10, "maxIter": 10, "boosterIter": 10}
+#: Sizes of the registered leaderboard, the zoo's own: a forest of 100 trees of
+#: depth 10 and 100 boosting rounds.
+LEADERBOARD_SIZES = {"numTrees": 100, "maxDepth": 10, "maxIter": 100, "boosterIter": 100}
 
 
 @register("model_leaderboard", "M1 M2 M3 M4 M5 M6 M9 X1")
@@ -55,16 +54,16 @@ def q_linear_leaderboard(spark, sf_dir):
 
 
 @register("gbt_random_search", "M7 X2")
-def q_search(spark, sf_dir, trials: int = 2, rounds_scale: float = 0.01):
-    """Seeded random search over each target's own space and folds. The number
-    of trials and the share of the boosting rounds are arguments, shown in the
-    result; ``models.random_search`` runs a space's own numbers."""
+def q_search(spark, sf_dir, trials: int | None = None, rounds_scale: float = 1.0):
+    """Seeded random search over each target's own space, folds, trials and
+    rounds. Fewer trials and a share of the boosting rounds are arguments,
+    shown in the result."""
     df = engineered(spark, sf_dir)
     rows = []
     for t in TARGETS:
         _, tried = M.random_search(df, MODEL_FEATURES, t, ID_COL, trials=trials, rounds_scale=rounds_scale)
         best = max(range(len(tried)), key=lambda i: tried[i][1])
-        rows += [(t, i, float(s), str(sorted(d.items())), i == best, M.SEARCH_SPACES[t]["folds"], trials, rounds_scale)
+        rows += [(t, i, float(s), str(sorted(d.items())), i == best, M.SEARCH_SPACES[t]["folds"], len(tried), rounds_scale)
                  for i, (d, s) in enumerate(tried)]
     return round6(spark.createDataFrame(rows, "target string, trial int, mean_cv_r2 double, settings string, best boolean, "
                                               "folds int, trials int, rounds_scale double"))
@@ -77,7 +76,7 @@ def q_seed_ensemble(spark, sf_dir):
     df = engineered(spark, sf_dir)
     rows = []
     for t in ("Target2", "Target3"):
-        ens, seen, unseen = M.fit_seed_ensemble(df, MODEL_FEATURES, t, ID_COL, kind="gbt", maxIter=30, maxDepth=4)
+        ens, seen, unseen = M.fit_seed_ensemble(df, MODEL_FEATURES, t, ID_COL, kind="gbt")
         tr = M.evaluate_any(ens, seen, t)
         te = M.evaluate_any(ens, unseen, t)
         rows.append((t, tr["r2"], te["r2"], te["mae"], te["rmse"], overfitting_value(tr["r2"], te["r2"]),
@@ -95,7 +94,7 @@ def q_kfold_metrics(spark, sf_dir):
     df = engineered(spark, sf_dir)
     rows = []
     for t in TARGETS:
-        r = M.kfold_metrics(df, MODEL_FEATURES, t, ID_COL, "random_forest", k=3, numTrees=20, maxDepth=6)
+        r = M.kfold_metrics(df, MODEL_FEATURES, t, ID_COL, "random_forest", k=3)
         rows.append((t, r["r2_kfold"], r["mae_kfold"], r["rmse_kfold"], r["n"], r["k"]))
     return round6(spark.createDataFrame(rows, "target string, r2_kfold double, mae_kfold double, "
                                               "rmse_kfold double, n long, k int"))
@@ -107,9 +106,9 @@ def q_importances(spark, sf_dir):
     ensemble for Target2, |coef|·std for a linear model on Target3; top 20."""
     df = engineered(spark, sf_dir)
     rows = []
-    rf = M.fit_pipeline(df, MODEL_FEATURES, "Target1", "random_forest", 42, numTrees=30, maxDepth=6)
+    rf = M.fit_pipeline(df, MODEL_FEATURES, "Target1", "random_forest", 42)
     rows += [("Target1", f, v) for f, v in M.importances(rf, MODEL_FEATURES)]
-    ens, _, _ = M.fit_seed_ensemble(df, MODEL_FEATURES, "Target2", ID_COL, kind="gbt", maxIter=20, maxDepth=3)
+    ens, _, _ = M.fit_seed_ensemble(df, MODEL_FEATURES, "Target2", ID_COL, kind="gbt")
     for m in ens.members:
         rows += [("Target2", f, v) for f, v in M.importances(m, MODEL_FEATURES)]
     lin = M.fit_pipeline(df, MODEL_FEATURES, "Target3", "linear")
@@ -123,7 +122,7 @@ def q_tree_contrib(spark, sf_dir):
     """Path-dependent TreeSHAP of a boosted-tree model for every player (long
     form), then the 15 largest per player."""
     df = engineered(spark, sf_dir)
-    model = M.fit_pipeline(df, MODEL_FEATURES, "Target1", "gbt", 42, maxIter=20, maxDepth=4)
+    model = M.fit_pipeline(df, MODEL_FEATURES, "Target1", "gbt", 42)
     trees = EX.trees_from_model(model.stages[-1], spark)
     return round6(EX.tree_contributions(df, trees, MODEL_FEATURES, ID_COL, "T1", top_k=15))
 
