@@ -202,6 +202,20 @@ def test_short_lines_are_deduplicated(few):
     assert clean == {i: "\n".join(x for n, x in enumerate(t.split("\n")) if (i, n) not in want) for i, t in rows}
 
 
+def test_line_dedup_of_an_id_with_two_texts(few):
+    a, b, c = "a b c d e f g h i j", "k l m n o p q r s t", "aa bb cc dd ee ff gg hh ii jj"
+    rows = [(1, f"{a}\n{b}\n{c}"), (2, b), (2, f"{c} x"), (2, "one line of five other words"), (3, f"{a} y\n{b} z")]
+    df = few.createDataFrame(rows, "doc_id long, text string")
+    got = similar_lines(df)
+    assert {(r.doc_id, r.line_no) for r in got.collect()} == {(2, 0), (3, 0), (3, 1)}
+    clean = Counter((r.doc_id, r.text) for r in dedup_lines(df).collect())
+    assert clean == Counter([rows[0], (2, ""), (2, ""), rows[3], (3, "")])
+    # the words of a first place come from its own row: the shorter row has no such line
+    rows = [(1, "x"), (1, f"u v w x y\n{a}"), (2, f"{a} z")]
+    df = few.createDataFrame(rows, "doc_id long, text string")
+    assert {(r.doc_id, r.line_no) for r in similar_lines(df).collect()} == {(2, 0)}
+
+
 def test_line_dedup_of_nothing(none):
     assert similar_lines(none).count() == 0 and dedup_lines(none).count() == 0
 

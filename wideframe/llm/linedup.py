@@ -26,8 +26,9 @@ DataFrame functions only. Scale: three scans of the texts; shuffles carry
 hashes; full sets are built only for lines with candidates.
 
 Defined cases: null text has no lines; shorter lines and lines of documents
-with a null id stay as they are; rows that repeat an id are one document (all
-of them lose the same lines); an empty table gives no rows. A document that
+with a null id stay as they are; rows that repeat an id are one document if
+their texts are equal, and with different texts each loses its own lines (a
+place carries a hash of its line); an empty table gives no rows. A document that
 loses every line keeps an empty text. Extra columns pass through.
 """
 
@@ -76,20 +77,25 @@ def ordered_keys(line: str, rarity: str, bits: int = BITS) -> str:
             f"shiftleft({table}[CAST(xxhash64(w) & {2 ** bits - 1} AS INT)], 56) | (xxhash64(w) & {2 ** 56 - 1}L))))")
 
 
-def similar_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = 80,
-                  min_tokens: int = 5, first_block: int = 8) -> DataFrame:
+def similar_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """(doc_id, line_no, n_tokens) of the lines to remove."""
+    return _removed(docs, id_col, text_col, **options).select("doc_id", "line_no", "n_tokens").distinct()
+
+
+def _removed(docs: DataFrame, id_col: str, text_col: str, threshold: int = 80, min_tokens: int = 5,
+             first_block: int = 8) -> DataFrame:
+    """(doc_id, line_no, line_hash, n_tokens) of the lines to remove."""
     lines = exploded(docs, id_col, text_col)
-    keyed = lines.select("doc_id", "line_no", F.expr(ordered_keys("line", rarity_list(lines))).alias("k"))
+    keyed = lines.select("doc_id", "line_no", F.expr("xxhash64(line)").alias("line_hash"), F.expr(ordered_keys("line", rarity_list(lines))).alias("k"))
     prefix = f"size(k) - ({threshold} * size(k) + 99) DIV 100 + 1"
     placed = keyed.filter(f"size(k) >= {min_tokens}").select(
-        "doc_id", "line_no", F.expr("xxhash64(k)").alias("cls"), F.size("k").alias("n"),
+        "doc_id", "line_no", "line_hash", F.expr("xxhash64(k)").alias("cls"), F.size("k").alias("n"),
         # a word has one place of 64, in long lines of 128 (``more`` holds the second half)
         F.expr(f"aggregate(k, 0L, (a, x) -> a | IF(size(k) > {LONG} AND x & 64 <> 0, 0L, shiftleft(1L, CAST(x & 63 AS INT))))").alias("bits"),
         F.expr(f"IF(size(k) > {LONG}, aggregate(k, 0L, (a, x) -> a | IF(x & 64 <> 0, shiftleft(1L, CAST(x & 63 AS INT)), 0L)), 0L)").alias("more"),
         F.expr(f"slice(k, 1, CAST({prefix} AS INT))").alias("prefix"))
     placed = stored(placed, "lines")
-    firsts = stored(placed.groupBy("cls").agg(F.min(F.struct("doc_id", "line_no")).alias("first")), "firsts")
+    firsts = stored(placed.groupBy("cls").agg(F.min(F.struct("doc_id", "line_no", "line_hash")).alias("first")), "firsts")
 
     # one row per class and rare word; both sides of the semi join read the same exchange
     # (lines of fewer words than this match equal sets only)
@@ -108,11 +114,12 @@ def similar_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     able = stored(able.withColumn("rn", F.row_number().over(turn)), "entries")
 
     involved = stored(able.select("cls").distinct().join(firsts, "cls").select(
-        F.col("first.doc_id").alias("doc_id"), F.col("first.line_no").alias("line_no"), "cls"), "involved")
-    wanted = involved.groupBy("doc_id").agg(F.collect_list(F.struct("line_no", "cls")).alias("want"))
+        F.col("first.doc_id").alias("doc_id"), F.col("first.line_no").alias("line_no"), F.col("first.line_hash").alias("line_hash"), "cls"), "involved")
+    wanted = involved.groupBy("doc_id").agg(F.collect_list(F.struct("line_no", "line_hash", "cls")).alias("want"))
     again = small_join(docs.select(F.col(id_col).alias("doc_id"), F.split(F.col(text_col), "\n").alias("ls")), wanted, "doc_id",
                        limit=500_000)
-    words = (again.select(F.inline(F.expr("transform(want, w -> named_struct('cls', w.cls, 'line', ls[w.line_no]))")))
+    words = (again.select(F.inline(F.expr("transform(want, w -> named_struct('cls', w.cls, 'line_hash', w.line_hash, 'line', get(ls, w.line_no)))")))
+             .filter("line IS NOT NULL AND xxhash64(line) = line_hash")
              .select("cls", F.expr(f"transform({line_words('line')}, w -> xxhash64(w))").alias("ws")).dropDuplicates(["cls"]))
     words = stored(words, "words")
 
@@ -135,15 +142,16 @@ def similar_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         matched = able.select("cls").limit(0)
     state = firsts.join(matched.withColumn("hit", F.lit(True)), "cls", "left")
     # every later place of a class goes, and its first one if there is a witness
-    out = placed.select("doc_id", "line_no", "n", "cls").join(state, "cls").filter(
+    out = placed.select("doc_id", "line_no", "line_hash", "n", "cls").join(state, "cls").filter(
         "hit OR doc_id <> first.doc_id OR line_no <> first.line_no")
-    return out.select("doc_id", "line_no", F.col("n").alias("n_tokens")).distinct()
+    return out.select("doc_id", "line_no", "line_hash", F.col("n").alias("n_tokens")).distinct()
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` without the removed lines; same columns."""
-    gone = similar_lines(docs, id_col, text_col, **options)
-    gone = stored(gone.groupBy(F.col("doc_id").alias(id_col)).agg(F.collect_set("line_no").alias("__gone")), "gone")
+    gone = _removed(docs, id_col, text_col, **options)
+    gone = stored(gone.groupBy(F.col("doc_id").alias(id_col))
+                  .agg(F.collect_set(F.struct("line_no", "line_hash")).alias("__gone")), "gone")
     text = (f"IF(__gone IS NULL, `{text_col}`, array_join(filter(split(`{text_col}`, '\\n'), "
-            "(l, i) -> NOT array_contains(__gone, i)), '\\n'))")
+            "(l, i) -> NOT array_contains(__gone, named_struct('line_no', i, 'line_hash', xxhash64(l)))), '\\n'))")
     return small_join(docs, gone, id_col, "left").withColumn(text_col, F.expr(text)).select(*docs.columns)
