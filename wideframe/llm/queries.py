@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from .common import n_words_sql
+from .common import n_words_sql, stored
+from .fim import digests, framed, transformed
 from .forest import near_duplicates
+from .lexical import search
 from .linedup import similar_lines
 from .lm import score_documents
 from .mix import pareto_mix
@@ -87,3 +89,14 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_log_bilinear_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(read_table(spark, sf_dir, "documents")).select(
         F.col("id").alias("doc_id"), "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query
+def op12_compressed_frames_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = stored(framed(read_table(spark, sf_dir, "documents")), "frames")
+    return digests(transformed(store)).withColumnRenamed("id", "doc_id")
+
+
+@query
+def op13_mask_group_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
