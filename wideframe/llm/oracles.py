@@ -137,6 +137,22 @@ SELECT doc_id, size::BIGINT AS size, crc::BIGINT AS text_crc32, 'rows' AS law, s
        (pos - (sh * n + 7) // 8)::BIGINT AS slot, NULL::INT AS grown_shard FROM z
 """
 
+# the join of every pair that shares a shingle, for another shingle length and threshold
+_SIMILAR = r"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT rid, doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(ws) - 1), lambda i: array_to_string(ws[i:i + 2], ' '))) END AS sh FROM d),
+x AS (SELECT rid, doc_id, len(sh) AS n, unnest(sh) AS h FROM s),
+p AS (SELECT a.rid AS r, b.rid AS q, any_value(a.doc_id) AS a, any_value(b.doc_id) AS b, count(*) AS common,
+        any_value(a.n) AS na, any_value(b.n) AS nb FROM x a JOIN x b ON a.h = b.h AND a.rid <> b.rid GROUP BY a.rid, b.rid),
+e AS (SELECT DISTINCT a, b FROM p WHERE 100 * common >= 90 * (na + nb - common)),
+reach AS (SELECT doc_id AS id, doc_id AS m FROM s UNION SELECT e.b, reach.m FROM reach JOIN e ON e.a = reach.id),
+c AS (SELECT id, min(m) AS component_id FROM reach GROUP BY id)
+SELECT doc_id, len(sh)::BIGINT AS n_shingles, CASE WHEN len(sh) = 0 THEN doc_id ELSE component_id END AS component_id
+FROM s LEFT JOIN c ON c.id = s.doc_id
+"""
+
 _FIM = """
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
 x AS (SELECT doc_id, t, length(t)::BIGINT AS n, ('0x' || substr(h, 1, 8))::BIGINT AS h1, ('0x' || substr(h, 9, 8))::BIGINT AS h2,
@@ -165,4 +181,4 @@ SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, do
 FROM s WHERE score > 0 QUALIFY rank <= 50
 """
 
-ORACLES: dict = {"op12_compressed_frames_fim": _FIM, "op13_mask_group_search": _SEARCH, "op4_lsh_forest": _NEAR, "op9_interleave_shards": _SHARDS, "op5_line_dedup": _LINES, "op1_pareto_mix": _mix(), "op3_ball_tree_top_k": _TOP_K, "op7_quality_rules": _quality()}
+ORACLES: dict = {"op11_partenum_join": _SIMILAR, "op12_compressed_frames_fim": _FIM, "op13_mask_group_search": _SEARCH, "op4_lsh_forest": _NEAR, "op9_interleave_shards": _SHARDS, "op5_line_dedup": _LINES, "op1_pareto_mix": _mix(), "op3_ball_tree_top_k": _TOP_K, "op7_quality_rules": _quality()}

@@ -15,6 +15,7 @@ from .lm import score_documents
 from .mix import pareto_mix
 from .order import materialise
 from .pack import pack
+from .partenum import similar_documents
 from .quality import judge
 from .shard import interleave_shards
 from .topk import top_k
@@ -100,3 +101,9 @@ def op12_compressed_frames_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op13_mask_group_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op11_partenum_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = similar_documents(read_table(spark, sf_dir, "documents"), k=3, threshold=90)
+    return found.withColumnRenamed("id", "doc_id")
