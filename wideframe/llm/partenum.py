@@ -22,11 +22,11 @@ left, in it and in any linked set.
 
 Links. Signature rows are range-partitioned by (signature, class), so a crowd
 behind one signature spans several tasks; rows alone with their signature are
-dropped. Then rounds: in every signature group with several components, each
-member is compared with one member (the hub, another one each round), with the
-hub it shares most signatures with; links join components. So a crowd of near
-copies costs a few comparisons a member. When rounds find nothing new, every
-pair of a group that is not yet in one component is compared. Comparisons go
+dropped. Then ``rounds``: every signature group with several components has a
+member as hub, another one each round; each class is compared with that hub,
+not tried before, with which it shares most signatures; links join components.
+So a crowd of near copies costs a few comparisons a member. At last every pair
+of a group that is not yet in one component is compared. Comparisons go
 by a parity sketch first (differing parities never exceed the differing
 elements, so it only rejects pairs that are too far apart), then by full sets.
 
@@ -311,37 +311,32 @@ def full_sets(docs: DataFrame, classes: DataFrame, live: DataFrame, id_col: str,
 def link_classes(live: DataFrame, classes: DataFrame, sets: DataFrame, threshold: int, rounds: int, small: int, block: int):
     """(a, b) links that join the classes of ``live`` (sig, cls) as all links do, or None."""
     spark = live.sparkSession
-    links = tested = found = None
+    links = tested = None
     label = spark.createDataFrame([], "node long, component long")
-    turn = 0
-    while True:
+    for turn in range(rounds + 1):
         named = live.select("sig", "cls").join(label.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
         hub = (named.groupBy("sig").agg(F.min(F.struct(F.xxhash64("cls", F.lit(turn)).alias("h"), "cls", "component")).alias("hub"),
                                         F.min("component").alias("low"), F.max("component").alias("high"))
                .filter("low < high").select("sig", F.col("hub.cls").alias("hub"), F.col("hub.component").alias("hub_component")))
         live = stored(named.join(hub, "sig"), "live")
         if not live.limit(1).count():
-            return links
-        last = turn >= rounds and not found
-        if last:
+            break
+        if turn == rounds:
             pairs = all_pairs(live.select("sig", "cls", "component"), classes, threshold, small, block)
+            pairs = pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti")
         else:
-            shared_with = live.filter("component <> hub_component").groupBy("cls", "hub").agg(F.count("*").alias("c"))
-            best = shared_with.groupBy("cls").agg(F.max(F.struct("c", "hub")).alias("p")).select("cls", F.col("p.hub").alias("hub"))
-            pairs = best.select(F.least("cls", "hub").alias("a"), F.greatest("cls", "hub").alias("b")).distinct()
-            pairs = by_sketch(pairs, classes, threshold)
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "pairs")
-        tested = pairs if tested is None else tested.union(pairs)
-        more = stored(confirmed(pairs, sets, threshold), "links")
-        found = more.count()
-        if found:
-            links = more if links is None else links.union(more)
-            label = components(links, links.count())
-        if last:
-            return links
-        turn += 1
+            met = (live.filter("component <> hub_component").groupBy("cls", "hub").agg(F.count("*").alias("c"))
+                   .withColumns({"a": F.least("cls", "hub"), "b": F.greatest("cls", "hub")}))
+            met = met if tested is None else met.join(tested, ["a", "b"], "left_anti")
+            best = met.groupBy("cls").agg(F.max(F.struct("c", "a", "b")).alias("p")).select("p.a", "p.b").distinct()
+            best = stored(best, "best")
+            tested = best if tested is None else best.union(tested)
+            pairs = by_sketch(best, classes, threshold)
+        more = stored(confirmed(stored(pairs, "pairs"), sets, threshold), "links")
+        if more.limit(1).count():
+            links = more if links is None else stored(links.union(more), "links")
+            label = components(links, links.count()) if turn < rounds else label
+    return links
 
 
 def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, threshold: int = 80,
