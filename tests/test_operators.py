@@ -340,12 +340,12 @@ def test_predictions_are_named_after_their_target(spark, tmpdir_path):
 
 
 def test_search_draws_stay_in_their_space():
-    for target, space in M.SEARCH_SPACES.items():
-        drawn = M.draw_settings(space, 50, seed=1)
-        assert drawn == M.draw_settings(space, 50, seed=1) and len(drawn) == 50
+    from wideframe.operators import tuning as TU
+    for target, space in TU.SEARCH_SPACES.items():
+        drawn = TU.draw_settings(space, 50, seed=1)
+        assert drawn == TU.draw_settings(space, 50, seed=1) and len(drawn) == 50
         for d in drawn:
-            assert space["rate"][0] <= d["stepSize"] <= space["rate"][1] and space["depth"][0] <= d["maxDepth"] <= space["depth"][1]
-            assert space["rounds"][0] <= d["maxIter"] <= space["rounds"][1] and space["bins"][0] <= d["maxBins"] <= space["bins"][1]
+            assert all(space[k][0] <= d[k] <= space[k][1] for k in TU.SETTINGS)
 
 
 def test_wide_tables_are_profiled_in_passes(spark):
@@ -356,7 +356,7 @@ def test_wide_tables_are_profiled_in_passes(spark):
     assert got == {f"c{i}": i % 4 + 1 for i in range(n)}
 
 
-def test_registered_fits_run_the_default_sizes(monkeypatch):
+def test_registered_fits_run_the_default_sizes(spark, monkeypatch):
     from wideframe.plans import catalog_models as CM
 
     class Seen(Exception):
@@ -366,10 +366,29 @@ def test_registered_fits_run_the_default_sizes(monkeypatch):
         raise Seen(params)
 
     sizes = {"numTrees", "maxDepth", "maxIter"}
-    monkeypatch.setattr(CM, "engineered", lambda spark, sf_dir: None)
-    for name in ("leaderboard", "random_search", "fit_seed_ensemble", "kfold_metrics", "fit_pipeline"):
+
+    class Frame:
+        def unpersist(self):
+            pass
+
+    monkeypatch.setattr(CM, "engineered", lambda spark, sf_dir: Frame())
+    monkeypatch.setattr(CM, "scratch_path", lambda *a: "")
+    monkeypatch.setattr(CM.HB, "bin_table", lambda *a, **p: None)
+    fits = []
+    monkeypatch.setattr(CM.HB, "Booster", lambda table, given: fits.extend(given) or see())
+    for fit in (CM.q_seed_ensemble, CM.q_forest_oob):
+        with pytest.raises(Seen):
+            fit(None, "")
+    assert [(f.rounds, f.depth) for f in fits] == [(100, 5)] * 6 + [(1, 6)] * 300
+    monkeypatch.setattr(CM.TU, "halving_search", lambda table, trials, **p: see(trials=trials))
+    monkeypatch.setattr(CM.HB, "bin_table", lambda *a, **p: Frame())
+    with pytest.raises(Seen) as e:
+        CM.q_search(None, "")
+    trials = e.value.args[0]["trials"]
+    assert len(trials) == 350 and sum(len(t.fits) for t in trials) == 1550 and max(f.rounds for t in trials for f in t.fits) > 700
+    for name in ("leaderboard", "fit_seed_ensemble", "kfold_metrics", "fit_pipeline"):
         monkeypatch.setattr(CM.M, name, see)
-    for fit in (CM.q_seed_ensemble, CM.q_kfold_metrics, CM.q_importances, CM.q_tree_contrib):
+    for fit in (CM.q_kfold_metrics, CM.q_importances, CM.q_tree_contrib):
         with pytest.raises(Seen) as e:
             fit(None, "")
         assert not sizes & set(e.value.args[0])
@@ -378,9 +397,6 @@ def test_registered_fits_run_the_default_sizes(monkeypatch):
     with pytest.raises(Seen) as e:
         CM.q_importances(None, "")  # its ensemble
     assert not sizes & set(e.value.args[0])
-    with pytest.raises(Seen) as e:
-        CM.q_search(None, "")
-    assert e.value.args[0] == {"trials": None, "rounds_scale": 1.0}
     with pytest.raises(Seen) as e:
         CM.q_leaderboard(None, "")
     assert (e.value.args[0]["maxIter"], e.value.args[0]["boosterIter"], e.value.args[0]["numTrees"]) == (100, 100, 100)

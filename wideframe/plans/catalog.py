@@ -430,6 +430,14 @@ def q_corr_matrix(spark, sf_dir):
     return round6(PR.corr_matrix(df, ["P_mean", "T_mean", "F_mean_geral", "sono_total", "Target1", "Target3"]))
 
 
+@register("corr_matrix_all", "A10 A13 P7")
+def q_corr_matrix_all(spark, sf_dir):
+    """A13 over every numeric feature and target, from one scan."""
+    from ..operators.crossmoments import corr_tiles
+    df = engineered(spark, sf_dir, keep=False)
+    return round6(corr_tiles(df, [*FAM.numeric_columns(df, exclude=(ID_COL, *TARGETS)), *TARGETS]))
+
+
 @register("describe", "A14 A6 A8")
 def q_describe(spark, sf_dir):
     df = engineered(spark, sf_dir)
@@ -721,6 +729,24 @@ def q_saved_plan(spark, sf_dir):
     return score(raw, load_state(spark, path), ID_COL)
 
 
+@register("three_target_scoring", "M13 S7 M1 P9 E2 E8 E10 Z2 Z3 L7")
+def q_three_targets(spark, sf_dir):
+    """One scoring call with the three targets' own preparations: products and
+    robust scaling (1 and 3), sleep set B with the quantile-normal scaler (2),
+    least squares each; saved and loaded before it is applied."""
+    from ..session import scratch_path
+    from .scoring import TargetModel, fit_scoring_plan, score
+    from .state import load_state, save_state
+    raw = player_table(spark, sf_dir)
+    plan = fit_scoring_plan(raw, targets=(
+        TargetModel("Target1", 1, ["P_mean", "P_mean_X_T_mean"], ["P_mean_X_T_mean"]),
+        TargetModel("Target2", 2, ["P_mean"], quantiles=11),
+        TargetModel("Target3", 3, ["T_mean", "F1103_X_P_mean"], ["F1103_X_P_mean"])))
+    path = scratch_path(spark, f"plan-{uuid.uuid4().hex}")
+    save_state(spark, plan, path)
+    return score(raw, load_state(spark, path), ID_COL)
+
+
 # --------------------------------------------------------------------------
 # clustering with fixed centroids / loadings
 # --------------------------------------------------------------------------

@@ -6,6 +6,7 @@ against NumPy in ``tests/``.
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,10 +15,15 @@ from pyspark.sql import functions as F
 from ..functions import features as FE
 from ..operators import cluster as CL
 from ..operators import explain as EX
+from ..operators import histboost as HB
 from ..operators import models as M
+from ..operators import restarts as RS
 from ..operators import select as SEL
+from ..operators import tuning as TU
 from ..operators.metrics import overfitting_value
+from ..operators.quantile import quantile_values
 from ..operators.scale import QuantileNormalizer, StandardScaler
+from ..operators.split import hash_bucket
 from ..session import scratch_path
 from .catalog import FIXED_ENSEMBLE_SCALE, FIXED_LINEAR, engineered, register, round6
 from .player import ID_COL, TARGETS, player_table
@@ -39,7 +45,8 @@ def q_leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = engineered(spark, sf_dir)
     sizes = {k: v for k, v in LEADERBOARD_SIZES.items() if k != "maxDepth"}
     board = M.leaderboard(df, MODEL_FEATURES, list(TARGETS), ID_COL,
-                          kinds=("linear", "ridge", "random_forest", "gbt", "booster"), test_pct=20, **sizes)
+                          kinds=("linear", "ridge", "random_forest", "gbt", "booster", "booster_symmetric"), test_pct=20, **sizes)
+    df.unpersist()
     best = M.best_models(board)
     out = board.join(F.broadcast(best), "target").withColumn("is_best", F.col("model") == F.col("best_model"))
     return round6(out.drop("best_model", "best_r2").withColumn("sizes", F.lit(str(sorted(LEADERBOARD_SIZES.items())))))
@@ -53,40 +60,98 @@ def q_linear_leaderboard(spark, sf_dir):
     return round6(board)
 
 
-@register("gbt_random_search", "M7 X2")
-def q_search(spark, sf_dir, trials: int | None = None, rounds_scale: float = 1.0):
-    """Seeded random search over each target's own space, folds, trials and
-    rounds. Fewer trials and a share of the boosting rounds are arguments,
-    shown in the result."""
+#: Rounds without a lower held-out error after which a search's model stops.
+SEARCH_PATIENCE = 20
+
+#: Borders of the binned table that search, ensembles and boosters share.
+BORDERS = 128
+
+
+@register("gbt_random_search", "M5 M7 X2")
+def q_search(spark, sf_dir, trials: int | None = None):
+    """Successive halving over each target's own space, folds, trials and
+    rounds; all trials and folds of all targets share each pass."""
     df = engineered(spark, sf_dir)
-    rows = []
-    for t in TARGETS:
-        _, tried = M.random_search(df, MODEL_FEATURES, t, ID_COL, trials=trials, rounds_scale=rounds_scale)
-        best = max(range(len(tried)), key=lambda i: tried[i][1])
-        rows += [(t, i, float(s), str(sorted(d.items())), i == best, M.SEARCH_SPACES[t]["folds"], len(tried), rounds_scale)
-                 for i, (d, s) in enumerate(tried)]
+    folds = {f"fold{k}": (hash_bucket(ID_COL, 42, 1 << 30) % k).cast("int") for k in sorted({s["folds"] for s in TU.SEARCH_SPACES.values()})}
+    table = HB.bin_table(df, MODEL_FEATURES, list(TARGETS), ID_COL, folds, borders=BORDERS)
+    df.unpersist()
+    drawn = [x for t in TARGETS for x in TU.trials_for(t, TU.SEARCH_SPACES[t], trials, patience=SEARCH_PATIENCE)]
+    tried = TU.halving_search(table, drawn, store=scratch_path(spark, f"search-{uuid.uuid4().hex}"))
+    table.release()
+    rows = [(t.label, t.number, t.score, json.dumps({k: getattr(t.fits[0], k) for k in TU.SETTINGS}, sort_keys=True), t.best, len(t.fits),
+             t.rung, t.rounds) for t in tried]
     return round6(spark.createDataFrame(rows, "target string, trial int, mean_cv_r2 double, settings string, best boolean, "
-                                              "folds int, trials int, rounds_scale double"))
+                                              "folds int, last_rung int, rounds int"))
 
 
-@register("seed_ensemble_metrics", "M8 M9 M10")
+@register("seed_ensemble_metrics", "M5 M8 M9 M10")
 def q_seed_ensemble(spark, sf_dir):
     """Three boosted-tree members on seeds 42/123/456, mean prediction, metrics
-    on the rows no member trained on, and the overfitting ratio."""
+    on the rows no member trained on, and the overfitting ratio; the members of
+    both targets grow together."""
     df = engineered(spark, sf_dir)
-    rows = []
-    for t in ("Target2", "Target3"):
-        ens, seen, unseen = M.fit_seed_ensemble(df, MODEL_FEATURES, t, ID_COL, kind="gbt")
-        tr = M.evaluate_any(ens, seen, t)
-        te = M.evaluate_any(ens, unseen, t)
-        rows.append((t, tr["r2"], te["r2"], te["mae"], te["rmse"], overfitting_value(tr["r2"], te["r2"]),
-                     len(MODEL_FEATURES), len(ens.members), te["n"]))
+    labels = ("Target2", "Target3")
+    table = HB.bin_table(df, MODEL_FEATURES, labels, ID_COL, TU.split_parts(ID_COL, TU.ENSEMBLE_SEEDS, 25), borders=BORDERS)
+    df.unpersist()
+    fits = [f for t in labels for f in TU.seed_fits(M.boosted_fits(t, None, 42)["gbt"])]
+    booster = HB.Booster(table, fits)
+    booster.grow()
+    n = len(TU.ENSEMBLE_SEEDS)
+    members = [list(range(i * n, (i + 1) * n)) for i in range(len(labels))]
+    got = booster.evaluate([(m, rule) for m in members for rule in ("train", "held")])
+    booster.release()
+    table.release()
+    rows = [(t, float(tr["r2"]), float(te["r2"]), float(te["mae"]), float(te["rmse"]), overfitting_value(float(tr["r2"]), float(te["r2"])),
+             len(MODEL_FEATURES), n, te["n"]) for t, tr, te in zip(labels, got[::2], got[1::2])]
     out = spark.createDataFrame(rows, "target string, r2_train double, r2_test double, mae_test double, "
                                       "rmse_test double, overfitting_pct double, n_features int, "
                                       "ensemble_size int, n_test long")
     return round6(out)
 
 
+@register("forest_oob_metrics", "M3 M12 M9")
+def q_forest_oob(spark, sf_dir):
+    """Out-of-bag R²/MAE/RMSE of a bagged forest per target: every row is scored
+    by the trees whose bag does not hold it, in one pass."""
+    df = engineered(spark, sf_dir)
+    table = HB.bin_table(df, MODEL_FEATURES, list(TARGETS), ID_COL, borders=32)
+    df.unpersist()
+    trees = {t: TU.forest_fits(t) for t in TARGETS}
+    forest = HB.Booster(table, [f for fits in trees.values() for f in fits])
+    forest.grow()
+    at, asked = 0, []
+    for fits in trees.values():
+        asked.append((list(range(at, at + len(fits))), "bag"))
+        at += len(fits)
+    rows = [(t, r["r2"], r["mae"], r["rmse"], r["n"], len(fits))
+            for (t, fits), r in zip(trees.items(), forest.evaluate(asked))]
+    table.release()
+    return round6(spark.createDataFrame([tuple(None if v is None else float(v) if isinstance(v, float) else v for v in r) for r in rows],
+                                        "target string, r2_oob double, mae_oob double, rmse_oob double, n long, trees int"))
+
+
+@register("booster_one_tree", "M5")
+def q_one_tree(spark, sf_dir):
+    """One symmetric tree of depth 2 on three features with up to 8 borders:
+    its splits, leaf values and rows, which SQL can repeat. Features are cut to
+    4 decimals and borders lie between those values."""
+    cols = ["P_mean", "T_mean", "sono_total"]
+    four = [F.expr(f"round({c} * 1e4) / 1e4").alias(c) for c in cols]
+    df = materialize(engineered(spark, sf_dir, keep=False).select(ID_COL, "Target1", *four))
+    values = quantile_values(df, cols, [i / 9 for i in range(1, 9)])
+    cuts = [sorted({float(round(v * 1e4)) / 1e4 + 0.00005 for v in values[c]}) for c in cols]
+    table = HB.bin_table(df, cols, ["Target1"], ID_COL, cuts=cuts)
+    fitted = HB.Booster(table, [HB.Fit("Target1", rounds=1, depth=2, rate=0.1, penalty=3.0)]).grow()[0]
+    levels, leaves = fitted.trees[0]
+    (f1, c1), (f2, c2) = ((level[0][0], cuts[level[0][0]][level[1][0]]) for level in levels)
+    side = lambda f, c: F.expr(f"CASE WHEN {cols[f]} > {c!r}D THEN 1 ELSE 0 END")
+    rows = df.filter("Target1 IS NOT NULL").groupBy((2 * side(f1, c1) + side(f2, c2)).alias("leaf")).agg(F.count("*").alias("rows"))
+    told = spark.createDataFrame([(i, cols[f1], c1, cols[f2], c2, float(v)) for i, v in enumerate(leaves)],
+                                 "leaf int, feature1 string, border1 double, feature2 string, border2 double, value double")
+    table.release()
+    return round6(told.join(rows, "leaf"))
+
+
 @register("kfold_tree_metrics", "M12 X2 M9")
 def q_kfold_metrics(spark, sf_dir):
     """Out-of-fold R²/MAE/RMSE (k = 3, hash folds) of a forest per target — the
@@ -134,11 +199,17 @@ def _cluster_frame(spark, sf_dir):
     return z, cols
 
 
+def _best_start(z, cols):
+    """The best of ten k-means starts as {label: centre}, and all starts."""
+    starts = RS.fit_restarts(z, cols, k=2, starts=10, seed=42)
+    return {i: tuple(map(float, c)) for i, c in enumerate(starts[0].centres)}, starts
+
+
 @register("kmeans_profiles", "C1 C4 C5 A16 A17")
 def q_kmeans(spark, sf_dir):
     z, cols = _cluster_frame(spark, sf_dir)
-    va, model = CL.fit_kmeans(z, cols, k=2, seed=42)
-    assigned = CL.kmeans_assign(z, va, model)
+    centres, _ = _best_start(z, cols)
+    assigned = CL.assign_nearest(z, cols, centres, "cluster")
     sil = CL.silhouette(assigned, cols, "cluster")
     names = CL.name_clusters(assigned, "cluster", "raw_p_mean").select("cluster", "name")
     agg = assigned.groupBy("cluster").agg(F.count(F.lit(1)).alias("count"), F.avg("raw_p_mean").alias("P_mean"))
@@ -147,17 +218,22 @@ def q_kmeans(spark, sf_dir):
 
 @register("kmeans_check", "C1 C2")
 def q_kmeans_check(spark, sf_dir):
-    """What a fitted k-means must satisfy, over the whole table: rows whose
-    cluster is not the nearest centre, and the largest distance between a
-    centre and the mean of its rows relative to the spread (Lloyd's fixed point)."""
+    """What k-means with ten starts must satisfy, worked out anew over the whole
+    table by column expressions: the largest distance between a kept centre and
+    the mean of its rows (Lloyd's fixed point), and the inertia of every start's
+    centres, of which none is below the kept one's."""
     z, cols = _cluster_frame(spark, sf_dir)
-    va, model = CL.fit_kmeans(z, cols, k=2, seed=42)
-    centres = {i: tuple(float(x) for x in c) for i, c in enumerate(model.clusterCenters())}
-    both = CL.assign_nearest(CL.kmeans_assign(z, va, model), cols, centres, "nearest")
-    one = both.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("cluster") != F.col("nearest")).alias("misplaced"),
-                   *[F.avg(F.when(F.col("cluster") == k, F.col(c))).alias(f"m{k}_{j}") for k in centres for j, c in enumerate(cols)])
+    centres, starts = _best_start(z, cols)
+    both = CL.assign_nearest(z, cols, centres, "nearest")
+    apart = lambda c: " + ".join(f"power({x} - ({float(v)!r}D), 2)" for x, v in zip(cols, c))
+    least = [F.expr(f"sum(least({', '.join(apart(c) for c in s.centres)}))").alias(f"i{n}") for n, s in enumerate(starts)]
+    one = both.agg(F.count(F.lit(1)).alias("rows"), *least,
+                   *[F.avg(F.when(F.col("nearest") == k, F.col(c))).alias(f"m{k}_{j}") for k in centres for j, c in enumerate(cols)])
     off = F.greatest(*[F.abs(F.col(f"m{k}_{j}") - F.lit(centres[k][j])) for k in centres for j in range(len(cols))])
-    return one.select("rows", "misplaced", (off < 0.05).alias("centres_are_means"))
+    told = F.greatest(*[F.abs(F.col(f"i{n}") - F.lit(float(s.inertia))) / F.lit(max(1.0, float(s.inertia))) for n, s in enumerate(starts)])
+    lowest = F.least(*[F.col(f"i{n}") for n in range(len(starts))])
+    return one.select("rows", F.lit(len(starts)).alias("starts"), (off < 0.05).alias("centres_are_means"),
+                      (F.col("i0") <= lowest * (1 + 1e-9)).alias("none_is_lower"), (told < 1e-6).alias("inertia_is_right"))
 
 
 @register("pca_check", "C3")

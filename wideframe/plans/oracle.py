@@ -271,6 +271,14 @@ ORACLE["corr_matrix"] = eng_prefix() + "\nUNION ALL\n".join(
     f"SELECT '{a}' AS row_feature, '{b}' AS col_feature, round({S.guarded_corr(qi(a), qi(b))}, 6) AS corr FROM eng"
     for a in _MCOLS for b in _MCOLS)
 
+# all pairs through a long table of centred values
+_ACOLS = POOL + TGT
+ORACLE["corr_matrix_all"] = eng_prefix(
+    "ec AS (SELECT row_number() OVER () AS rid, " + ", ".join(f"CAST({qi(c)} AS DOUBLE) - avg({qi(c)}) OVER () AS {qi(c)}" for c in _ACOLS) + " FROM eng)",
+    "el AS (UNPIVOT ec ON " + ", ".join(qi(c) for c in _ACOLS) + " INTO NAME f VALUE x)") + (
+    "SELECT a.f AS row_feature, b.f AS col_feature, CASE WHEN stddev_pop(a.x) > 1e-9 AND stddev_pop(b.x) > 1e-9 "
+    "THEN round(covar_pop(a.x, b.x) / (stddev_pop(a.x) * stddev_pop(b.x)), 6) END AS corr FROM el a JOIN el b USING (rid) GROUP BY a.f, b.f")
+
 _DCOLS = ["Target1", "Target2", "Target3", "P_mean", "T_mean", "F0103"]
 ORACLE["describe"] = eng_prefix() + "\nUNION ALL\n".join(
     f"SELECT '{c}' AS \"column\", count({qi(c)}) AS count, round(avg({qi(c)}), 6) AS mean, "
@@ -581,11 +589,23 @@ ORACLE["quantile_normal_small"] = ORACLE["quantile_uniform"].rpartition("SELECT
     "SELECT player_id, " + ", ".join(f"round({_ppf(qi(c))}, 6) AS {qi(c)}" for c in _QU)
     + " FROM (SELECT player_id, " + ", ".join(f"{_uniform_sql(c)} AS {qi(c)}" for c in _QU) + " FROM jk)")
 
+# the quantile scaler of target 2 is fitted on the rows that have the target
+ORACLE["three_target_scoring"] = ORACLE["quantile_uniform"].rpartition("SELECT player_id, ")[0].rstrip().replace(
+    f"AS {qi('q_' + _QU[-1])} FROM eng)", f"AS {qi('q_' + _QU[-1])} FROM eng WHERE Target2 IS NOT NULL)") + (
+    ", " + _ols2("Target1", "P_mean", "P_mean * T_mean", "o1") + ", " + _ols2("Target3", "T_mean", "F1103 * P_mean", "o3")
+    + f", nq AS (SELECT player_id, {_ppf('u')} AS z FROM (SELECT player_id, {_uniform_sql('P_mean')} AS u FROM jk)), "
+    "o2 AS (SELECT nq.player_id, a + b * z AS pred FROM nq, (SELECT regr_intercept(Target2, z) AS a, regr_slope(Target2, z) AS b "
+    "FROM nq JOIN eng USING (player_id) WHERE Target2 IS NOT NULL)) "
+    "SELECT CAST(o1.player_id AS VARCHAR) AS \"Código de Acesso\", round_even(o1.pred, 2) AS \"Previsão T1\", "
+    "round_even(o2.pred, 2) AS \"Previsão T2\", round_even(o3.pred, 2) AS \"Previsão T3\" "
+    "FROM o1 JOIN o2 ON o1.player_id = o2.player_id JOIN o3 ON o1.player_id = o3.player_id")
+
 ORACLE["export_outputs"] = with_player() + " UNION ALL ".join(
     f"SELECT '{n}' AS name, {k} AS rows FROM player" for n, k in (("clean", "count(*)"), ("scaled", "count(*)"))) + (
     f" UNION ALL SELECT * FROM (VALUES ('target_summary', 3), ('correlations', 4), ('imputer_params', {len(FAMC)})) v(name, rows)")
 
-ORACLE["kmeans_check"] = with_player() + "SELECT count(*) AS rows, 0 AS misplaced, true AS centres_are_means FROM player"
+ORACLE["kmeans_check"] = with_player() + (
+    "SELECT count(*) AS rows, 10 AS starts, true AS centres_are_means, true AS none_is_lower, true AS inertia_is_right FROM player")
 ORACLE["pca_check"] = "SELECT 1.0 AS length1, 1.0 AS length2, 0.0 AS angle, 0.0 AS covariance, 0.0 AS gap1, 0.0 AS gap2"
 ORACLE["tree_contributions_check"] = with_player() + "SELECT count(*) AS players, 0.0 AS largest_gap FROM player"
 
@@ -607,6 +627,25 @@ def _linear_board(t, model, alpha):
 ORACLE["linear_leaderboard"] = eng_prefix() + " UNION ALL ".join(
     _linear_board(t, m, a) for t in TGT for m, a in (("linear", 0), ("ridge", 1)))
 
+# M5: one symmetric tree of depth 2 (penalty 3, rate 0.1) on three features, 8 quantile borders between 4-decimal values
+_TREE = ["P_mean", "T_mean", "sono_total"]
+ORACLE["booster_one_tree"] = eng_prefix(
+    "fx AS (SELECT row_number() OVER () AS rid, " + ", ".join(f"round({c} * 1e4) / 1e4 AS x{i}" for i, c in enumerate(_TREE)) + ", Target1 AS y FROM eng)",
+    "cut AS (SELECT DISTINCT f, round(q * 1e4) / 1e4 + 0.00005 AS c FROM (" + " UNION ALL ".join(
+        f"SELECT {i} AS f, unnest(quantile_cont(x{i}, [{', '.join(f'{k}.0::DOUBLE / 9' for k in range(1, 9))}])) AS q FROM fx" for i in range(3)) + "))",
+    "gr AS (SELECT *, (SELECT avg(y) FROM fx) - y AS g FROM fx WHERE y IS NOT NULL)",
+    "lg AS (SELECT rid, g, f, x FROM (" + " UNION ALL ".join(f"SELECT rid, g, {i} AS f, x{i} AS x FROM gr" for i in range(3)) + "))",
+    "one AS (SELECT f, c FROM (SELECT f, c, sum(CASE WHEN x <= c THEN g ELSE 0 END) AS gl, count(*) FILTER (x <= c) AS hl, sum(g) AS gt, count(*) AS ht "
+    "FROM lg JOIN cut USING (f) GROUP BY f, c) ORDER BY gl * gl / (hl + 3) + (gt - gl) * (gt - gl) / (ht - hl + 3) DESC, f, c LIMIT 1)",
+    "sd AS (SELECT lg.rid, CASE WHEN x > c THEN 1 ELSE 0 END AS s FROM lg JOIN one USING (f))",
+    "two AS (SELECT f, c FROM (SELECT f, c, s, sum(CASE WHEN x <= c THEN g ELSE 0 END) AS gl, count(*) FILTER (x <= c) AS hl, sum(g) AS gt, count(*) AS ht "
+    "FROM lg JOIN sd USING (rid) JOIN cut USING (f) GROUP BY f, c, s) GROUP BY f, c "
+    "ORDER BY sum(gl * gl / (hl + 3) + (gt - gl) * (gt - gl) / (ht - hl + 3) - gt * gt / (ht + 3)) DESC, f, c LIMIT 1)",
+    "lf AS (SELECT 2 * s + CASE WHEN x > c THEN 1 ELSE 0 END AS leaf, g FROM lg JOIN two USING (f) JOIN sd USING (rid))") + (
+    f"SELECT leaf::INT AS leaf, {[*_TREE]!r}[any_value(one.f) + 1] AS feature1, round(any_value(one.c), 6) AS border1, "
+    f"{[*_TREE]!r}[any_value(two.f) + 1] AS feature2, round(any_value(two.c), 6) AS border2, "
+    "round(-0.1 * sum(g) / (count(*) + 3), 6) AS value, count(*) AS rows FROM lf, one, two GROUP BY leaf")
+
 # S4/S8 read-back of the exported scaled table (Z1 on four features, targets kept)
 _XC = ["P_mean", "T_mean", "F_mean_geral", "sono_total"]
 ORACLE["export_readback"] = eng_prefix(

@@ -37,6 +37,7 @@ class TargetModel:
     scaler: object = None
     intercept: float = 0.0
     coefs: dict = field(default_factory=dict)
+    quantiles: int = 1000    # of a quantile scaler
 
     def prepared(self, df: DataFrame, sleep_median: float | None, keep=()) -> DataFrame:
         """The trained columns of a cleaned table: features, products, missing
@@ -107,11 +108,11 @@ def fit_target(cleaned: DataFrame, model: TargetModel, sleep_median: float | Non
     rows = cleaned.filter(F.col(model.target).isNotNull()).withColumn("__y", F.col(model.target).cast("double"))
     raw = materialize(model.prepared(rows, sleep_median, keep=["__y"]))
     kind = scaler or ("quantile" if model.feature_set == 2 else "robust")
-    fitted = QuantileNormalizer(model.columns).fit(raw) if kind == "quantile" else RobustScaler(model.columns).fit(raw)
+    fitted = QuantileNormalizer(model.columns, n_quantiles=model.quantiles).fit(raw) if kind == "quantile" else RobustScaler(model.columns).fit(raw)
     lm = fit_linear(fitted.transform(raw), model.columns, "__y")
     raw.unpersist()
     return TargetModel(model.target, model.feature_set, list(model.columns), list(model.interactions), fitted,
-                       float(lm.intercept), {c: float(w) for c, w in zip(model.columns, lm.coefficients)})
+                       float(lm.intercept), {c: float(w) for c, w in zip(model.columns, lm.coefficients)}, model.quantiles)
 
 
 def score(df: DataFrame, plan: ScoringPlan, id_col: str) -> DataFrame:
