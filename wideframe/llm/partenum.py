@@ -247,22 +247,24 @@ def by_sketch(pairs: DataFrame, classes: DataFrame, threshold: int) -> DataFrame
 
 
 def block_pairs(x, y, threshold: int):
-    """Pairs between two blocks of classes (pandas frames cls, component, n,
-    sketch) of different components that the sketches do not rule out."""
+    """Pairs a < b between two blocks of one signature group (pandas frames sig,
+    cls, component, n, sketch, groups) of different components that the sketches
+    do not rule out. A pair that shares several large groups (``groups``, sorted)
+    comes from the first one only."""
     import pandas as pd
 
     a, b = [], []
-    width = y["sketch"].map(len)
+    width, sig = y["sketch"].map(len), x["sig"].iloc[0] if len(x) else 0
     for w in width.unique():
         part = y[width == w]
         held = np.frombuffer(b"".join(part["sketch"]), _U).reshape(len(part), -1)
-        cls, comp, n = part["cls"].to_numpy(), part["component"].to_numpy(), part["n"].to_numpy()
-        for c, p, m, s in zip(x["cls"], x["component"], x["n"], x["sketch"]):
-            ok = (comp != p) & (100 * np.minimum(n, m) >= threshold * np.maximum(n, m))
-            at = np.flatnonzero(ok)
+        cls, comp, n, groups = part["cls"].to_numpy(), part["component"].to_numpy(), part["n"].to_numpy(), part["groups"].to_numpy()
+        for c, p, m, s, mine in zip(x["cls"], x["component"], x["n"], x["sketch"], x["groups"]):
+            at = np.flatnonzero((cls > c) & (comp != p) & (100 * np.minimum(n, m) >= threshold * np.maximum(n, m)))
             at = at[near(m, n[at], apart(np.frombuffer(s, _U), held[at]), threshold)]
-            a += np.minimum(cls[at], c).tolist()
-            b += np.maximum(cls[at], c).tolist()
+            at = [i for i in at if np.intersect1d(mine, groups[i], assume_unique=True)[0] == sig]
+            a += [c] * len(at)
+            b += cls[at].tolist()
     return pd.DataFrame({"a": pd.Series(a, dtype="int64"), "b": pd.Series(b, dtype="int64")})
 
 
@@ -279,10 +281,11 @@ def all_pairs(live: DataFrame, classes: DataFrame, threshold: int, small: int, b
     large = stored(live.join(size.filter(F.col("m") > small), "sig"), "large")
     if not large.limit(1).count():
         return listed
-    full = stored(large.join(classes.select("cls", "n", "sketch"), "cls"), "large-sketches").withColumn("blocks", F.expr(f"CAST(ceil(m / {block}) AS INT)"))
+    groups = large.groupBy("cls").agg(F.sort_array(F.collect_list("sig")).alias("groups"))  # at most a class's own signatures
+    full = stored(large.join(classes.select("cls", "n", "sketch"), "cls").join(groups, "cls"), "large-sketches").withColumn("blocks", F.expr(f"CAST(ceil(m / {block}) AS INT)"))
     every = F.explode(F.expr("sequence(0, blocks - 1)"))
-    left = full.select("sig", F.expr("CAST(pmod(xxhash64(cls, 1), blocks) AS INT)").alias("i"), every.alias("j"), "cls", "component", "n", "sketch")
-    right = full.select("sig", every.alias("i"), F.expr("CAST(pmod(xxhash64(cls, 2), blocks) AS INT)").alias("j"), "cls", "component", "n", "sketch")
+    left = full.select("sig", F.expr("CAST(pmod(xxhash64(cls, 1), blocks) AS INT)").alias("i"), every.alias("j"), "cls", "component", "n", "sketch", "groups")
+    right = full.select("sig", every.alias("i"), F.expr("CAST(pmod(xxhash64(cls, 2), blocks) AS INT)").alias("j"), "cls", "component", "n", "sketch", "groups")
     right = right.toDF(*right.columns)  # columns of its own, for the cogroup
     keys = ["sig", "i", "j"]
 
