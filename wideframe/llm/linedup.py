@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from .common import small_join, stored, words_sql
 
-BITS = 18
+BITS = 16
 
 #: Lines of more words get a bitmap of 128 places instead of 64.
 LONG = 48
@@ -73,8 +73,9 @@ def ordered_keys(line: str, rarity: str, bits: int = BITS) -> str:
     """SQL for the sorted keys of a line's distinct words: 7 bits of rarity,
     then 56 bits of hash. The rarity table folds into one array literal."""
     table = f"CAST(split('{rarity}', ',') AS ARRAY<BIGINT>)"
-    return (f"sort_array(array_distinct(transform({words_sql(f'lower({line})')}, w -> "
-            f"shiftleft({table}[CAST(xxhash64(w) & {2 ** bits - 1} AS INT)], 56) | (xxhash64(w) & {2 ** 56 - 1}L))))")
+    hashed = f"array_distinct(transform({words_sql(f'lower({line})')}, w -> xxhash64(w)))"
+    return (f"sort_array(transform({hashed}, h -> "
+            f"shiftleft({table}[CAST(h & {2 ** bits - 1} AS INT)], 56) | (h & {2 ** 56 - 1}L)))")
 
 
 def similar_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
@@ -86,7 +87,9 @@ def _removed(docs: DataFrame, id_col: str, text_col: str, threshold: int = 80, m
              first_block: int = 8) -> DataFrame:
     """(doc_id, line_no, line_hash, n_tokens) of the lines to remove."""
     lines = exploded(docs, id_col, text_col)
-    keyed = lines.select("doc_id", "line_no", F.expr("xxhash64(line)").alias("line_hash"), F.expr(ordered_keys("line", rarity_list(lines))).alias("k"))
+    # the explode of one array keeps the filter from being pushed below the keys, which would work them out twice
+    keyed = lines.select("doc_id", "line_no", F.expr("xxhash64(line)").alias("line_hash"),
+                         F.explode(F.array(F.expr(ordered_keys("line", rarity_list(lines))))).alias("k"))
     prefix = f"size(k) - ({threshold} * size(k) + 99) DIV 100 + 1"
     placed = keyed.filter(f"size(k) >= {min_tokens}").select(
         "doc_id", "line_no", "line_hash", F.expr("xxhash64(k)").alias("cls"), F.size("k").alias("n"),

@@ -90,7 +90,7 @@ WITH l AS (SELECT doc_id, i - 1 AS line_no, list_sort(list_distinct(regexp_extra
            FROM (SELECT doc_id, unnest(ls) AS l, generate_subscripts(ls, 1) AS i
                  FROM (SELECT DISTINCT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL AND doc_id IS NOT NULL))),
 c AS (SELECT row_number() OVER (ORDER BY min((doc_id, line_no))) AS ord, min((doc_id, line_no)) AS first, ws, len(ws) AS n
-      FROM l WHERE len(ws) >= 5 GROUP BY ws),
+      FROM l WHERE len(ws) >= 1 GROUP BY ws),
 t AS (SELECT ord, n, unnest(ws) AS w FROM c),
 f AS (SELECT w, count(*) AS k FROM t GROUP BY w),
 e AS (SELECT ord, n, w FROM t JOIN f USING (w)

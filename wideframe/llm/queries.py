@@ -83,7 +83,7 @@ def op4_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return similar_lines(read_table(spark, sf_dir, "documents"))
+    return similar_lines(read_table(spark, sf_dir, "documents"), min_tokens=1)
 
 
 @query
