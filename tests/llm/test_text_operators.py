@@ -95,7 +95,6 @@ def public_ids(texts):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     return [np.array(e.ids + [1], dtype="<u4") for e in t.encode_batch([x or "" for x in texts], add_special_tokens=False)]
 
 

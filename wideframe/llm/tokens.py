@@ -1,7 +1,8 @@
 """Token ids of whole texts by a public byte-level BPE vocabulary.
 
-The ids equal those of ``tokenizers`` on the same vocabulary file (special
-strings in a text are ordinary text). A text is cut at every single space that
+The ids equal those of ``tokenizers`` on the same vocabulary file with
+``add_special_tokens=False``: a special string in a text is one id, and the text
+before and after it is encoded apart. A text is cut at every single space that
 stands between two visible characters: no token of a byte-level BPE spans such
 a place, so each part is encoded once per Python worker and then looked up.
 """
@@ -18,6 +19,9 @@ from pyspark.sql import DataFrame
 VOCABULARY = "byte_bpe_50k.json"
 EOS = 1
 
+#: The vocabulary's special string.
+SPECIAL = "<|endoftext|>"
+
 _ODD_SPACE = re.compile(r" \s|\s |^ | $")
 _INNER_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
@@ -43,11 +47,12 @@ class WordIds(dict):
         super().__init__()
         self.path = public_tokenizers.path(vocabulary)
         with open(self.path, encoding="utf-8") as f:
-            vocab = json.load(f)["model"]["vocab"]
+            told = json.load(f)
+        vocab = told["model"]["vocab"]
         symbols = byte_symbols()
         ranks = {bytes(symbols[c] for c in t): i for t, i in vocab.items() if all(c in symbols for c in t)}
-        self.special = [i for t, i in vocab.items() if t == "<|endoftext|>"]
-        for i in self.special:  # a special string is never merged to
+        self.special = {a["content"]: a["id"] for a in told["added_tokens"] if a["content"] == SPECIAL}
+        for i in self.special.values():  # a special string is never merged to
             ranks = {t: k for t, k in ranks.items() if k != i}
         self.encoding = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.slow = None
@@ -76,6 +81,9 @@ class WordIds(dict):
     def text_ids(self, text: str) -> bytes:
         if not text:
             return b""
+        if SPECIAL in text and self.special:
+            mark = np.array([self.special[SPECIAL]], dtype="<u2").tobytes()
+            return mark.join(map(self.text_ids, text.split(SPECIAL)))
         parts = _INNER_SPACE.split(text) if _ODD_SPACE.search(text) else text.split(" ")
         return self.encode(parts[0]) + b"".join(map(self.__getitem__, parts[1:]))
 
