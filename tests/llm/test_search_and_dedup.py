@@ -123,6 +123,20 @@ def test_streamed_regions_lose_no_pair():
     assert len(set(mark.tolist())) == 2
 
 
+def test_a_region_that_is_cut_keeps_all_its_members(few):
+    # more equal rows than are held at once: the tail is small, but part of the same large region
+    rows = [(7, b"\0\0\0\1", i, 10, 0, 0, i) for i in range(63)] + [(9, b"\0\0\0\2", 100 + i, 10, 0, 0, 100 + i) for i in range(3)]
+    df = few.createDataFrame(rows, "key long, path binary, id long, n long, s0 long, s1 long, component long").coalesce(1)
+    before = few.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    few.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "20")
+    for last in (60, 63, 66):
+        got = forest.candidates(df.limit(last), region=8, window=4, threshold=80, hold=30).collect()
+        members = {r.a for r in got if r.b is None}
+        assert members == set(range(min(last, 63))) and len({r.region for r in got if r.b is None}) == 1
+        assert {(r.a, r.b) for r in got if r.b is not None and r.a >= 100} == ({(100, 101), (100, 102), (101, 102)} if last == 66 else set())
+    few.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
 def test_crowds_of_64_are_compared_pair_by_pair_by_default():
     # 40 classes share the first values only: one region, every pair a candidate
     options = inspect.signature(forest.near_duplicates).parameters

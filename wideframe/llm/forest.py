@@ -188,11 +188,12 @@ def alike(a, b, n, s0, s1, threshold: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def region_pairs(levels: np.ndarray, ids, n, s0, s1, region: int, window: int, threshold: int,
-                 component=None, best: bool = False):
+                 component=None, best: bool = False, cut=None):
     """Candidates of sorted rows, of different components only. ``levels``
     holds, per row, the values of the key and of each further level. Returns
     (a, b, bits) by id (``best``: for each row the partner of fewest bits
-    only) and, for rows of regions that stay large, (row, region hash)."""
+    only) and, for rows of regions that stay large, (row, region hash). Rows
+    marked in ``cut`` belong to a large region whose other rows went before."""
     m = len(ids)
     component = ids if component is None else component
     new = np.zeros(m, dtype=bool)
@@ -204,6 +205,8 @@ def region_pairs(levels: np.ndarray, ids, n, s0, s1, region: int, window: int, t
         size = np.diff(np.r_[start, m])
         number = np.cumsum(new) - 1
         fits = (group < 0) & (size[number] <= region)
+        if cut is not None:
+            fits &= ~cut
         group[fits] = start[number[fits]]
     big = group < 0
     group[big] = start[number[big]]
@@ -249,12 +252,14 @@ def candidates(sorted_rows: DataFrame, region: int, window: int, threshold: int,
 
     def run(batches):
         held: list = []
+        parted = None  # the levels of a deepest region that was cut, as long as more of it may come
 
         def emit(t, upto):
             ids, n, s0, s1, component = (t[i][:upto] for i in (1, 2, 3, 4, 5))
-            if len(ids) < 2:
+            cut = None if parted is None else (t[0][:upto] == parted).all(axis=1)
+            if len(ids) < 2 and cut is None:
                 return None
-            a, b, bits, rows, mark = region_pairs(t[0][:upto], ids, n, s0, s1, region, window, threshold, component, best)
+            a, b, bits, rows, mark = region_pairs(t[0][:upto], ids, n, s0, s1, region, window, threshold, component, best, cut)
             pairs, big = len(a), len(rows)
             return pa.RecordBatch.from_arrays(
                 [pa.array(np.r_[a, ids[rows]]), pa.concat_arrays([pa.array(b), pa.nulls(big, pa.int64())]),
@@ -285,6 +290,7 @@ def candidates(sorted_rows: DataFrame, region: int, window: int, threshold: int,
                 cut = 0
             if cut:
                 out = emit(held, cut)
+                parted = levels[-1].copy() if keep else None
                 held = [x[cut - keep:] for x in held]
                 if out is not None:
                     yield out
