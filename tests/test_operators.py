@@ -102,6 +102,19 @@ def test_split_stable_disjoint_complete(spark):
     assert folds == {0, 1, 2, 3, 4}
 
 
+def test_exact_split_sizes(spark):
+    from wideframe.operators.split import exact_cut, exact_split_flag
+    df = spark.range(1003).withColumnRenamed("id", "k")
+    for share in (0.2, 0.25, 1.0, 0.0):
+        flag = exact_split_flag(df, "k", 7, share)
+        assert df.filter(flag == "test").count() == math.ceil(1003 * share)
+    one = {r[0] for r in df.filter(exact_split_flag(df, "k", 7, 0.2) == "test").collect()}
+    assert one < {r[0] for r in df.repartition(7).filter(exact_split_flag(df, "k", 7, 0.25) == "test").collect()}
+    odd = spark.createDataFrame([("a",)] * 3 + [(None,)], "k string")
+    assert odd.filter(exact_split_flag(odd, "k", 1, 0.5) == "test").count() in (3, 4, 1)
+    assert odd.limit(0).filter(exact_split_flag(odd.limit(0), "k", 1, 0.5) == "test").count() == 0 and exact_cut(odd, "k", 1, 9) is None
+
+
 def test_ridge_matches_closed_form(spark):
     rng = np.random.default_rng(2)
     X = rng.normal(size=(60, 2))

@@ -27,7 +27,7 @@ from ..operators.encode import OneHotEncoder, bool_to_int
 from ..operators.impute import IQROutlierClipper, MedianImputer, ModeImputer
 from ..operators.metrics import linear_loo, metric_aggs, overfitting_pct
 from ..operators.scale import RobustScaler, StandardScaler
-from ..operators.split import kfold, split_flag
+from ..operators.split import exact_split_flag, kfold, split_flag
 from ..sources.schema import align_to, dedupe_columns
 from .player import ID_COL, PLAYER_COLUMNS, TARGETS, player_table
 from .prepare import (ID_COLUMNS, clean_for_training, coerce_families, guard_ranges,
@@ -729,6 +729,14 @@ def q_saved_plan(spark, sf_dir):
     return score(raw, load_state(spark, path), ID_COL)
 
 
+@register("split_exact", "X1")
+def q_split_exact(spark, sf_dir):
+    """Splits of exact size for the three seeds (20 % once, 25 % twice)."""
+    df = player_table(spark, sf_dir).select(ID_COL)
+    flags = {f"split_{s}": exact_split_flag(df, ID_COL, s, share) for s, share in ((42, 0.2), (123, 0.25), (456, 0.25))}
+    return df.select(ID_COL, *[f.alias(n) for n, f in flags.items()])
+
+
 @register("three_target_scoring", "M13 S7 M1 P9 E2 E8 E10 Z2 Z3 L7")
 def q_three_targets(spark, sf_dir):
     """One scoring call with the three targets' own preparations: products and

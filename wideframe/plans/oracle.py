@@ -589,6 +589,10 @@ ORACLE["quantile_normal_small"] = ORACLE["quantile_uniform"].rpartition("SELECT
     "SELECT player_id, " + ", ".join(f"round({_ppf(qi(c))}, 6) AS {qi(c)}" for c in _QU)
     + " FROM (SELECT player_id, " + ", ".join(f"{_uniform_sql(c)} AS {qi(c)}" for c in _QU) + " FROM jk)")
 
+ORACLE["split_exact"] = with_player() + "SELECT player_id, " + ", ".join(
+    f"CASE WHEN row_number() OVER (ORDER BY ('0x' || substr(md5(player_id::VARCHAR || ':{s}'), 1, 13))::BIGINT, player_id::VARCHAR) "
+    f"<= ceil(count(*) OVER () * {share}) THEN 'test' ELSE 'train' END AS split_{s}" for s, share in ((42, 0.2), (123, 0.25), (456, 0.25))) + " FROM player"
+
 # the quantile scaler of target 2 is fitted on the rows that have the target
 ORACLE["three_target_scoring"] = ORACLE["quantile_uniform"].rpartition("SELECT player_id, ")[0].rstrip().replace(
     f"AS {qi('q_' + _QU[-1])} FROM eng)", f"AS {qi('q_' + _QU[-1])} FROM eng WHERE Target2 IS NOT NULL)") + (
