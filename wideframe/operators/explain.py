@@ -11,7 +11,9 @@ For a leaf reached through unique features P with cover fractions z_j and
 indicators o_j (x follows the path at every split on j), feature i receives
     v · (o_i − z_i) · Σ_k k!(|P|−k−1)!/|P|! · e_k,
 where e_k is the t^k coefficient of Π_{j≠i}(z_j + o_j·t). The product over all
-of P is built once per leaf and the factor of i is divided out.
+of P is built once per leaf and the factor of i is divided out. The o_j are bits,
+so a leaf's contributions are tabulated for all patterns once, and a row looks
+its pattern up.
 """
 
 from __future__ import annotations
@@ -110,50 +112,96 @@ def _weights(p: int) -> np.ndarray:
     return np.array([math.factorial(k) * math.factorial(p - k - 1) / math.factorial(p) for k in range(p)])
 
 
-def tree_shap(X: np.ndarray, trees: list[Tree], paths: list | None = None) -> np.ndarray:
-    """Path-dependent SHAP values, shape (rows, features). ``paths`` are the
-    trees' leaf paths, for callers that score many batches."""
-    n, m = X.shape
-    phi = np.zeros((n, m))
-    for t, leaves in zip(trees, paths or map(_leaf_paths, trees)):
-        for v, path in leaves:
-            if not path:
+def _contributions(z: np.ndarray, o: list) -> np.ndarray:
+    """Contribution of each of a leaf's features per unit of leaf value, for
+    rows given by their indicators ``o`` (one array per feature)."""
+    p, n = len(z), len(o[0])
+    # coefficients of Π_j (z_j + o_j t), each an array over rows
+    coef = [np.ones(n)]
+    for j in range(p):
+        nxt = [np.zeros(n) for _ in range(len(coef) + 1)]
+        for k, ck in enumerate(coef):
+            nxt[k] = nxt[k] + ck * z[j]
+            nxt[k + 1] = nxt[k + 1] + ck * o[j]
+        coef = nxt
+    w, out = _weights(p), np.empty((n, p))
+    for i in range(p):
+        zi, oi = z[i], o[i]
+        # divide out (z_i + o_i t): o_i = 0 → /z_i ; o_i = 1 → synthetic division
+        q0 = [c / zi for c in coef[:p]] if zi > 0 else [np.zeros(n)] * p
+        q1 = [None] * p
+        q1[p - 1] = coef[p]
+        for k in range(p - 1, 0, -1):
+            q1[k - 1] = coef[k] - zi * q1[k]
+        s0 = sum(w[k] * q0[k] for k in range(p))
+        s1 = sum(w[k] * q1[k] for k in range(p))
+        out[:, i] = (oi - zi) * np.where(oi > 0, s1, s0)
+    return out
+
+
+#: Leaves of at most so many unique features get a table of all indicator patterns.
+TABLE_FEATURES = 10
+
+
+@dataclass
+class Leaf:
+    """A leaf for scoring: its unique features, the splits on each, and (few
+    features) the contributions for every pattern of indicators."""
+    value: float
+    features: list
+    splits: list          # per feature: [(threshold, goes left)…]
+    zeros: np.ndarray
+    table: np.ndarray | None
+
+
+def leaves_of(tree: Tree) -> list[Leaf]:
+    out = []
+    for v, path in _leaf_paths(tree):
+        by: dict[int, list] = {}
+        for f, thr, left, z in path:
+            e = by.setdefault(f, [1.0, []])
+            e[0] *= z
+            e[1].append((thr, left))
+        if not by:
+            continue
+        z = np.array([e[0] for e in by.values()])
+        p, table = len(z), None
+        if p <= TABLE_FEATURES:
+            bits = (np.arange(1 << p)[:, None] >> np.arange(p)) & 1
+            table = tree.weight * v * _contributions(z, [bits[:, j].astype(float) for j in range(p)])
+        out.append(Leaf(tree.weight * v, list(by), [e[1] for e in by.values()], z, table))
+    return out
+
+
+def tree_shap(X: np.ndarray, trees: list[Tree], leaves: list | None = None) -> np.ndarray:
+    """Path-dependent SHAP values, shape (rows, features). A row's indicators on
+    a leaf's features number a row of the leaf's table. ``leaves`` are the trees'
+    ``leaves_of``, for callers that score many batches. A missing value follows
+    neither side of a split."""
+    phi = np.zeros(X.shape)
+    for mine in leaves or map(leaves_of, trees):
+        sides: dict = {}
+
+        def follows(f, split):
+            if (f, split) not in sides:
+                thr, left = split
+                sides[f, split] = X[:, f] <= thr if left else X[:, f] > thr
+            return sides[f, split]
+
+        for leaf in mine:
+            o = []
+            for f, splits in zip(leaf.features, leaf.splits):
+                go = follows(f, splits[0])
+                for split in splits[1:]:
+                    go = go & follows(f, split)
+                o.append(go)
+            if leaf.table is None:
+                phi[:, leaf.features] += leaf.value * _contributions(leaf.zeros, [x.astype(float) for x in o])
                 continue
-            feats: dict[int, list] = {}
-            for f, thr, left, z in path:
-                x = X[:, f]
-                go = (x <= thr) if left else (x > thr)
-                go = np.where(np.isnan(x), False, go)
-                if f in feats:
-                    feats[f][0] = feats[f][0] * z
-                    feats[f][1] = feats[f][1] & go
-                else:
-                    feats[f] = [z, go]
-            fl = list(feats)
-            p = len(fl)
-            z = np.array([feats[f][0] for f in fl])
-            o = [feats[f][1].astype(float) for f in fl]
-            # coefficients of Π_j (z_j + o_j t), each an array over rows
-            coef = [np.ones(n)]
-            for j in range(p):
-                nxt = [np.zeros(n) for _ in range(len(coef) + 1)]
-                for k, ck in enumerate(coef):
-                    nxt[k] = nxt[k] + ck * z[j]
-                    nxt[k + 1] = nxt[k + 1] + ck * o[j]
-                coef = nxt
-            w = _weights(p)
-            for idx, f in enumerate(fl):
-                zi, oi = z[idx], o[idx]
-                # divide out (z_i + o_i t): o_i = 0 → /z_i ; o_i = 1 → synthetic division
-                q0 = [c / zi for c in coef[:p]] if zi > 0 else [np.zeros(n)] * p
-                q1 = [None] * p
-                q1[p - 1] = coef[p]
-                for k in range(p - 1, 0, -1):
-                    q1[k - 1] = coef[k] - zi * q1[k]
-                s0 = sum(w[k] * q0[k] for k in range(p))
-                s1 = sum(w[k] * q1[k] for k in range(p))
-                s = np.where(oi > 0, s1, s0)
-                phi[:, f] += t.weight * v * (oi - zi) * s
+            at = o[0].astype(np.int64)
+            for j, x in enumerate(o[1:], 1):
+                at |= x.astype(np.int64) << j
+            phi[:, leaf.features] += leaf.table[at]
     return phi
 
 
@@ -161,8 +209,8 @@ def tree_contributions(df: DataFrame, trees: list[Tree], features, id_col: str,
                        top_k: int | None = None) -> DataFrame:
     """Long (id, target, feature, value[, rank]) for a tree model via ``mapInPandas``.
 
-    The tree arrays are broadcast once (model-sized) and their leaf paths are
-    listed once per task; rows are processed one Arrow batch at a time. With ``top_k`` the K8 report (largest
+    The tree arrays are broadcast once (model-sized) and their leaves are
+    tabulated once per task; rows are processed one Arrow batch at a time. With ``top_k`` the K8 report (largest
     |contribution| per player, ties by feature name) is taken inside the task:
     all of a player's contributions are produced together, so no window and
     no shuffle are needed.
@@ -180,12 +228,12 @@ def tree_contributions(df: DataFrame, trees: list[Tree], features, id_col: str,
     sent = df.sparkSession.sparkContext.broadcast(trees)
 
     def run(batches):
-        paths = [_leaf_paths(t) for t in sent.value]
+        leaves = [leaves_of(t) for t in sent.value]
         for pdf in batches:
             if pdf.empty:
                 continue
             X = pdf[features].to_numpy(dtype=float, na_value=np.nan)
-            phi = tree_shap(X, sent.value, paths)
+            phi = tree_shap(X, sent.value, leaves)
             n, m = phi.shape
             ids = pdf[id_col].to_numpy()
             if top_k is None:
