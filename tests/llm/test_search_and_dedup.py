@@ -255,6 +255,16 @@ def test_url_rules_and_templates(few):
     assert filter_urls(df.limit(0), rules).count() == 0
 
 
+def test_branches_that_part_far_down_are_judged_apart(few):
+    deep = "/a/b/c/d/e/f/g/h/i/j/k"
+    rules = (UrlRule("block", "x.com", deep + "/bad/"), UrlRule("allow", "x.com", deep + "/ok/"))
+    rows = [(2 * i + j, f"http://x.com{deep}/{s}/{i}") for i in range(20) for j, s in enumerate(("ok", "bad"))]
+    rows += [(100, f"http://new.org{deep}/bad/7"), (101, f"http://new.org{deep}/ok/7"), (102, "http://new.org" + "/z" * 40)]
+    got = {r.page_id: r for r in filter_urls(few.createDataFrame(rows, "page_id long, url string"), rules).collect()}
+    assert len(got) == len(rows) and (got[100].verdict, got[101].verdict) == ("block", "allow")
+    assert got[100].template.endswith("/**") and got[102].template == "/z/z/z/z/z/z/z/**"
+
+
 def test_url_segments_become_wildcards(few):
     rows = [(i, f"http://h.net/u/{chr(97 + i % 26)}{chr(97 + i // 26)}/home") for i in range(200)]
     rows += [(1000 + i, f"http://h.net/about/{'abc'[i % 3]}") for i in range(60)]

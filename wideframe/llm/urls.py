@@ -16,7 +16,8 @@ see the at most ``1 / share`` branches of a node that stay literal. Only
 built-in functions; urls are joined once at the end.
 
 Defined cases: a null url, or one without ``://``, has empty host and path; a
-path deeper than ``max_depth`` shares the branch ``**`` below that depth; with
+path deeper than ``max_depth`` shares the branch ``**`` from the level on below
+which its branch holds labels of one kind only; with
 no labelled url every verdict of the method is allow. Repeated rows are
 judged alike; extra columns pass through, same-named ones are replaced.
 """
@@ -84,11 +85,22 @@ def generalised(path: str) -> str:
 def template_tree(urls: DataFrame, max_depth: int = 8, max_children: int = 50, share: float = 0.02,
                   min_labels: int = 5, z_limit: float = 1.96) -> DataFrame:
     """``urls`` (tree, form, n, labelled, blocked; one row per tree and form)
-    with the column ``template``."""
-    rows = urls.withColumn("segs", F.split("form", "/")).withColumn("template", F.lit(""))
+    with the column ``template``. Below ``max_depth`` a branch is walked on as
+    long as it holds both blocked and allowed labels; a branch of one kind stops
+    there, as no template below could judge it differently."""
+    rows, settled = urls.withColumn("segs", F.split("form", "/")).withColumn("template", F.lit("")), None
     deepest = rows.agg(F.max(F.size("segs"))).first()[0] or 0
     node = ["tree", "template"]
-    for d in range(min(deepest, max_depth)):
+    for d in range(deepest):
+        if d >= max_depth:
+            mixed = rows.groupBy(*node).agg(F.sum("labelled").alias("lab"), F.sum("blocked").alias("blk"), F.max(F.size("segs")).alias("deep"))
+            mixed = stored(mixed.filter(f"blk > 0 AND blk < lab AND deep > {d}").select(*node), f"mixed{d}")
+            still = rows.join(mixed, node, "left_anti")
+            still = still.withColumn("template", F.expr(f"IF(size(segs) > {d}, concat(template, '/**'), template)"))
+            settled = still if settled is None else settled.union(still)
+            rows = rows.join(mixed, node, "left_semi")
+            if not mixed.limit(1).count():
+                break
         here = rows.withColumn("seg", F.expr(f"IF(size(segs) > {d}, segs[{d}], NULL)"))
         kids = here.filter("seg IS NOT NULL").groupBy(*node, "seg").agg(
             F.sum("n").alias("n"), F.sum("labelled").alias("lab"), F.sum("blocked").alias("blk"))
@@ -112,7 +124,7 @@ def template_tree(urls: DataFrame, max_depth: int = 8, max_children: int = 50, s
                                                + ("name" if d == 0 else "concat(template, '/', name)") + " END"))
                 .drop("seg", "name"))
         rows = stored(rows, f"level{d}")
-    return rows.withColumn("template", F.expr(f"IF(size(segs) > {max_depth}, concat(template, '/**'), template)")).drop("segs")
+    return (rows if settled is None else rows.select(*settled.columns).union(settled)).drop("segs")
 
 
 def filter_urls(pages: DataFrame, rules=RULES, url_col: str = "url", purity: float = 0.8, weight: float = 5.0,
