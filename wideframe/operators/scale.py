@@ -137,8 +137,9 @@ class QuantileNormalModel:
 
     def transform(self, df: DataFrame) -> DataFrame:
         """Built-in functions only: the sorted quantiles are an array literal,
-        a value's neighbours are counted in it, and both interpolation
-        directions are averaged (repeated quantiles map to their middle)."""
+        a value's neighbours are found in it by halving steps, and both
+        interpolation directions are averaged (repeated quantiles map to their
+        middle)."""
         n = len(self.refs)
         cols = {c: [float(v) for v in qs] for c, qs in self.quantiles.items()
                 if c in df.columns and qs is not None and qs[0] is not None}
@@ -146,11 +147,15 @@ class QuantileNormalModel:
             return df
         out = df
         for i, (c, qs) in enumerate(cols.items()):
-            table = "CAST(split('" + ",".join(map(repr, qs)) + "', ',') AS ARRAY<DOUBLE>)"
+            as_array = lambda vs: "CAST(split('" + ",".join(map(repr, vs)) + "', ',') AS ARRAY<DOUBLE>)"
+            # interpolated quantiles can be out of order in their last bit: counts come from a sorted copy
+            table, ordered = as_array(qs), as_array(sorted(qs))
+            steps = "array(" + ", ".join(str(1 << b) for b in reversed(range(n.bit_length()))) + ")"
+            below = lambda op: f"aggregate({steps}, 0, (a, s) -> IF(a + s <= {n} AND {ordered}[least(a + s, {n}) - 1] {op} x, a + s, a))"
             step = repr(1 / (n - 1)) + "D"
             # j: last quantile at or below x, k: first at or above (0-based)
-            j = f"aggregate({table}, 0, (a, v) -> a + IF(v <= x, 1, 0)) - 1"
-            k = f"aggregate({table}, 0, (a, v) -> a + IF(v < x, 1, 0))"
+            j = f"{below('<=')} - 1"
+            k = below("<")
             body = (f"CASE WHEN x IS NULL OR isnan(x) THEN NULL WHEN x <= {qs[0]!r}D THEN 0D WHEN x >= {qs[-1]!r}D THEN 1D ELSE "
                     f"transform(array(named_struct('j', {j}, 'k', {k})), p -> 0.5D * ("
                     f"p.j * {step} + IF({table}[p.j] = x, 0D, {step} * (x - {table}[p.j]) / ({table}[p.j + 1] - {table}[p.j])) + "
