@@ -31,7 +31,7 @@ class Start:
 
 
 def _matrix(batch: pa.RecordBatch) -> np.ndarray:
-    x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns]) if batch.num_rows else np.empty((0, batch.num_columns))
+    x = np.stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns]).T if batch.num_rows else np.empty((0, batch.num_columns))
     if np.isnan(x).any():
         raise ValueError("a clustered column holds a missing value; impute it first")
     return x
@@ -46,10 +46,22 @@ def row_keys(x: np.ndarray) -> np.ndarray:
 
 
 def nearest(x: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(centre, squared distance) of every row; ties go to the smaller number."""
-    d = np.stack([((x - c) ** 2).sum(axis=1) for c in centres], axis=1)
-    at = d.argmin(axis=1)
-    return at, d[np.arange(len(x)), at]
+    """(centre, squared distance) of every row; ties go to the smaller number.
+    Distances add up column by column, each one contiguous in a batch."""
+    at, least = np.zeros(len(x), dtype=np.int64), None
+    for k, c in enumerate(centres):
+        d = np.zeros(len(x))
+        for j in range(x.shape[1]):
+            gap = x[:, j] - c[j]
+            gap *= gap
+            d += gap
+        if least is None:
+            least = d
+        else:
+            closer = d < least
+            at[closer] = k
+            least = np.minimum(d, least)
+    return at, least
 
 
 def _next_centres(rows: DataFrame, starts: list[np.ndarray], seed: int) -> list[np.ndarray | None]:
@@ -89,10 +101,10 @@ def _step(rows: DataFrame, starts: list[Start], which: list[int]) -> dict:
             x = _matrix(batch)
             for s, c in centres.items():
                 at, d = nearest(x, c) if len(x) else (np.empty(0, int), np.empty(0))
-                total[s][:, 0] += np.bincount(at, minlength=len(c))
-                total[s][:, 1] += np.bincount(at, weights=d, minlength=len(c))
-                for j in range(x.shape[1]):
-                    total[s][:, 2 + j] += np.bincount(at, weights=x[:, j], minlength=len(c))
+                mine = (at == np.arange(len(c))[:, None]).astype(float)
+                total[s][:, 0] += mine.sum(axis=1)
+                total[s][:, 1] += mine @ d if len(x) else 0
+                total[s][:, 2:] += mine @ x
         told = [(s, k, row.tolist()) for s, t in total.items() for k, row in enumerate(t)]
         yield pa.RecordBatch.from_arrays([pa.array([t[0] for t in told], pa.int32()), pa.array([t[1] for t in told], pa.int32()),
                                           pa.array([t[2] for t in told], pa.list_(pa.float64()))], names=["start", "centre", "v"])
