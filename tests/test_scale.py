@@ -53,3 +53,38 @@ def test_wide_queries_set_the_method_limit(spark, tmp_path):
     entry.queries()["player_table"](spark, str(tmp_path)).collect()
     assert spark.conf.get(session.METHOD_LIMIT) == "8000"
     spark.conf.unset(session.METHOD_LIMIT)
+
+
+def test_tree_levels_are_walked_over_whole_columns_of_bytes():
+    from wideframe.operators import histboost as HB
+
+    class Columns(np.ndarray):
+        def __getitem__(self, i):
+            assert not isinstance(i, tuple)  # one gather per row and level
+            return np.asarray(self)[i]
+
+    rng = np.random.default_rng(3)
+    plain = rng.integers(0, 129, size=(4, 500)).astype(np.uint8)
+    for depth in range(1, 10):
+        levels = [(rng.integers(0, 4, 1 << d).tolist(), rng.choice([10, 64, 128, 255], 1 << d).tolist()) for d in range(depth)]
+        want = np.zeros(500, dtype=np.int64)
+        for features, limits in levels:
+            want = 2 * want + (plain[np.asarray(features)[want], np.arange(500)] > np.asarray(limits)[want])
+        bins = plain.view(Columns) if depth <= 6 else plain
+        got = HB.nodes(bins, levels)
+        assert got.dtype == np.int64 and (got == want).all()
+        assert (HB.nodes(bins, levels[-1:], HB.nodes(bins, levels[:-1])) == want).all()
+
+
+def test_restart_distances_run_over_contiguous_columns():
+    import pyarrow as pa
+
+    from wideframe.operators import restarts as RS
+
+    x = np.random.default_rng(4).integers(0, 3, size=(200, 3)).astype(float)
+    m = RS._matrix(pa.record_batch([pa.array(c) for c in x.T], names=["a", "b", "c"]))
+    assert m.shape == (200, 3) and m[:, 0].flags.c_contiguous
+    centres = np.array([[0.0, 1.0, 2.0], [2.0, 1.0, 0.0], [1.0, 1.0, 1.0]])
+    d = ((x[:, None, :] - centres) ** 2).sum(axis=2)
+    at, least = RS.nearest(m, centres)
+    assert (at == d.argmin(axis=1)).all() and (least == d.min(axis=1)).all()
