@@ -88,3 +88,16 @@ def test_restart_distances_run_over_contiguous_columns():
     d = ((x[:, None, :] - centres) ** 2).sum(axis=2)
     at, least = RS.nearest(m, centres)
     assert (at == d.argmin(axis=1)).all() and (least == d.min(axis=1)).all()
+
+
+def test_leaf_contributions_are_tabulated_per_feature():
+    from wideframe.operators import explain as EX
+
+    tree = EX.Tree(*(np.array(v) for v in ([1, -1, 3, -1, -1], [2, -1, 4, -1, -1], [0, -1, 1, -1, -1], [0.5, 0, 1.5, 0, 0],
+                                           [0.0, 1.0, 0.0, 2.0, 5.0], [10.0, 4.0, 6.0, 3.0, 3.0])))
+    leaves = EX.leaves_of(tree)
+    assert {leaf.table.shape for leaf in leaves} == {(1, 2), (2, 4)}
+    assert all(row.flags.c_contiguous for leaf in leaves for row in leaf.table)
+    x = np.array([[0.0, 0.0], [1.0, 1.0], [1.0, 2.0], [np.nan, 1.0]])
+    phi = EX.tree_shap(x, [tree], [leaves])
+    np.testing.assert_allclose(phi[:3].sum(axis=1) + EX.expected_value([tree]), [1.0, 2.0, 5.0])

@@ -151,7 +151,7 @@ class Leaf:
     features: list
     splits: list          # per feature: [(threshold, goes left)…]
     zeros: np.ndarray
-    table: np.ndarray | None
+    table: np.ndarray | None  # per feature, by pattern
 
 
 def leaves_of(tree: Tree) -> list[Leaf]:
@@ -168,7 +168,7 @@ def leaves_of(tree: Tree) -> list[Leaf]:
         p, table = len(z), None
         if p <= TABLE_FEATURES:
             bits = (np.arange(1 << p)[:, None] >> np.arange(p)) & 1
-            table = tree.weight * v * _contributions(z, [bits[:, j].astype(float) for j in range(p)])
+            table = np.ascontiguousarray((tree.weight * v * _contributions(z, [bits[:, j].astype(float) for j in range(p)])).T)
         out.append(Leaf(tree.weight * v, list(by), [e[1] for e in by.values()], z, table))
     return out
 
@@ -178,14 +178,14 @@ def tree_shap(X: np.ndarray, trees: list[Tree], leaves: list | None = None) -> n
     a leaf's features number a row of the leaf's table. ``leaves`` are the trees'
     ``leaves_of``, for callers that score many batches. A missing value follows
     neither side of a split."""
-    phi = np.zeros(X.shape)
+    columns, phi = np.ascontiguousarray(X.T), np.zeros(X.shape[::-1])  # one contiguous row per feature
     for mine in leaves or map(leaves_of, trees):
         sides: dict = {}
 
         def follows(f, split):
             if (f, split) not in sides:
                 thr, left = split
-                sides[f, split] = X[:, f] <= thr if left else X[:, f] > thr
+                sides[f, split] = columns[f] <= thr if left else columns[f] > thr
             return sides[f, split]
 
         for leaf in mine:
@@ -196,13 +196,15 @@ def tree_shap(X: np.ndarray, trees: list[Tree], leaves: list | None = None) -> n
                     go = go & follows(f, split)
                 o.append(go)
             if leaf.table is None:
-                phi[:, leaf.features] += leaf.value * _contributions(leaf.zeros, [x.astype(float) for x in o])
+                phi[leaf.features] += leaf.value * _contributions(leaf.zeros, [x.astype(float) for x in o]).T
                 continue
-            at = o[0].astype(np.int64)
+            at = o[0].astype(np.uint16)
             for j, x in enumerate(o[1:], 1):
-                at |= x.astype(np.int64) << j
-            phi[:, leaf.features] += leaf.table[at]
-    return phi
+                at |= np.multiply(x, np.uint16(1 << j), dtype=np.uint16)
+            at = at.astype(np.intp)
+            for f, told in zip(leaf.features, leaf.table):
+                phi[f] += told.take(at)
+    return phi.T
 
 
 def tree_contributions(df: DataFrame, trees: list[Tree], features, id_col: str, target: str,
