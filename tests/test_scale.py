@@ -101,3 +101,9 @@ def test_leaf_contributions_are_tabulated_per_feature():
     x = np.array([[0.0, 0.0], [1.0, 1.0], [1.0, 2.0], [np.nan, 1.0]])
     phi = EX.tree_shap(x, [tree], [leaves])
     np.testing.assert_allclose(phi[:3].sum(axis=1) + EX.expected_value([tree]), [1.0, 2.0, 5.0])
+
+
+def test_forest_keeps_the_nodes_of_its_rows(spark):
+    from wideframe.operators import models as M
+
+    assert M.make_estimator("random_forest", "y").getCacheNodeIds()
