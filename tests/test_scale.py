@@ -107,3 +107,12 @@ def test_forest_keeps_the_nodes_of_its_rows(spark):
     from wideframe.operators import models as M
 
     assert M.make_estimator("random_forest", "y").getCacheNodeIds()
+
+
+def test_wide_queries_read_small_file_pieces(spark, tmp_path):
+    _tables(spark, str(tmp_path), 3)
+    spark.conf.set(session.FILE_SPLIT, "128m")
+    entry.queries()["player_table"](spark, str(tmp_path)).collect()
+    assert spark.conf.get(session.FILE_SPLIT) == "16m"
+    entry._configure(spark, wide=False)  # the other queries keep the session's own number
+    assert spark.conf.get(session.FILE_SPLIT) == spark.sparkContext.getConf().get(session.FILE_SPLIT, "134217728b")

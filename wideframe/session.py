@@ -8,19 +8,22 @@ import tempfile
 from pyspark.sql import SparkSession
 
 METHOD_LIMIT = "spark.sql.codegen.hugeMethodLimit"
+FILE_SPLIT = "spark.sql.files.maxPartitionBytes"
 
 # Settings the library assumes. AQE re-plans joins and shuffle sizes at
 # runtime (broadcast only after it has measured a side), and splits skewed
 # shuffle partitions. UTC keeps timestamps identical to the DuckDB oracle. The
 # JVM interprets methods of over 8000 bytes, which the projections of a wide
 # table exceed when a stage becomes one method; above that limit Spark compiles
-# them in parts.
+# them in parts. A task that reads a file piece groups its rows in memory before
+# the shuffle, so pieces are small ones at every size of the file.
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     METHOD_LIMIT: "8000",
+    FILE_SPLIT: "16m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
