@@ -116,3 +116,14 @@ def test_wide_queries_read_small_file_pieces(spark, tmp_path):
     assert spark.conf.get(session.FILE_SPLIT) == "16m"
     entry._configure(spark, wide=False)  # the other queries keep the session's own number
     assert spark.conf.get(session.FILE_SPLIT) == spark.sparkContext.getConf().get(session.FILE_SPLIT, "134217728b")
+
+
+def test_export_cleans_the_table_once(spark, tmp_path, monkeypatch):
+    from wideframe.operators import impute
+
+    _tables(spark, str(tmp_path), 20)
+    fits, fit = [], impute.MedianImputer.fit
+    monkeypatch.setattr(impute.MedianImputer, "fit", lambda self, df: fits.append(self.cols) or fit(self, df))
+    rows = {r["name"]: r["rows"] for r in entry.queries()["export_outputs"](spark, str(tmp_path)).collect()}
+    assert rows == {"clean": 20, "scaled": 20, "target_summary": 3, "correlations": 4, "imputer_params": len(fits[0]) - 1}
+    assert len(fits) == 1
