@@ -127,3 +127,24 @@ def test_export_cleans_the_table_once(spark, tmp_path, monkeypatch):
     rows = {r["name"]: r["rows"] for r in entry.queries()["export_outputs"](spark, str(tmp_path)).collect()}
     assert rows == {"clean": 20, "scaled": 20, "target_summary": 3, "correlations": 4, "imputer_params": len(fits[0]) - 1}
     assert len(fits) == 1
+
+
+def test_contributions_are_ranked_without_lambdas(spark):
+    from wideframe.operators import select as SEL
+
+    nan = float("nan")
+    rows = [(1, 2.0, -2.0, nan, None), (2, None, None, None, None), (3, nan, 0.0, nan, -0.0), (4, 1.0, -5.0, 5.0, 3.0)]
+    df = spark.createDataFrame(rows, "player_id long, b double, a double, d double, c double")
+    values = {"T1": {c: c for c in "bad"}, "T2": {c: f"{c} * 2" for c in "cb"}}
+    want = set()
+    for i, *x in rows:
+        at = dict(zip("badc", x))
+        for t, exprs in values.items():
+            have = {f: at[f] * (1 if t == "T1" else 2) for f in exprs if at[f] is not None}
+            order = sorted(have, key=lambda f: (have[f] != have[f], 0 if have[f] != have[f] else -abs(have[f]), f))
+            want |= {(i, t, f, repr(abs(have[f])), n + 1) for n, f in enumerate(order[:2])}
+    out = SEL.top_contributions(df, values, 2)
+    assert {(r["player_id"], r["target"], r["feature"], repr(abs(r["value"])), r["rank"]) for r in out.collect()} == want
+    with redirect_stdout(io.StringIO()) as text:
+        out.explain()
+    assert "lambda" not in text.getvalue()
