@@ -110,6 +110,23 @@ def test_unit_places_are_a_gapless_order():
         assert (place == np.r_[0, np.cumsum(size[at])[:-1]]).all()
 
 
+def test_a_text_is_encoded_by_one_call_unless_a_run_is_very_long():
+    from types import SimpleNamespace
+
+    from wideframe.llm import tokens
+
+    tokens._LOADED.clear()
+    table = next(f for n, f in vars(tokens).items() if n in ("text_table", "word_ids"))(tokens.VOCABULARY)
+    calls, encoding = [], table.encoding
+    table.encoding = SimpleNamespace(encode_ordinary=lambda t: calls.append(t) or encoding.encode_ordinary(t))
+    texts = [" ".join(f"word{i} x{i * j}" for i in range(300)) for j in range(3)]
+    texts += ["a  b\t" + "y" * 6000 + " c  d", " " * 6000 + "z", "ab " * 3000 + "q" * 5001 + "\n", "x<|endoftext|> y"]
+    got = [np.frombuffer(table.text_ids(t), "<u2").tolist() + [1] for t in texts]
+    tokens._LOADED.clear()
+    assert got == [x.tolist() for x in public_ids(texts)]
+    assert [calls.count(t) for t in texts[:3]] == [1, 1, 1]
+
+
 def test_packing_round_trip(odd):
     pieces = pack(odd.withColumns({"ids": F.lit("i"), "n": F.lit(1), "g": F.lit("q")}), seq_len=256, quantum=32).collect()
     want = Counter(x.tobytes() for x in public_ids(r[1] for r in odd_rows()))

@@ -2,9 +2,10 @@
 
 The ids equal those of ``tokenizers`` on the same vocabulary file with
 ``add_special_tokens=False``: a special string in a text is one id, and the text
-before and after it is encoded apart. A text is cut at every single space that
-stands between two visible characters: no token of a byte-level BPE spans such
-a place, so each part is encoded once per Python worker and then looked up.
+before and after it is encoded apart. A text goes to the tokeniser whole; one
+with a very long unbroken run is cut at every single space that stands between
+two visible characters, a place that no token of a byte-level BPE spans, so that
+only the run itself takes the slower way.
 """
 
 from __future__ import annotations
@@ -22,7 +23,6 @@ EOS = 1
 #: The vocabulary's special string.
 SPECIAL = "<|endoftext|>"
 
-_ODD_SPACE = re.compile(r" \s|\s |^ | $")
 _INNER_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -34,17 +34,17 @@ def byte_symbols() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-class WordIds(dict):
-    """Part of a text after a space to its ids (little-endian uint16 bytes).
-    Cleared at ``limit`` entries, so memory is bounded."""
+class TextIds:
+    """Ids of texts (little-endian uint16 bytes). Holds the vocabulary only, so
+    memory and time per text do not depend on the texts before."""
 
-    limit = 600_000
+    #: Merging an unbroken run longer than this is quadratic in tiktoken.
+    longest = 5_000
 
     def __init__(self, vocabulary: str):
         import public_tokenizers
         import tiktoken
 
-        super().__init__()
         self.path = public_tokenizers.path(vocabulary)
         with open(self.path, encoding="utf-8") as f:
             told = json.load(f)
@@ -58,25 +58,24 @@ class WordIds(dict):
         self.slow = None
 
     def encode(self, text: str) -> bytes:
-        if len(text) > 5_000:  # merging a very long unbroken run is quadratic in tiktoken
+        if len(text) > self.longest:
             if self.slow is None:
                 from tokenizers import Tokenizer
 
                 self.slow = Tokenizer.from_file(self.path)
                 self.slow.encode_special_tokens = True
             return np.array(self.slow.encode(text, add_special_tokens=False).ids, dtype="<u2").tobytes()
+        return self.merged(text)
+
+    def merged(self, text: str) -> bytes:
         return np.array(self.encoding.encode_ordinary(text), dtype="<u2").tobytes()
 
-    def __missing__(self, part: str) -> bytes:
-        if part[:-1].isalpha() and part[-1] in ".,;:!?":
-            ids = self[part[:-1]] + self.encode(part[-1])
-        else:
-            ids = self.encode(" " + part)
-        if len(self) >= self.limit:
-            self.clear()
-        if len(part) <= 100:
-            self[part] = ids
-        return ids
+    def has_long_run(self, text: str) -> bool:
+        """Whether a run of visible characters or of white space may be long."""
+        if len(text) <= self.longest:
+            return False
+        runs = list(map(len, text.split()))
+        return max(runs, default=0) > self.longest or len(text) - sum(runs) - len(runs) > self.longest
 
     def text_ids(self, text: str) -> bytes:
         if not text:
@@ -84,17 +83,19 @@ class WordIds(dict):
         if SPECIAL in text and self.special:
             mark = np.array([self.special[SPECIAL]], dtype="<u2").tobytes()
             return mark.join(map(self.text_ids, text.split(SPECIAL)))
-        parts = _INNER_SPACE.split(text) if _ODD_SPACE.search(text) else text.split(" ")
-        return self.encode(parts[0]) + b"".join(map(self.__getitem__, parts[1:]))
+        if not self.has_long_run(text):
+            return self.merged(text)
+        first, *rest = _INNER_SPACE.split(text)
+        return self.encode(first) + b"".join(self.encode(" " + part) for part in rest)
 
 
-_LOADED: dict[str, WordIds] = {}
+_LOADED: dict[str, TextIds] = {}
 
 
-def word_ids(vocabulary: str) -> WordIds:
+def text_table(vocabulary: str) -> TextIds:
     """One table per Python worker and vocabulary."""
     if vocabulary not in _LOADED:
-        _LOADED[vocabulary] = WordIds(vocabulary)
+        _LOADED[vocabulary] = TextIds(vocabulary)
     return _LOADED[vocabulary]
 
 
@@ -117,7 +118,7 @@ def tokenised(docs: DataFrame, id_col: str, text_col: str, group_col: str | None
     def run(batches):
         from pyspark import TaskContext
 
-        table, part, before = word_ids(vocabulary), TaskContext.get().partitionId(), {}
+        table, part, before = text_table(vocabulary), TaskContext.get().partitionId(), {}
         for batch in (piece for whole in batches for piece in slices(whole, 2)):
             ids, starts = [], []
             groups = batch.column(1).to_pylist()
