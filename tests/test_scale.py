@@ -148,3 +148,19 @@ def test_contributions_are_ranked_without_lambdas(spark):
     with redirect_stdout(io.StringIO()) as text:
         out.explain()
     assert "lambda" not in text.getvalue()
+
+
+def test_lines_are_dealt_before_they_are_grouped(spark):
+    """The task that reads a file piece holds no table of orders."""
+    rows = [(i % 5, i % 7 + 1, float(i), 10.0 * i, 0.25, 0.5) for i in range(40)] + [(None, 1, 1.0, 1.0, 0.0, 0.0)]
+    lines = spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+                                        "l_discount double, l_tax double")
+    wide = player.lineitem_wide(lines)
+    plan = wide._jdf.queryExecution().executedPlan().toString().splitlines()
+    dealt = next(i for i, line in enumerate(plan) if "Exchange" in line)
+    assert not any("Aggregate" in line for line in plan[dealt:])
+    got = {r["k"]: (r["Target1"], r["Target3"], r["T01"]) for r in wide.collect()}
+    for k in {r[0] for r in rows}:
+        mine = [r for r in rows if r[0] == k]
+        first = [r[3] / 1000 for r in mine if r[1] == 1]
+        assert got[k] == (sum(r[2] for r in mine), sum(r[3] * (1 - r[4]) for r in mine) / 1000, max(first, default=None))

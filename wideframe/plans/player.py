@@ -7,8 +7,10 @@ the same column families is derived from ``orders``/``lineitem``/``customer``
 * every lineitem-derived column is a conditional aggregate over raw lineitem
   grouped by the order key. Max of a monotone transform equals the transform of
   the max, so the per-(order, line) pre-aggregation of the fixture SQL folds
-  into the same single ``groupBy``: one shuffle, with map-side partial
-  aggregation (hot orders collapse before the exchange);
+  into the same single ``groupBy``: one shuffle, of the columns it needs. Lines
+  are dealt by order key before they are grouped (an order has about four), so a
+  task that reads a file piece holds no table of orders, and one that groups has
+  a bounded number of lines;
 * ``orders`` is joined to ``customer`` while it is still narrow, then to the
   lineitem aggregate, which is already hash-partitioned on the order key, so
   only the narrow orders side moves for that join. Join strategy is left to
@@ -20,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import size_shuffles
+from ..session import shuffle_partitions, size_shuffles
 from ..sources.tables import read_table
 
 ID_COL = "player_id"
@@ -57,7 +59,9 @@ def lineitem_wide(lineitem: DataFrame) -> DataFrame:
             for name, line, kind in PIVOT_LAYOUT]
     aggs += [F.expr("sum(l_quantity)").alias("Target1"),
              F.expr("sum(l_extendedprice * (1 - l_discount)) / 1000").alias("Target3")]
-    return lineitem.groupBy(F.col("l_orderkey").alias("k")).agg(*aggs)
+    dealt = lineitem.select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax")
+    dealt = dealt.repartition(shuffle_partitions(lineitem.sparkSession), "l_orderkey")
+    return dealt.groupBy(F.col("l_orderkey").alias("k")).agg(*aggs)
 
 
 # column names of the player table, known without building its plan
