@@ -201,6 +201,17 @@ def test_line_dedup_matches_brute_force(few, odd):
     assert Counter((x.doc_id, x.text) for x in clean.collect()) == expect
 
 
+def test_line_words_are_cut_at_plain_spaces(few):
+    from wideframe.llm import linedup
+    from wideframe.llm.common import words_sql
+
+    texts = ["a\tB  c\rD\x0be\x0cg ", "plain Words only", " \t\r", "", None, "x\x85y\u00a0z \u2028w\x1c1", "ÄÖ É\tİ ß"]
+    df = few.createDataFrame([(x,) for x in texts], "line string")
+    got = df.select(F.expr(f"array_remove({linedup.cut('line')}, '') AS cut"), F.expr(f"{words_sql('lower(line)')} AS words"),
+                    F.expr(f"size({linedup.line_hashes('line')}) AS n")).collect()
+    assert all((r.cut or []) == r.words and max(r.n, 0) == len(set(r.words)) for r in got)
+
+
 def test_short_lines_are_deduplicated(few):
     import corpus_pipeline as cp
 

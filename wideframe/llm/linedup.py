@@ -37,7 +37,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import small_join, stored, words_sql
+from .common import small_join, stored
 
 BITS = 16
 
@@ -45,9 +45,16 @@ BITS = 16
 LONG = 48
 
 
-def line_words(line: str) -> str:
-    """SQL for the distinct lower-cased words of a line."""
-    return f"array_distinct({words_sql(f'lower({line})')})"
+def cut(text: str) -> str:
+    """SQL for the lower-cased words of a text without line ends, with empty
+    strings between them: a split at a plain space is cheaper than at a pattern."""
+    plain = f"translate(lower({text}), '\t\u000B\f\r', '    ')"
+    return f"split(IF({text} RLIKE '[\\\\x09\\\\x0B-\\\\x0D]', {plain}, lower({text})), ' ')"
+
+
+def line_hashes(line: str) -> str:
+    """SQL for the hashes of the distinct lower-cased words of a line."""
+    return f"array_remove(array_distinct(transform({cut(line)}, w -> xxhash64(w))), xxhash64(''))"
 
 
 def exploded(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -56,13 +63,13 @@ def exploded(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             .select(F.col(id_col).alias("doc_id"), F.posexplode(F.split(F.col(text_col), "\n")).alias("line_no", "line")))
 
 
-def rarity_list(lines: DataFrame, bits: int = BITS) -> str:
+def rarity_list(texts: DataFrame, bits: int = BITS) -> str:
     """One number per hash bucket, joined by commas: three times the binary
     logarithm of the number of words in it. ``2**bits`` rows at most reach the
-    driver."""
+    driver. ``texts`` has the column text."""
     import numpy as np
 
-    words = lines.select(F.explode(F.expr(words_sql("lower(line)"))).alias("w"))
+    words = texts.select(F.explode(F.expr(cut("replace(text, '\\n', ' ')"))).alias("w")).filter("w <> ''")
     counts = words.groupBy(F.expr(f"CAST(xxhash64(w) & {2 ** bits - 1} AS INT)").alias("b")).count().toPandas()
     table = np.zeros(2 ** bits)
     table[counts["b"].to_numpy(dtype=int)] = counts["count"].to_numpy(dtype=float)
@@ -73,11 +80,15 @@ def ordered_keys(line: str, rarity: str, bits: int = BITS) -> str:
     """SQL for the sorted keys of a line's distinct words: 7 bits of rarity,
     then 56 bits of hash. The rarity table folds into one array literal."""
     table = f"CAST(split('{rarity}', ',') AS ARRAY<BIGINT>)"
-    hashed = f"array_distinct(transform({words_sql(f'lower({line})')}, w -> xxhash64(w)))"
-    return (f"sort_array(transform({hashed}, h -> "
+    return (f"sort_array(transform({line_hashes(line)}, h -> "
             f"shiftleft({table}[CAST(h & {2 ** bits - 1} AS INT)], 56) | (h & {2 ** 56 - 1}L)))")
 
 
+def _places(keys: str) -> str:
+    """SQL for a map of 64 places in which those of the keys are set."""
+    return f"aggregate({keys}, 0L, (a, x) -> a | shiftleft(1L, CAST(x & 63 AS INT)))"
+
+
 def similar_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """(doc_id, line_no, n_tokens) of the lines to remove."""
     return _removed(docs, id_col, text_col, **options).select("doc_id", "line_no", "n_tokens").distinct()
@@ -87,15 +98,16 @@ def _removed(docs: DataFrame, id_col: str, text_col: str, threshold: int = 80, m
              first_block: int = 8) -> DataFrame:
     """(doc_id, line_no, line_hash, n_tokens) of the lines to remove."""
     lines = exploded(docs, id_col, text_col)
+    texts = docs.filter(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(text_col).alias("text"))
     # the explode of one array keeps the filter from being pushed below the keys, which would work them out twice
     keyed = lines.select("doc_id", "line_no", F.expr("xxhash64(line)").alias("line_hash"),
-                         F.explode(F.array(F.expr(ordered_keys("line", rarity_list(lines))))).alias("k"))
+                         F.explode(F.array(F.expr(ordered_keys("line", rarity_list(texts))))).alias("k"))
     prefix = f"size(k) - ({threshold} * size(k) + 99) DIV 100 + 1"
     placed = keyed.filter(f"size(k) >= {min_tokens}").select(
         "doc_id", "line_no", "line_hash", F.expr("xxhash64(k)").alias("cls"), F.size("k").alias("n"),
         # a word has one place of 64, in long lines of 128 (``more`` holds the second half)
-        F.expr(f"aggregate(k, 0L, (a, x) -> a | IF(size(k) > {LONG} AND x & 64 <> 0, 0L, shiftleft(1L, CAST(x & 63 AS INT))))").alias("bits"),
-        F.expr(f"IF(size(k) > {LONG}, aggregate(k, 0L, (a, x) -> a | IF(x & 64 <> 0, shiftleft(1L, CAST(x & 63 AS INT)), 0L)), 0L)").alias("more"),
+        F.expr(f"IF(size(k) > {LONG}, {_places('filter(k, x -> x & 64 = 0)')}, {_places('k')})").alias("bits"),
+        F.expr(f"IF(size(k) > {LONG}, {_places('filter(k, x -> x & 64 <> 0)')}, 0L)").alias("more"),
         F.expr(f"slice(k, 1, CAST({prefix} AS INT))").alias("prefix"))
     placed = stored(placed, "lines")
     firsts = stored(placed.groupBy("cls").agg(F.min(F.struct("doc_id", "line_no", "line_hash")).alias("first")), "firsts")
@@ -106,11 +118,12 @@ def _removed(docs: DataFrame, id_col: str, text_col: str, threshold: int = 80, m
                .agg(*(F.first(c).alias(c) for c in ("n", "bits", "more", "prefix"))))
     entries = classes.select("cls", "n", "bits", "more", F.posexplode("prefix").alias("pos", "tok"))
     x, y = entries.alias("x"), entries.alias("y")
-    differ = f"({100 - threshold} * (x.n + y.n)) DIV {100 + threshold}"
-    meet = (f"100 * x.n >= {threshold} * y.n AND 100 * y.n >= {threshold} * x.n AND "
-            f"least(x.n - x.pos, y.n - y.pos) >= ({threshold} * (x.n + y.n) + {99 + threshold}) DIV {100 + threshold} AND "
-            f"IF((x.n > {LONG}) = (y.n > {LONG}), bit_count(x.bits ^ y.bits) + bit_count(x.more ^ y.more), "
-            f"bit_count((x.bits | x.more) ^ (y.bits | y.more))) <= {differ}")
+    differ = (f"IF((x.n > {LONG}) = (y.n > {LONG}), bit_count(x.bits ^ y.bits) + bit_count(x.more ^ y.more), "
+              f"bit_count((x.bits | x.more) ^ (y.bits | y.more)))")
+    # whole numbers without divisions: the condition is worked out for every two rows of a word
+    meet = (f"{100 + threshold} * least(x.n - x.pos, y.n - y.pos) >= {threshold} * (x.n + y.n) AND "
+            f"{100 + threshold} * {differ} <= {100 - threshold} * (x.n + y.n) AND "
+            f"100 * x.n >= {threshold} * y.n AND 100 * y.n >= {threshold} * x.n")
     able = x.join(y, F.expr(f"x.tok = y.tok AND x.cls <> y.cls AND {meet}"), "left_semi")
     able = able.join(firsts, "cls")
     turn = Window.partitionBy("tok").orderBy("first", "cls")
@@ -123,7 +136,7 @@ def _removed(docs: DataFrame, id_col: str, text_col: str, threshold: int = 80, m
                        limit=500_000)
     words = (again.select(F.inline(F.expr("transform(want, w -> named_struct('cls', w.cls, 'line_hash', w.line_hash, 'line', get(ls, w.line_no)))")))
              .filter("line IS NOT NULL AND xxhash64(line) = line_hash")
-             .select("cls", F.expr(f"transform({line_words('line')}, w -> xxhash64(w))").alias("ws")).dropDuplicates(["cls"]))
+             .select("cls", F.expr(line_hashes("line")).alias("ws")).dropDuplicates(["cls"]))
     words = stored(words, "words")
 
     last = able.agg(F.max("rn")).first()[0] or 0
