@@ -111,6 +111,24 @@ def test_near_dedup_in_crowded_regions(few):
     check_components(few, rows, 4, region=8, window=2)
 
 
+def test_blocks_give_one_link_for_components_that_meet():
+    # 30 copies in components of their own and 40 in one: joined by 30 links, not 30 * 69
+    import pandas as pd
+
+    one = np.arange(10, dtype=np.uint64).tobytes()
+    other = np.arange(100, 110, dtype=np.uint64).tobytes()
+    x = pd.DataFrame({"id": range(30), "c": range(30), "set": [one] * 30})
+    y = pd.DataFrame({"id": range(71), "c": [*range(30), *[30] * 40, 70], "set": [one] * 70 + [other]})
+    found = forest.block_links(x, y, 80)
+    assert len(found) == 30
+    label = dict(zip(y["id"], y["c"]))
+    for _ in range(30):
+        for a, b in zip(found["a"], found["b"]):
+            low = min(label[a], label[b])
+            label = {i: low if c in (label[a], label[b]) else c for i, c in label.items()}
+    assert set(label.values()) == {0, 70}
+
+
 def test_streamed_regions_lose_no_pair():
     # rows of one run cut between batches give the pairs of the whole run
     levels = np.array([[1, 1], [1, 1], [1, 2], [2, 5], [2, 5], [3, 1]])

@@ -39,7 +39,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import ship, slices, small_join, stored
@@ -47,6 +47,10 @@ from .components import components
 
 SKETCH_LIMIT = 34
 
+#: Largest table of ids (rows of two numbers at most) that is sent to every
+#: task, so that signatures and sets need no shuffle to be filtered or named.
+IDS = 2_000_000
+
 _U = np.uint64
 
 
@@ -319,6 +323,8 @@ def confirmed(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
             keep = pa.array(ok, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
 
+    named = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    sets = small_join(sets, named, "id", "left_semi", limit=IDS)
     one = sets.select(F.col("id").alias("a"), F.col("set").alias("x"))
     two = sets.select(F.col("id").alias("b"), F.col("set").alias("y"))
     return (pairs.select("a", "b").join(one, "a").join(two, "b").select("a", "b", "x", "y")
@@ -340,7 +346,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     for step in range(rounds + 1):
         last = step == rounds
         # ids that repeat hold several sets: classes, not ids, are compared
-        named = live.join(label.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+        named = live.withColumn("component", F.col("id"))
+        if links is not None:
+            named = small_join(live, label.withColumnRenamed("node", "id"), "id", "left", limit=IDS)
+            named = named.withColumn("component", F.coalesce("component", "id"))
         rows = orders(named, trees, depth, extra).repartition("key").sortWithinPartitions("key", "path", "id")
         found = stored(candidates(rows, region, window, threshold, best=not last), "candidates")
         pairs = stored(found.filter("b IS NOT NULL AND a < b").groupBy("a", "b").agg(F.min("bits").alias("bits")), "pairs")
@@ -350,7 +359,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             members = found.filter("b IS NULL").select(F.col("a").alias("id"), "region")
             needed = stored(needed.union(members.select("id")).distinct(), "needed")
             sets = stored(small_join(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")),
-                                     needed, "id", limit=2_000_000).transform(lambda d: _sets(d, k)), "sets")
+                                     needed, "id", limit=IDS).transform(lambda d: _sets(d, k)), "sets")
         if not n_pairs:
             break
         now = pairs.select("a", "b")
@@ -362,7 +371,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         if not last:
             # a class without a partner in another component has none later
             needed = needed.union(members.select("id")).distinct()
-            live = stored(classes.join(needed, "id", "left_semi"), "live")
+            live = stored(small_join(classes, needed, "id", "left_semi", limit=IDS), "live")
 
     if members.limit(1).count():
         links, label = _join_links(links, _large_regions(members, label, sets, threshold, block))
@@ -409,15 +418,17 @@ def _large_regions(members: DataFrame, label: DataFrame, sets: DataFrame, thresh
     sets; a task holds one block of each and returns links only."""
     n = members.count()
     members = stored(members.distinct(), "members", n)
-    hub = members.groupBy("region").agg(F.min("id").alias("a"))
-    cluster = components(members.join(hub, "region").select("a", F.col("id").alias("b")).distinct(), n)
-    named = cluster.select(F.col("node").alias("id"), F.col("component").alias("cluster"))
+    # a member links its first region with its others: few links, as a region has many members
+    first = F.min("region").over(Window.partitionBy("id"))
+    regions = stored(members.select(first.alias("a"), F.col("region").alias("b")).distinct(), "regions", n)
+    cluster = components(regions).select("node", F.col("component").alias("cluster"))
+    named = members.groupBy("id").agg(F.min("region").alias("node")).join(cluster, "node").select("id", "cluster")
     named = named.join(label.withColumnRenamed("node", "id"), "id", "left").withColumn("c", F.coalesce("component", "id"))
     sizes = named.groupBy("cluster", "c").agg(F.count("*").alias("m"))
     largest = sizes.groupBy("cluster").agg(F.max(F.struct("m", "c")).alias("t"), F.sum("m").alias("all"))
     largest = largest.select("cluster", F.col("t.c").alias("top"), F.expr(f"CAST(ceil(all / {block}) AS INT)").alias("right"),
                              F.expr(f"CAST(ceil((all - t.m) / {block}) AS INT)").alias("left"))
-    named = stored(named.join(largest, "cluster").filter("left > 0").join(sets, "id")
+    named = stored(small_join(sets, named.join(largest, "cluster").filter("left > 0"), "id")
                    .select("cluster", "id", "c", "top", "left", "right", "set"), "clusters", n, 5_000)
     mine = named.filter("c <> top").select(
         "cluster", F.expr("CAST(pmod(xxhash64(id, 1), left) AS INT)").alias("i"),
@@ -434,9 +445,16 @@ def _large_regions(members: DataFrame, label: DataFrame, sets: DataFrame, thresh
 
 def block_links(x, y, threshold: int):
     """Links between two blocks of full sets (pandas frames id, c, set) of
-    different components."""
+    different components: those that join what the block's earlier ones left apart."""
     import pandas as pd
 
+    above: dict = {}
+
+    def top(c):
+        while c in above:
+            above[c] = c = above.get(above[c], above[c])
+        return c
+
     right = [np.frombuffer(s, np.uint64) for s in y["set"]]
     size = np.array([len(s) for s in right], dtype=np.int64)
     if not len(x) or not len(right):
@@ -452,5 +470,9 @@ def block_links(x, y, threshold: int):
         at = np.repeat(low, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
         both = np.bincount(owner[at], minlength=len(right))
         ok = (100 * both >= threshold * (len(s) + size - both)) & (comps != c)
-        found += [(min(i, d), max(i, d)) for d in ids[ok].tolist()]
+        _, at = np.unique(comps[ok], return_index=True)
+        for d, e in zip(ids[ok][at].tolist(), comps[ok][at].tolist()):
+            if top(c) != top(e):
+                above[top(e)] = top(c)
+                found.append((min(i, d), max(i, d)))
     return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
