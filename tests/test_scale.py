@@ -164,3 +164,23 @@ def test_lines_are_dealt_before_they_are_grouped(spark):
         mine = [r for r in rows if r[0] == k]
         first = [r[3] / 1000 for r in mine if r[1] == 1]
         assert got[k] == (sum(r[2] for r in mine), sum(r[3] * (1 - r[4]) for r in mine) / 1000, max(first, default=None))
+
+
+def test_tree_fits_pass_over_few_partitions(spark, monkeypatch):
+    """A level of a tree is a pass; its tasks are few, however the table lies."""
+    from pyspark.ml import Pipeline
+
+    from wideframe.operators import models as M
+
+    rng = np.random.default_rng(6)
+    rows = [(float(a), float(b), None if i % 9 == 0 else float(a + b)) for i, (a, b) in enumerate(rng.normal(size=(300, 2)))]
+    df = spark.createDataFrame(rows, "a double, b double, y double").repartition(64).persist()
+    seen, fit = [], Pipeline.fit
+    monkeypatch.setattr(Pipeline, "fit", lambda self, data: seen.append((data.rdd.getNumPartitions(), data.count())) or fit(self, data))
+    M.fit_pipeline(df, ["a", "b"], "y", "gbt", maxIter=2, maxDepth=2)
+    M.fit_pipeline(df.coalesce(8), ["a", "b"], "y", "random_forest", numTrees=2, maxDepth=2)
+    labelled = sum(r[2] is not None for r in rows)
+    assert seen == [(4, labelled), (8, labelled)]
+    monkeypatch.setattr(M, "FIT_ROWS", 20)
+    assert M.packed(df).rdd.getNumPartitions() == 15
+    df.unpersist()
