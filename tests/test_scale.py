@@ -184,3 +184,12 @@ def test_tree_fits_pass_over_few_partitions(spark, monkeypatch):
     monkeypatch.setattr(M, "FIT_ROWS", 20)
     assert M.packed(df).rdd.getNumPartitions() == 15
     df.unpersist()
+
+
+def test_ensemble_members_are_fitted_side_by_side_in_order(spark):
+    import threading
+
+    from wideframe.operators import models as M
+
+    meet = threading.Barrier(3, timeout=60)
+    assert M.together(spark, [lambda i=i: (meet.wait(), i)[1] for i in range(3)]) == [0, 1, 2]
