@@ -186,6 +186,21 @@ def test_tree_fits_pass_over_few_partitions(spark, monkeypatch):
     df.unpersist()
 
 
+def test_folds_are_fitted_and_scored_over_few_partitions(spark, monkeypatch):
+    from pyspark.ml import PipelineModel
+
+    from wideframe.operators import models as M
+
+    rng = np.random.default_rng(7)
+    df = spark.createDataFrame([(i, float(a), float(a + b)) for i, (a, b) in enumerate(rng.normal(size=(200, 2)))], "id long, a double, y double")
+    df = df.repartition(64).persist()
+    seen, transform = [], PipelineModel.transform
+    monkeypatch.setattr(PipelineModel, "transform", lambda self, data: seen.append(data.rdd.getNumPartitions()) or transform(self, data))
+    r = M.kfold_metrics(df, ["a"], "y", "id", "random_forest", k=3, numTrees=2, maxDepth=2)
+    assert seen == [4, 4, 4] and r["n"] == 200
+    df.unpersist()
+
+
 def test_ensemble_members_are_fitted_side_by_side_in_order(spark):
     import threading
 
